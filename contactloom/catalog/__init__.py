@@ -1 +1,9 @@
+"""All registered queries; importing the modules registers them."""
 
+from contactloom.catalog import (  # noqa: F401
+    columns,
+    extraction,
+)
+from contactloom.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

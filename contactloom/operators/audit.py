@@ -35,8 +35,7 @@ def choose_primary(candidates: DataFrame, seen_emails: DataFrame, key: str = "do
     fresh = rank.exclude_seen(unique, seen_emails, ["email"])
     best = rank.top_n(fresh, [key], k, [F.col("score").desc(), F.col("pos"), F.col("email")],
                       name="rank", salts=1)
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "email", "score"))),
-                         lambda s: s)
+    listed = F.array_sort(F.collect_list(F.struct("rank", "email", "score")))
     chosen = best.groupBy(key).agg(listed.alias("_best"))
     found = rank.top_list(candidates, key, "email", 10, ["pos"], name="emails_found")
     return found.join(chosen, key, "left").select(
@@ -50,8 +49,7 @@ def reason(domain: Column, duplicate: Column, html: Column, status: Column, foun
            primary: Column, has_mx: Column, error: Column | None = None) -> Column:
     """The first thing that stopped a visit; blank for a qualified one."""
     none = F.lit(None).cast("string")
-    out = (F.when(F.coalesce(domain, F.lit("")).contains(".") == F.lit(False),
-                  "invalid_domain")
+    out = (F.when(~F.contains(F.coalesce(domain, F.lit("")), F.lit(".")), "invalid_domain")
            .when(duplicate, "duplicate_domain")
            .when(html.isNull() & (F.coalesce(status, F.lit("timeout")) == "timeout"), "timeout")
            .when(html.isNull(), F.concat(F.lit("no_html:"), status))
@@ -82,19 +80,16 @@ def audit(visits: DataFrame, candidates: DataFrame, dns: DataFrame, seen_domains
     read = F.col("_why").isin("") | F.col("_why").rlike("^(no_mx:|duplicate_email|no_email)")
     dns_read = F.col("_why").isin("") | F.col("_why").rlike("^no_mx:")
 
-    def when(flag: Column, value: Column) -> Column:
-        return F.when(flag, value)
-
     rows = facts.withColumn("_why", why)
-    yes_no = {n: when(dns_read, F.when(F.col(n), "YES").otherwise("NO"))
+    yes_no = {n: F.when(dns_read, F.when(F.col(n), "YES").otherwise("NO"))
               for n in ("has_mx", "dmarc", "spf")}
     return rows.select(
         *[c for c in visits.columns if c != "html"],
-        when(read, F.col("emails_found")).alias("emails_found"),
-        when(dns_read, F.col("primary_email")).alias("primary_email"),
-        when(dns_read, F.col("mail_domain")).alias("email_domain"),
+        F.when(read, F.col("emails_found")).alias("emails_found"),
+        F.when(dns_read, F.col("primary_email")).alias("primary_email"),
+        F.when(dns_read, F.col("mail_domain")).alias("email_domain"),
         yes_no["has_mx"].alias("mx_valid"),
-        when(dns_read, F.col("provider")).alias("mx_provider"),
+        F.when(dns_read, F.col("provider")).alias("mx_provider"),
         yes_no["dmarc"].alias("dmarc"), yes_no["spf"].alias("spf"),
         F.when(F.col("_why") == "", "YES").otherwise("NO").alias("qualified"),
         F.col("_why").alias("rejection_reason"))

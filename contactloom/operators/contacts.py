@@ -109,7 +109,7 @@ def items_to_contacts(items: DataFrame) -> DataFrame:
     rows = rows.where(emails.has_valid_syntax("_email"))
     return rows.select(
         F.coalesce(F.get("_person", F.lit(0)), F.lit("Founder")).alias("first_name"),
-        F.array_join(F.slice("_person", 2, 1000), " ").alias("last_name"),
+        F.array_join(F.filter("_person", lambda w, i: i > 0), " ").alias("last_name"),
         F.col("_email").alias("email"),
         F.coalesce(value("brand_name"), domains.brand_from_domain("_domain", "label"))
         .alias("company"),

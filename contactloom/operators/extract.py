@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from contactloom import patterns, rules
 from contactloom.functions import domains, emails, html, names, social
-from contactloom.functions.text import capitalize, col, contains_any, let, words
+from contactloom.functions.text import any_of, capitalize, col, contains_any, let, words
 
 PLATFORM_COLUMNS = {"instagram": "instagram", "facebook": "facebook", "linkedin": "linkedin",
                     "tiktok": "tiktok", "twitter": "twitter_x"}
@@ -115,12 +115,16 @@ def page_links(df: DataFrame, markup: str, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, F.posexplode(html.hrefs(markup)).alias("pos", "href"))
 
 
+def _social_reader(platform: str):
+    return lambda h: social.canonical_social(h, platform)
+
+
 def page_socials(markup: Column | str) -> list[Column]:
     """First profile link per platform, as one column each."""
     links = html.hrefs(markup)
     out = []
     for platform, name in PLATFORM_COLUMNS.items():
-        hits = F.transform(links, lambda h, p=platform: social.canonical_social(h, p))
+        hits = F.transform(links, _social_reader(platform))
         out.append(F.get(F.array_compact(hits), F.lit(0)).alias(name))
     return out
 
@@ -218,10 +222,12 @@ def select_pages(pages: DataFrame, site: str, path: str, k: int = 8,
 # ------------------------------------------------------------------------ people
 def _guarded(text: Column, low: Column, pattern: str, needs: Sequence[str], number: int,
              flags: str) -> Column:
-    whole = F.regexp_extract_all(text, F.lit(flags + pattern), F.lit(0))
-    inner = F.regexp_extract_all(text, F.lit(flags + pattern), F.lit(1))
-    made = F.zip_with(whole, inner, lambda w, c: F.struct(
-        F.lit(number).alias("pat"), w.alias("whole"), F.trim(c).alias("cand")))
+    # only patterns with letters beyond ASCII pay for Unicode case folding
+    full = (flags if pattern.isascii() else flags.replace(")", "u)")) + pattern
+    whole = F.regexp_extract_all(text, F.lit(full), F.lit(0))
+    made = F.transform(whole, lambda w: F.struct(
+        F.lit(number).alias("pat"), w.alias("whole"),
+        F.trim(F.regexp_extract(w, full, 1)).alias("cand")))
     guard = F.lit(False)
     for literal in needs:
         guard = guard | F.contains(low, F.lit(literal))
@@ -230,31 +236,28 @@ def _guarded(text: Column, low: Column, pattern: str, needs: Sequence[str], numb
 
 
 def mention_candidates(text: Column, low: Column, table=patterns.SITE_PATTERNS,
-                       flags: str = "(?iu)") -> Column:
+                       flags: str = "(?i)") -> Column:
     """All pattern hits of a text, by pattern number and then by position."""
     return F.concat(*[_guarded(text, low, p, needs, i, flags)
                       for i, (p, needs) in enumerate(table, start=1)])
 
 
-def _resolve(x: Column, name_list: Sequence[str], stop: Sequence[str], brand: Column,
-             domain: Column) -> Column:
-    """First reading of a candidate that is a plausible name, or NULL."""
-    cand, number = x["cand"], x["pat"].cast("string")
+def _reading(first: Column, last: Column, kind: str, *single: Column) -> Column:
+    """One way to read a candidate, with the texts that must be plausible names."""
+    checked = F.array(*single) if single else F.array(F.concat_ws(" ", first, last))
+    return F.struct(first.alias("first_name"), last.alias("last_name"),
+                    F.lit(kind).alias("kind"), checked.alias("names"))
 
-    def ok(first: Column, last: Column | None = None) -> Column:
-        whole = first if last is None else F.concat_ws(" ", first, last)
-        return names.plausible_name(whole, name_list, stop, brand, domain)
 
-    def hit(first: Column, last: Column, kind: str) -> Column:
-        return F.struct(first.alias("first_name"), last.alias("last_name"),
-                        F.concat(F.lit("pat"), number, F.lit(kind)).alias("source"))
+def _readings(x: Column, stop: Sequence[str]) -> Column:
+    """Ways to read a candidate as a person, in order: sign-off, pair, plain name."""
+    cand = x["cand"]
 
     def family(pieces: Column) -> Column:
         first = capitalize(F.get(words(F.get(pieces, F.lit(0))), F.lit(0)))
         tail = words(F.element_at(pieces, -1))
-        last = capitalize(F.element_at(tail, -1))
-        return F.when((F.size(tail) >= 2) & first.isNotNull() & ok(first, last),
-                      hit(first, last, "_family"))
+        return F.array(F.when((F.size(tail) >= 2) & first.isNotNull(), _reading(
+            first, capitalize(F.element_at(tail, -1)), "_family")))
 
     def only_words(c: Column) -> Column:
         return F.transform(F.filter(words(c), lambda w: w.rlike(r"^\p{L}+$")), capitalize)
@@ -263,70 +266,75 @@ def _resolve(x: Column, name_list: Sequence[str], stop: Sequence[str], brand: Co
         one, two = p["one"], p["two"]
         a, z = F.get(one, F.lit(0)), F.element_at(one, -1)
         b, y = F.get(two, F.lit(0)), F.element_at(two, -1)
-        return (F.when(F.size(one) >= 2, F.when(ok(a, z), hit(a, z, "_cofounder")))
-                .when((F.size(one) == 1) & (F.size(two) >= 2),
-                      F.when(ok(a, y), hit(a, y, "_cofounder"))
-                      .when(ok(b, y), hit(b, y, "_cofounder")))
-                .when((F.size(one) == 1) & (F.size(two) == 1),
-                      F.when(ok(a) & ok(b), hit(a, b, "_cofounder"))))
+        return F.array(
+            F.when(F.size(one) >= 2, _reading(a, z, "_cofounder")),
+            F.when((F.size(one) == 1) & (F.size(two) >= 2), _reading(a, y, "_cofounder")),
+            F.when((F.size(one) == 1) & (F.size(two) >= 2), _reading(b, y, "_cofounder")),
+            F.when((F.size(one) == 1) & (F.size(two) == 1),
+                   _reading(a, b, "_cofounder", a, b)))
 
     def alone(parts: Column) -> Column:
-        drop = stop and list(stop) or []
         kept = F.array_max(F.transform(parts, lambda p, i: F.when(
-            (i < 2) | ~F.lower(p).isin(*rules.TRAILING_WORDS, *drop), i + 1).otherwise(0)))
+            (i < 2) | ~F.lower(p).isin(*rules.TRAILING_WORDS, *stop), i + 1).otherwise(0)))
         first = capitalize(F.get(parts, F.lit(0)))
         last = capitalize(F.get(parts, kept - 1))
-        return (F.when(F.size(parts) >= 2, F.when(ok(first, last), hit(first, last, "")))
-                .when(F.size(parts) == 1, F.when(ok(first), hit(first, F.lit(""), "_first"))))
+        return F.array(
+            F.when(F.size(parts) >= 2, _reading(first, last, "")),
+            F.when(F.size(parts) == 1, _reading(first, F.lit(""), "_first", first)))
 
-    year = F.regexp_extract(x["whole"], patterns.FOUNDING_YEAR_PATTERN, 1)
-    old = (year != "") & (year.cast("int") < patterns.FOUNDING_YEAR_FLOOR)
-    titled = F.lower(cand).rlike("^(?:" + "|".join(
-        h.replace(".", r"\.") for h in rules.HONORIFICS) + ")")
     joint = F.contains(cand, F.lit("&")) | F.contains(F.lower(cand), F.lit(" and "))
     commas = F.filter(F.transform(F.split(cand, r"(?i)[,&]|\band\b"), lambda s: F.trim(s)),
                       lambda s: s != "")
     halves = F.split(cand, r"(?i)\s*(?:&|and)\s*")
-    two_sided = F.struct(only_words(F.get(halves, F.lit(0))).alias("one"),
-                         only_words(F.get(halves, F.lit(1))).alias("two"))
-    found = F.coalesce(
-        F.when(joint & F.contains(cand, F.lit(",")), let(commas, family)),
-        F.when(joint & (F.size(halves) >= 2), let(two_sided, pair)),
-        let(words(cand), alone))
-    return F.when(~old & ~titled, found)
+    sides = F.struct(only_words(F.get(halves, F.lit(0))).alias("one"),
+                     only_words(F.get(halves, F.lit(1))).alias("two"))
+    none = F.array(F.when(F.lit(False), _reading(F.lit(""), F.lit(""), "")))
+    return F.array_compact(F.concat(
+        F.when(joint & F.contains(cand, F.lit(",")), let(commas, family)).otherwise(none),
+        F.when(joint, let(sides, pair)).otherwise(none),
+        let(words(cand), alone)))
+
+
+def _resolve(x: Column, name_list: Sequence[str], stop: Sequence[str], brand: Column,
+             domain: Column) -> Column:
+    """First reading of a candidate that is a plausible name, or NULL."""
+    year = F.regexp_extract(x["whole"], patterns.FOUNDING_YEAR_PATTERN, 1)
+    old = (year != "") & (year.cast("int") < patterns.FOUNDING_YEAR_FLOOR)
+    titled = F.lower(x["cand"]).rlike("^(?:" + any_of(rules.HONORIFICS) + ")")
+    good = F.filter(_readings(x, stop), lambda r: F.forall(r["names"], lambda n: (
+        names.plausible_name(n, name_list, stop, brand, domain))))
+    return F.when(~old & ~titled, let(F.get(good, F.lit(0)), lambda r: F.when(
+        r.isNotNull(), F.struct(
+            r["first_name"].alias("first_name"), r["last_name"].alias("last_name"),
+            F.concat(F.lit("pat"), x["pat"].cast("string"), r["kind"]).alias("source")))))
 
 
 def person_mentions(df: DataFrame, text: str, brand: str, domain: str, keys: Sequence[str],
                     name_list: Sequence[str], stop: Sequence[str],
-                    table=patterns.SITE_PATTERNS, flags: str = "(?iu)") -> DataFrame:
+                    table=patterns.SITE_PATTERNS, flags: str = "(?i)") -> DataFrame:
     """First person a text names, by pattern order and then by position.
 
-    ``flags`` without ``i`` keeps the patterns' capitals meaningful; the default follows
+    ``flags=""`` keeps the patterns' capitals meaningful; the default follows
     the case-blind reading, with the name check as the only guard.
     """
-    brand_c, domain_c = F.col("_brand"), F.col("_domain")
     base = df.select(*keys, F.col(text).alias("_text"), F.lower(F.col(text)).alias("_low"),
                      F.col(brand).alias("_brand"), F.col(domain).alias("_domain"))
-    base = base.select(*keys, "_brand", "_domain", mention_candidates(
-        F.col("_text"), F.col("_low"), table, flags).alias("_cands"))
-    base = base.where(F.size("_cands") > 0)
-    hits = F.array_compact(F.transform("_cands", lambda x: _resolve(
-        x, name_list, stop, brand_c, domain_c)))
-    return (base.select(*keys, F.get(hits, F.lit(0)).alias("_hit"))
-            .where(F.col("_hit").isNotNull()).select(*keys, "_hit.*"))
+    hits = F.array_compact(F.transform(
+        mention_candidates(F.col("_text"), F.col("_low"), table, flags),
+        lambda x: _resolve(x, name_list, stop, F.col("_brand"), F.col("_domain"))))
+    # a generator over the first hit: texts without one give no row, nothing runs twice
+    return base.select(*keys, F.inline(F.slice(hits, 1, 1)))
 
 
 def page_person(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     """Older page step: short pattern list, two or three words, phrase deny list."""
-    low = F.lower(F.col("_text"))
-    base = df.select(*keys, F.col(text).alias("_text"))
-    cands = mention_candidates(F.col("_text"), low, patterns.PAGE_PATTERNS, "(?iu)")
+    base = df.select(*keys, F.col(text).alias("_text"), F.lower(F.col(text)).alias("_low"))
+    cands = mention_candidates(F.col("_text"), F.col("_low"), patterns.PAGE_PATTERNS)
     good = F.filter(cands, lambda x: F.size(words(x["cand"])).between(2, 3)
                     & ~contains_any(F.lower(x["cand"]), patterns.PAGE_PHRASE_DENY))
-    base = base.select(*keys, F.get(good, F.lit(0)).alias("_hit")).where(
-        F.col("_hit").isNotNull())
-    parts = words(F.col("_hit.cand"))
-    return base.select(
+    first = base.select(*keys, F.inline(F.slice(good, 1, 1)))
+    parts = words(F.col("cand"))
+    return first.select(
         *keys, capitalize(F.get(parts, F.lit(0))).alias("first_name"),
         capitalize(F.array_join(F.slice(parts, 2, 2), " ")).alias("last_name"))
 
@@ -364,10 +372,12 @@ def schema_candidates(df: DataFrame, markup: str, keys: Sequence[str]) -> DataFr
     def has_kind(wanted: Sequence[str]) -> Column:
         return F.exists(kinds, lambda t: t.isin(*wanted))
 
-    org = F.flatten(F.array(*[
-        F.transform(people(key), lambda n, i, o=order: F.struct(
-            F.lit(o).alias("key_no"), i.alias("pos"), n.alias("name")))
-        for order, key in enumerate(patterns.SCHEMA_PERSON_KEYS)]))
+    def placed(order: int, key: str) -> Column:
+        return F.transform(people(key), lambda n, i: F.struct(
+            F.lit(order).alias("key_no"), i.alias("pos"), n.alias("name")))
+
+    org = F.flatten(F.array(*[placed(i, k)
+                              for i, k in enumerate(patterns.SCHEMA_PERSON_KEYS)]))
     job = F.lower(F.coalesce(F.try_variant_get("_i", "$.jobTitle", "string"), F.lit("")))
     own = F.array(F.struct(
         F.lit(len(patterns.SCHEMA_PERSON_KEYS)).alias("key_no"), F.lit(0).alias("pos"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactloom.functions import domains, emails, names
-from contactloom.functions.text import blank_to_null
+from contactloom.functions.text import blank_to_null, let
 
 EVIDENCE = ("domain", "tier", "pos", "conf", "first_name", "last_name", "source")
 
@@ -111,28 +111,30 @@ def resolve_people(inputs: DataFrame, evidence_rows: DataFrame) -> DataFrame:
     })
 
 
+def _one_per_row(df: DataFrame, person: Column, tier: float) -> DataFrame:
+    """Evidence rows out of a person struct per row; no row where it is NULL."""
+    rows = df.select("domain", F.inline(F.array_compact(F.array(person))))
+    return rows.select(
+        "domain", F.lit(tier).alias("tier"), F.lit(0).cast("long").alias("pos"),
+        F.col("confidence").alias("conf"), "first_name", "last_name", "source")
+
+
 def address_evidence(df: DataFrame, columns: Sequence[str], name_list: Sequence[str],
                      stop: Sequence[str], brand: str = "brand") -> DataFrame:
     """Tier 1: the first address that reads as a full name, else the first given name."""
     parsed = F.array_compact(F.array(*[names.parse_local_name(
         emails.clean_email(c, "input"), name_list, stop, F.col(brand), F.col("domain"))
         for c in columns]))
-    rows = df.select("domain", parsed.alias("_p"))
-    high = F.get(F.filter("_p", lambda p: p["confidence"] == "HIGH"), F.lit(0))
-    rows = rows.select("domain", F.coalesce(high, F.get("_p", F.lit(0))).alias("p"))
-    return rows.where("p IS NOT NULL").select(
-        "domain", F.lit(1.0).alias("tier"), F.lit(0).cast("long").alias("pos"),
-        F.col("p.confidence").alias("conf"), "p.first_name", "p.last_name", "p.source")
+    best = let(parsed, lambda found: F.coalesce(
+        F.get(F.filter(found, lambda p: p["confidence"] == "HIGH"), F.lit(0)),
+        F.get(found, F.lit(0))))
+    return _one_per_row(df, best, 1.0)
 
 
 def namesake_evidence(df: DataFrame, name_list: Sequence[str], stop: Sequence[str],
                       brand: str = "brand") -> DataFrame:
     """Tier 1.5: a brand that is its founder's name."""
-    rows = df.select("domain", names.namesake(F.col(brand), F.col("domain"), name_list, stop)
-                     .alias("p"))
-    return rows.where("p IS NOT NULL").select(
-        "domain", F.lit(1.5).alias("tier"), F.lit(0).cast("long").alias("pos"),
-        F.col("p.confidence").alias("conf"), "p.first_name", "p.last_name", "p.source")
+    return _one_per_row(df, names.namesake(F.col(brand), F.col("domain"), name_list, stop), 1.5)
 
 
 def registry_gate(df: DataFrame, stop: Sequence[str], brand: str = "brand",
