@@ -3,6 +3,7 @@
 from contactloom.catalog import (  # noqa: F401
     columns,
     extraction,
+    ordering,
 )
 from contactloom.catalog.base import ORACLES, QUERIES
 

@@ -51,11 +51,32 @@ def any_of(terms: Sequence[str]) -> str:
     return "|".join(re.escape(t) for t in terms)
 
 
+def shortest(terms: Sequence[str]) -> list[str]:
+    """Terms without those that hold another one: the same any-match with fewer tests."""
+    unique = list(dict.fromkeys(terms))
+    return [t for t in unique if not any(o != t and o in t for o in unique)]
+
+
+def any_contains(c: Column, terms: Sequence[str]) -> Column:
+    """Chain of substring tests on a value that is already at hand."""
+    out = F.lit(False)
+    for term in shortest(terms):
+        out = out | F.contains(c, F.lit(term))
+    return out
+
+
 def contains_any(c: Column | str, terms: Sequence[str]) -> Column:
-    """True if one of the literal terms occurs anywhere in ``c``."""
+    """True if one of the literal terms occurs anywhere in ``c``.
+
+    Longer lists run as plain substring tests on the text evaluated once: on page-sized
+    texts these are several times faster than one pattern with many alternatives.
+    """
+    terms = shortest(terms)
     if not terms:
         return F.lit(False)
-    return col(c).rlike(any_of(terms))
+    if len(terms) <= 4:
+        return col(c).rlike(any_of(terms))
+    return let(col(c), lambda t: any_contains(t, terms))
 
 
 def contains_token(c: Column | str, terms: Sequence[str]) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from contactloom import rules
-from contactloom.functions.text import blank_to_null, col, contains_any, contains_token
+from contactloom.functions.text import any_contains, blank_to_null, col, contains_any
+from contactloom.functions.text import contains_token, let
 
 RULESETS = ("strict", "strict_fallback", "strict_initial", "harvest", "turbo", "inline",
             "page", "ranked_page", "registry", "ranked")
@@ -18,7 +19,7 @@ def joined_text(*cols: Column | str) -> Column:
 
 
 def _tester(match: str):
-    return {"substring": contains_any, "token": contains_token}[match]
+    return {"substring": any_contains, "token": contains_token}[match]
 
 
 def _first(text: Column, table, match: str = "substring") -> Column:
@@ -38,7 +39,7 @@ def _strict(text: Column, match: str = "substring") -> Column:
         out = F.when(test(text, includes) & ~test(text, excludes),
                      F.lit(category)).otherwise(out)
     for category, terms in reversed(rules.BRAND_OVERRIDES):
-        out = F.when(contains_any(text, terms), F.lit(category)).otherwise(out)
+        out = F.when(any_contains(text, terms), F.lit(category)).otherwise(out)
     return out
 
 
@@ -57,24 +58,29 @@ def classify(text: Column, ruleset: str, current: Column | None = None,
     default = F.lit(rules.GENERAL)
     current = F.lit(None).cast("string") if current is None else blank_to_null(current)
     known = F.when(current.isin(*rules.CATEGORIES), current)
+
+    def special(t: Column) -> Column:
+        return F.nullif(_strict(t, match), default)
+
+    # the text is evaluated once; every rule then tests that value
     if ruleset == "strict":
-        return F.coalesce(_strict(text, match), default)
+        return F.coalesce(let(text, lambda t: _strict(t, match)), default)
     if ruleset == "strict_fallback":
-        special = F.nullif(_strict(text, match), default)
-        return F.coalesce(special, _first(text, rules.FALLBACK_KEYWORDS, match), known, default)
+        return F.coalesce(let(text, lambda t: F.coalesce(
+            special(t), _first(t, rules.FALLBACK_KEYWORDS, match))), known, default)
     if ruleset == "strict_initial":
-        return F.coalesce(F.nullif(_strict(text, match), default), current, default)
-    if ruleset == "harvest":
-        return F.coalesce(_first(text, rules.HARVEST_KEYWORDS, match), current, default)
-    if ruleset == "turbo":
-        return F.coalesce(_first(text, rules.HARVEST_KEYWORDS, match), known, default)
+        return F.coalesce(let(text, special), current, default)
+    if ruleset in ("harvest", "turbo"):
+        found = let(text, lambda t: _first(t, rules.HARVEST_KEYWORDS, match))
+        return F.coalesce(found, current if ruleset == "harvest" else known, default)
     if ruleset == "inline":
-        return F.coalesce(_first(text, rules.INLINE_KEYWORDS, match), default)
+        return F.coalesce(let(text, lambda t: _first(t, rules.INLINE_KEYWORDS, match)), default)
     if ruleset == "registry":
-        return _first(text, rules.REGISTRY_KEYWORDS, match)
+        return let(text, lambda t: _first(t, rules.REGISTRY_KEYWORDS, match))
     if ruleset == "ranked":
-        return F.coalesce(_first(text, rules.RANKED_KEYWORDS, match), F.when(
-            contains_any(text, rules.RANKED_INDICATORS), default))
+        return let(text, lambda t: F.coalesce(
+            _first(t, rules.RANKED_KEYWORDS, match),
+            F.when(any_contains(t, rules.RANKED_INDICATORS), default)))
     raise ValueError(f"unknown rule set {ruleset}")
 
 
@@ -83,18 +89,23 @@ def classify_page(text: Column, ruleset: str = "page",
     """Category and sub-category of a page text plus domain, as a struct."""
     if ruleset == "page":
         table = rules.PAGE_KEYWORDS
-        out = F.struct(F.lit(rules.PAGE_DEFAULT[0]).alias("niche"),
-                       F.lit(rules.PAGE_DEFAULT[1]).alias("sub_niche"))
+        last = F.struct(F.lit(rules.PAGE_DEFAULT[0]).alias("niche"),
+                        F.lit(rules.PAGE_DEFAULT[1]).alias("sub_niche"))
     elif ruleset == "ranked_page":
         table = rules.RANKED_PAGE_KEYWORDS
-        out = F.struct(default.alias("niche"),
-                       F.concat(default, F.lit(" Goods")).alias("sub_niche"))
+        last = F.struct(default.alias("niche"),
+                        F.concat(default, F.lit(" Goods")).alias("sub_niche"))
     else:
         raise ValueError(f"unknown rule set {ruleset}")
-    for category, sub, terms in reversed(table):
-        fixed = F.struct(F.lit(category).alias("niche"), F.lit(sub).alias("sub_niche"))
-        out = F.when(contains_any(text, terms), fixed).otherwise(out)
-    return out
+
+    def first(t: Column) -> Column:
+        out = last
+        for category, sub, terms in reversed(table):
+            fixed = F.struct(F.lit(category).alias("niche"), F.lit(sub).alias("sub_niche"))
+            out = F.when(any_contains(t, terms), fixed).otherwise(out)
+        return out
+
+    return let(text, first)
 
 
 def registry_matches(text: Column) -> dict[str, Column]:
