@@ -4,6 +4,8 @@ from contactloom.catalog import (  # noqa: F401
     columns,
     extraction,
     ordering,
+    resolution,
+    streams,
 )
 from contactloom.catalog.base import ORACLES, QUERIES
 

@@ -58,7 +58,8 @@ def waterfall(evidence_rows: DataFrame, key: str = "domain") -> DataFrame:
     collected per key is bounded by the number of sources.
     """
     stops = F.col("conf").isin("HIGH", "VERIFIED")
-    order = F.struct("pos", "first_name", "last_name")
+    order = F.struct("pos", "first_name", "last_name",
+                     (-names.confidence_rank("conf")).alias("strength"))
     # two readings per source: its best stopping row and its best row at all
     folded = evidence_rows.groupBy(key, "tier", "source").agg(
         F.min("pos").alias("pos"),
