@@ -157,10 +157,12 @@ WITH site AS (SELECT DISTINCT domain, owner AS brand, lower(replace(owner, ' ',
     || CASE s_suppkey % 3 WHEN 0 THEN ' Ltd.' WHEN 1 THEN '' ELSE ' Holding' END AS name
     FROM supplier),
   folded AS (SELECT *, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS c FROM company)
-SELECT DISTINCT domain, brand, company_no, name FROM site JOIN folded ON CASE WHEN home
-    THEN contains(c, b) OR contains(b, c) OR contains(c, s)
+SELECT domain, brand, min(company_no) AS company_no, arg_min(name, company_no) AS name
+FROM site JOIN folded ON CASE WHEN home
+    THEN contains(c, b) AND length(b) >= 4 OR contains(b, c) AND length(c) >= 4
+      OR contains(c, s) AND length(s) >= 4
     ELSE length(b) >= 5 AND length(s) >= 5 AND c IN (b, b || 'ltd', b || 'limited', s, s || 'ltd',
-      s || 'limited') AND (contains(c, s) OR c IN (s, s || 'ltd', s || 'limited')) END""",
+      s || 'limited') AND contains(c, s) END GROUP BY domain, brand""",
        uses="store")
 def _(spark, sf):
     third = F.pmod("s_suppkey", F.lit(3))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from contactloom.catalog.base import query, read, store_domain
+from contactloom.catalog.base import dns_answers, query, read, store_domain
 from contactloom.operators import match
-from contactloom.catalog.base import dns_answers
 from contactloom.session import scratch_path
 from contactloom.streaming import streams
 
@@ -74,6 +73,15 @@ def _(spark, sf):
     return spark.read.parquet(f"{out}/rows")
 
 
+@query("stream_first_wins_stored", "SELECT DISTINCT user_id, event_type FROM events")
+def _(spark, sf):
+    stream, out = _events(spark, sf, "first")
+    _finish(streams.stream_first_wins(
+        stream.select("user_id", "event_type", "event_id"), ["user_id", "event_type"],
+        ["event_id"], f"{out}/rows", f"{out}/check"))
+    return spark.read.parquet(f"{out}/rows").select("user_id", "event_type")
+
+
 @query("stream_enrich_with_dns", """
 SELECT event_id, e.user_id, coalesce(has_mx, false) AS has_mx, coalesce(dmarc, false) AS dmarc
 FROM (SELECT *, 'shop' || user_id || (['.com', '.co.uk', '.de', '.in', '.com.au', '.ca', '.us',

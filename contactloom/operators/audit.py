@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from contactloom.functions import emails
 from contactloom.functions.text import blank_to_null
 from contactloom.operators import match, rank
+from contactloom.operators.join import salted_lookup
 
 
 def retry_split(visits: DataFrame, status: str = "http_status", attempts: int = 3,
@@ -73,7 +74,7 @@ def audit(visits: DataFrame, candidates: DataFrame, dns: DataFrame, seen_domains
     done = seen_domains.select("domain").distinct().withColumn("_dup", F.lit(True))
     primary = choose_primary(candidates, seen_emails)
     primary = match.attach_dns(primary, dns, "primary_email", known)
-    facts = match.salted_lookup(match.salted_lookup(visits, primary, "domain"), done, "domain")
+    facts = salted_lookup(visits, primary.join(done, "domain", "full"), "domain")
     duplicate = F.coalesce(F.col("_dup"), F.lit(False))
     why = reason(F.col("domain"), duplicate, blank_to_null("html"), F.col("http_status"),
                  F.col("emails_found"), F.col("primary_email"), F.col("has_mx"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from contactloom import patterns, rules
 from contactloom.functions import domains, emails, html, names, social
 from contactloom.functions.text import any_of, capitalize, col, contains_any, let, words
+from contactloom.operators.rank import running_rank
 
 PLATFORM_COLUMNS = {"instagram": "instagram", "facebook": "facebook", "linkedin": "linkedin",
                     "tiktok": "tiktok", "twitter": "twitter_x"}
@@ -487,8 +488,7 @@ def rank_cards(cards: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
     rows = cards.withColumn("target", domains.unwrap("url"))
     rows = rows.where(domains.trusted("target", "domain")
                       & domains.grounded("text", "domain", "brand", stop))
-    order = Window.partitionBy("domain", "engine").orderBy("pos")
-    return rows.withColumn("rank", F.row_number().over(order))
+    return running_rank(rows, ["pos"], ["domain", "engine"], name="rank")
 
 
 def card_votes(cards: DataFrame, name_list: Sequence[str], stop: Sequence[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Joins: lookups, dictionary matches, mail-domain facts, company names."""
+"""Lookups, dictionary matches, mail-domain facts, company names."""
 
 from __future__ import annotations
 
@@ -10,27 +10,7 @@ from pyspark.sql import functions as F
 from contactloom import rules
 from contactloom.functions import domains, emails, names
 from contactloom.functions.text import alnum_fold, contains_any
-
-SALTS = 8
-BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(dim: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint if it has at most ``limit`` rows, else as it is."""
-    return F.broadcast(dim) if dim.limit(limit + 1).count() <= limit else dim
-
-
-def salted_lookup(df: DataFrame, right: DataFrame, on: str, how: str = "left",
-                  salts: int = SALTS) -> DataFrame:
-    """Join a table to a lookup with one row per key, safe for a key with many rows.
-
-    The left rows of a key are spread over ``salts`` parts; the lookup, one row per key,
-    is repeated as often.
-    """
-    others = [c for c in df.columns if c != on] or [on]
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    wide = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(wide, [on, "_salt"], how).drop("_salt")
+from contactloom.operators.join import is_small, salted_lookup
 
 
 def collapse_dns(answers: DataFrame, ruleset: str = "inbox",
@@ -91,24 +71,22 @@ def attach_dns(contacts: DataFrame, dns: DataFrame, email: str = "email",
     """Contacts with the facts of their mail domain.
 
     Well-known mail domains, which hold the largest groups of addresses, are answered from
-    the rule table and never shuffled by domain; the others meet the collapsed DNS table
-    in a salted join. Adds mail_domain, has_mx, mx_host, provider, dmarc, spf.
+    the rule table; the others meet the collapsed DNS table in a salted join. Adds mail_domain, has_mx, mx_host, provider, dmarc, spf.
     """
     rows = contacts.withColumn("mail_domain", emails.mail_domain(F.col(email)))
-    label = known_provider(F.col("mail_domain"), known)
     listed = F.coalesce(F.col("mail_domain").isin(*known), F.lit(False))
-    easy = rows.where(listed).select(
-        "*", F.lit(True).alias("has_mx"), F.lit(None).cast("string").alias("mx_host"),
-        label.alias("provider"), F.lit(True).alias("dmarc"), F.lit(True).alias("spf"))
     facts = dns.select(F.col("domain").alias("mail_domain"), "has_mx", "mx_host", "provider",
                        "dmarc", "spf")
-    hard = salted_lookup(rows.where(~listed), facts, "mail_domain")
-    hard = hard.select(
-        *rows.columns, F.coalesce("has_mx", F.lit(False)).alias("has_mx"), "mx_host",
-        F.coalesce("provider", F.lit(rules.NO_MX)).alias("provider"),
-        F.coalesce("dmarc", F.lit(False)).alias("dmarc"),
-        F.coalesce("spf", F.lit(False)).alias("spf"))
-    return easy.unionByName(hard)
+    joined = salted_lookup(rows, facts, "mail_domain", skip=listed)
+    label = known_provider(F.col("mail_domain"), known)
+
+    def flag(c: str) -> Column:
+        return (listed | F.coalesce(F.col(c), F.lit(False))).alias(c)
+
+    return joined.select(
+        *rows.columns, flag("has_mx"), "mx_host",
+        F.coalesce(label, "provider", F.lit(rules.NO_MX)).alias("provider"),
+        flag("dmarc"), flag("spf"))
 
 
 def deliverable(df: DataFrame) -> DataFrame:
@@ -129,7 +107,8 @@ def status_texts(df: DataFrame) -> DataFrame:
 def directory(df: DataFrame, dim: DataFrame, on: str, columns: Sequence[str]) -> DataFrame:
     """Curated values of a directory table where it knows the key, else the row's own."""
     extra = dim.select(on, *[F.col(c).alias(f"_{c}") for c in columns])
-    joined = df.join(bounded_broadcast(extra), on, "left")
+    joined = (df.join(F.broadcast(extra), on, "left") if is_small(extra)
+              else salted_lookup(df, extra, on))
     keep = [c for c in df.columns if c not in columns]
     return joined.select(*keep, *[F.coalesce(f"_{c}", c).alias(c) for c in columns])
 
@@ -151,8 +130,9 @@ def match_terms(df: DataFrame, words: Column, dim: DataFrame, term: str,
     known = vocabulary.join(dim.select(F.col(term).alias("_w")).distinct(), "_w", "left_semi")
     ids = [F.xxhash64(*df.columns).alias("_h1"), F.hash(*df.columns).alias("_h2")]
     exploded = keyed.select(*ids, F.explode("_words").alias("_w"))
-    hits = exploded.join(known, "_w", "left_semi").select("_h1", "_h2").distinct()
-    return (df.select("*", *ids).join(hits, ["_h1", "_h2"], how).select(*df.columns))
+    found = salted_lookup(exploded, known.withColumn("_hit", F.lit(True)), "_w").where("_hit")
+    hits = found.select("_h1", "_h2").distinct()
+    return df.select("*", *ids).join(hits, ["_h1", "_h2"], how).select(*df.columns)
 
 
 def confirm_candidates(people: DataFrame, profiles: DataFrame, key: str, k: int = 4,
@@ -166,7 +146,8 @@ def confirm_candidates(people: DataFrame, profiles: DataFrame, key: str, k: int
         "first_name", "last_name", "domain", form), 1, k)).alias("pos", "email"))
     variants = variants.withColumn("email_hash", emails.email_hash("email"))
     seen = profiles.groupBy("email_hash").agg(F.min("display_name").alias("display_name"))
-    hits = variants.join(seen, "email_hash")
+    hits = salted_lookup(variants, seen.withColumn("_hit", F.lit(True)), "email_hash")
+    hits = hits.where("_hit")
     named = F.coalesce(F.col("display_name"), F.lit("")) != ""
     order = F.struct((~named).alias("unnamed"), F.col("pos").alias("pos"))
     best = hits.groupBy(key).agg(F.min_by(F.struct("email", "pos", "display_name"), order)
@@ -174,49 +155,47 @@ def confirm_candidates(people: DataFrame, profiles: DataFrame, key: str, k: int
     return best.select(key, "b.*")
 
 
-def match_company(sites: DataFrame, companies: DataFrame) -> DataFrame:
-    """Company register rows that carry a site's brand or domain label.
+def match_company(sites: DataFrame, companies: DataFrame, least: int = 4) -> DataFrame:
+    """First company of a register (by number) that carries a site's brand or label.
 
     Abroad the folded company name must equal brand or label, plain or with a legal
-    suffix, both of five letters at least. At home (uk) one must contain the other; there
-    a name is compared with every company that shares a four-letter piece, found through
-    an equi-join on pieces.
+    suffix, both of five letters at least. At home (uk) one name must contain the other, on
+    at least ``least`` letters. Containment runs as an equi-join: the longer name offers all
+    its pieces. Every piece keeps one company, so common words cannot multiply rows.
     """
-    site = sites.select(
+    site = sites.select("domain", "brand").distinct().select(
         "domain", "brand", alnum_fold("brand").alias("b"),
         alnum_fold(domains.stem("domain")).alias("s"),
         (F.endswith(F.lower(F.col("domain")), F.lit(".uk"))
          | (domains.country_from_tld("domain", "codes") == "UK")).alias("home"))
-    folded = companies.withColumn("c", alnum_fold("name"))
+    first = F.min(F.struct("company_no", "name")).alias("hit")
+    folded = companies.select("company_no", "name", alnum_fold("name").alias("c"))
+    whole = folded.groupBy("c").agg(first).withColumnRenamed("c", "g")
+    pieces = (folded.select("company_no", "name", F.explode(_pieces("c", least)).alias("g"))
+              .groupBy("g").agg(first))
     suffixes = F.array(F.lit(""), F.lit("ltd"), F.lit("limited"))
 
     def forms(x: str) -> Column:
         return F.transform(suffixes, lambda e: F.concat(F.col(x), e))
 
-    away = site.where("NOT home AND length(b) >= 5 AND length(s) >= 5").withColumn(
-        "c", F.explode(F.array_distinct(F.concat(forms("b"), forms("s")))))
-    equal = away.join(folded, "c").where(
-        F.contains(F.col("c"), F.col("s"))
-        | F.col("c").isin(F.col("s"), F.concat("s", F.lit("ltd")),
-                          F.concat("s", F.lit("limited"))))
-
-    def pieces(x: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.length(x) - 3),
-                            lambda i: F.substr(x, i, F.lit(4)))
-        return F.array_distinct(F.when(F.length(x) >= 4, grams).otherwise(F.array(x)))
-
-    # the contained side offers its first piece only, the containing side all of them
+    away = site.where("NOT home AND length(b) >= 5 AND length(s) >= 5").select(
+        "domain", "brand", "s",
+        F.explode(F.array_distinct(F.concat(forms("b"), forms("s")))).alias("g"))
+    away = away.where(F.contains("g", F.col("s"))).drop("s")
     near = site.where("home")
-    inside = (near.select("domain", "brand", "b", "s",
-                          F.explode(F.array_distinct(F.array(F.left("b", F.lit(4)),
-                                                             F.left("s", F.lit(4))))).alias("g"))
-              .where("g <> ''")
-              .join(folded.select("*", F.explode(pieces(F.col("c"))).alias("g")), "g"))
-    around = (near.select("domain", "brand", "b", "s", F.explode(pieces(F.col("b"))).alias("g"))
-              .join(folded.select("*", F.left("c", F.lit(4)).alias("g")), "g"))
-    contains = (F.contains(F.col("c"), F.col("b")) | F.contains(F.col("b"), F.col("c"))
-                | F.contains(F.col("c"), F.col("s")))
-    cols = ["domain", "brand", "company_no", "name"]
-    home = inside.where(contains).select(*cols).unionByName(around.where(contains)
-                                                            .select(*cols))
-    return equal.select(*cols).unionByName(home).distinct()
+    inside = near.select("domain", "brand", F.explode(F.array_distinct(
+        F.filter(F.array("b", "s"), lambda x: F.length(x) >= least))).alias("g"))
+    around = near.select("domain", "brand", F.explode(_pieces("b", least)).alias("g"))
+    found = (salted_lookup(away.unionByName(around), whole, "g")
+             .unionByName(salted_lookup(inside, pieces, "g")).where("hit IS NOT NULL"))
+    return (found.groupBy("domain", "brand").agg(F.min("hit").alias("hit"))
+            .select("domain", "brand", "hit.*"))
+
+
+def _pieces(name: str, least: int) -> Column:
+    """All distinct substrings of at least ``least`` letters."""
+    text = F.col(name)
+    starts = F.sequence(F.lit(1), F.length(text) - least + 1)
+    grams = F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(least), F.length(text) - i + 1), lambda n: F.substr(text, i, n))))
+    return F.array_distinct(F.when(F.length(text) >= least, grams))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from contactloom.functions import domains, emails, names
 from contactloom.functions.text import blank_to_null, let
+from contactloom.operators.join import salted_lookup
 
 EVIDENCE = ("domain", "tier", "pos", "conf", "first_name", "last_name", "source")
 
@@ -98,8 +99,8 @@ def resolve_people(inputs: DataFrame, evidence_rows: DataFrame) -> DataFrame:
     """Waterfall result for every input row; rows without evidence stay, as STANDARD."""
     best = waterfall(evidence_rows.where(
         "domain IS NOT NULL AND domain <> '' AND conf IS NOT NULL"))
-    joined = inputs.withColumn("domain", domains.clean_domain("domain")).join(
-        best, "domain", "left")
+    keyed = inputs.withColumn("domain", domains.clean_domain("domain"))
+    joined = salted_lookup(keyed, best, "domain")
     return joined.withColumns({
         "first_name": F.coalesce("first_name", F.lit("")),
         "last_name": F.coalesce("last_name", F.lit("")),

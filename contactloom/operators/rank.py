@@ -13,10 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom.operators.join import salted_anti, salted_lookup
 from contactloom.session import materialise
 
-SALTS = 32
-
 
 def _orders(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -47,8 +46,8 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def exclude_seen(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the stored table. The stored side is folded first."""
-    return df.join(seen.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows whose key is not in the stored table."""
+    return salted_anti(df, seen, keys)
 
 
 def done_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,21 +74,26 @@ def stop_at_score(df: DataFrame, key: str, path: str = "path_no", score: int = 1
     """Drop candidates of pages read after the one that first gave a top score."""
     limit = (df.where(F.col("score") == score).groupBy(key)
              .agg(F.min(path).alias("_stop")))
-    return (df.join(limit, key, "left")
+    return (salted_lookup(df, limit, key)
             .where(F.col("_stop").isNull() | (F.col(path) <= F.col("_stop"))).drop("_stop"))
 
 
 def top_n(df: DataFrame, group: Sequence[str], n: int, order: Sequence[str | Column],
-          name: str = "rank", salts: int = SALTS) -> DataFrame:
-    """First n rows per group with their rank.
-
-    A group is first cut to n rows in each of ``salts`` parts, so the last step sees at
-    most ``salts * n`` rows of a group, however large the group is.
+          name: str = "rank", salts: int | None = None) -> DataFrame:
+    """First n rows per group with their rank, in two steps.
+
+    Rows are first ranked among those of some input partitions only, then the survivors
+    of all parts are ranked together. The last step sees at most ``salts * n`` rows of a
+    group, however large the group is. Which part a row falls into does not matter for the
+    result. ``salts=1`` leaves the first step out; for a small n the limit Spark applies
+    before the shuffle is enough.
     """
     order = _orders(order)
+    if salts is None:
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df
     if salts > 1:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+        rows = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         part = Window.partitionBy(*group, "_salt").orderBy(*order)
         rows = (rows.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= n)
                 .drop("_rn", "_salt"))
@@ -250,7 +254,7 @@ def siblings(df: DataFrame, domain: str, email: str, n: int = 3, sep: str = "; "
     lists = (head.groupBy(domain)
              .agg(F.array_sort(F.collect_list(F.struct("_rank", email))).alias("_head")))
     listed = F.transform("_head", lambda s: s[email])
-    joined = unique.join(lists, domain)
+    joined = salted_lookup(unique, lists, domain)
     others = F.slice(F.filter(listed, lambda e: e != F.col(email)), 1, n)
     return joined.withColumn("secondary_email", F.array_join(others, sep)).drop("_head")
 

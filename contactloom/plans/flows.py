@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contactloom import rules
 from contactloom.functions import domains, emails
 from contactloom.operators import classify, contacts, extract, match, people, rank
+from contactloom.operators.join import salted_lookup
 
 
 def registry_to_work_list(registry: DataFrame, seen: DataFrame,
@@ -54,9 +55,8 @@ def pages_to_contacts(pages: DataFrame, stores: DataFrame, dns_answers: DataFram
     facts = match.deliverable(match.attach_dns(
         related.select("domain", "email", "score", "secondary_email"),
         match.collapse_dns(dns_answers, "inbox", gate=True)))
-    joined = match.salted_lookup(facts.withColumnRenamed("score", "found_score"),
-                                 stores.select("domain", "brand", "niche"), "domain")
-    joined = match.salted_lookup(joined, social, "domain")
+    site = stores.select("domain", "brand", "niche").join(social, "domain", "full")
+    joined = salted_lookup(facts.drop("score"), site, "domain")
     brand = domains.brand_or_default("brand", "domain")
     role = emails.role_from_local("email")
     rows = match.status_texts(joined.withColumn("company", brand)).select(

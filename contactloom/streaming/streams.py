@@ -118,6 +118,21 @@ def stream_batches(stream: DataFrame, n: int, order: Sequence[str], path: str,
     return each_batch(stream, path, checkpoint, number)
 
 
+def stream_first_wins(stream: DataFrame, keys: Sequence[str], order: Sequence[str], path: str,
+                      checkpoint: str) -> StreamingQuery:
+    """First row per key over the whole run, kept in the stored table instead of state.
+
+    A batch is folded to one row per key before its shuffle, so a key that holds a third
+    of the stream stays cheap; then keys stored by earlier batches are left out.
+    """
+    def keep(batch: DataFrame, batch_id: int) -> DataFrame:
+        unique = rank.first_wins(batch, keys, order)
+        stored = _stored(batch.sparkSession, path, batch_id)
+        return unique if stored is None else rank.exclude_seen(unique, stored, keys)
+
+    return each_batch(stream, path, checkpoint, keep)
+
+
 def stream_retry(stream: DataFrame, throttled: Column, attempts: int, path: str,
                  retry_path: str, checkpoint: str) -> StreamingQuery:
     """Final rows to ``path``, throttled ones with attempts left to ``retry_path``.
