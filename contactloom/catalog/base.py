@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from contactloom.functions.domains import clean_domain, stem
 from contactloom.operators.generate import pick
+from contactloom.session import spread
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -60,6 +61,11 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def read_texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores if it has too few splits."""
+    return spread(read(spark, sf, name))
+
+
 def sql_list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
@@ -203,7 +209,7 @@ FROM part
 # ---------------------------------------------------------------------------- pages
 def site_pages(spark: SparkSession, sf: str) -> DataFrame:
     """pages with a contact block at the end; the block varies with the page."""
-    p = read(spark, sf, "pages").select(
+    p = read_texts(spark, sf, "pages").select(
         "page_id", "url", "html", clean_domain("url").alias("domain"))
     number = F.col("page_id").cast("string")
     domain, label = F.col("domain"), stem("domain")
@@ -342,7 +348,7 @@ SELECT *, CASE WHEN http_status = '200' THEN '<html>page</html>' END AS html FRO
 # ---------------------------------------------------------------------------- cards
 def cards(spark: SparkSession, sf: str) -> DataFrame:
     """documents as search cards, three engines per site."""
-    d = read(spark, sf, "documents")
+    d = read_texts(spark, sf, "documents")
     key = F.col("doc_id")
     site = F.floor(key / 3).cast("string")
     domain = F.concat(F.lit("craftsite"), site, F.lit(".com"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from contactloom import patterns, rules
 from contactloom.catalog.base import (FIRST, LAST, STOPS, cards, dns_answers, query, read,
-                                      site_pages, sql_any, sql_list, sql_pick, store)
+                                      read_texts, site_pages, sql_any, sql_list, sql_pick, store)
 from contactloom.catalog.columns import _valid_sql, MENTION_SQL
 from contactloom.functions import emails, html
 from contactloom.functions.text import snippet
@@ -18,7 +18,7 @@ from contactloom.operators.generate import pick
 SELECT doc_id, unnest(range(len(m))) AS pos, unnest(m) AS email
 FROM (SELECT doc_id, {MENTION_SQL.format('text')} AS m FROM documents)""")
 def _(spark, sf):
-    return extract.extract_emails(read(spark, sf, "documents"), "text", ["doc_id"])
+    return extract.extract_emails(read_texts(spark, sf, "documents"), "text", ["doc_id"])
 
 
 @query("distinct_mentions_per_page", f"""
@@ -235,12 +235,12 @@ def _strip(expr: str) -> str:
 
 @query("visible_page_text", f"SELECT page_id, {_strip('html')} AS text FROM pages")
 def _(spark, sf):
-    return read(spark, sf, "pages").select("page_id", html.visible_text("html").alias("text"))
+    return read_texts(spark, sf, "pages").select("page_id", html.visible_text("html").alias("text"))
 
 
 @query("visible_page_text_parsed")
 def _(spark, sf):
-    return read(spark, sf, "pages").select("page_id", html.visible_text_dom("html").alias("text"))
+    return read_texts(spark, sf, "pages").select("page_id", html.visible_text_dom("html").alias("text"))
 
 
 # the sentence is the only pattern hit of most texts, so the expected person is known
@@ -251,7 +251,7 @@ FROM documents"""
 
 
 def _person_texts(spark, sf):
-    d = read(spark, sf, "documents")
+    d = read_texts(spark, sf, "documents")
     key = F.col("doc_id")
     name = F.concat_ws(" ", F.initcap(pick(FIRST, key)), F.initcap(pick(LAST, F.floor(key / 2))))
     kind = F.pmod(key, F.lit(6))
@@ -278,7 +278,7 @@ SELECT doc_id, {sql_pick([x.title() for x in FIRST], 'doc_id')} AS first_name,
 def _(spark, sf):
     key = F.col("doc_id")
     name = F.concat_ws(" ", F.initcap(pick(FIRST, key)), F.initcap(pick(LAST, F.floor(key / 2))))
-    rows = read(spark, sf, "documents").select("doc_id", F.concat(
+    rows = read_texts(spark, sf, "documents").select("doc_id", F.concat(
         F.lit("Launched by "), name, F.lit(". "), F.col("text")).alias("text"))
     return extract.page_person(rows, "text", ["doc_id"])
 

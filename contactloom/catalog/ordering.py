@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contactloom import rules
-from contactloom.catalog.base import (cards, dns_answers, evidence_rows, query, read, registry,
+from contactloom.catalog.base import (cards, dns_answers, evidence_rows, query, read, read_texts,
+                                      registry,
                                       site_pages, sql_any, sql_list, store)
 from contactloom.functions import domains, emails
 from contactloom.functions.text import contains_any
@@ -49,7 +50,7 @@ def _(spark, sf):
 @query("classify_strict_documents", f"""
 SELECT doc_id, {_strict('lower(text)', GENERAL)} AS niche FROM documents""")
 def _(spark, sf):
-    return read(spark, sf, "documents").select(
+    return read_texts(spark, sf, "documents").select(
         "doc_id", classify.classify(F.lower("text"), "strict").alias("niche"))
 
 

@@ -221,26 +221,33 @@ def select_pages(pages: DataFrame, site: str, path: str, k: int = 8,
 
 
 # ------------------------------------------------------------------------ people
-def _guarded(text: Column, low: Column, pattern: str, needs: Sequence[str], number: int,
-             flags: str) -> Column:
+def _hits(text: Column, pattern: str, number: int, flags: str) -> Column:
     # only patterns with letters beyond ASCII pay for Unicode case folding
     full = (flags if pattern.isascii() else flags.replace(")", "u)")) + pattern
-    whole = F.regexp_extract_all(text, F.lit(full), F.lit(0))
-    made = F.transform(whole, lambda w: F.struct(
+    return F.transform(F.regexp_extract_all(text, F.lit(full), F.lit(0)), lambda w: F.struct(
         F.lit(number).alias("pat"), w.alias("whole"),
         F.trim(F.regexp_extract(w, full, 1)).alias("cand")))
-    guard = F.lit(False)
-    for literal in needs:
-        guard = guard | F.contains(low, F.lit(literal))
-    return F.when(guard, made).otherwise(F.array().cast(
-        "array<struct<pat:int,whole:string,cand:string>>"))
 
 
 def mention_candidates(text: Column, low: Column, table=patterns.SITE_PATTERNS,
                        flags: str = "(?i)") -> Column:
-    """All pattern hits of a text, by pattern number and then by position."""
-    return F.concat(*[_guarded(text, low, p, needs, i, flags)
-                      for i, (p, needs) in enumerate(table, start=1)])
+    """All pattern hits of a text, by pattern number and then by position.
+
+    Each literal a pattern needs is looked for once; patterns without theirs are skipped.
+    """
+    literals = list(dict.fromkeys(n for _, needs in table for n in needs))
+    none = F.array().cast("array<struct<pat:int,whole:string,cand:string>>")
+
+    def run(found: Column) -> Column:
+        out = []
+        for number, (pattern, needs) in enumerate(table, start=1):
+            guard = F.lit(False)
+            for n in needs:
+                guard = guard | F.get(found, F.lit(literals.index(n)))
+            out.append(F.when(guard, _hits(text, pattern, number, flags)).otherwise(none))
+        return F.concat(*out)
+
+    return let(F.array(*[F.contains(low, F.lit(n)) for n in literals]), run)
 
 
 def _reading(first: Column, last: Column, kind: str, *single: Column) -> Column:

@@ -51,6 +51,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy text work to all cores when the input has fewer splits than cores.
+
+    Only small inputs (a file of one row group) are redistributed; a table with enough
+    splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there.
 
