@@ -52,8 +52,9 @@ def with_tables(sql: str, uses: str) -> str:
         return sql.strip()
     ctes = ",\n".join(f"{n} AS ({TABLES_SQL[n].strip()})" for n in names)
     body = sql.strip()
-    if body.lower().startswith("with "):
-        return f"WITH {ctes},\n{body[5:]}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(head):
+            return f"{head}{ctes},\n{body[len(head):]}"
     return f"WITH {ctes}\n{body}"
 
 

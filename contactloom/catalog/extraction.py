@@ -238,7 +238,7 @@ def _(spark, sf):
     return read_texts(spark, sf, "pages").select("page_id", html.visible_text("html").alias("text"))
 
 
-@query("visible_page_text_parsed")
+@query("visible_page_text_parsed", f"SELECT page_id, {_strip('html')} AS text FROM pages")
 def _(spark, sf):
     return read_texts(spark, sf, "pages").select("page_id", html.visible_text_dom("html").alias("text"))
 
@@ -430,6 +430,26 @@ def _(spark, sf):
         "domain", "engine", "engine_rank", "first_name", "last_name")
 
 
+@query("profile_host_cards", """
+SELECT domain, arg_min(regexp_extract(text, 'Founded by (\\w+)', 1), engine_rank) AS first_name,
+  arg_min(regexp_extract(text, 'Founded by \\w+ (\\w+)', 1), engine_rank) AS last_name
+FROM cards WHERE starts_with(text, 'Welcome. Founded by') GROUP BY domain""", uses="cards")
+def _(spark, sf):
+    listed = cards(spark, sf).withColumn("url", F.concat(
+        F.lit("http://r/RU=https%3a%2f%2fwww.crunchbase.com%2f"), "domain", F.lit("/RK=1")))
+    return extract.profile_cards(listed, FIRST, STOPS)
+
+
+@query("profile_card_heads", """
+SELECT seq, split_part(owner, ' ', 1) AS first_name, split_part(owner, ' ', 2) AS last_name
+FROM store WHERE seq % 2 = 0""", uses="store")
+def _(spark, sf):
+    mark = F.when(F.pmod("seq", F.lit(2)) == 0, " - Founder at ").otherwise(" founder of ")
+    rows = store(spark, sf).select("seq", extract.profile_head(F.concat(
+        "owner", mark, "brand")).alias("p"))
+    return rows.where("p IS NOT NULL").select("seq", "p.*")
+
+
 @query("mention_snippets", f"""
 SELECT doc_id, pos, email, trim(regexp_replace(substr(text, greatest(1, place - 100),
   place + 100 - greatest(1, place - 100)), '\\s+', ' ', 'g')) AS snippet

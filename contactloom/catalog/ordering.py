@@ -504,7 +504,30 @@ def _(spark, sf):
         "niche", "seq", "niche_rank")
 
 
-@query("quota_with_spill")
+_SPILL_ORDER = [c for c, _ in rules.REGISTRY_KEYWORDS]
+_SPILL_FITS = ", ".join(f"CASE WHEN {sql_any('t', terms)} THEN '{c}' END"
+                        for c, terms in rules.REGISTRY_KEYWORDS)
+
+
+# the SQL walks row by row: first fitting category with room, taken domains are skipped
+@query("quota_with_spill", f"""
+WITH RECURSIVE numbered AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY source_prio, seq) AS i, domain, seq,
+    list_filter([{_SPILL_FITS}], lambda x: x IS NOT NULL) AS fits
+  FROM (SELECT *, {_REGISTRY_TEXT} AS t FROM registry)),
+walk AS (
+  SELECT 0::BIGINT AS i, ''::VARCHAR AS domain, 0::BIGINT AS seq, NULL::VARCHAR AS niche,
+    MAP {{{', '.join(f"'{c}': 0" for c in _SPILL_ORDER)}}} AS used, []::VARCHAR[] AS taken
+  UNION ALL
+  SELECT i, domain, seq, niche, CASE WHEN niche IS NULL THEN used ELSE map_from_entries(
+      list_transform(map_entries(used), lambda e: {{'k': e.key,
+        'v': e.value + CASE WHEN e.key = niche THEN 1 ELSE 0 END}})) END,
+    CASE WHEN niche IS NULL THEN taken ELSE list_append(taken, domain) END
+  FROM (SELECT n.i, n.domain, n.seq, w.used, w.taken,
+          CASE WHEN list_contains(w.taken, n.domain) THEN NULL
+            ELSE list_filter(n.fits, lambda c: w.used[c] < 100)[1] END AS niche
+        FROM walk w JOIN numbered n ON n.i = w.i + 1))
+SELECT domain, seq, niche FROM walk WHERE niche IS NOT NULL""", uses="registry")
 def _(spark, sf):
     picked = rank.quota_with_spill(
         registry(spark, sf), classify.registry_matches(_registry_text()), 100, "domain",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contactloom import rules
 from contactloom.catalog.base import (FIRST, INBOX_LABEL_SQL, LAST, NEEDS, STOPS, TABLES_SQL,
                                       cards, dns_answers, evidence_rows, query, read, registry,
-                                      site_pages, sql_any, sql_list, sql_pick, store, visits)
+                                      site_pages, sql_any, sql_pick, store, store_domain, visits)
 from contactloom.catalog.extraction import _VOTES_SQL
 from contactloom.functions import domains, emails, names
 from contactloom.operators import (audit, classify, contacts, extract, generate, match, people,
@@ -285,6 +285,42 @@ def _(spark, sf):
         "seq", "domain", "first_name", "last_name", "confidence")
 
 
+@query("people_from_all_sources", """
+WITH base AS (SELECT seq, domain, brand, trim(email) AS email, seq % 7 AS k, s_suppkey,
+    split_part(owner, ' ', 1) AS f, split_part(owner, ' ', 2) AS l, nation FROM store
+    LEFT JOIN supplier ON seq = s_suppkey)
+SELECT seq, domain, CASE src WHEN 'address' THEN CASE WHEN k = 6 THEN l ELSE f END
+    WHEN 'registration' THEN 'Grace' WHEN 'profile' THEN f WHEN 'address1' THEN f
+    WHEN 'author' THEN 'Laura' WHEN 'site' THEN 'Sofia' ELSE '' END AS first_name,
+  CASE src WHEN 'address' THEN CASE WHEN k = 6 THEN f ELSE l END WHEN 'registration' THEN 'Tanaka'
+    WHEN 'profile' THEN l WHEN 'author' THEN 'Lindqvist' WHEN 'site' THEN 'Okafor' ELSE '' END
+    AS last_name,
+  CASE src WHEN 'none' THEN 'STANDARD' WHEN 'address1' THEN 'MEDIUM' ELSE 'HIGH' END AS confidence,
+  email AS person_email, profile_found
+FROM (SELECT *, CASE WHEN nation = 1 THEN 'author' WHEN k IN (1, 3, 6) THEN 'address'
+    WHEN nation = 2 THEN 'site' WHEN s_suppkey IS NOT NULL THEN 'registration'
+    WHEN k = 5 THEN 'address1' WHEN profile_found THEN 'profile' ELSE 'none' END AS src
+  FROM (SELECT *, seq % 2 = 0 AS profile_found FROM base))""", uses="store")
+def _(spark, sf):
+    s = store(spark, sf)
+    inputs = s.select("seq", "domain", "email", F.lit("").alias("brand"),
+                      F.lit("").alias("secondary_email"))
+    api = s.where("nation = 1").select("domain", F.lit('[{"name":"Laura Lindqvist"}]')
+                                       .alias("body"))
+    about = s.where("nation = 2").select(
+        "domain", F.lit(0).alias("path_no"),
+        F.lit("<nav>Founder: Peter Nowhere</nav><p>Founded by Sofia Okafor.</p>").alias("html"))
+    registered = read(spark, sf, "supplier").select(
+        store_domain(F.col("s_suppkey")).alias("domain"), F.lit("text").alias("kind"),
+        F.lit("Domain: x\nRegistrant Name: Grace Tanaka\n").alias("body"))
+    profiles = s.where("seq % 2 = 0").select(emails.email_hash("email").alias("email_hash"),
+                                             F.col("owner").alias("display_name"))
+    out = flows.people_from_sources(inputs, FIRST, STOPS, profiles, author_api=api, pages=about,
+                                    registrations=registered)
+    return out.select("seq", "domain", "first_name", "last_name", "confidence", "person_email",
+                      "profile_found")
+
+
 # ----------------------------------------------------------------------------- audit
 TABLES_SQL["visit_candidates"] = """
 SELECT domain, lower(trim(email)) AS email, 85 AS score, 0 AS pos FROM store

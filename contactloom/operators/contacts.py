@@ -77,6 +77,12 @@ def project_profile(df: DataFrame, profile: str, pii: str = "clear",
     return df.select(*out)
 
 
+def protect_columns(df: DataFrame, pii: str = "clear") -> DataFrame:
+    """Personal columns that are there, in their output form."""
+    return df.withColumns({c: emails.protect(c, pii, kind) for c, kind in PII_COLUMNS.items()
+                           if c in df.columns})
+
+
 def append_columns(df: DataFrame, **columns: Column) -> DataFrame:
     """All input columns in their order, then the new ones."""
     return df.select("*", *[c.alias(n) for n, c in columns.items()])

@@ -511,6 +511,27 @@ def card_votes(cards: DataFrame, name_list: Sequence[str], stop: Sequence[str])
             .select("domain", "engine", "engine_rank", "p.*"))
 
 
+def profile_cards(cards: DataFrame, name_list: Sequence[str],
+                  stop: Sequence[str]) -> DataFrame:
+    """First full person per domain on cards of profile hosts that name the full domain."""
+    rows = cards.withColumn("_t", F.lower(domains.unwrap("url")))
+    rows = rows.where(contains_any("_t", rules.PROFILE_HOSTS)
+                      & F.contains(F.lower("text"), F.lower("domain")))
+    found = person_mentions(rows.withColumn("_d", F.col("domain")), "text", "brand", "_d",
+                            ["domain", "brand", "engine_rank", "pos"], name_list, stop)
+    best = F.min_by(F.struct("first_name", "last_name"), F.struct("engine_rank", "pos"))
+    return (found.where("last_name <> ''").groupBy("domain").agg(best.alias("p"))
+            .select("domain", "p.*"))
+
+
+def profile_head(text: Column | str) -> Column:
+    """``First Last - headline`` at the start of a profile card, as a struct or NULL."""
+    head = words(F.regexp_extract(col(text), patterns.PROFILE_HEAD_PATTERN, 1))
+    return F.when(F.size(head) == 2, F.struct(
+        capitalize(F.get(head, F.lit(0))).alias("first_name"),
+        capitalize(F.get(head, F.lit(1))).alias("last_name")))
+
+
 def answer_owner(text: Column | str) -> Column:
     """Owner of an answer box: a full name, else the first name of a pair; struct."""
     whole = words(F.regexp_extract(col(text), patterns.ANSWER_OWNER_PATTERN, 1))

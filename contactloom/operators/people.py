@@ -50,58 +50,104 @@ def vote(df: DataFrame, key: str = "domain", engine_rank: str = "engine_rank") -
                        .alias("conf"))
 
 
-def waterfall(evidence_rows: DataFrame, key: str = "domain") -> DataFrame:
-    """Best person per key and the chain of sources that were read up to it.
+ENTRY = ("struct<tier:double,pos:bigint,source:string,conf:string,first_name:string,"
+         "last_name:string>")
+NO_ENTRIES = f"array<{ENTRY}>"
+
+
+def entry(tier: float, person: Column) -> Column:
+    """A person struct of a row-local reading as one evidence entry, NULL if there is none."""
+    return F.when(person.isNotNull(), F.struct(
+        F.lit(tier).alias("tier"), F.lit(0).cast("long").alias("pos"),
+        person["source"].alias("source"), person["confidence"].alias("conf"),
+        person["first_name"].alias("first_name"), person["last_name"].alias("last_name"))
+        .cast(ENTRY))
 
-    HIGH and VERIFIED stop at the first tier that has them; without one the first MEDIUM
-    stands. The chain lists one token per source, by tier and position, up to the stopping
-    tier. Evidence is first folded to one row per (key, tier, source), so what is
-    collected per key is bounded by the number of sources.
+
+def collect_evidence(evidence_rows: DataFrame, key: str = "domain") -> DataFrame:
+    """Evidence per key as one array.
+
+    Evidence is first folded to the best stopping and the best other row per (key, tier,
+    source), so the array is bounded by twice the number of sources, however much was
+    found for a key.
     """
     stops = F.col("conf").isin("HIGH", "VERIFIED")
     order = F.struct("pos", "first_name", "last_name",
                      (-names.confidence_rank("conf")).alias("strength"))
-    # two readings per source: its best stopping row and its best row at all
+    row = F.struct("tier", "pos", "source", "conf", "first_name", "last_name")
     folded = evidence_rows.groupBy(key, "tier", "source").agg(
-        F.min("pos").alias("pos"),
-        F.min_by(F.struct("pos", "conf", "first_name", "last_name"),
-                 F.when(stops, order)).alias("strong"),
-        F.min_by(F.struct("pos", "conf", "first_name", "last_name"),
-                 F.when(F.col("conf") == "MEDIUM", order)).alias("weak"))
-    place = F.struct("tier", "pos", "source")
-
-    def at(side: str) -> Column:
-        return F.when(F.col(side).isNotNull(), F.struct(
-            F.col("tier"), F.col(f"{side}.pos").alias("pos"), F.col("source")))
-
-    def take(side: str) -> Column:
-        return F.struct(F.col("tier"), F.col(f"{side}.pos").alias("pos"), F.col("source"),
-                        F.col(f"{side}.conf").alias("conf"),
-                        F.col(f"{side}.first_name").alias("first_name"),
-                        F.col(f"{side}.last_name").alias("last_name"))
-
-    grouped = folded.groupBy(key).agg(
-        F.min_by(take("strong"), at("strong")).alias("strong"),
-        F.min_by(take("weak"), at("weak")).alias("weak"),
-        F.array_sort(F.collect_list(place)).alias("read"))
-    best = F.coalesce("strong", "weak")
-    stop = F.struct(F.col("strong.tier"), F.col("strong.pos"), F.col("strong.source"))
-    chain = F.filter("read", lambda r: F.col("strong").isNull() | (r <= stop))
-    return grouped.select(
-        key, best["first_name"].alias("first_name"), best["last_name"].alias("last_name"),
-        best["conf"].alias("confidence"), best["source"].alias("source"),
-        best["tier"].alias("tier"),
-        F.array_join(F.array_distinct(F.transform(chain, lambda r: r["source"])), "|")
-        .alias("source_chain"))
-
-
-def resolve_people(inputs: DataFrame, evidence_rows: DataFrame) -> DataFrame:
-    """Waterfall result for every input row; rows without evidence stay, as STANDARD."""
-    best = waterfall(evidence_rows.where(
-        "domain IS NOT NULL AND domain <> '' AND conf IS NOT NULL"))
-    keyed = inputs.withColumn("domain", domains.clean_domain("domain"))
-    joined = salted_lookup(keyed, best, "domain")
-    return joined.withColumns({
+        F.min_by(row, F.when(stops, order)).alias("strong"),
+        F.min_by(row, F.when(F.col("conf") == "MEDIUM", order)).alias("weak"))
+    both = F.array_compact(F.array("strong", "weak"))
+    return folded.groupBy(key).agg(F.flatten(F.collect_list(both)).cast(NO_ENTRIES)
+                                   .alias("evidence"))
+
+
+def judge(entries: Column) -> Column:
+    """Best person of an evidence array and the chain of sources read up to it.
+
+    HIGH and VERIFIED stop at the first entry that has them; without one the first MEDIUM
+    stands. The chain lists each source once, by tier and position, up to the stop.
+    """
+    def read(found: Column) -> Column:
+        strong = F.get(F.filter(found, lambda e: e["conf"].isin("HIGH", "VERIFIED")), F.lit(0))
+        weak = F.get(F.filter(found, lambda e: e["conf"] == "MEDIUM"), F.lit(0))
+        return let(F.struct(found.alias("all"), strong.alias("strong"),
+                            F.coalesce(strong, weak).alias("best")), result)
+
+    def place(e: Column) -> Column:
+        return F.struct(e["tier"], e["pos"], e["source"])
+
+    def result(x: Column) -> Column:
+        best = x["best"]
+        chain = F.filter(x["all"], lambda e: x["strong"].isNull()
+                         | (place(e) <= place(x["strong"])))
+        sources = F.array_distinct(F.transform(chain, lambda e: e["source"]))
+        return F.struct(
+            best["first_name"].alias("first_name"), best["last_name"].alias("last_name"),
+            best["conf"].alias("confidence"), best["source"].alias("source"),
+            best["tier"].alias("tier"), F.array_join(sources, "|").alias("source_chain"))
+
+    return let(F.array_sort(entries), read)
+
+
+def waterfall(evidence_rows: DataFrame, key: str = "domain") -> DataFrame:
+    """Best person per key over the tiers, with confidence and source chain."""
+    return collect_evidence(evidence_rows, key).select(
+        key, F.inline(F.array(judge(F.col("evidence")))))
+
+
+def address_person(columns: Sequence[Column], name_list: Sequence[str], stop: Sequence[str],
+                   brand: Column, domain: Column) -> Column:
+    """The first address that reads as a full name, else the first given name; or NULL."""
+    parsed = F.array_compact(F.transform(
+        F.array(*[emails.clean_email(c, "input") for c in columns]),
+        lambda e: names.parse_local_name(e, name_list, stop, brand, domain)))
+    return let(parsed, lambda found: F.coalesce(
+        F.get(F.filter(found, lambda p: p["confidence"] == "HIGH"), F.lit(0)),
+        F.get(found, F.lit(0))))
+
+
+def resolve_people(inputs: DataFrame, evidence_rows: DataFrame | None = None,
+                   local: Sequence[Column] = ()) -> DataFrame:
+    """Waterfall result for every input row; rows without evidence stay, as STANDARD.
+
+    ``evidence_rows`` speak about domains, ``local`` entries about the row itself (its
+    addresses, its brand). Rows of one domain share the former and keep their own latter.
+    """
+    rows = inputs.withColumn("domain", domains.clean_domain("domain"))
+    empty = F.array().cast(NO_ENTRIES)
+    if evidence_rows is None:
+        rows = rows.withColumn("evidence", empty)
+    else:
+        known = evidence_rows.where("domain <> '' AND conf IS NOT NULL")
+        rows = salted_lookup(rows, collect_evidence(known), "domain")
+    own = F.array_compact(F.array(*local)) if local else empty
+    entries = F.concat(F.coalesce("evidence", empty),
+                       F.when(F.col("domain") != "", own).otherwise(empty))
+    out = rows.select(*[c for c in rows.columns if c != "evidence"],
+                      F.inline(F.array(judge(entries))))
+    return out.withColumns({
         "first_name": F.coalesce("first_name", F.lit("")),
         "last_name": F.coalesce("last_name", F.lit("")),
         "full_name": F.trim(F.concat_ws(" ", "first_name", "last_name")),
@@ -124,12 +170,8 @@ def _one_per_row(df: DataFrame, person: Column, tier: float) -> DataFrame:
 def address_evidence(df: DataFrame, columns: Sequence[str], name_list: Sequence[str],
                      stop: Sequence[str], brand: str = "brand") -> DataFrame:
     """Tier 1: the first address that reads as a full name, else the first given name."""
-    parsed = F.array_compact(F.array(*[names.parse_local_name(
-        emails.clean_email(c, "input"), name_list, stop, F.col(brand), F.col("domain"))
-        for c in columns]))
-    best = let(parsed, lambda found: F.coalesce(
-        F.get(F.filter(found, lambda p: p["confidence"] == "HIGH"), F.lit(0)),
-        F.get(found, F.lit(0))))
+    best = address_person([F.col(c) for c in columns], name_list, stop, F.col(brand),
+                          F.col("domain"))
     return _one_per_row(df, best, 1.0)
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contactloom import rules
-from contactloom.functions import domains, emails
+from contactloom import patterns, rules
+from contactloom.functions import domains, emails, html, names
+from contactloom.functions.text import capitalize, let, words
 from contactloom.operators import classify, contacts, extract, match, people, rank
 from contactloom.operators.join import salted_lookup
 
@@ -78,16 +79,167 @@ def pages_to_contacts(pages: DataFrame, stores: DataFrame, dns_answers: DataFram
 
 
 def enrich_people(inputs: DataFrame, tiers: Sequence[DataFrame], name_list: Sequence[str],
-                  stop: Sequence[str]) -> DataFrame:
-    """Person per input row from address, brand and the given evidence tables.
+                  stop: Sequence[str],
+                  addresses: Sequence[str] = ("email", "secondary_email")) -> DataFrame:
+    """Person per input row from its addresses, its brand and the given evidence tables.
 
-    ``inputs``: domain, brand, email, secondary_email. ``tiers``: frames in the evidence
-    form. The cheap row-local tiers run first; rows are never lost.
+    ``inputs``: domain, brand and address columns. ``tiers``: frames in the evidence form.
+    Addresses and brand are read inside the row; rows are never lost.
     """
-    keyed = inputs.withColumn("domain", domains.clean_domain("domain"))
-    local = [people.address_evidence(keyed, ["email", "secondary_email"], name_list, stop),
-             people.namesake_evidence(keyed, name_list, stop)]
-    return people.resolve_people(inputs, people.stack([*local, *tiers]))
+    domain = domains.clean_domain("domain")
+    local = [people.entry(1.0, people.address_person([F.col(a) for a in addresses], name_list,
+                                                     stop, F.col("brand"), domain)),
+             people.entry(1.5, names.namesake(F.col("brand"), domain, name_list, stop))]
+    return people.resolve_people(inputs, people.stack(tiers) if tiers else None, local)
+
+
+def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[str], *,
+                    author_api: DataFrame | None = None, feeds: DataFrame | None = None,
+                    pages: DataFrame | None = None, cards: DataFrame | None = None,
+                    registrations: DataFrame | None = None, bios: DataFrame | None = None,
+                    companies: DataFrame | None = None) -> list[DataFrame]:
+    """Evidence tables of the tiers beyond the row itself, from collected records.
+
+    Tables by domain: ``author_api`` and ``feeds`` (body), ``pages`` (path_no, html; 0 is
+    the home page), ``registrations`` (kind json or text, body), ``bios`` (html). ``cards``
+    as for ``extract.card_votes`` without brand. ``companies``: company_no, name, officers.
+    """
+    sites = rank.first_wins(
+        inputs.select(domains.clean_domain("domain").alias("domain"), "brand")
+        .where("domain <> ''"), ["domain"], ["brand"])
+
+    def with_brand(df: DataFrame) -> DataFrame:
+        return salted_lookup(df.withColumn("domain", domains.clean_domain("domain")), sites,
+                             "domain").where("brand IS NOT NULL")
+
+    def plausible(df: DataFrame) -> DataFrame:
+        whole = names.full_name(F.col("first_name"), F.col("last_name"))
+        return df.where(names.plausible_name(whole, name_list, stop, F.col("brand"),
+                                             F.col("domain")))
+
+    def people_of(df: DataFrame, person: Column) -> DataFrame:
+        return plausible(df.select("domain", "brand",
+                                   F.inline(F.array_compact(F.array(person)))))
+
+    out: list[DataFrame] = []
+    if author_api is not None:
+        found = people_of(with_brand(author_api), extract.api_author("body"))
+        out.append(people.evidence(found, 0.0, "author_api", "HIGH"))
+    if feeds is not None:
+        author = extract.feed_author("body")
+        found = people_of(with_brand(feeds), F.when(author["first_name"].isNotNull(), author))
+        out.append(people.evidence(found, 0.1, "feed_author", "HIGH"))
+    if pages is not None:
+        rows = with_brand(pages)
+        by_schema = extract.schema_person(rows, "html", ["domain", "path_no"], name_list, stop,
+                                          "brand", "domain")
+        out.append(people.evidence(by_schema, 2.0, "site_schema", "HIGH",
+                                   pos=F.col("path_no") * 10))
+        texts = rows.select("domain", "brand", "path_no",
+                            html.visible_text("html").alias("text"))
+        by_text = extract.person_mentions(texts, "text", "brand", "domain",
+                                          ["domain", "path_no"], name_list, stop)
+        full = F.col("last_name") != ""
+        by_text = by_text.where(full | (F.col("path_no") > 0))  # home page: full names only
+        out.append(people.evidence(by_text, 2.0, "site_text", F.when(full, "HIGH")
+                                   .otherwise("MEDIUM"), pos=F.col("path_no") * 10 + 2))
+        handle = names.handle_name(F.regexp_extract("html", patterns.VIDEO_HANDLE_PATTERN, 1))
+        whole = names.full_name(F.col("first_name"), F.col("last_name"))
+        by_handle = people_of(rows.where("path_no = 0"), handle).where(
+            names.plausible_name(whole, name_list, stop, strict=True))
+        out.append(people.evidence(by_handle, 2.0, "site_handle", "HIGH",
+                                   pos=F.lit(1)))
+    if cards is not None:
+        votes = people.vote(extract.card_votes(with_brand(cards), name_list, stop))
+        out.append(people.evidence(votes, 3.0, "search", F.col("conf")))
+        directory = extract.profile_cards(with_brand(cards), name_list, stop)
+        out.append(people.evidence(directory, 4.1, "directory_cards", "HIGH"))
+    if registrations is not None:
+        rows = with_brand(registrations)
+        person = words(F.when(F.col("kind") == "json", extract.registration_json_person("body"))
+                       .otherwise(extract.registration_text_person("body")))
+        named = let(person, lambda p: F.when(F.size(p) >= 2, F.struct(
+            capitalize(F.get(p, F.lit(0))).alias("first_name"),
+            capitalize(F.element_at(p, -1)).alias("last_name"))))
+        out.append(people.evidence(people_of(rows, named), 4.0, "registration", "HIGH"))
+    if bios is not None:
+        rows = with_brand(bios).select("domain", "brand", extract.bio_text("html").alias("bio"))
+        found = extract.person_mentions(rows, "bio", "brand", "domain", ["domain"], name_list,
+                                        stop).where("last_name <> ''")
+        out.append(people.evidence(found, 4.2, "profile_bio", "HIGH"))
+    if companies is not None:
+        first_officer = F.get(F.array_compact(F.transform("officers", names.officer_name)),
+                              F.lit(0))
+        officers = companies.select("company_no", F.inline(F.array_compact(
+            F.array(first_officer)))).dropDuplicates(["company_no"])
+        gated = people.registry_gate(sites, stop)
+        hits = match.match_company(gated, companies.select("company_no", "name"))
+        found = salted_lookup(hits, officers, "company_no").where("first_name IS NOT NULL")
+        out.append(people.evidence(plausible(found), 4.3, "company_register", "HIGH"))
+    return out
+
+
+def people_from_sources(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[str],
+                        profiles: DataFrame | None = None, **sources: DataFrame) -> DataFrame:
+    """The whole person flow: one row per input row, with name, address and chain.
+
+    ``inputs``: domain, brand, email, secondary_email. Addresses found on the site's pages
+    join the row's own ones; the best personal one replaces the inbox. A profile that is
+    registered for the address or for one of four variants names the person where nothing
+    else did. No made-up address is ever returned.
+    """
+    rows = inputs.withColumn("domain", domains.clean_domain("domain"))
+    found = ["found_1", "found_2"]
+    if sources.get("pages") is not None:
+        swept = extract.sweep_emails(
+            sources["pages"].withColumn("domain", domains.clean_domain("domain")), "html",
+            "domain", ["domain", "path_no"])
+        swept = swept.withColumns({"is_personal": emails.is_personal("email"),
+                                   "pos": F.struct("path_no", "email")})
+        best = rank.top_candidates(swept, "domain", 2, by="personal")
+        listed = best.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct(
+            "rank", "email", "is_personal"))).alias("_found"))
+        rows = salted_lookup(rows, listed, "domain")
+        rows = rows.withColumns({n: F.get("_found", F.lit(i))["email"]
+                                 for i, n in enumerate(found)})
+        rows = rows.withColumn("site_email", F.when(
+            F.get("_found", F.lit(0))["is_personal"], F.col("found_1"))).drop("_found")
+    else:
+        rows = rows.withColumns({n: F.lit(None).cast("string")
+                                 for n in (*found, "site_email")})
+    tiers = person_evidence(inputs, name_list, stop, **sources)
+    out = enrich_people(rows, tiers, name_list, stop,
+                        ("site_email", "email", "secondary_email", *found))
+    address = emails.clean_email(F.coalesce("email", F.lit("")), "input")
+    out = out.withColumns({
+        "person_email": F.coalesce("site_email", address),
+        "email_pattern": F.when(F.col("site_email") != address, "site_discovered")
+        .otherwise("store_email")})
+    if profiles is None:
+        return out.withColumn("profile_found", F.lit(False)).drop(*found)
+    seen = profiles.groupBy("email_hash").agg(
+        F.max("display_name").alias("display_name"), F.lit(True).alias("profile_found"))
+    out = salted_lookup(out.withColumn("email_hash", emails.email_hash("person_email")), seen,
+                        "email_hash")
+    shown = words(F.coalesce("display_name", F.lit("")))
+    whole = F.array_join(F.slice(F.transform(shown, capitalize), 1, 2), " ")
+    use = ((F.col("first_name") == "") & (F.size(shown) >= 1) & (F.col("domain") != "")
+           & names.plausible_name(whole, name_list, stop, F.col("brand"), F.col("domain")))
+    full = F.size(shown) >= 2
+    out = out.withColumns({
+        "first_name": F.when(use, capitalize(F.get(shown, F.lit(0))))
+        .otherwise(F.col("first_name")),
+        "last_name": F.when(use & full, capitalize(F.get(shown, F.lit(1))))
+        .otherwise(F.col("last_name")),
+        "confidence": F.when(use, F.when(full, "HIGH").otherwise("MEDIUM"))
+        .otherwise(F.col("confidence")),
+        "source": F.when(use, "profile").otherwise(F.col("source")),
+        "source_chain": F.when(use, F.when(F.col("source_chain") == "store_inbox", "profile")
+                               .otherwise(F.concat("source_chain", F.lit("|profile"))))
+        .otherwise(F.col("source_chain")),
+        "profile_found": F.coalesce("profile_found", F.lit(False))})
+    out = out.withColumn("full_name", F.trim(F.concat_ws(" ", "first_name", "last_name")))
+    return out.drop("email_hash", "display_name", *found)
 
 
 def consolidate(frames: Sequence[DataFrame]) -> DataFrame:

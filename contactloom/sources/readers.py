@@ -29,6 +29,9 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str | None
         "encoding", "UTF-8").option("multiLine", False).option("escape", '"')
     df = (reader.schema(schema) if schema else reader).csv(
         paths if isinstance(paths, str) else list(paths))
+    # bytes that are no UTF-8 arrive as replacement characters: drop them
+    df = df.select(*[F.replace(F.col(f"`{c}`"), F.lit("\ufffd"), F.lit("")).alias(c)
+                     if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
     return df.repartition(spread) if spread else df
 
 

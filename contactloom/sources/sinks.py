@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contactloom import rules
-from contactloom.operators.contacts import project_profile, with_category
+from contactloom.operators.contacts import project_profile, protect_columns, with_category
 from contactloom.operators.rank import batch_no, interleave, slices
 
 
 def write_by_category(df: DataFrame, path: str, column: str = "niche",
-                      default: str = rules.GENERAL, files: int | None = None) -> None:
+                      default: str = rules.GENERAL, files: int | None = None,
+                      pii: str = "clear") -> None:
     """One folder per category; unknown categories go to the default one.
 
     Rows are spread over ``files`` parts per category (as many as the shuffle has by
     default), so a category that holds a third of the table is not written by one task.
     """
-    rows = with_category(df, column, default)
+    rows = protect_columns(with_category(df, column, default), pii)
     files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(files))
     (rows.withColumn("_salt", salt).repartition(column, "_salt").drop("_salt")
