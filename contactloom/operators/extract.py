@@ -47,42 +47,38 @@ def unique_mentions(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
 
 def sweep_emails(df: DataFrame, markup: str, domain: str, keys: Sequence[str],
                  own_only: bool = True) -> DataFrame:
-    """Distinct addresses hidden in markup in any of four ways, with the first way found.
+    """Distinct addresses hidden in a page in any of four ways, with the first way found.
 
     Encodings: ``mailto``, ``xor`` (hex attribute), ``entity`` (@ and dot as entities),
-    ``plain``. With ``own_only`` just the site's own, parent and sub-domains stay.
+    ``plain``. With ``own_only`` just the site's own, parent and sub-domains stay. Repeats
+    are dropped inside the row, without a shuffle.
     """
     page = col(markup)
 
-    def tag(found: Column, order: int, name: str) -> Column:
-        return F.transform(found, lambda m: F.struct(
-            F.lower(m).alias("email"), F.lit(order).alias("n"), F.lit(name).alias("encoding")))
-
     def all_of(pattern: str, source: Column) -> Column:
         return F.regexp_extract_all(source, F.lit(pattern), F.lit(1))
 
+    def tag(found: Column, name: str) -> Column:
+        return F.transform(found, lambda m: F.struct(
+            F.lower(m).alias("email"), F.lit(name).alias("encoding")))
+
+    # what is plain text is found by the entity reading too: plain goes first
     hidden = F.filter(F.transform(all_of(rules.XOR_ATTRIBUTE_PATTERN, page), html.decode_xor),
                       lambda m: F.contains(m, F.lit("@")))
     found = F.concat(
-        tag(all_of(rules.MAILTO_ANY_PATTERN, page), 1, "mailto"),
-        tag(hidden, 2, "xor"),
-        tag(all_of(rules.SWEEP_EMAIL_PATTERN, html.decode_mail_entities(page)), 3, "entity"),
-        tag(all_of(rules.SWEEP_EMAIL_PATTERN, page), 4, "plain"))
-    # an address found in plain text is found by the entity step as well: name it plain
-    plain = F.transform(all_of(rules.SWEEP_EMAIL_PATTERN, page), lambda m: F.lower(m))
-    rows = df.select(*keys, F.col(domain).alias("_domain"), plain.alias("_plain"),
-                     F.explode(F.array_distinct(found)).alias("m"))
-    rows = rows.select(
-        *keys, "_domain", F.col("m.email").alias("email"),
-        F.when((F.col("m.n") == 3) & F.array_contains("_plain", F.col("m.email")), "plain")
-        .otherwise(F.col("m.encoding")).alias("encoding"))
-    order = F.element_at(F.create_map(F.lit("mailto"), F.lit(1), F.lit("xor"), F.lit(2),
-                                      F.lit("entity"), F.lit(3), F.lit("plain"), F.lit(4)),
-                         F.col("encoding"))
+        tag(all_of(rules.MAILTO_ANY_PATTERN, page), "mailto"), tag(hidden, "xor"),
+        tag(all_of(rules.SWEEP_EMAIL_PATTERN, page), "plain"),
+        tag(all_of(rules.SWEEP_EMAIL_PATTERN, html.decode_mail_entities(page)), "entity"))
+    rows = df.select(*keys, F.col(domain).alias("_domain"), F.inline(let(found, _first_per_email)))
     if own_only:
         rows = rows.where((F.size(F.split("email", "@")) == 2)
                           & emails.belongs_to("email", F.col("_domain")))
-    return rows.groupBy(*keys, "email").agg(F.min_by("encoding", order).alias("encoding"))
+    return rows.drop("_domain")
+
+
+def _first_per_email(found: Column) -> Column:
+    seen = F.transform(found, lambda m: m["email"])
+    return F.filter(found, lambda m, i: F.array_position(seen, m["email"]) == i + 1)
 
 
 def page_candidates(df: DataFrame, markup: str, domain: str, keys: Sequence[str],
@@ -354,67 +350,65 @@ def bio_text(markup: Column | str) -> Column:
     return F.when(bio != "", bio)
 
 
-def schema_candidates(df: DataFrame, markup: str, keys: Sequence[str]) -> DataFrame:
-    """Names in schema.org blocks: people of an organisation, or a person with a role.
+def schema_list(markup: Column | str) -> Column:
+    """Names in schema.org blocks, in order, as an array of (first, last, pos) structs.
 
-    One row per candidate with its place: block, item, key order, position. Broken JSON
-    blocks give nothing.
+    People of an organisation by role and position, or a person with a leading role.
+    Blocks, items, types and people may be single or listed; broken JSON gives nothing.
     """
-    blocks = df.select(*keys, F.posexplode(F.regexp_extract_all(
-        F.col(markup), F.lit(patterns.SCHEMA_BLOCK_PATTERN), F.lit(1))).alias("block", "_raw"))
-    blocks = blocks.withColumn("_v", F.try_parse_json(F.trim("_raw")))
-    root = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"),
-                      F.when(F.col("_v").isNotNull(), F.array("_v")))
-    items = blocks.select(*keys, "block", F.posexplode(root).alias("item", "_i"))
-    kinds = F.transform(F.coalesce(
-        F.try_variant_get("_i", "$['@type']", "array<string>"),
-        F.array(F.try_variant_get("_i", "$['@type']", "string"))), lambda t: F.lower(t))
-
-    def people(key: str) -> Column:
-        field = f"$.{key}"
-        listed = F.try_variant_get("_i", field, "array<variant>")
-        return F.coalesce(
-            F.transform(listed, lambda p: F.try_variant_get(p, "$.name", "string")),
-            F.array(F.try_variant_get("_i", field + ".name", "string")))
-
-    def has_kind(wanted: Sequence[str]) -> Column:
-        return F.exists(kinds, lambda t: t.isin(*wanted))
-
-    def placed(order: int, key: str) -> Column:
-        return F.transform(people(key), lambda n, i: F.struct(
-            F.lit(order).alias("key_no"), i.alias("pos"), n.alias("name")))
-
-    org = F.flatten(F.array(*[placed(i, k)
-                              for i, k in enumerate(patterns.SCHEMA_PERSON_KEYS)]))
-    job = F.lower(F.coalesce(F.try_variant_get("_i", "$.jobTitle", "string"), F.lit("")))
-    own = F.array(F.struct(
-        F.lit(len(patterns.SCHEMA_PERSON_KEYS)).alias("key_no"), F.lit(0).alias("pos"),
-        F.try_variant_get("_i", "$.name", "string").alias("name")))
-    empty = F.array().cast("array<struct<key_no:int,pos:int,name:string>>")
-    found = F.concat(
-        F.when(has_kind(patterns.SCHEMA_ORG_TYPES), org).otherwise(empty),
-        F.when(has_kind(("person",)) & contains_any(job, patterns.SCHEMA_JOB_TERMS), own)
-        .otherwise(empty))
-    rows = items.select(*keys, "block", "item", F.explode(found).alias("c"))
-    parts = words(F.col("c.name"))
-    return (rows.where(F.size(parts) >= 2)
-            .select(*keys, "block", "item", "c.key_no", "c.pos",
-                    capitalize(F.get(parts, F.lit(0))).alias("first_name"),
-                    capitalize(F.get(parts, F.lit(1))).alias("last_name")))
+    blocks = F.regexp_extract_all(col(markup), F.lit(patterns.SCHEMA_BLOCK_PATTERN), F.lit(1))
+
+    def listed(value: Column, path: str) -> Column:
+        """The field as an array, also where it is a single value."""
+        return F.coalesce(F.try_variant_get(value, path, "array<variant>"),
+                          F.array_compact(F.array(F.try_variant_get(value, path, "variant"))))
+
+    def text(value: Column, path: str) -> Column:
+        return F.try_variant_get(value, path, "string")
+
+    def named(people: Column) -> Column:
+        return F.transform(people, lambda p, i: F.struct(i.alias("pos"),
+                                                         text(p, "$.name").alias("name")))
+
+    def of_item(item: Column) -> Column:
+        kinds = F.transform(listed(item, "$['@type']"), lambda t: F.lower(text(t, "$")))
+        org = F.flatten(F.array(*[named(listed(item, f"$.{key}"))
+                                  for key in patterns.SCHEMA_PERSON_KEYS]))
+        job = F.lower(F.coalesce(text(item, "$.jobTitle"), F.lit("")))
+        none = F.array().cast("array<struct<pos:int,name:string>>")
+        is_org = F.exists(kinds, lambda t: t.isin(*patterns.SCHEMA_ORG_TYPES))
+        leads = (F.array_contains(kinds, F.lit("person"))
+                 & contains_any(job, patterns.SCHEMA_JOB_TERMS))
+        return F.concat(F.when(is_org, org).otherwise(none),
+                        F.when(leads, named(F.array(item))).otherwise(none))
+
+    def of_block(block: Column) -> Column:
+        return let(F.try_parse_json(F.trim(block)), lambda v: F.flatten(F.transform(
+            listed(v, "$"), of_item)))
+
+    def split(found: Column) -> Column:
+        return let(words(found["name"]), lambda w: F.when(F.size(w) >= 2, F.struct(
+            capitalize(F.get(w, F.lit(0))).alias("first_name"),
+            capitalize(F.get(w, F.lit(1))).alias("last_name"), found["pos"].alias("pos"))))
+
+    return F.array_compact(F.transform(
+        F.flatten(F.array_compact(F.transform(blocks, of_block))), split))
+
+
+def schema_candidates(df: DataFrame, markup: str, keys: Sequence[str]) -> DataFrame:
+    """One row per name in a page's schema.org blocks."""
+    return df.select(*keys, F.inline(schema_list(markup)))
 
 
 def schema_person(df: DataFrame, markup: str, keys: Sequence[str], name_list: Sequence[str],
                   stop: Sequence[str], brand: str | None = None,
                   domain: str | None = None) -> DataFrame:
     """First plausible name of the page's schema.org blocks."""
-    carried = [c for c in (brand, domain) if c and c not in keys]
-    rows = schema_candidates(df, markup, [*keys, *carried])
-    rows = rows.where(names.plausible_name(
-        names.full_name(F.col("first_name"), F.col("last_name")), name_list, stop,
+    good = F.filter(schema_list(markup), lambda p: names.plausible_name(
+        F.concat_ws(" ", p["first_name"], p["last_name"]), name_list, stop,
         F.col(brand) if brand else None, F.col(domain) if domain else None))
-    best = F.min_by(F.struct("first_name", "last_name"),
-                    F.struct("block", "item", "key_no", "pos")).alias("p")
-    return rows.groupBy(*keys).agg(best).select(*keys, "p.*")
+    first = df.select(*keys, F.inline(F.slice(good, 1, 1)))
+    return first.select(*keys, "first_name", "last_name")
 
 
 def feed_author(markup: Column | str) -> Column:

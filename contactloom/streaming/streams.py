@@ -61,9 +61,12 @@ def _stored(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
         return None
 
 
+def _folder(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={batch_id}"
+
+
 def _put(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    df.write.mode("overwrite").parquet(_folder(path, batch_id))
 
 
 def each_batch(stream: DataFrame, path: str, checkpoint: str,
@@ -82,40 +85,55 @@ def append_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _counted(spark: SparkSession, path: str, batch_id: int, keys: Sequence[str]) -> DataFrame:
+    """Rows per key that earlier batches stored, from the small table of their counts."""
+    counts = _stored(spark, f"{path}_counts", batch_id)
+    if counts is None:
+        counts = spark.createDataFrame([], ", ".join([*(f"{k} STRING" for k in keys),
+                                                      "n LONG"]))
+    return counts.groupBy(*keys).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_used"))
+
+
+def _put_counted(df: DataFrame, path: str, batch_id: int, keys: Sequence[str]) -> None:
+    """Store the rows and their counts, so later batches need not read the rows."""
+    _put(df, path, batch_id)
+    written = df.sparkSession.read.parquet(_folder(path, batch_id))
+    _put(written.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).coalesce(1),
+         f"{path}_counts", batch_id)
+
+
 def stream_quota(stream: DataFrame, category: str, n: int, order: Sequence[str], path: str,
                  checkpoint: str) -> StreamingQuery:
     """At most n rows per category over the whole run, first come first kept.
 
-    What is left of a quota is read from the stored counts (one row per category); inside
-    a batch the first rows in order fill it through a salted top-n, so one busy category
-    does not pass through one task.
+    What is left of a quota comes from the counts of earlier batches (one row per batch and
+    category); inside a batch the first rows in order fill it through a two-step top-n, so
+    one busy category does not pass through one task.
     """
-    def fill(batch: DataFrame, batch_id: int) -> DataFrame:
-        spark = batch.sparkSession
+    def handle(batch: DataFrame, batch_id: int) -> None:
         picked = rank.top_n(batch, [category], n, order, name="_rank")
-        stored = _stored(spark, path, batch_id)
-        if stored is not None:
-            used = stored.groupBy(category).agg(F.count(F.lit(1)).alias("_used"))
-            picked = picked.join(F.broadcast(used), category, "left")  # row per category
-            picked = picked.where(F.col("_rank") <= n - F.coalesce("_used", F.lit(0)))
-            picked = picked.drop("_used")
-        return picked.drop("_rank")
+        used = _counted(batch.sparkSession, path, batch_id, [category])
+        picked = picked.join(F.broadcast(used), category, "left")  # one row per category
+        picked = picked.where(F.col("_rank") <= n - F.coalesce("_used", F.lit(0)))
+        _put_counted(picked.drop("_rank", "_used"), path, batch_id, [category])
 
-    return each_batch(stream, path, checkpoint, fill)
+    return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def stream_batches(stream: DataFrame, n: int, order: Sequence[str], path: str,
                    checkpoint: str) -> StreamingQuery:
     """Accepted rows numbered through the whole run, in export batches of n rows."""
-    def number(batch: DataFrame, batch_id: int) -> DataFrame:
-        stored = _stored(batch.sparkSession, path, batch_id)
-        before = 0 if stored is None else stored.count()
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        before = _counted(batch.sparkSession, path, batch_id, []).first()["_used"]
         ranked = rank.running_rank(batch, order, name="row_no")
         row_no = F.col("row_no") + before
-        return ranked.withColumns({
-            "row_no": row_no, "batch": (F.floor((row_no - 1) / n) + 1).cast("long")})
+        _put_counted(ranked.withColumns({
+            "row_no": row_no, "batch": (F.floor((row_no - 1) / n) + 1).cast("long")}),
+            path, batch_id, [])
 
-    return each_batch(stream, path, checkpoint, number)
+    return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def stream_first_wins(stream: DataFrame, keys: Sequence[str], order: Sequence[str], path: str,
