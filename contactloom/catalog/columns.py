@@ -81,6 +81,7 @@ SELECT seq, domain, CASE WHEN ends_with(domain, '.com') OR ends_with(domain, '.u
     ELSE 'International' END AS label,
   CASE WHEN ends_with(domain, '.com') OR ends_with(domain, '.us') THEN 'United States'
     ELSE 'International' END AS two_way,
+  CASE WHEN ends_with(domain, '.com') THEN 'United States' ELSE 'International' END AS com_only,
   CASE WHEN ends_with(domain, '.uk') THEN 'UK' WHEN ends_with(domain, '.au') THEN 'AU'
     WHEN ends_with(domain, '.ca') THEN 'CA'
     WHEN regexp_matches(domain, '\\.(com|net|org|io|co)$') THEN 'US' ELSE 'INTL' END AS code
@@ -89,6 +90,7 @@ def _(spark, sf):
     return store(spark, sf).select(
         "seq", "domain", domains.country_from_tld("domain").alias("label"),
         domains.country_from_tld("domain", "binary").alias("two_way"),
+        domains.country_from_tld("domain", "com_only").alias("com_only"),
         domains.country_from_tld("domain", "codes").alias("code"))
 
 
@@ -377,6 +379,29 @@ def _(spark, sf):
     return read(spark, sf, "pages").select("page_id", html.title_of("html").alias("title"))
 
 
+@query("page_title_lines", """
+SELECT page_id, coalesce(nullif(trim(regexp_extract(html, '(?i)<title[^>]*>([^<]{4,80})</title>', 1)),
+  ''), 'Founder / Owner @ ' || domain) AS title FROM site_pages""", uses="site_pages")
+def _(spark, sf):
+    return site_pages(spark, sf).select("page_id", html.title_or_default("html", "domain")
+                                        .alias("title"))
+
+
+@query("plausible_names_older", f"""
+SELECT seq, list_contains({_N}, lower(split_part(name, ' ', 1)))
+  AND split_part(name, ' ', 2) NOT IN ('Shop', 'Team') AS plausible
+FROM (SELECT seq, CASE seq % 3 WHEN 0 THEN owner WHEN 1 THEN split_part(owner, ' ', 1) || ' Shop'
+  ELSE 'Q' || owner END AS name FROM store)""", uses="store")
+def _(spark, sf):
+    third = F.pmod("seq", F.lit(3))
+    name = (F.when(third == 0, F.col("owner"))
+            .when(third == 1, F.concat(F.split_part("owner", F.lit(" "), F.lit(1)),
+                                       F.lit(" Shop")))
+            .otherwise(F.concat(F.lit("Q"), "owner")))
+    return store(spark, sf).select("seq", names.short_plausible_name(name, FIRST, STOPS)
+                                   .alias("plausible"))
+
+
 @query("deliverability_scores", f"""
 SELECT domain, has_mx, 80 + CASE WHEN dmarc THEN 10 ELSE 0 END + CASE WHEN spf THEN 5 ELSE 0 END
     + CASE WHEN z = 1 THEN 5 ELSE 0 END AS inbox,

@@ -127,6 +127,27 @@ def _(spark, sf):
     return rank.top_candidates(placed, "domain", 3).select("domain", "email", "score", "rank")
 
 
+@query("crawl_candidates_in_order", f"""
+SELECT domain, email, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY domain ORDER BY path_no, page_id, pos) AS rank FROM (
+    SELECT * FROM (SELECT *, min(CASE WHEN score = 100 THEN path_no END)
+        OVER (PARTITION BY domain) AS stop FROM (
+      SELECT page_id, domain, path_no, pos, email, {_weights_sql('crawl')} AS score
+      FROM (SELECT page_id, domain, path_no, unnest(range(len(m))) AS pos, unnest(m) AS email
+            FROM (SELECT page_id, domain, path_no, {MENTION_SQL.format('html')} AS m FROM site_pages))
+      WHERE NOT {sql_any('email', rules.CRAWL_BLOCK_TERMS)}))
+    WHERE stop IS NULL OR path_no <= stop
+    QUALIFY row_number() OVER (PARTITION BY domain, email ORDER BY path_no, page_id, pos) = 1))
+WHERE rank <= 5""", uses="site_pages")
+def _(spark, sf):
+    found = extract.page_candidates(
+        site_pages(spark, sf), "html", "domain", ["page_id", "domain", "path_no"], "crawl",
+        rules.CRAWL_BLOCK_TERMS, mail_links=False, shape=False)
+    kept = rank.stop_at_score(found, "domain")
+    placed = kept.withColumn("pos", F.struct("path_no", "page_id", "pos"))
+    return rank.top_candidates(placed, "domain", 5, by="pos").select("domain", "email", "rank")
+
+
 @query("page_links", """
 SELECT page_id, unnest(range(len(m))) AS pos, trim(unnest(m)) AS href FROM (
   SELECT page_id, regexp_extract_all(html, '(?is)<a\\b[^>]*?\\shref=["'']([^"'']*)["'']', 1) AS m

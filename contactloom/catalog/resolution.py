@@ -287,7 +287,7 @@ def _(spark, sf):
 
 @query("people_from_all_sources", """
 WITH base AS (SELECT seq, domain, brand, trim(email) AS email, seq % 7 AS k, s_suppkey,
-    split_part(owner, ' ', 1) AS f, split_part(owner, ' ', 2) AS l, nation FROM store
+    split_part(owner, ' ', 1) AS f, split_part(owner, ' ', 2) AS l, nation, balance FROM store
     LEFT JOIN supplier ON seq = s_suppkey)
 SELECT seq, domain, CASE src WHEN 'address' THEN CASE WHEN k = 6 THEN l ELSE f END
     WHEN 'registration' THEN 'Grace' WHEN 'profile' THEN f WHEN 'address1' THEN f
@@ -300,7 +300,7 @@ SELECT seq, domain, CASE src WHEN 'address' THEN CASE WHEN k = 6 THEN l ELSE f E
 FROM (SELECT *, CASE WHEN nation = 1 THEN 'author' WHEN k IN (1, 3, 6) THEN 'address'
     WHEN nation = 2 THEN 'site' WHEN s_suppkey IS NOT NULL THEN 'registration'
     WHEN k = 5 THEN 'address1' WHEN profile_found THEN 'profile' ELSE 'none' END AS src
-  FROM (SELECT *, seq % 2 = 0 AS profile_found FROM base))""", uses="store")
+  FROM (SELECT *, balance > 4000 AS profile_found FROM base))""", uses="store")
 def _(spark, sf):
     s = store(spark, sf)
     inputs = s.select("seq", "domain", "email", F.lit("").alias("brand"),
@@ -313,7 +313,7 @@ def _(spark, sf):
     registered = read(spark, sf, "supplier").select(
         store_domain(F.col("s_suppkey")).alias("domain"), F.lit("text").alias("kind"),
         F.lit("Domain: x\nRegistrant Name: Grace Tanaka\n").alias("body"))
-    profiles = s.where("seq % 2 = 0").select(emails.email_hash("email").alias("email_hash"),
+    profiles = s.where("balance > 4000").select(emails.email_hash("email").alias("email_hash"),
                                              F.col("owner").alias("display_name"))
     out = flows.people_from_sources(inputs, FIRST, STOPS, profiles, author_api=api, pages=about,
                                     registrations=registered)
@@ -511,6 +511,19 @@ def _(spark, sf):
                                                "last_name", "title", "mx_status", "score")
 
 
+@query("filled_inbox_defaults", f"""
+SELECT seq, 'Founder' AS first_name, coalesce(nullif(split_part(owner, ' ', 2), ''), 'Team')
+  AS last_name, 'Founder / Marketing Lead' AS title, 'United States' AS country,
+  CASE WHEN seq % 6 < 5 THEN {sql_pick((*rules.CATEGORIES, 'Other'), 'seq')}
+    ELSE 'Fashion & Apparel' END AS niche FROM store""", uses="store")
+def _(spark, sf):
+    rows = store(spark, sf).select(
+        "seq", F.lit("").alias("first_name"),
+        F.split_part("owner", F.lit(" "), F.lit(2)).alias("last_name"),
+        pick((*rules.CATEGORIES, "Other"), F.col("seq")).alias("niche"))
+    return contacts.fill_inbox_defaults(rows)
+
+
 # ------------------------------------------------------------------------- end to end
 @query("contacts_from_pages", f"""
 WITH cand AS (SELECT page_id, domain, path_no, CASE page_id % 6 WHEN 0 THEN 'info@' || domain
@@ -522,12 +535,12 @@ WITH cand AS (SELECT page_id, domain, path_no, CASE page_id % 6 WHEN 0 THEN 'inf
     WHERE page_id % 6 = 0)
 SELECT DISTINCT email, 'https://' || domain AS website FROM cand
 WHERE email IS NOT NULL AND NOT contains(email, 'example.com')
-  AND split_part(email, '@', 2) IN (SELECT domain FROM site_pages WHERE page_id % 2 = 0)""",
+  AND split_part(email, '@', 2) IN (SELECT domain FROM site_pages WHERE status = 200)""",
        uses="site_pages")
 def _(spark, sf):
     base = site_pages(spark, sf)
-    answers = base.where("page_id % 2 = 0").select(
-        "domain", F.lit("MX").alias("rtype"), F.lit(10).alias("pref"),
+    answers = base.select(
+        "domain", F.when(F.col("status") == 200, "MX").otherwise("TXT").alias("rtype"), F.lit(10).alias("pref"),
         F.lit("mx.zoho.eu").alias("data"))
     stores = rank.first_wins(base, ["domain"], ["page_id"]).select(
         "domain", F.lit(None).cast("string").alias("brand"), F.lit("Jewelry").alias("niche"))

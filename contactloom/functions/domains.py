@@ -68,7 +68,7 @@ def brand_or_default(brand: Column | str, domain: Column | str, style: str = "la
 def country_from_tld(c: Column | str, ruleset: str = "labels") -> Column:
     low = F.lower(col(c))
     if ruleset == "codes":
-        last = F.element_at(F.split(low, r"\."), -1)
+        last = F.try_element_at(F.split(low, r"\."), F.lit(-1))
         two = F.regexp_extract(low, r"\.([^.]+\.[^.]+)$", 1)
         two_level = F.create_map(*[F.lit(x) for kv in rules.TWO_LEVEL_CODES.items() for x in kv])
         one_level = F.create_map(*[F.lit(x) for kv in rules.ONE_LEVEL_CODES.items() for x in kv])

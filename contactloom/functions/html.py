@@ -24,6 +24,21 @@ def hrefs(html: Column | str) -> Column:
         lambda h: F.trim(h))
 
 
+def anchors(html: Column | str) -> Column:
+    """Anchors in page order as (href, text) structs; the text has no tags."""
+    pattern = F.lit(r"""(?is)<a\b[^>]*?\shref=["']([^"']*)["'][^>]*>(.*?)</a\s*>""")
+    found = F.arrays_zip(F.regexp_extract_all(col(html), pattern, F.lit(1)).alias("href"),
+                         F.regexp_extract_all(col(html), pattern, F.lit(2)).alias("text"))
+    return F.transform(found, lambda a: F.struct(
+        F.trim(a["href"]).alias("href"),
+        F.trim(F.regexp_replace(a["text"], "(?s)<[^>]*>", "")).alias("text")))
+
+
+def title_or_default(html: Column | str, brand: Column | str) -> Column:
+    """Page title, else a role line with the brand."""
+    return F.coalesce(title_of(html), F.concat(F.lit("Founder / Owner @ "), col(brand)))
+
+
 def title_of(html: Column | str) -> Column:
     """Page title of 4 to 80 characters; NULL otherwise."""
     hit = F.regexp_extract(col(html), r"(?i)<title[^>]*>([^<]{4,80})</title>", 1)

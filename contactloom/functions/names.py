@@ -15,6 +15,12 @@ from contactloom import rules
 from contactloom.functions.emails import local_part
 from contactloom.functions.text import alnum_fold, capitalize, col, let, words
 
+# ---------------------------------------------------------------- fixed values
+# Word endings and what replaces them
+# -----------------------------------------------------------------------------
+ENDINGS = (("ies$", "y"), ("es$", ""), ("s$", ""), ("ed$", ""), ("ed$", "e"), ("ing$", ""),
+           ("ing$", "e"), ("ers$", ""), ("ers$", "er"), ("er$", ""), ("er$", "e"))
+
 PERSON = "struct<first_name:string,last_name:string,source:string,confidence:string>"
 
 
@@ -25,16 +31,7 @@ def _member(c: Column, entries: Sequence[str]) -> Column:
 def word_stems(token: Column) -> Column:
     """The lower-case token and what remains of it without a common ending."""
     low = F.lower(token)
-
-    def cut(ending: str, drop: int, add: str = "") -> Column:
-        return F.when(F.endswith(low, F.lit(ending)),
-                      F.concat(F.left(low, F.length(low) - drop),
-                               F.lit(add)))
-
-    return F.array_compact(F.array(
-        low, cut("ies", 3, "y"), cut("es", 2), cut("s", 1), cut("ed", 2), cut("ed", 1),
-        cut("ing", 3), cut("ing", 3, "e"), cut("ers", 3), cut("ers", 1), cut("er", 2),
-        cut("er", 1)))
+    return F.array(low, *[F.regexp_replace(low, ending, rest) for ending, rest in ENDINGS])
 
 
 def plausible_name(name: Column | str, names: Sequence[str], stop: Sequence[str],

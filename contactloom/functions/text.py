@@ -57,12 +57,14 @@ def shortest(terms: Sequence[str]) -> list[str]:
     return [t for t in unique if not any(o != t and o in t for o in unique)]
 
 
+def text_array(values: Sequence[str]) -> Column:
+    """Constant array of texts, written as one literal."""
+    return F.split(F.lit("\u0001".join(values)), "\u0001")
+
+
 def any_contains(c: Column, terms: Sequence[str]) -> Column:
-    """Chain of substring tests on a value that is already at hand."""
-    out = F.lit(False)
-    for term in shortest(terms):
-        out = out | F.contains(c, F.lit(term))
-    return out
+    """Substring tests, in order and up to the first hit, on a value already at hand."""
+    return F.exists(text_array(shortest(terms)), lambda t: F.contains(c, t))
 
 
 def contains_any(c: Column | str, terms: Sequence[str]) -> Column:

@@ -59,6 +59,20 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     })
 
 
+def fill_inbox_defaults(df: DataFrame) -> DataFrame:
+    """Defaults of the inbox step: role name, title, country, category; texts never NULL."""
+    have = set(df.columns)
+
+    def value(c: str) -> Column:
+        return blank_to_null(c) if c in have else F.lit(None).cast("string")
+
+    niche = value("niche")
+    filled = {c: F.coalesce(value(c), F.lit(d)) for c, d in rules.INBOX_DEFAULTS.items()}
+    filled["niche"] = F.when(niche.isin(*rules.CATEGORIES), niche).otherwise(
+        rules.INBOX_DEFAULT_CATEGORY)
+    return df.withColumns(filled)
+
+
 def score_label(score: Column) -> Column:
     """Export text of a score; no score reads ``unknown``."""
     return F.coalesce(F.concat(score.cast("string"), F.lit("%")), F.lit(UNKNOWN))

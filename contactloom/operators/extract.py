@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from contactloom import patterns, rules
 from contactloom.functions import domains, emails, html, names, social
-from contactloom.functions.text import any_of, capitalize, col, contains_any, let, words
+from contactloom.functions.text import any_of, capitalize, col, contains_any, let
+from contactloom.functions.text import text_array, words
 from contactloom.operators.rank import running_rank
 
 PLATFORM_COLUMNS = {"instagram": "instagram", "facebook": "facebook", "linkedin": "linkedin",
@@ -83,16 +84,22 @@ def _first_per_email(found: Column) -> Column:
 
 def page_candidates(df: DataFrame, markup: str, domain: str, keys: Sequence[str],
                     weights: str = "worker", block: Sequence[str] = rules.BLOCK_TERMS,
-                    bounds: tuple[int, int | None] = (6, None),
-                    parts: str = "one") -> DataFrame:
-    """Scored address candidates of a page: mail links first, then text mentions."""
+                    bounds: tuple[int, int | None] = (6, None), parts: str = "one",
+                    mail_links: bool = True, shape: bool = True) -> DataFrame:
+    """Scored address candidates of a page: mail links first, then text mentions.
+
+    ``shape=False`` tests the block terms only, not the form of the address.
+    """
     links = F.transform(mailto_list(markup), lambda m: F.struct(
         m.alias("email"), F.lit(rules.MAILTO_SCORE).alias("score")))
     texts = F.transform(mention_list(markup), lambda m: F.struct(
         m.alias("email"),
         emails.score_candidate(m, F.col(domain), weights).alias("score")))
-    rows = df.select(*keys, F.posexplode(F.concat(links, texts)).alias("pos", "c"))
+    found = F.concat(links, texts) if mail_links else texts
+    rows = df.select(*keys, F.posexplode(found).alias("pos", "c"))
     rows = rows.select(*keys, "pos", "c.email", "c.score")
+    if not shape:
+        return rows.where(~contains_any("email", block))
     return rows.where(emails.is_valid_email("email", block=block, bounds=bounds, parts=parts))
 
 
@@ -186,16 +193,18 @@ def candidate_pages(markup: Column | str, domain: Column | str, k: int = 8,
     """URLs worth reading next: hinted links of the page, then standard paths, first k."""
     base = F.concat(F.lit("https://"), col(domain))
 
-    def hinted(h: Column) -> Column:
-        low = F.lower(h)
-        wanted = (contains_any(low, rules.ABOUT_HINTS)
-                  & ~contains_any(low, rules.ABOUT_SKIPS))
+    def hinted(a: Column) -> Column:
+        h = a["href"]
+        # hints may stand in the link or in its text, skipped sections only in the link
+        both = F.lower(F.concat_ws("\n", h, a["text"]))
+        wanted = (contains_any(both, rules.ABOUT_HINTS)
+                  & ~contains_any(F.lower(h), rules.ABOUT_SKIPS))
         full = (F.when(F.startswith(h, F.lit("http")), h)
                 .when(F.startswith(h, F.lit("/")), F.concat(base, h))
                 .otherwise(F.concat(base, F.lit("/"), h)))
         return F.when(wanted & F.contains(full, col(domain)), full)
 
-    links = F.array_compact(F.transform(html.hrefs(markup), hinted))
+    links = F.array_compact(F.transform(html.anchors(markup), hinted))
     standard = F.array(*[F.concat(base, F.lit(p)) for p in paths])
     return F.slice(F.array_distinct(F.concat(links, standard)), 1, k)
 
@@ -235,15 +244,12 @@ def mention_candidates(text: Column, low: Column, table=patterns.SITE_PATTERNS,
     none = F.array().cast("array<struct<pat:int,whole:string,cand:string>>")
 
     def run(found: Column) -> Column:
-        out = []
-        for number, (pattern, needs) in enumerate(table, start=1):
-            guard = F.lit(False)
-            for n in needs:
-                guard = guard | F.get(found, F.lit(literals.index(n)))
-            out.append(F.when(guard, _hits(text, pattern, number, flags)).otherwise(none))
-        return F.concat(*out)
+        return F.concat(*[
+            F.when(F.arrays_overlap(found, text_array(needs)),
+                   _hits(text, pattern, number, flags)).otherwise(none)
+            for number, (pattern, needs) in enumerate(table, start=1)])
 
-    return let(F.array(*[F.contains(low, F.lit(n)) for n in literals]), run)
+    return let(F.filter(text_array(literals), lambda n: F.contains(low, n)), run)
 
 
 def _reading(first: Column, last: Column, kind: str, *single: Column) -> Column:
@@ -259,17 +265,17 @@ def _readings(x: Column, stop: Sequence[str]) -> Column:
 
     def family(pieces: Column) -> Column:
         first = capitalize(F.get(words(F.get(pieces, F.lit(0))), F.lit(0)))
-        tail = words(F.element_at(pieces, -1))
+        tail = words(F.try_element_at(pieces, F.lit(-1)))
         return F.array(F.when((F.size(tail) >= 2) & first.isNotNull(), _reading(
-            first, capitalize(F.element_at(tail, -1)), "_family")))
+            first, capitalize(F.try_element_at(tail, F.lit(-1))), "_family")))
 
     def only_words(c: Column) -> Column:
         return F.transform(F.filter(words(c), lambda w: w.rlike(r"^\p{L}+$")), capitalize)
 
     def pair(p: Column) -> Column:
         one, two = p["one"], p["two"]
-        a, z = F.get(one, F.lit(0)), F.element_at(one, -1)
-        b, y = F.get(two, F.lit(0)), F.element_at(two, -1)
+        a, z = F.get(one, F.lit(0)), F.try_element_at(one, F.lit(-1))
+        b, y = F.get(two, F.lit(0)), F.try_element_at(two, F.lit(-1))
         return F.array(
             F.when(F.size(one) >= 2, _reading(a, z, "_cofounder")),
             F.when((F.size(one) == 1) & (F.size(two) >= 2), _reading(a, y, "_cofounder")),
@@ -303,7 +309,7 @@ def _resolve(x: Column, name_list: Sequence[str], stop: Sequence[str], brand: Co
              domain: Column) -> Column:
     """First reading of a candidate that is a plausible name, or NULL."""
     year = F.regexp_extract(x["whole"], patterns.FOUNDING_YEAR_PATTERN, 1)
-    old = (year != "") & (year.cast("int") < patterns.FOUNDING_YEAR_FLOOR)
+    old = (year != "") & (year.try_cast("int") < patterns.FOUNDING_YEAR_FLOOR)
     titled = F.lower(x["cand"]).rlike("^(?:" + any_of(rules.HONORIFICS) + ")")
     good = F.filter(_readings(x, stop), lambda r: F.forall(r["names"], lambda n: (
         names.plausible_name(n, name_list, stop, brand, domain))))
@@ -421,7 +427,7 @@ def feed_author(markup: Column | str) -> Column:
     named = F.size(parts) >= 2
     return F.struct(email.alias("email"),
                     F.when(named, capitalize(F.get(parts, F.lit(0)))).alias("first_name"),
-                    F.when(named, capitalize(F.element_at(parts, -1))).alias("last_name"))
+                    F.when(named, capitalize(F.try_element_at(parts, F.lit(-1)))).alias("last_name"))
 
 
 def api_author(body: Column | str) -> Column:
@@ -433,7 +439,7 @@ def api_author(body: Column | str) -> Column:
 
     def make(p: Column, source: str) -> Column:
         return F.struct(capitalize(F.get(p, F.lit(0))).alias("first_name"),
-                        capitalize(F.element_at(p, -1)).alias("last_name"),
+                        capitalize(F.try_element_at(p, F.lit(-1))).alias("last_name"),
                         F.lit(source).alias("source"))
 
     return (F.when(F.size(parts) >= 2, make(parts, "author_api"))
@@ -532,7 +538,7 @@ def answer_owner(text: Column | str) -> Column:
     one = F.regexp_extract(col(text), patterns.ANSWER_PAIR_PATTERN, 1)
     return (F.when(F.size(whole) >= 2, F.struct(
         capitalize(F.get(whole, F.lit(0))).alias("first_name"),
-        capitalize(F.element_at(whole, -1)).alias("last_name")))
+        capitalize(F.try_element_at(whole, F.lit(-1))).alias("last_name")))
         .when(one != "", F.struct(capitalize(one).alias("first_name"),
                                   F.lit("").alias("last_name"))))
 
@@ -545,7 +551,7 @@ def dns_json(df: DataFrame, body: str, keys: Sequence[str]) -> DataFrame:
     two = value.rlike(r"^\d+\s+\S")
     return (rows.where(value != "")
             .select(*keys,
-                    F.when(two, F.regexp_extract(value, r"^(\d+)\s", 1).cast("int"))
+                    F.when(two, F.regexp_extract(value, r"^(\d+)\s", 1).try_cast("int"))
                     .otherwise(10).alias("pref"),
                     F.when(two, F.regexp_replace(value, r"^\d+\s+", ""))
                     .otherwise(value).alias("host")))

@@ -160,7 +160,7 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
                        .otherwise(extract.registration_text_person("body")))
         named = let(person, lambda p: F.when(F.size(p) >= 2, F.struct(
             capitalize(F.get(p, F.lit(0))).alias("first_name"),
-            capitalize(F.element_at(p, -1)).alias("last_name"))))
+            capitalize(F.try_element_at(p, F.lit(-1))).alias("last_name"))))
         out.append(people.evidence(people_of(rows, named), 4.0, "registration", "HIGH"))
     if bios is not None:
         rows = with_brand(bios).select("domain", "brand", extract.bio_text("html").alias("bio"))

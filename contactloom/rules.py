@@ -412,6 +412,7 @@ COUNTRY_RULES = {
                ((".ca",), "Canada"), ((".au", ".com.au"), "Australia"), ((".in",), "India"),
                "International"),
     "binary": (((".com", ".us"), "United States"), "International"),
+    "com_only": (((".com",), "United States"), "International"),
 }
 TWO_LEVEL_CODES = {"co.uk": "UK", "org.uk": "UK", "me.uk": "UK", "ltd.uk": "UK",
                    "com.au": "AU", "net.au": "AU", "org.au": "AU"}
@@ -495,6 +496,10 @@ HEADER_COLUMNS = {
     "E-commerce Platform": "platform", "Sub-Niche": "sub_niche",
     "Employee Band": "employee_band",
 }
+# Defaults of the inbox step
+INBOX_DEFAULTS = {"first_name": "Founder", "last_name": "Team",
+                  "title": "Founder / Marketing Lead", "country": "United States"}
+INBOX_DEFAULT_CATEGORY = APPAREL
 DMARC_ON, DMARC_OFF = "Configured (v=DMARC1)", "Not Configured"
 SPF_ON, SPF_OFF = "Configured", "None"
 SLICE_COLUMNS = ("domain", "brand", "niche", "tech", "employees")

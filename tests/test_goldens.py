@@ -223,6 +223,15 @@ def test_contact_link_styles(page):
     assert got.a == got.b == got.c == "https://bloom.test/pages/Contact-Us"
 
 
+def test_next_pages_use_link_texts(spark):
+    df = spark.createDataFrame([("x.test", '<a href="/p/1"><b>Our Story</b></a><a href="/cart/'
+                                 'about">About</a><a href="team">t</a><a href="https://o.test/'
+                                 'about">o</a>')], "domain STRING, html STRING")
+    got = df.select(extract.candidate_pages("html", "domain", 3).alias("u")).first().u
+    assert got == ["https://x.test/p/1", "https://x.test/team",
+                   "https://x.test" + rules.ABOUT_PATHS[0]]
+
+
 def test_title_and_visible_text(page):
     got = page.select(html.title_of("html").alias("t"), html.visible_text("html").alias("v"),
                       html.visible_text_dom("html").alias("d")).first()
@@ -257,6 +266,8 @@ def test_schema_person(spark, page):
     ("Handmade by hand in small lots", None),
     ("Geschäftsführer: Anna Miller", ("Anna", "Miller", "pat1")),
     ("Grundlægger: Søren Mikkelsen", ("Søren", "Mikkelsen", "pat19")),
+    ("Handmade by Andrea & Anna.", ("Andrea", "Anna", "pat8")),  # "and" splits names too
+    ("Handmade by Anna & Andrea.", ("Anna", "Andrea", "pat8")),
     ("nothing here", None)])
 def test_person_mentions(spark, text, want):
     df = spark.createDataFrame([(1, text, "", "")], "id INT, t STRING, b STRING, d STRING")
