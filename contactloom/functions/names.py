@@ -13,68 +13,71 @@ from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.functions.emails import local_part
-from contactloom.functions.text import alnum_fold, capitalize, col, let, words
+from contactloom.functions.text import alnum_fold, any_of, capitalize, col, let
+from contactloom.functions.text import text_array, words
 
 # ---------------------------------------------------------------- fixed values
 # Word endings and what replaces them
 # -----------------------------------------------------------------------------
-ENDINGS = (("ies$", "y"), ("es$", ""), ("s$", ""), ("ed$", ""), ("ed$", "e"), ("ing$", ""),
-           ("ing$", "e"), ("ers$", ""), ("ers$", "er"), ("er$", ""), ("er$", "e"))
+ENDINGS = ("ies>y", "es>", "s>", "ed>", "ed>e", "ing>", "ing>e", "ers>", "ers>er", "er>",
+           "er>e")
+# One capitalised word, or two to four words of which the first and last are capitalised
+NAME_SHAPE = r"^\p{Lu}\p{L}+(?:(?: \p{L}+){0,2} \p{Lu}\p{L}{1,29})?$"
 
 PERSON = "struct<first_name:string,last_name:string,source:string,confidence:string>"
 
 
 def _member(c: Column, entries: Sequence[str]) -> Column:
-    return c.isin(*entries) if entries else F.lit(False)
+    return F.array_contains(text_array(entries), c) if entries else F.lit(False)
 
 
 def word_stems(token: Column) -> Column:
     """The lower-case token and what remains of it without a common ending."""
     low = F.lower(token)
-    return F.array(low, *[F.regexp_replace(low, ending, rest) for ending, rest in ENDINGS])
+
+    def cut(rule: Column) -> Column:
+        ending = F.split_part(rule, F.lit(">"), F.lit(1))
+        rest = F.left(low, F.length(low) - F.length(ending))
+        return F.when(F.endswith(low, ending),
+                      F.concat(rest, F.split_part(rule, F.lit(">"), F.lit(2))))
+
+    return F.array_compact(F.array_append(F.transform(text_array(ENDINGS), cut), low))
 
 
 def plausible_name(name: Column | str, names: Sequence[str], stop: Sequence[str],
                    brand: Column | None = None, domain: Column | None = None,
                    strict: bool = False) -> Column:
-    """Can this text be a person's name? (one to four capitalised words)"""
-    def facts(parts: Column) -> Column:
-        n = F.size(parts)
-        first = F.get(parts, F.lit(0))
-        return F.struct(
-            parts.alias("parts"), n.alias("n"), first.alias("first"),
-            F.when(n > 1, F.get(parts, n - 1)).alias("last"),
-            F.concat_ws(" ", parts).alias("whole"),
-            _member(F.lower(first), names).alias("known"))
-
-    def check(x: Column) -> Column:
-        first, last, known = x["first"], x["last"], x["known"]
-        ok = (x["n"] >= 1) & (x["n"] <= 4) & first.rlike(r"^\p{Lu}")
-        ok = ok & F.forall(x["parts"], lambda p: p.rlike(r"^\p{L}+$"))
-        ok = ok & (F.length(first) >= 2) & (known | (F.length(first) > 3))
-        ok = ok & ((x["n"] > 1) | (known & (F.length(first) >= 3)))
-        ok = ok & (last.isNull() | (last.rlike(r"^\p{Lu}.{1,29}$")
-                                    & ~F.lower(last).isin(*rules.SURNAME_PARTICLES)))
+    """Can this text be a person's name? (one to four capitalised words)
+
+    Short or lone given names must be known ones, ``strict`` wants that of all. No word, nor
+    its stem, may be a stop word; the name must not be the brand or the domain label.
+    """
+    def check(whole: Column) -> Column:
+        first = F.substring_index(whole, " ", 1)
+        last = F.when(F.contains(whole, F.lit(" ")), F.substring_index(whole, " ", -1))
+        size = F.length(first)
+        known = _member(F.lower(first), names)
+        ok = whole.rlike(NAME_SHAPE) & F.when(
+            last.isNull(), known & (size >= 3)).otherwise(known | (size > 3))
+        ok = ok & ~whole.rlike(f"(?i) (?:{any_of(rules.SURNAME_PARTICLES)})$")
         if strict:
             ok = ok & known
         if stop:
-            ok = ok & ~F.exists(x["parts"],
-                                lambda p: F.exists(word_stems(p), lambda s: _member(s, stop)))
+            stems = F.flatten(F.transform(F.split(whole, " "), word_stems))
+            ok = ok & ~F.arrays_overlap(stems, text_array(stop))
         if brand is not None:
             tokens = F.split(F.lower(brand), "[^a-z0-9]+")
-            clash = (F.contains(alnum_fold(brand), alnum_fold(x["whole"]))
+            clash = (F.contains(alnum_fold(brand), alnum_fold(whole))
                      | ((F.length(last) >= 4) & F.array_contains(tokens, F.lower(last))))
-            ok = ok & ~((F.coalesce(brand, F.lit("")) != "")
-                        & F.coalesce(clash, F.lit(False)))
+            ok = ok & ~((brand != "") & F.coalesce(clash, F.lit(False)))
         if domain is not None:
             head = F.split_part(F.lower(domain), F.lit("."), F.lit(1))
-            clash = (F.lower(first) == head) | (F.lower(last) == head)
-            ok = ok & ~((F.coalesce(domain, F.lit("")) != "")
-                        & F.coalesce(clash, F.lit(False)))
+            clash = head.isin(F.lower(first), F.lower(last))
+            ok = ok & ~((domain != "") & F.coalesce(clash, F.lit(False)))
         return ok
 
-    ok = let(words(name), lambda parts: let(facts(parts), check))
-    return F.coalesce(ok, F.lit(False))
+    whole = F.trim(F.regexp_replace(col(name), r"\s+", " "))
+    return F.coalesce(let(whole, check), F.lit(False))
 
 
 def short_plausible_name(name: Column | str, names: Sequence[str],
