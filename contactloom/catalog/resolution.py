@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from contactloom import rules
 from contactloom.catalog.base import (FIRST, INBOX_LABEL_SQL, LAST, NEEDS, STOPS, TABLES_SQL,
                                       cards, dns_answers, evidence_rows, query, read, registry,
-                                      site_pages, sql_any, sql_pick, store, store_domain, visits)
+                                      site_pages, sql_any, sql_list, sql_pick, store,
+                                      store_domain, visits)
 from contactloom.catalog.extraction import _VOTES_SQL
-from contactloom.functions import domains, emails, names
-from contactloom.operators import (audit, classify, contacts, extract, generate, match, people,
-                                   rank, report)
+from contactloom.functions import emails, names
+from contactloom.operators import (audit, contacts, extract, generate, match, people, rank,
+                                   report)
 from contactloom.operators.generate import pick
 from contactloom.plans import flows
 
@@ -122,6 +123,26 @@ def _(spark, sf):
     return match.match_terms(part, F.split("p_name", " "), dim, "word", "left_anti")
 
 
+_FALLBACK_ROWS = [(t, i, c) for i, (c, terms) in enumerate(rules.FALLBACK_KEYWORDS)
+                  for t in terms]
+
+
+@query("classify_by_keyword_table", f"""
+SELECT seq, coalesce((SELECT arg_min(k.niche, k.prio) FROM (
+    SELECT unnest({sql_list([r[0] for r in _FALLBACK_ROWS])}) AS term,
+      unnest({[r[1] for r in _FALLBACK_ROWS]}) AS prio,
+      unnest({sql_list([r[2] for r in _FALLBACK_ROWS])}) AS niche) k
+  WHERE list_contains(string_split(tags || ' ' || brand, ' '), k.term)), '{rules.GENERAL}') AS niche
+FROM registry""", uses="registry")
+def _(spark, sf):
+    from contactloom.sources.readers import keyword_dim
+
+    table = keyword_dim(spark).where("ruleset = 'fallback'")
+    rows = registry(spark, sf).select("seq", "tags", "brand")
+    return match.classify_by_table(rows, "seq", F.split(F.concat_ws(" ", "tags", "brand"), " "),
+                                   table).select("seq", "niche")
+
+
 @query("host_containment", f"""
 SELECT doc_id, url FROM cards WHERE {sql_any('lower(url)', rules.DENIED_HOSTS)}""", uses="cards")
 def _(spark, sf):

@@ -46,15 +46,13 @@ def unique_mentions(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, F.array_distinct(mention_list(text)).alias("emails"))
 
 
-def sweep_emails(df: DataFrame, markup: str, domain: str, keys: Sequence[str],
-                 own_only: bool = True) -> DataFrame:
-    """Distinct addresses hidden in a page in any of four ways, with the first way found.
+def sweep_list(markup: Column | str, domain: Column | str, own_only: bool = True) -> Column:
+    """Distinct addresses hidden in a page in any of four ways, as (email, encoding) structs.
 
-    Encodings: ``mailto``, ``xor`` (hex attribute), ``entity`` (@ and dot as entities),
-    ``plain``. With ``own_only`` just the site's own, parent and sub-domains stay. Repeats
-    are dropped inside the row, without a shuffle.
+    Encodings, first one found: ``mailto``, ``xor`` (hex attribute), ``plain``, ``entity`` (@
+    and dot as entities). With ``own_only`` just the site's own, parent and sub-domains stay.
     """
-    page = col(markup)
+    page, domain = col(markup), col(domain)
 
     def all_of(pattern: str, source: Column) -> Column:
         return F.regexp_extract_all(source, F.lit(pattern), F.lit(1))
@@ -66,15 +64,21 @@ def sweep_emails(df: DataFrame, markup: str, domain: str, keys: Sequence[str],
     # what is plain text is found by the entity reading too: plain goes first
     hidden = F.filter(F.transform(all_of(rules.XOR_ATTRIBUTE_PATTERN, page), html.decode_xor),
                       lambda m: F.contains(m, F.lit("@")))
-    found = F.concat(
+    found = let(F.concat(
         tag(all_of(rules.MAILTO_ANY_PATTERN, page), "mailto"), tag(hidden, "xor"),
         tag(all_of(rules.SWEEP_EMAIL_PATTERN, page), "plain"),
-        tag(all_of(rules.SWEEP_EMAIL_PATTERN, html.decode_mail_entities(page)), "entity"))
-    rows = df.select(*keys, F.col(domain).alias("_domain"), F.inline(let(found, _first_per_email)))
-    if own_only:
-        rows = rows.where((F.size(F.split("email", "@")) == 2)
-                          & emails.belongs_to("email", F.col("_domain")))
-    return rows.drop("_domain")
+        tag(all_of(rules.SWEEP_EMAIL_PATTERN, html.decode_mail_entities(page)), "entity")),
+        _first_per_email)
+    if not own_only:
+        return found
+    return F.filter(found, lambda m: (F.size(F.split(m["email"], "@")) == 2)
+                    & emails.belongs_to(m["email"], domain))
+
+
+def sweep_emails(df: DataFrame, markup: str, domain: str, keys: Sequence[str],
+                 own_only: bool = True) -> DataFrame:
+    """One row per address of ``sweep_list``; repeats fall inside the row, no shuffle."""
+    return df.select(*keys, F.inline(sweep_list(markup, domain, own_only)))
 
 
 def _first_per_email(found: Column) -> Column:
@@ -82,6 +86,16 @@ def _first_per_email(found: Column) -> Column:
     return F.filter(found, lambda m, i: F.array_position(seen, m["email"]) == i + 1)
 
 
+def candidate_list(markup: Column | str, domain: Column | str, weights: str = "worker",
+                   mail_links: bool = True) -> Column:
+    """Addresses of a page with their scores: mail links first, then text mentions."""
+    links = F.transform(mailto_list(markup), lambda m: F.struct(
+        m.alias("email"), F.lit(rules.MAILTO_SCORE).alias("score")))
+    texts = F.transform(mention_list(markup), lambda m: F.struct(
+        m.alias("email"), emails.score_candidate(m, col(domain), weights).alias("score")))
+    return F.concat(links, texts) if mail_links else texts
+
+
 def page_candidates(df: DataFrame, markup: str, domain: str, keys: Sequence[str],
                     weights: str = "worker", block: Sequence[str] = rules.BLOCK_TERMS,
                     bounds: tuple[int, int | None] = (6, None), parts: str = "one",
@@ -90,12 +104,7 @@ def page_candidates(df: DataFrame, markup: str, domain: str, keys: Sequence[str]
 
     ``shape=False`` tests the block terms only, not the form of the address.
     """
-    links = F.transform(mailto_list(markup), lambda m: F.struct(
-        m.alias("email"), F.lit(rules.MAILTO_SCORE).alias("score")))
-    texts = F.transform(mention_list(markup), lambda m: F.struct(
-        m.alias("email"),
-        emails.score_candidate(m, F.col(domain), weights).alias("score")))
-    found = F.concat(links, texts) if mail_links else texts
+    found = candidate_list(markup, domain, weights, mail_links)
     rows = df.select(*keys, F.posexplode(found).alias("pos", "c"))
     rows = rows.select(*keys, "pos", "c.email", "c.score")
     if not shape:
@@ -155,7 +164,8 @@ def contact_link(markup: Column | str, domain: Column | str, style: str = "worke
     base = F.concat(F.lit("https://"), domain)
     if style == "own":
         # the site's own host is compared per link, so the pattern stays a constant
-        path = r"(/pages/[^\"'\s>#]*contact[^\"'\s>#]*|/contact[^\"'\s>#]*|/pages/[^\"'\s>#]*reach-us[^\"'\s>#]*)"
+        path = (r"(/pages/[^\"'\s>#]*contact[^\"'\s>#]*|/contact[^\"'\s>#]*"
+                r"|/pages/[^\"'\s>#]*reach-us[^\"'\s>#]*)")
         host = F.replace(F.lower(domain), F.lit("www."), F.lit(""))
         links = F.regexp_extract_all(col(markup), F.lit(r"""(?i)href=["']([^"']*)["']"""),
                                      F.lit(1))
@@ -319,21 +329,53 @@ def _resolve(x: Column, name_list: Sequence[str], stop: Sequence[str], brand: Co
             F.concat(F.lit("pat"), x["pat"].cast("string"), r["kind"]).alias("source")))))
 
 
+def person_candidates(df: DataFrame, text: str, keys: Sequence[str],
+                      table=patterns.SITE_PATTERNS, flags: str = "(?i)") -> DataFrame:
+    """Pattern hits of a text as one small array, ``mentions``. Needs neither brand nor names,
+    so long texts are left behind before anything is joined."""
+    base = df.select(*keys, F.col(text).alias("_text"), F.lower(F.col(text)).alias("_low"))
+    return base.select(*keys, mention_candidates(F.col("_text"), F.col("_low"), table, flags)
+                       .alias("mentions"))
+
+
+def resolve_candidates(df: DataFrame, brand: str, domain: str, keys: Sequence[str],
+                       name_list: Sequence[str], stop: Sequence[str]) -> DataFrame:
+    """First candidate of ``mentions`` that is a plausible name, by pattern and position."""
+    hits = F.array_compact(F.transform("mentions", lambda x: _resolve(
+        x, name_list, stop, F.col(brand), F.col(domain))))
+    # a generator over the first hit: texts without one give no row, nothing runs twice
+    return df.select(*keys, F.inline(F.slice(hits, 1, 1)))
+
+
 def person_mentions(df: DataFrame, text: str, brand: str, domain: str, keys: Sequence[str],
                     name_list: Sequence[str], stop: Sequence[str],
                     table=patterns.SITE_PATTERNS, flags: str = "(?i)") -> DataFrame:
     """First person a text names, by pattern order and then by position.
 
-    ``flags=""`` keeps the patterns' capitals meaningful; the default follows
-    the case-blind reading, with the name check as the only guard.
+    ``flags=""`` keeps the patterns' capitals meaningful; the default follows the
+    case-blind reading, with the name check as the only guard.
     """
-    base = df.select(*keys, F.col(text).alias("_text"), F.lower(F.col(text)).alias("_low"),
-                     F.col(brand).alias("_brand"), F.col(domain).alias("_domain"))
-    hits = F.array_compact(F.transform(
-        mention_candidates(F.col("_text"), F.col("_low"), table, flags),
-        lambda x: _resolve(x, name_list, stop, F.col("_brand"), F.col("_domain"))))
-    # a generator over the first hit: texts without one give no row, nothing runs twice
-    return base.select(*keys, F.inline(F.slice(hits, 1, 1)))
+    named = df.withColumns({"_brand": F.col(brand), "_domain": F.col(domain)})
+    found = person_candidates(named, text, [*keys, "_brand", "_domain"], table, flags)
+    return resolve_candidates(found, "_brand", "_domain", keys, name_list, stop)
+
+
+def read_pages(pages: DataFrame, markup: str = "html", domain: str = "domain",
+               path: str = "path_no") -> DataFrame:
+    """Everything the person flow wants of a page, read in one pass over its markup.
+
+    Gives domain, path_no and small arrays or structs: ``emails`` (own addresses),
+    ``schema`` (schema.org names), ``handle`` (channel handle as a name), ``mentions``
+    (pattern hits of the visible text). Row-local: the markup is never shuffled.
+    """
+    site = domains.clean_domain(domain)
+    keyed = pages.select(
+        site.alias("domain"), F.col(path).alias("path_no"),
+        sweep_list(markup, site).alias("emails"), schema_list(markup).alias("schema"),
+        names.handle_name(F.regexp_extract(markup, patterns.VIDEO_HANDLE_PATTERN, 1))
+        .alias("handle"), html.visible_text(markup).alias("_visible"))
+    return person_candidates(keyed, "_visible",
+                             ["domain", "path_no", "emails", "schema", "handle"])
 
 
 def page_person(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
@@ -410,7 +452,15 @@ def schema_person(df: DataFrame, markup: str, keys: Sequence[str], name_list: Se
                   stop: Sequence[str], brand: str | None = None,
                   domain: str | None = None) -> DataFrame:
     """First plausible name of the page's schema.org blocks."""
-    good = F.filter(schema_list(markup), lambda p: names.plausible_name(
+    return schema_choice(df.withColumn("_schema", schema_list(markup)), "_schema", keys,
+                         name_list, stop, brand, domain)
+
+
+def schema_choice(df: DataFrame, listed: str, keys: Sequence[str], name_list: Sequence[str],
+                  stop: Sequence[str], brand: str | None = None,
+                  domain: str | None = None) -> DataFrame:
+    """First plausible name of a ``schema_list`` column."""
+    good = F.filter(listed, lambda p: names.plausible_name(
         F.concat_ws(" ", p["first_name"], p["last_name"]), name_list, stop,
         F.col(brand) if brand else None, F.col(domain) if domain else None))
     first = df.select(*keys, F.inline(F.slice(good, 1, 1)))

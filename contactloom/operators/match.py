@@ -71,7 +71,8 @@ def attach_dns(contacts: DataFrame, dns: DataFrame, email: str = "email",
     """Contacts with the facts of their mail domain.
 
     Well-known mail domains, which hold the largest groups of addresses, are answered from
-    the rule table; the others meet the collapsed DNS table in a salted join. Adds mail_domain, has_mx, mx_host, provider, dmarc, spf.
+    the rule table; the others meet the collapsed DNS table in a salted join. Adds
+    mail_domain, has_mx, mx_host, provider, dmarc, spf.
     """
     rows = contacts.withColumn("mail_domain", emails.mail_domain(F.col(email)))
     listed = F.coalesce(F.col("mail_domain").isin(*known), F.lit(False))
@@ -135,6 +136,23 @@ def match_terms(df: DataFrame, words: Column, dim: DataFrame, term: str,
     return df.select("*", *ids).join(hits, ["_h1", "_h2"], how).select(*df.columns)
 
 
+def classify_by_table(df: DataFrame, key: str, words: Column, table: DataFrame,
+                      default: str = rules.GENERAL) -> DataFrame:
+    """Category by whole words out of a keyword table (term, prio, niche), first prio wins.
+
+    For keyword lists that are data rather than rules: words and terms meet in an
+    equi-join, whatever the size of the table. ``key`` identifies a row.
+    """
+    terms = table.groupBy("term").agg(F.min(F.struct("prio", "niche")).alias("_rule"))
+    found = df.select(key, F.explode(F.array_distinct(words)).alias("term"))
+    found = (found.join(F.broadcast(terms), "term", "left") if is_small(terms)
+             else salted_lookup(found, terms, "term"))
+    best = (found.where("_rule IS NOT NULL").groupBy(key)
+            .agg(F.min("_rule")["niche"].alias("niche")))
+    joined = salted_lookup(df, best, key)
+    return joined.withColumn("niche", F.coalesce("niche", F.lit(default)))
+
+
 def confirm_candidates(people: DataFrame, profiles: DataFrame, key: str, k: int = 4,
                        form: str = "standard") -> DataFrame:
     """First of a person's top k address variants that was observed, per key.

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contactloom import patterns, rules
-from contactloom.functions import domains, emails, html, names
+from contactloom import rules
+from contactloom.functions import domains, emails, names
 from contactloom.functions.text import capitalize, let, words
 from contactloom.operators import classify, contacts, extract, match, people, rank
 from contactloom.operators.join import salted_lookup
+from contactloom.session import materialise
 
 
 def registry_to_work_list(registry: DataFrame, seen: DataFrame,
@@ -43,13 +44,16 @@ def pages_to_contacts(pages: DataFrame, stores: DataFrame, dns_answers: DataFram
 
     ``pages``: domain, path_no, html (first page 0). ``stores``: domain, brand, niche.
     """
-    base = pages.select("domain", "path_no", "html")
-    found = extract.page_candidates(base, "html", "domain", ["domain", "path_no"],
-                                    block=block)
+    # pages are read once: what was found is small, is written, and feeds both branches
+    read = materialise(pages.select(
+        "domain", "path_no", extract.candidate_list("html", "domain").alias("found"),
+        *extract.page_socials("html")))
+    found = read.select("domain", "path_no", F.posexplode("found").alias("pos", "c"))
+    found = found.select("domain", "path_no", "pos", "c.*").where(
+        emails.is_valid_email("email", block=block))
     best = rank.first_wins(found, ["domain", "email"],
                            [F.col("score").desc(), F.col("path_no"), F.col("pos")])
-    social = extract.site_socials(
-        base.select("domain", "path_no", *extract.page_socials("html")), "domain", ["path_no"])
+    social = extract.site_socials(read, "domain", ["path_no"])
     related = rank.siblings(
         best.withColumn("ord", -F.col("score")), "domain", "email", n=10,
         order=["ord", "path_no", "pos"])
@@ -100,9 +104,10 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
                     companies: DataFrame | None = None) -> list[DataFrame]:
     """Evidence tables of the tiers beyond the row itself, from collected records.
 
-    Tables by domain: ``author_api`` and ``feeds`` (body), ``pages`` (path_no, html; 0 is
-    the home page), ``registrations`` (kind json or text, body), ``bios`` (html). ``cards``
-    as for ``extract.card_votes`` without brand. ``companies``: company_no, name, officers.
+    Tables by domain: ``author_api`` and ``feeds`` (body), ``pages`` (as ``read_pages`` gives
+    them; path_no 0 is the home page), ``registrations`` (kind json or text, body), ``bios``
+    (html). ``cards`` as for ``extract.card_votes`` without brand. ``companies``: company_no,
+    name, officers.
     """
     sites = rank.first_wins(
         inputs.select(domains.clean_domain("domain").alias("domain"), "brand")
@@ -130,22 +135,21 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
         found = people_of(with_brand(feeds), F.when(author["first_name"].isNotNull(), author))
         out.append(people.evidence(found, 0.1, "feed_author", "HIGH"))
     if pages is not None:
-        rows = with_brand(pages)
-        by_schema = extract.schema_person(rows, "html", ["domain", "path_no"], name_list, stop,
-                                          "brand", "domain")
+        # brand joins what was read of a page, never the page itself
+        some = pages.where("size(schema) > 0 OR size(mentions) > 0 OR handle IS NOT NULL")
+        rows = with_brand(some)
+        keys = ["domain", "path_no"]
+        by_schema = extract.schema_choice(rows, "schema", keys, name_list, stop, "brand",
+                                          "domain")
         out.append(people.evidence(by_schema, 2.0, "site_schema", "HIGH",
                                    pos=F.col("path_no") * 10))
-        texts = rows.select("domain", "brand", "path_no",
-                            html.visible_text("html").alias("text"))
-        by_text = extract.person_mentions(texts, "text", "brand", "domain",
-                                          ["domain", "path_no"], name_list, stop)
+        by_text = extract.resolve_candidates(rows, "brand", "domain", keys, name_list, stop)
         full = F.col("last_name") != ""
         by_text = by_text.where(full | (F.col("path_no") > 0))  # home page: full names only
         out.append(people.evidence(by_text, 2.0, "site_text", F.when(full, "HIGH")
                                    .otherwise("MEDIUM"), pos=F.col("path_no") * 10 + 2))
-        handle = names.handle_name(F.regexp_extract("html", patterns.VIDEO_HANDLE_PATTERN, 1))
         whole = names.full_name(F.col("first_name"), F.col("last_name"))
-        by_handle = people_of(rows.where("path_no = 0"), handle).where(
+        by_handle = people_of(rows.where("path_no = 0"), F.col("handle")).where(
             names.plausible_name(whole, name_list, stop, strict=True))
         out.append(people.evidence(by_handle, 2.0, "site_handle", "HIGH",
                                    pos=F.lit(1)))
@@ -191,9 +195,8 @@ def people_from_sources(inputs: DataFrame, name_list: Sequence[str], stop: Seque
     rows = inputs.withColumn("domain", domains.clean_domain("domain"))
     found = ["found_1", "found_2"]
     if sources.get("pages") is not None:
-        swept = extract.sweep_emails(
-            sources["pages"].withColumn("domain", domains.clean_domain("domain")), "html",
-            "domain", ["domain", "path_no"])
+        sources["pages"] = materialise(extract.read_pages(sources["pages"]))
+        swept = sources["pages"].select("domain", "path_no", F.inline("emails"))
         swept = swept.withColumns({"is_personal": emails.is_personal("email"),
                                    "pos": F.struct("path_no", "email")})
         best = rank.top_candidates(swept, "domain", 2, by="personal")

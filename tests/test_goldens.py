@@ -448,6 +448,33 @@ def test_first_wins_and_defaults(spark):
     assert got["c@y.test"].mx_status == "unknown" and got["c@y.test"].first_name == "C"
 
 
+def test_pages_to_contacts(spark):
+    pages = spark.createDataFrame([
+        ("bloomjewels.co.uk", 0, '<a href="https://instagram.com/bloom">i</a> info@bloomjewels.co.uk '
+         "bloomjewels.fan@gmail.com sprite@2x.png"),
+        ("bloomjewels.co.uk", 1, "support@other.test nomx@dead.test"),
+        ("empty.test", 0, "no address")], "domain STRING, path_no INT, html STRING")
+    stores = spark.createDataFrame([("bloomjewels.co.uk", "", "Extended DTC"),
+                                    ("empty.test", "E", "Jewelry")],
+                                   "domain STRING, brand STRING, niche STRING")
+    answers = spark.createDataFrame([
+        ("bloomjewels.co.uk", "MX", 1, "mx.zoho.eu"), ("bloomjewels.co.uk", "TXT", None, "v=spf1"),
+        ("other.test", "MX", 1, "mx.other.test"), ("dead.test", "TXT", None, "v=spf1")],
+        "domain STRING, rtype STRING, pref INT, data STRING")
+    got = {r.email: r for r in flows.pages_to_contacts(pages, stores, answers).collect()}
+    assert set(got) == {"info@bloomjewels.co.uk", "bloomjewels.fan@gmail.com",
+                        "support@other.test"}
+    own = got["info@bloomjewels.co.uk"]
+    assert (own.company, own.niche, own.country) == ("Bloomjewels", "Jewelry", "United Kingdom")
+    assert (own.mx_status, own.dmarc_status, own.spf_status, own.score) == (
+        "Valid (Zoho Mail)", "Not Configured", "Configured", "90%")
+    assert own.secondary_email == "bloomjewels.fan@gmail.com; support@other.test; nomx@dead.test"
+    assert own.instagram == "https://www.instagram.com/bloom" and own.facebook is None
+    assert own.title == "Founder / Marketing Lead"
+    assert got["bloomjewels.fan@gmail.com"].mx_status == "Valid (Google Workspace)"
+    assert got["support@other.test"].first_name == "Support"
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([("anna@x.test", "Anna", 95)], "email STRING, first_name STRING, "
                                "score INT")
