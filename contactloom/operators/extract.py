@@ -548,32 +548,50 @@ def rank_cards(cards: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
     return running_rank(rows, ["pos"], ["domain", "engine"], name="rank")
 
 
-def card_votes(cards: DataFrame, name_list: Sequence[str], stop: Sequence[str]) -> DataFrame:
-    """One vote per (domain, engine): the first ranked card that names a full person."""
-    rows = cards.withColumn("target", domains.unwrap("url"))
-    rows = rows.where(domains.trusted("target", "domain")
-                      & domains.grounded("text", "domain", "brand", stop))
-    keys = ["domain", "engine", "engine_rank", "pos"]
-    people = person_mentions(rows.withColumn("_b", F.col("brand")), "text", "_b", "domain",
-                             keys, name_list, stop).where("last_name <> ''")
+def read_cards(cards: DataFrame, name_list: Sequence[str], stop: Sequence[str]) -> DataFrame:
+    """First full person of every card that may be believed, with what it may be used for.
+
+    ``for_vote``: trusted source whose text speaks about the business. ``for_profile``: a
+    profile host that names the full domain.
+    """
+    target = domains.unwrap("url")
+    rows = cards.withColumn("_target", target)
+    rows = rows.withColumns({
+        "for_vote": domains.trusted("_target", "domain")
+        & domains.grounded("text", "domain", "brand", stop),
+        "for_profile": contains_any(F.lower("_target"), rules.PROFILE_HOSTS)
+        & F.contains(F.lower("text"), F.lower("domain"))})
+    keys = ["domain", "brand", "engine", "engine_rank", "pos", "for_vote", "for_profile"]
+    found = person_candidates(rows.where("for_vote OR for_profile"), "text", keys)
+    people = resolve_candidates(found, "brand", "domain", keys, name_list, stop)
+    return people.where("last_name <> ''")
+
+
+def votes_of(read: DataFrame) -> DataFrame:
+    """One vote per (domain, engine): the first believed card that names a full person."""
     best = F.min_by(F.struct("first_name", "last_name", "source"), "pos").alias("p")
-    return (people.groupBy("domain", "engine", "engine_rank").agg(best)
+    return (read.where("for_vote").groupBy("domain", "engine", "engine_rank").agg(best)
             .select("domain", "engine", "engine_rank", "p.*"))
 
 
-def profile_cards(cards: DataFrame, name_list: Sequence[str],
-                  stop: Sequence[str]) -> DataFrame:
-    """First full person per domain on cards of profile hosts that name the full domain."""
-    rows = cards.withColumn("_t", F.lower(domains.unwrap("url")))
-    rows = rows.where(contains_any("_t", rules.PROFILE_HOSTS)
-                      & F.contains(F.lower("text"), F.lower("domain")))
-    found = person_mentions(rows.withColumn("_d", F.col("domain")), "text", "brand", "_d",
-                            ["domain", "brand", "engine_rank", "pos"], name_list, stop)
+def profiles_of(read: DataFrame) -> DataFrame:
+    """First person per domain on cards of profile hosts."""
     best = F.min_by(F.struct("first_name", "last_name"), F.struct("engine_rank", "pos"))
-    return (found.where("last_name <> ''").groupBy("domain").agg(best.alias("p"))
+    return (read.where("for_profile").groupBy("domain").agg(best.alias("p"))
             .select("domain", "p.*"))
 
 
+def card_votes(cards: DataFrame, name_list: Sequence[str], stop: Sequence[str]) -> DataFrame:
+    """Votes straight from the cards."""
+    return votes_of(read_cards(cards, name_list, stop))
+
+
+def profile_cards(cards: DataFrame, name_list: Sequence[str],
+                  stop: Sequence[str]) -> DataFrame:
+    """Profile-host findings straight from the cards."""
+    return profiles_of(read_cards(cards, name_list, stop))
+
+
 def profile_head(text: Column | str) -> Column:
     """``First Last - headline`` at the start of a profile card, as a struct or NULL."""
     head = words(F.regexp_extract(col(text), patterns.PROFILE_HEAD_PATTERN, 1))

@@ -154,9 +154,10 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
         out.append(people.evidence(by_handle, 2.0, "site_handle", "HIGH",
                                    pos=F.lit(1)))
     if cards is not None:
-        votes = people.vote(extract.card_votes(with_brand(cards), name_list, stop))
+        read = materialise(extract.read_cards(with_brand(cards), name_list, stop))
+        votes = people.vote(extract.votes_of(read))
         out.append(people.evidence(votes, 3.0, "search", F.col("conf")))
-        directory = extract.profile_cards(with_brand(cards), name_list, stop)
+        directory = extract.profiles_of(read)
         out.append(people.evidence(directory, 4.1, "directory_cards", "HIGH"))
     if registrations is not None:
         rows = with_brand(registrations)

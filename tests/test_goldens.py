@@ -423,6 +423,67 @@ def test_known_answers(spark):
         assert (r.confidence == "STANDARD") == (r.want == "")
 
 
+def test_people_from_every_kind_of_record(spark):
+    """Each site is solved by one kind of record; the tiers decide where several speak."""
+    sites = ["api", "feed", "schema", "about", "channel", "votes", "whois", "listed", "bio",
+             "register", "profile", "nothing", "both"]
+    inputs = spark.createDataFrame(
+        [(f"{s}goods.test" if s != "register" else "registergoods.com", f"{s} Goods",
+          f"info@{s}goods.test", "") for s in sites],
+        "domain STRING, brand STRING, email STRING, secondary_email STRING")
+    api = spark.createDataFrame([("apigoods.test", '[{"name":"Anna Hall"}]')],
+                                "domain STRING, body STRING")
+    feeds = spark.createDataFrame([("feedgoods.test", "<author>Mary Hall</author>")],
+                                  "domain STRING, body STRING")
+    pages = spark.createDataFrame([
+        ("schemagoods.test", 0, '<script type="application/ld+json">{"@type":"Store","founder":'
+         '{"name":"Grace Hall"}}</script>'),
+        ("aboutgoods.test", 0, "Meet Anna, our founder"), ("aboutgoods.test", 1,
+         "Founded by Peter Hall. peter.hall@aboutgoods.test"),
+        ("channelgoods.test", 0, '<a href="https://youtube.com/@JohnHall">v</a>'),
+        ("bothgoods.test", 1, "Founded by Peter Hall.")],
+        "domain STRING, path_no INT, html STRING")
+    cards = spark.createDataFrame([
+        ("votesgoods.test", "yahoo", 0, 0, "https://n.test", "votesgoods.test founded by Ada Hall"),
+        ("votesgoods.test", "bing", 2, 0, "https://n.test", "votesgoods.test founded by Ada Hall"),
+        ("listedgoods.test", "yahoo", 0, 0, "https://www.crunchbase.com/pub/dir/x",
+         "listedgoods.test founded by Mary Hall"),
+        ("bothgoods.test", "yahoo", 0, 0, "https://n.test", "bothgoods.test founded by Ada Hall")],
+        "domain STRING, engine STRING, engine_rank INT, pos INT, url STRING, text STRING")
+    registrations = spark.createDataFrame(
+        [("whoisgoods.test", "text", "Registrant Name: Grace Hall")],
+        "domain STRING, kind STRING, body STRING")
+    bios = spark.createDataFrame([("biogoods.test", '"biography":"Owner: Anna Hall"')],
+                                 "domain STRING, html STRING")
+    companies = spark.createDataFrame([("1", "Register Goods Ltd", ["HALL, John Paul"])],
+                                      "company_no STRING, name STRING, officers ARRAY<STRING>")
+    profiles = spark.createDataFrame([("info@profilegoods.test", "mary hall"),
+                                      ("info@apigoods.test", "Other Person")],
+                                     "email STRING, display_name STRING")
+    out = flows.people_from_sources(
+        inputs, NAMES, STOP, profiles.select(emails.email_hash("email").alias("email_hash"),
+                                             "display_name"),
+        author_api=api, feeds=feeds, pages=pages, cards=cards, registrations=registrations,
+        bios=bios, companies=companies)
+    got = {r.brand.split()[0]: (r.full_name, r.confidence, r.source_chain) for r in out.collect()}
+    assert got == {
+        "api": ("Anna Hall", "HIGH", "author_api"), "feed": ("Mary Hall", "HIGH", "feed_author"),
+        "schema": ("Grace Hall", "HIGH", "site_schema"),
+        "about": ("Peter Hall", "HIGH", "email_first_last"),
+        "channel": ("John Hall", "HIGH", "site_handle"),
+        "votes": ("Ada Hall", "VERIFIED", "search"),
+        "whois": ("Grace Hall", "HIGH", "registration"),
+        "listed": ("Mary Hall", "HIGH", "directory_cards"),
+        "bio": ("Anna Hall", "HIGH", "profile_bio"),
+        "register": ("John Hall", "HIGH", "company_register"),
+        "profile": ("Mary Hall", "HIGH", "profile"),
+        "nothing": ("", "STANDARD", "store_inbox"), "both": ("Peter Hall", "HIGH", "site_text")}
+    by_site = {r.brand.split()[0]: r for r in out.collect()}
+    assert by_site["about"].person_email == "peter.hall@aboutgoods.test"
+    assert by_site["about"].email_pattern == "site_discovered"
+    assert by_site["api"].profile_found and not by_site["bio"].profile_found
+
+
 def test_confirm_candidates(spark):
     persons = spark.createDataFrame([("k", "Anna", "Miller", "x.test"),
                                      ("z", "Mary", "Hall", "y.test")],
