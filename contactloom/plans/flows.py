@@ -190,8 +190,8 @@ def people_from_sources(inputs: DataFrame, name_list: Sequence[str], stop: Seque
 
     ``inputs``: domain, brand, email, secondary_email. Addresses found on the site's pages
     join the row's own ones; the best personal one replaces the inbox. A profile that is
-    registered for the address or for one of four variants names the person where nothing
-    else did. No made-up address is ever returned.
+    registered for the address names the person where nothing else did. No made-up address is
+    ever returned.
     """
     rows = inputs.withColumn("domain", domains.clean_domain("domain"))
     found = ["found_1", "found_2"]
