@@ -243,13 +243,14 @@ def limit_ranked(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFr
 
 
 def siblings(df: DataFrame, domain: str, email: str, n: int = 3, sep: str = "; ",
-             order: Sequence[str] = ("pos",)) -> DataFrame:
+             order: Sequence[str] = ("pos",), distinct: bool = True) -> DataFrame:
     """For each address the first n other addresses of its domain, as one text.
 
     Only the first n + 1 distinct addresses of a domain are collected; that is all any
     of its addresses can need. ``sibling_rows`` gives the complete set in long form.
+    ``distinct=False`` is for input that has each address of a domain once already.
     """
-    unique = first_wins(df, [domain, email], order)
+    unique = first_wins(df, [domain, email], order) if distinct else df
     head = top_n(unique, [domain], n + 1, [*order, email], name="_rank", salts=1)
     lists = (head.groupBy(domain)
              .agg(F.array_sort(F.collect_list(F.struct("_rank", email))).alias("_head")))

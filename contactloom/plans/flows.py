@@ -56,7 +56,7 @@ def pages_to_contacts(pages: DataFrame, stores: DataFrame, dns_answers: DataFram
     social = extract.site_socials(read, "domain", ["path_no"])
     related = rank.siblings(
         best.withColumn("ord", -F.col("score")), "domain", "email", n=10,
-        order=["ord", "path_no", "pos"])
+        order=["ord", "path_no", "pos"], distinct=False)
     facts = match.deliverable(match.attach_dns(
         related.select("domain", "email", "score", "secondary_email"),
         match.collapse_dns(dns_answers, "inbox", gate=True)))
