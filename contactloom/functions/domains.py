@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.functions.text import any_of, blank_to_null, capitalize, col, contains_any
-from contactloom.functions.text import render, title_case
+from contactloom.functions.text import let, render, title_case
 
 
 def clean_domain(c: Column | str, mode: str = "prefix", www: bool = True) -> Column:
@@ -134,33 +134,38 @@ def grounded(text: Column | str, domain: Column | str, brand: Column | str,
 
     ``strict=False`` is the older rule: stem of four letters or enough brand tokens.
     """
-    low, dom = F.lower(col(text)), F.lower(col(domain))
+    dom = F.lower(col(domain))
     head = stem(dom)
     parts = F.filter(F.split(F.lower(col(brand)), "[^a-z0-9]+"), lambda t: t != "")
-    if not strict:
+
+    def is_stop(t: Column) -> Column:
+        return F.regexp_replace(t, "[^a-z]", "").isin(*stop) if stop else F.lit(False)
+
+    def older(low: Column) -> Column:
         tokens = F.filter(parts, lambda t: (F.length(t) >= 3) & ~t.isin(
             "the", "and", "shop", "store", "online", "inc", "llc", "ltd"))
         hits = F.size(F.filter(tokens, lambda t: F.contains(low, t)))
         return (((F.length(head) >= 4) & F.contains(low, head))
                 | ((F.size(tokens) > 0) & (hits >= F.least(F.lit(2), F.size(tokens)))))
 
-    def is_stop(t: Column) -> Column:
-        return F.regexp_replace(t, "[^a-z]", "").isin(*stop) if stop else F.lit(False)
-
-    full = F.contains(low, dom)
-    distinctive = head.rlike("[0-9-]") | (F.length(head) >= 8)
-    by_stem = distinctive & ~is_stop(head) & F.contains(low, head)
-    lead = F.filter(parts, lambda t: (F.length(t) >= 2)
-                    & ~t.isin(*rules.GROUNDING_PREFIX_STOPS))
-    by_prefix = (F.size(lead) >= 2) & F.contains(
-        low, F.concat_ws(" ", F.get(lead, F.lit(0)), F.get(lead, F.lit(1))))
-    tokens = F.filter(parts, lambda t: (F.length(t) >= 4)
-                      & ~t.isin(*rules.GROUNDING_TOKEN_STOPS)
-                      & (~t.isin(*stop) if stop else F.lit(True)))
-    hits = F.size(F.filter(tokens, lambda t: F.contains(low, t)))
-    single = F.get(tokens, F.lit(0))
-    by_single = ((F.size(tokens) == 1) & (F.length(single) >= 6) & ~is_stop(single)
-                 & (single.rlike("[0-9-]") | (F.length(single) >= 8)) & (hits >= 1))
-    by_many = (F.size(tokens) >= 2) & (hits >= 2)
-    return full | ((F.length(head) >= 6)
-                   & F.coalesce(by_stem | by_prefix | by_single | by_many, F.lit(False)))
+    def current(low: Column) -> Column:
+        full = F.contains(low, dom)
+        distinctive = head.rlike("[0-9-]") | (F.length(head) >= 8)
+        by_stem = distinctive & ~is_stop(head) & F.contains(low, head)
+        lead = F.filter(parts, lambda t: (F.length(t) >= 2)
+                        & ~t.isin(*rules.GROUNDING_PREFIX_STOPS))
+        by_prefix = (F.size(lead) >= 2) & F.contains(
+            low, F.concat_ws(" ", F.get(lead, F.lit(0)), F.get(lead, F.lit(1))))
+        tokens = F.filter(parts, lambda t: (F.length(t) >= 4)
+                          & ~t.isin(*rules.GROUNDING_TOKEN_STOPS)
+                          & (~t.isin(*stop) if stop else F.lit(True)))
+        hits = F.size(F.filter(tokens, lambda t: F.contains(low, t)))
+        single = F.get(tokens, F.lit(0))
+        by_single = ((F.size(tokens) == 1) & (F.length(single) >= 6) & ~is_stop(single)
+                     & (single.rlike("[0-9-]") | (F.length(single) >= 8)) & (hits >= 1))
+        by_many = (F.size(tokens) >= 2) & (hits >= 2)
+        return full | ((F.length(head) >= 6)
+                       & F.coalesce(by_stem | by_prefix | by_single | by_many, F.lit(False)))
+
+    # the lower-case text is bound once for all tests
+    return let(F.lower(col(text)), current if strict else older)

@@ -259,7 +259,9 @@ def mention_candidates(text: Column, low: Column, table=patterns.SITE_PATTERNS,
                    _hits(text, pattern, number, flags)).otherwise(none)
             for number, (pattern, needs) in enumerate(table, start=1)])
 
-    return let(F.filter(text_array(literals), lambda n: F.contains(low, n)), run)
+    # bound outside the lambda: the lower-case text is made once, not once per literal
+    return let(low, lambda known: let(
+        F.filter(text_array(literals), lambda n: F.contains(known, n)), run))
 
 
 def _reading(first: Column, last: Column, kind: str, *single: Column) -> Column:
@@ -554,15 +556,17 @@ def read_cards(cards: DataFrame, name_list: Sequence[str], stop: Sequence[str])
     ``for_vote``: trusted source whose text speaks about the business. ``for_profile``: a
     profile host that names the full domain.
     """
-    target = domains.unwrap("url")
-    rows = cards.withColumn("_target", target)
-    rows = rows.withColumns({
-        "for_vote": domains.trusted("_target", "domain")
-        & domains.grounded("text", "domain", "brand", stop),
-        "for_profile": contains_any(F.lower("_target"), rules.PROFILE_HOSTS)
-        & F.contains(F.lower("text"), F.lower("domain"))})
+    rows = cards.withColumn("_target", domains.unwrap("url"))
+    vote = (domains.trusted("_target", "domain")
+            & domains.grounded("text", "domain", "brand", stop))
+    profile = (contains_any(F.lower("_target"), rules.PROFILE_HOSTS)
+               & F.contains(F.lower("text"), F.lower("domain")))
+    # a generator keeps the tests from running once to filter and once to show
+    flags = F.array(F.struct(vote.alias("for_vote"), profile.alias("for_profile")))
+    rows = rows.select("*", F.inline(F.filter(
+        flags, lambda f: f["for_vote"] | f["for_profile"])))
     keys = ["domain", "brand", "engine", "engine_rank", "pos", "for_vote", "for_profile"]
-    found = person_candidates(rows.where("for_vote OR for_profile"), "text", keys)
+    found = person_candidates(rows, "text", keys)
     people = resolve_candidates(found, "brand", "domain", keys, name_list, stop)
     return people.where("last_name <> ''")
 
