@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contactloom.llm.catalog import query, table
 from contactloom.llm.near import near_duplicates
+from contactloom.llm.packing import pack
+from contactloom.llm.quality import quality
 
 
 @query("op6_minhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"),
+                public_tokenizers.path("word_bpe_49k.json"), end_id=2, size=4096)
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
