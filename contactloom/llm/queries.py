@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from contactloom.llm import queries_documents  # noqa: F401
+from contactloom.llm import queries_documents, queries_pages  # noqa: F401
 from contactloom.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
