@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from contactloom.llm.catalog import query, table
 from contactloom.llm.near import near_duplicates
 from contactloom.llm.packing import pack
+from contactloom.llm.passages import remove_repeats
 from contactloom.llm.quality import quality
 
 
@@ -27,3 +28,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, width=35).select("doc_id", "n_words", "n_removed",
+                                                 "kept_sha256")
