@@ -6,12 +6,49 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contactloom.llm.catalog import query, table
+from contactloom.llm.decontaminate import passages
 from contactloom.llm.near import near_duplicates
 from contactloom.llm.packing import pack
 from contactloom.llm.passages import remove_repeats
 from contactloom.llm.quality import quality
 
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
+  FROM benchmark),
+i AS (SELECT item_id, w, len(w) AS n, least(len(w), 13) AS width FROM b WHERE len(w) >= 8),
+dt AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS k, len(w) AS size
+       FROM d),
+it AS (SELECT item_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS k, n, width FROM i),
+same AS (
+  SELECT doc_id, size, item_id, n, width, dt.k - it.k AS shift, it.k AS k
+  FROM dt JOIN it USING (t)),
+likely AS (
+  SELECT doc_id, item_id, shift FROM same GROUP BY ALL
+  HAVING count(*) >= min(width - width * 2 // 13)),
+starts AS (
+  SELECT doc_id, item_id, shift, width, unnest(range(greatest(0, k - width + 1, -shift),
+    least(k, n - width, size - width - shift) + 1)) AS start
+  FROM same JOIN likely USING (doc_id, item_id, shift)),
+hits AS (
+  SELECT doc_id, item_id, shift, start, count(*) AS equal FROM starts GROUP BY ALL
+  HAVING count(*) >= min(width - width * 2 // 13))
+SELECT doc_id, item_id, count(*) AS n_windows, max(equal) AS best,
+  min(start + shift) AS first_at
+FROM hits GROUP BY ALL
+"""
+
+
+@query("op3_decontamination", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages(table(spark, sf_dir, "documents"),
+                    table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 @query("op6_minhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
