@@ -31,6 +31,7 @@ from contactloom.llm.store import written
 from contactloom.llm.words import (
     Words,
     long_window_hashes,
+    runs,
     slices,
     sliding_min,
     split_words,
@@ -84,12 +85,6 @@ def phrase_rows(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
-def runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    """Begin and end of each run of true values."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
-
-
 def regions(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Runs of windows under recurring phrases: their words and window hashes."""
     def run(texts: pa.Table, recurring: pa.Table) -> pa.Table:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contactloom.llm.archive import read_index, write_archive
 from contactloom.llm.catalog import query, table
+from contactloom.llm.extract import main_texts
 from contactloom.llm.urls import filter_urls
 from contactloom.session import scratch_path
 
@@ -37,3 +38,8 @@ RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 @query("op8_url_filters")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
