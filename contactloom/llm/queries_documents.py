@@ -11,6 +11,13 @@ from contactloom.llm.near import near_duplicates
 from contactloom.llm.packing import pack
 from contactloom.llm.passages import remove_repeats
 from contactloom.llm.quality import quality
+from contactloom.llm.tokens import token_counts
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
 
 
 OP3_SQL = r"""
