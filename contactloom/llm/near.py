@@ -4,13 +4,14 @@ A document's word shingles give two signatures. The index signature has 50 MinHa
 in 10 chunks of 5. By pigeonhole two signatures that differ in fewer than 20 places agree in
 at least one chunk up to one place, so a row for each chunk and each place left out finds
 every such pair; at a similarity of 0.8 a chunk has two or more errors with probability
-0.263, all ten chunks with 1.6e-6. The distance signature has 1024 bits, one for each of 1024
+0.263, all ten chunks with 1.6e-6. The distance signature has 2048 bits, one for each of 2048
 further MinHashes; at similarity 0.8 a bit differs with probability 0.1, and pairs up to the
-distance five standard deviations above that mean (150) go on to be confirmed on their full
+distance five standard deviations above that mean (273) go on to be confirmed on their full
 shingle sets. No partner or bucket is capped.
 
 Large groups: equal sets are one node. In a bucket each node is first compared with one hub
-only; confirmed links give provisional components. What is left are pairs of nodes in one
+only, the one of smallest doc_id, as originals tend to come before their copies; confirmed
+links give provisional components. What is left are pairs of nodes in one
 bucket but in different components, with one of them outside the hub's component; these are
 joined, each pair in the first bucket that it shares, and only those within the distance
 become rows.
@@ -32,7 +33,7 @@ from contactloom.llm.store import written
 from contactloom.llm.words import mix, slices, split_words, window_hashes
 
 CHUNKS, CHUNK = 10, 5
-BITS = 1024
+BITS = 2048
 _rng = np.random.default_rng(75)
 _MULT = _rng.integers(0, 2**64, CHUNKS * CHUNK + BITS, dtype=np.uint64) | np.uint64(1)
 _ADD = _rng.integers(0, 2**64, CHUNKS * CHUNK + BITS, dtype=np.uint64)
@@ -194,10 +195,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .agg(F.min(F.when(F.col("id") != NO_ID, F.col("id"))).alias("lowest"),
              F.min("id").alias("id"), F.first("keys").alias("keys")), "nodes")
 
-    rows = nodes.select("node", F.posexplode("keys").alias("bucket", "key"))
-    shared = (rows.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
-              .where("n > 1").drop("n"))
-    members = written(rows.join(shared, "key"), "members")
+    rows = nodes.select("id", "node", F.posexplode("keys").alias("bucket", "key"))
+    shared = (rows.groupBy("key").agg(F.min(F.struct("id", "node")).alias("first"),
+                                      F.count("*").alias("n"))
+              .where("n > 1").select("key", F.col("first.node").alias("hub")))
+    members = written(rows.drop("id").join(shared, "key"), "members")
     wanted = members.select("node").distinct().join(nodes.select("node", "id"), "node")
     sets = written(
         texts.join(wanted.select("id").distinct(), "id").mapInArrow(
@@ -230,16 +232,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
               .join(found, "node", "left").withColumn("part", part("node")).drop("component"))
     placed = written(placed, "placed")
     aside = placed.where("part <> main")
-    keyed = nodes.select("node", "keys")
+    sketch = written(bits.join(nodes.select("node", "keys"), "node"), "sketch")
     left = (aside.select("key", "bucket", F.col("node").alias("a"), F.col("part").alias("pa"))
-            .join(bits.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a")
-            .join(keyed.select(F.col("node").alias("a"), F.col("keys").alias("xs")), "a"))
+            .join(sketch.select(F.col("node").alias("a"), F.col("bits").alias("x"),
+                                F.col("keys").alias("xs")), "a"))
     right = (placed.join(aside.select("key").distinct(), "key", "left_semi")
-             .select("key", F.col("node").alias("b"), F.col("part").alias("pb"),
+             .select(F.col("key").alias("other_key"), F.col("node").alias("b"),
+                     F.col("part").alias("pb"),
                      (F.col("part") != F.col("main")).alias("aside"))
-             .join(bits.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
-             .join(keyed.select(F.col("node").alias("b"), F.col("keys").alias("ys")), "b"))
-    rest = left.join(right.withColumnRenamed("key", "other_key"),
+             .join(sketch.select(F.col("node").alias("b"), F.col("bits").alias("y"),
+                                 F.col("keys").alias("ys")), "b"))
+    rest = left.join(right,
                      (F.col("key") == F.col("other_key")) & (F.col("pa") != F.col("pb"))
                      & (~F.col("aside") | (F.col("a") < F.col("b")))
                      & (distance("x", "y") <= limit)
