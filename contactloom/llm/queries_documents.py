@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contactloom.llm.catalog import query, table
 from contactloom.llm.decontaminate import passages
+from contactloom.llm.licenses import oracle_sql, scan_licenses
 from contactloom.llm.near import near_duplicates
 from contactloom.llm.packing import pack
 from contactloom.llm.passages import remove_repeats
@@ -20,6 +21,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op2_license_scan", oracle_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
