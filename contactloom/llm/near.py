@@ -124,6 +124,7 @@ def sign(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                 pick = pa.array(place, mask=place < 0)
                 yield pa.record_batch({
                     "id": batch.column("id"),
+                    "text_key": batch.column("text_key"),
                     "n_shingles": pa.array(sizes),
                     "node": pa.array([digest(values[at[i]:at[i + 1]]) if sizes[i] else None
                                       for i in range(len(sizes))], pa.binary()),
@@ -177,7 +178,8 @@ def first_shared(x: str, y: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs(doc_id, text)``.
+    """``doc_id, text_key, n_shingles, component_id, kept`` for each row of
+    ``docs(doc_id, text)``; ``text_key`` is a hash of the text.
 
     Rows are linked if 100 * (common shingles) >= percent * (all shingles of both);
     ``component_id`` is the smallest doc_id reachable over links, ``kept`` whether that is the
@@ -187,9 +189,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     limit = distance_limit(percent / 100)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+                        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
                         F.col("text").cast("string").alias("text"))
     signed = written(texts.mapInArrow(
-        sign(width), "id long, n_shingles long, node binary, keys array<long>"), "signed")
+        sign(width), "id long, text_key long, n_shingles long, node binary, keys array<long>"), "signed")
     nodes = written(
         signed.where("node IS NOT NULL").groupBy("node")
         .agg(F.min(F.when(F.col("id") != NO_ID, F.col("id"))).alias("lowest"),
@@ -202,7 +205,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = written(rows.drop("id").join(shared, "key"), "members")
     wanted = members.select("node").distinct().join(nodes.select("node", "id"), "node")
     sets = written(
-        texts.join(wanted.select("id").distinct(), "id").mapInArrow(
+        texts.drop("text_key").join(wanted.select("id").distinct(), "id").mapInArrow(
             full_sets(width), "node binary, bits array<long>, shingles binary")
         .join(wanted.select("node"), "node", "left_semi")
         .groupBy("node").agg(F.first("bits").alias("bits"),
@@ -256,8 +259,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     names = named.groupBy("component").agg(F.min("lowest").alias("component_id"))
     of_node = named.join(names, "component").select("node", "component_id")
     own = F.when(F.col("id") != NO_ID, F.col("id"))
-    return (signed.select("id", "n_shingles", "node").join(of_node, "node", "left")
-            .select(own.alias("doc_id"), "n_shingles",
+    return (signed.drop("keys").join(of_node, "node", "left")
+            .select(own.alias("doc_id"), "text_key", "n_shingles",
                     F.when(F.col("node").isNull(), own)
                     .otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one of smallest doc_id, and
+    all columns. Of rows equal in doc_id and text one stays."""
+    kept = near_duplicates(docs, width, percent).where("kept").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_key").alias("_key"))
+    keyed = docs.withColumns({
+        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+        "_key": F.xxhash64(F.col("text").cast("string"))})
+    return (keyed.join(kept.distinct(), ["_id", "_key"], "left_semi")
+            .dropDuplicates(["_id", "_key"]).drop("_id", "_key"))

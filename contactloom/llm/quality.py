@@ -13,12 +13,14 @@ taken, the laxest of equals. Without enough labels nothing is certified and noth
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contactloom.llm.store import written
 from contactloom.llm.words import mix, slices, split_words, window_hashes
@@ -86,7 +88,9 @@ def repeated_lines(text: bytes) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
-def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def measure(batches: Iterator[pa.RecordBatch], with_text: bool = False
+            ) -> Iterator[pa.RecordBatch]:
+    """The counts of each text beside the other columns."""
     for whole in batches:
         for batch in slices(whole, "text"):
             w = split_words(batch.column("text"))
@@ -102,7 +106,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "n_marks": per_text(IS_MARK[w.data], w.offsets),
                 "n_digits": per_text(IS_DIGIT[w.data], w.offsets)}
             yield pa.record_batch(
-                {n: batch.column(n) for n in batch.schema.names if n != "text"}
+                {n: batch.column(n) for n in batch.schema.names if n != "text" or with_text}
                 | {n: pa.array(v, pa.int64()) for n, v in counts.items()})
 
 
@@ -178,21 +182,16 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, risk: float, error
     return {r["stratum"]: choose(r.asDict(), risk, level) for r in rows}
 
 
-def quality(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05
-            ) -> DataFrame:
-    """Counts, ``base_failed`` and ``kept`` for each row of ``docs(doc_id, text, lang)``.
-
-    ``labels(doc_id, quality)`` has 1 for good and 0 for bad; null labels are ignored and of
-    several labels of one document the lowest counts. Null, empty and wordless texts have no
-    words and fail the base rules. A null or unknown language is the stratum "other". Rows
-    with equal or null doc_id are judged one by one. Extra columns are ignored.
-    """
+def measured_rows(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                         F.col("lang").cast("string"))
-    measured = written(texts.mapInArrow(
+    return written(texts.mapInArrow(
         measure, "doc_id long, lang string, " + ", ".join(f"{n} long" for n in COUNTS)),
         "measured")
-    chosen = certified_cutoffs(measured, labels, risk, error)
+
+
+def judged(measured: DataFrame, chosen: dict[str, dict[str, float]]) -> DataFrame:
+    """``stratum``, ``base_failed`` and ``kept`` added to counts."""
     rejected = F.lit(False)
     for name, column in shares().items():
         for where, cutoffs in sorted(chosen.items()):
@@ -200,5 +199,38 @@ def quality(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float
                 rejected |= (F.col("stratum") == where) & (column > cutoffs[name])
     return (measured.withColumn("stratum", stratum())
             .withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & ~rejected)
-            .select("doc_id", *COUNTS, "stratum", "base_failed", "kept"))
+            .withColumn("kept", ~F.col("base_failed") & ~rejected))
+
+
+def quality(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05
+            ) -> DataFrame:
+    """Counts, ``base_failed`` and ``kept`` for each row of ``docs(doc_id, text, lang)``.
+
+    ``labels(doc_id, quality)`` has 1 for good and 0 for bad; null labels are ignored and of
+    several labels of one document the lowest counts. Null, empty and wordless texts have no
+    words and fail the base rules. A null or unknown language is the stratum "other". Rows
+    with equal or null doc_id are judged one by one. Extra columns are ignored.
+    """
+    measured = measured_rows(docs)
+    chosen = certified_cutoffs(measured, labels, risk, error)
+    return judged(measured, chosen).select("doc_id", *COUNTS, "stratum", "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05
+              ) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns.
+
+    Texts are measured twice, once for the cutoffs and once for the verdicts, instead of
+    joining verdicts to texts.
+    """
+    chosen = certified_cutoffs(measured_rows(docs), labels, risk, error)
+    others = [c for c in docs.columns if c not in ("text", "lang")]
+    inner = [f"c{i}" for i in range(len(others))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(others, inner, strict=True)],
+                       F.col("lang").cast("string"), F.col("text").cast("string"))
+    result = T.StructType([*rows.schema.fields,
+                           *(T.StructField(n, T.LongType()) for n in COUNTS)])
+    kept = judged(rows.mapInArrow(partial(measure, with_text=True), result), chosen).where(
+        "kept").select(*[F.col(n).alias(c) for c, n in zip(others, inner, strict=True)],
+                       "lang", "text")
+    return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -64,7 +64,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_minhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80).drop(
+        "text_key")
 
 
 @query("op4_packing")
