@@ -11,8 +11,8 @@ places of the corpus.
    a passage, so the passages together hold each repeated window once.
 3. A passage is sent to the shards that have one of its phrases. There its blocks of 18 words
    are compiled to an automaton over word numbers; a window of 35 words always contains a
-   whole block. All documents of the shard are streamed through it, and around each
-   occurrence document and passage are compared word by word.
+   whole block. All documents of the shard are streamed through it, and the windows around
+   each occurrence are compared with the passages' word by word.
 """
 
 from __future__ import annotations
@@ -140,60 +140,66 @@ def cut_passages(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 class Passages:
-    """Automaton over the word numbers of the blocks of some passages."""
+    """Automaton over the word numbers of the blocks of some passages, and their windows."""
 
     def __init__(self, texts: pa.Array, width: int):
         self.width, self.block = width, (width + 1) // 2
         self.words = split_words(texts)
-        self.numbers = self.words.hashes.astype(np.uint32)
-        self.blocks: dict[tuple, list[tuple[int, int]]] = {}
+        numbers = self.words.hashes.astype(np.uint32)
+        self.automaton = ahocorasick.Automaton(
+            ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
         for p in range(len(texts)):
             a, b = int(self.words.first[p]), int(self.words.first[p + 1])
-            numbers = self.numbers[a:b].tolist()
-            for o in range(0, b - a - self.block + 1, self.block):
-                self.blocks.setdefault(tuple(numbers[o:o + self.block]), []).append((p, o))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for key, places in self.blocks.items():
-            self.automaton.add_word(key, places)
-        if self.blocks:
+            for at in range(a, b - self.block + 1, self.block):
+                self.automaton.add_word(tuple(numbers[at:at + self.block].tolist()))
+        if len(self.automaton):
             self.automaton.make_automaton()
+        starts = np.flatnonzero(whole_windows(self.words, width))
+        hashes = long_window_hashes(self.words.hashes, width)[starts]
+        order = np.argsort(hashes)
+        self.windows, self.starts = hashes[order], starts[order]
 
-    def cover(self, w: Words, i: int) -> np.ndarray:
-        """Words of text ``i`` that lie in a window which some passage has too."""
+    def cover(self, w: Words, i: int, hashes: np.ndarray) -> np.ndarray:
+        """Words of text ``i`` that lie in a window which some passage has too.
+
+        The automaton finds the blocks; windows around them are looked up by hash, and each
+        run of windows that follow one another in a passage is compared word by word.
+        """
         low, high = int(w.first[i]), int(w.first[i + 1])
         covered = np.zeros(high - low, bool)
-        if high - low < self.width or not self.blocks:
+        count = high - low - self.width + 1
+        if count <= 0 or not len(self.windows):
+            return covered
+        numbers = tuple(w.hashes[low:high].astype(np.uint32).tolist())
+        ends = np.fromiter((end for end, _ in self.automaton.iter(numbers)), np.int64)
+        if not len(ends):
             return covered
-        hashes, reach = w.hashes[low:high], {}
-        numbers = tuple(hashes.astype(np.uint32).tolist())
-        for end, places in self.automaton.iter(numbers):
-            q = end - self.block + 1
-            for p, o in places:
-                if reach.get((p, q - o), -1) > q:
-                    continue
-                a, b = self.extend(hashes, p, q, o)
-                reach[p, q - o] = b
-                if b - a >= self.width and self.same(w, low, p, a, b, q - o):
-                    covered[a:b] = True
+        around = np.zeros(count + self.block + 1, np.int64)
+        begins = ends - self.block + 1
+        np.add.at(around, np.clip(ends - self.width + 1, 0, count), 1)
+        np.add.at(around, np.minimum(begins, count - 1) + 1, -1)
+        found = hashes[low:low + count]
+        place = np.minimum(np.searchsorted(self.windows, found), len(self.windows) - 1)
+        hit = (np.cumsum(around)[:count] > 0) & (self.windows[place] == found)
+        source = self.starts[place]
+        follows = hit[1:] & hit[:-1] & (source[1:] == source[:-1] + 1)
+        firsts = np.flatnonzero(hit & ~np.concatenate(([False], follows)))
+        lasts = np.flatnonzero(hit & ~np.concatenate((follows, [False])))
+        for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True):
+            at = int(source[a])
+            if self.same(w, low + a, at, b - a + self.width):
+                covered[a:b + self.width] = True
+            else:
+                for c in range(a, b + 1):
+                    if self.same(w, low + c, at + c - a, self.width):
+                        covered[c:c + self.width] = True
         return covered
 
-    def extend(self, hashes: np.ndarray, p: int, q: int, o: int) -> tuple[int, int]:
-        """The longest run of equal words around word ``q`` of the text and ``o`` of the
-        passage."""
-        own = self.words.hashes[self.words.first[p]:self.words.first[p + 1]]
-        back = min(q, o)
-        differ = np.flatnonzero(hashes[q - back:q] != own[o - back:o])
-        a = q - back + (int(differ[-1]) + 1 if len(differ) else 0)
-        ahead = min(len(hashes) - q, len(own) - o)
-        differ = np.flatnonzero(hashes[q:q + ahead] != own[o:o + ahead])
-        return a, q + (int(differ[0]) if len(differ) else ahead)
-
-    def same(self, w: Words, low: int, p: int, a: int, b: int, shift: int) -> bool:
-        """Whether text and passage have the same words there, byte for byte."""
-        v, first = self.words, int(self.words.first[p])
-        text = w.data[w.starts[low + a]:w.ends[low + b - 1]].tobytes().split()
-        return text == v.data[v.starts[first + a - shift]:v.ends[first + b - shift - 1]
-                              ].tobytes().split()
+    def same(self, w: Words, at: int, own: int, n: int) -> bool:
+        """Whether ``n`` words of text and passage are the same, byte for byte."""
+        v = self.words
+        return (w.data[w.starts[at]:w.ends[at + n - 1]].tobytes().split()
+                == v.data[v.starts[own]:v.ends[own + n - 1]].tobytes().split())
 
 
 def removal(w: Words, i: int, covered: np.ndarray) -> tuple[str, str]:
@@ -222,9 +228,10 @@ def locate(width: int, columns: list[str]) -> Callable[[pa.Table, pa.Table], pa.
         for batch in texts.combine_chunks().to_batches():
             for part in slices(batch, "text"):
                 w = split_words(part.column("text"))
+                hashes = long_window_hashes(w.hashes, width)
                 counts, removed, digests, left = [], [], [], []
                 for i in range(part.num_rows):
-                    covered = known.cover(w, i)
+                    covered = known.cover(w, i, hashes)
                     digest, text = removal(w, i, covered)
                     counts.append(len(covered))
                     removed.append(int(covered.sum()))
