@@ -62,8 +62,8 @@ def seeds(rows: DataFrame, hashes: str, width: int, where: Column) -> DataFrame:
 
 def equal_tokens(width: int) -> Column:
     return reduce(Column.__add__, [
-        (F.get("doc_hashes", F.col("doc_at") + F.lit(j))
-         == F.get("item_window", F.lit(j))).cast("int") for j in range(width)])
+        (F.get("doc_window", F.lit(j)) == F.get("item_window", F.lit(j))).cast("int")
+        for j in range(width)])
 
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -91,10 +91,16 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         wanted = (seeds(sized, "item_hashes", width, F.col("width") == width)
                   .select("seed", "item_id", F.col("at").alias("item_at"),
                           F.slice("item_hashes", F.col("at") + 1, width).alias("item_window")))
+        own_seeds = seeds(own, "doc_hashes", width, F.size("doc_hashes") >= width)
         if windows * len(masks(width)) <= BROADCAST_SEEDS:
-            wanted = F.broadcast(wanted)
-        hits = (seeds(own, "doc_hashes", width, F.size("doc_hashes") >= width)
-                .withColumnRenamed("at", "doc_at").join(wanted, "seed")
+            # The join runs in the same generated code as the seeds: arrays are not copied.
+            hits = own_seeds.join(F.broadcast(wanted), "seed").withColumn(
+                "doc_window", F.slice("doc_hashes", F.col("at") + 1, width))
+        else:
+            hits = own_seeds.withColumn(
+                "doc_window", F.slice("doc_hashes", F.col("at") + 1, width)).drop(
+                "doc_hashes").join(wanted, "seed")
+        hits = (hits.withColumnRenamed("at", "doc_at")
                 .withColumn("equal", equal_tokens(width))
                 .where(F.col("equal") >= width - allowed(width)))
         found.append(hits.select("doc_id", "text_key", "item_id", "doc_at", "item_at",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # Words without which no sentence is about a license.
 CRITICAL = (r"licen[cs]e|copyright|permission|warrant|redistribut|spdx|public domain|cc by|"
-            r"cc-by|cc0")
+            r"cc-by|cc0|all rights reserved")
 # Openings that say only what is licensed.
 OPENING = (r"^(this|the) (work|file|software|project|program|code|source code|text|document|"
            r"documentation|page|article|content|material|data|dataset|library|package) is ")

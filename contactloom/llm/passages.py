@@ -9,10 +9,10 @@ places of the corpus.
    it has, and gives the windows under them. Windows are counted over the whole corpus: those
    found twice are confirmed. Each goes to one place, its first, and neighbouring ones make up
    a passage, so the passages together hold each repeated window once.
-3. A passage is sent to the shards that have one of its phrases. There its blocks of 18 words
-   are compiled to an automaton over word numbers; a window of 35 words always contains a
-   whole block. All documents of the shard are streamed through it, and the windows around
-   each occurrence are compared with the passages' word by word.
+3. A passage is sent to the shards that have one of its phrases. There its phrases of 8 words
+   in steps of 28 are compiled to an automaton; a window of 35 words always holds one of them
+   whole. All documents of the shard are streamed through it, and the windows around each
+   occurrence are compared with the passages' word by word.
 """
 
 from __future__ import annotations
@@ -139,19 +139,22 @@ def cut_passages(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
+def spaced(w: Words, i: int) -> str:
+    """The words of text ``i`` with one blank around each, a character for each byte."""
+    return b" ".join([b"", *w.text_of(i).split(), b""]).decode("latin-1")
+
+
 class Passages:
-    """Automaton over the word numbers of the blocks of some passages, and their windows."""
+    """Automaton over phrases of some passages, and their windows."""
 
     def __init__(self, texts: pa.Array, width: int):
-        self.width, self.block = width, (width + 1) // 2
+        self.width, self.stride = width, width - PHRASE + 1
         self.words = split_words(texts)
-        numbers = self.words.hashes.astype(np.uint32)
-        self.automaton = ahocorasick.Automaton(
-            ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for p in range(len(texts)):
-            a, b = int(self.words.first[p]), int(self.words.first[p + 1])
-            for at in range(a, b - self.block + 1, self.block):
-                self.automaton.add_word(tuple(numbers[at:at + self.block].tolist()))
+            own = spaced(self.words, p)[1:-1].split(" ")
+            for at in range(0, len(own) - PHRASE + 1, self.stride):
+                self.automaton.add_word(" " + " ".join(own[at:at + PHRASE]) + " ")
         if len(self.automaton):
             self.automaton.make_automaton()
         starts = np.flatnonzero(whole_windows(self.words, width))
@@ -162,22 +165,22 @@ class Passages:
     def cover(self, w: Words, i: int, hashes: np.ndarray) -> np.ndarray:
         """Words of text ``i`` that lie in a window which some passage has too.
 
-        The automaton finds the blocks; windows around them are looked up by hash, and each
-        run of windows that follow one another in a passage is compared word by word.
+        The automaton finds the phrases; windows over them are looked up by hash, and each run
+        of windows that follow one another in a passage is compared word by word.
         """
         low, high = int(w.first[i]), int(w.first[i + 1])
         covered = np.zeros(high - low, bool)
         count = high - low - self.width + 1
         if count <= 0 or not len(self.windows):
             return covered
-        numbers = tuple(w.hashes[low:high].astype(np.uint32).tolist())
-        ends = np.fromiter((end for end, _ in self.automaton.iter(numbers)), np.int64)
+        ends = np.fromiter((end for end, _ in self.automaton.iter(spaced(w, i))), np.int64)
         if not len(ends):
             return covered
-        around = np.zeros(count + self.block + 1, np.int64)
-        begins = ends - self.block + 1
-        np.add.at(around, np.clip(ends - self.width + 1, 0, count), 1)
-        np.add.at(around, np.minimum(begins, count - 1) + 1, -1)
+        after = np.cumsum(w.ends[low:high] - w.starts[low:high] + 1)
+        begins = np.searchsorted(after, ends) - PHRASE + 1
+        around = np.zeros(count + 1, np.int64)
+        np.add.at(around, np.clip(begins - self.stride + 1, 0, count), 1)
+        np.add.at(around, np.minimum(begins + 1, count), -1)
         found = hashes[low:low + count]
         place = np.minimum(np.searchsorted(self.windows, found), len(self.windows) - 1)
         hit = (np.cumsum(around)[:count] > 0) & (self.windows[place] == found)
@@ -252,7 +255,8 @@ def locate(width: int, columns: list[str]) -> Callable[[pa.Table, pa.Table], pa.
 
 
 def remove_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
-    """``docs`` with the words of repeated passages taken out of ``text``.
+    """``docs`` with the words of repeated passages taken out of ``text``; ``width`` is 8 or
+    more.
 
     A word goes if a window of ``width`` consecutive words over it has a word sequence that
     also starts anywhere else in the input, in the same text or another row. All other columns
@@ -261,6 +265,8 @@ def remove_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     new text keeps its other white space. A null text counts as empty and becomes empty. Equal
     rows repeat each other. No rows give none.
     """
+    if width < PHRASE:
+        raise ValueError(f"width must be at least {PHRASE}")
     others = [c for c in docs.columns
               if c not in ("text", "n_words", "n_removed", "kept_sha256")]
     inner = [f"c{i}" for i in range(len(others))]
