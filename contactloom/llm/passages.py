@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contactloom.llm.store import written
+from contactloom.llm.store import free_shuffles, written
 from contactloom.llm.words import (
     Words,
     long_window_hashes,
@@ -306,6 +306,7 @@ def remove_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     result = T.StructType([own.schema[n] for n in inner] + [
         T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
+    free_shuffles(own.sparkSession)
     done = grouped(own).cogroup(grouped(sent)).applyInArrow(locate(width, inner), result)
     return done.select(*[F.col(n).alias(c) for c, n in zip(others, inner, strict=True)],
                        "text", "n_words", "n_removed", "kept_sha256")

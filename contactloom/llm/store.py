@@ -16,15 +16,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     of the steps before can be freed.
     """
     spark = df.sparkSession
+    free_shuffles(spark)
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    schema = df.schema
-    del df
-    free_shuffles(spark)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files of finished steps; its cleaner acts on collected plans."""
+    """Let Spark drop the shuffle files of steps that nothing refers to any more; its cleaner
+    acts on plans that were collected as garbage. The step just ended is still referred to
+    while ``written`` runs, so this comes before the next one."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
