@@ -54,8 +54,8 @@ def with_tables(sql: str, uses: str) -> str:
     body = sql.strip()
     for head in ("WITH RECURSIVE ", "WITH "):
         if body.startswith(head):
-            return f"{head}{ctes},\n{body[len(head):]}"
-    return f"WITH {ctes}\n{body}"
+            return f"WITH RECURSIVE {ctes},\n{body[len(head):]}"
+    return f"WITH RECURSIVE {ctes}\n{body}"
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from contactloom.catalog.base import (FIRST, LAST, STOPS, cards, dns_answers, qu
 from contactloom.catalog.columns import _valid_sql, MENTION_SQL
 from contactloom.functions import emails, html
 from contactloom.functions.text import snippet
+from contactloom.session import materialise
 from contactloom.operators import extract, rank
 from contactloom.operators.generate import pick
 
@@ -138,14 +139,14 @@ SELECT domain, email, rank FROM (
       WHERE NOT {sql_any('email', rules.CRAWL_BLOCK_TERMS)}))
     WHERE stop IS NULL OR path_no <= stop
     QUALIFY row_number() OVER (PARTITION BY domain, email ORDER BY path_no, page_id, pos) = 1))
-WHERE rank <= 5""", uses="site_pages")
+""", uses="site_pages")
 def _(spark, sf):
     found = extract.page_candidates(
         site_pages(spark, sf), "html", "domain", ["page_id", "domain", "path_no"], "crawl",
         rules.CRAWL_BLOCK_TERMS, mail_links=False, shape=False)
-    kept = rank.stop_at_score(found, "domain")
+    kept = rank.stop_at_score(materialise(found), "domain")
     placed = kept.withColumn("pos", F.struct("path_no", "page_id", "pos"))
-    return rank.top_candidates(placed, "domain", 5, by="pos").select("domain", "email", "rank")
+    return rank.top_candidates(placed, "domain", None, by="pos").select("domain", "email", "rank")
 
 
 @query("page_links", """

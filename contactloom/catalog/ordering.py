@@ -591,7 +591,7 @@ FROM (SELECT domain, min(doc_id) AS doc_id, min(doc_id) AS pos, lower(f) || '@'
 def _(spark, sf):
     found = extract.card_emails(cards(spark, sf), "text", "domain", ["doc_id"])
     found = found.withColumn("pos", F.col("doc_id"))
-    return rank.top_candidates(found, "domain", 10, by="personal").select(
+    return rank.top_candidates(found, "domain", None, by="personal").select(
         "doc_id", "email", "rank")
 
 
@@ -612,7 +612,9 @@ GROUP BY conv_id""")
 def _(spark, sf):
     turns = read(spark, sf, "conversations").select("conv_id", "turn", "role")
     unique = rank.first_wins(turns, ["conv_id", "role"], ["turn"])
-    return rank.top_list(unique, "conv_id", "role", 10, ["turn"], sep=" ", name="roles")
+    listed = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    return unique.groupBy("conv_id").agg(F.array_join(
+        F.transform(listed, lambda s: s["role"]), " ").alias("roles"))
 
 
 @query("first_mentions_joined", """

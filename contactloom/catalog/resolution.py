@@ -362,37 +362,73 @@ def visit_candidates(spark, sf):
     return one.unionByName(two)
 
 
-TABLES_SQL["audited"] = f"""
+TABLES_SQL["fresh_offers"] = f"""
+SELECT domain, email, place, provider, has_mx FROM (
+  SELECT u.domain, u.email,
+    row_number() OVER (PARTITION BY u.domain ORDER BY score DESC, pos, u.email) AS place,
+    split_part(u.email, '@', 2) IN {_KNOWN} OR coalesce(has_mx, false) AS has_mx,
+    CASE WHEN split_part(u.email, '@', 2) IN {_KNOWN} THEN 'Google Workspace'
+      WHEN has_mx IS NULL THEN 'No MX' ELSE {INBOX_LABEL_SQL} END AS provider
+  FROM visit_candidates u LEFT JOIN dns_flags f ON f.domain = split_part(u.email, '@', 2)
+  WHERE u.email NOT IN (SELECT 'info@shop' || s_suppkey || '.com' FROM supplier)
+    AND u.email NOT IN (SELECT lower(trim(email)) FROM store WHERE nation = 3)
+  QUALIFY row_number() OVER (PARTITION BY u.domain, u.email ORDER BY score DESC, pos) = 1)
+"""
+NEEDS["fresh_offers"] = ("store", "visit_candidates", "dns_answers", "dns_flags")
+# Sites one after another by their first readable visit, with the addresses taken so far.
+TABLES_SQL["site_turns"] = """
+SELECT domain, min(seq) AS turn, row_number() OVER (ORDER BY min(seq)) AS k FROM visits
+WHERE html IS NOT NULL AND http_status <> '429' AND contains(domain, '.')
+  AND domain NOT IN (SELECT domain FROM store WHERE balance > 9000)
+GROUP BY domain
+"""
+NEEDS["site_turns"] = ("visits", "store")
+TABLES_SQL["site_offers"] = """
+SELECT k, turn, domain, list({'email': email, 'provider': provider, 'has_mx': has_mx}
+    ORDER BY place) AS offers
+FROM site_turns JOIN fresh_offers USING (domain) GROUP BY ALL
+"""
+NEEDS["site_offers"] = (*NEEDS["site_turns"], *NEEDS["fresh_offers"], "site_turns",
+                        "fresh_offers")
+TABLES_SQL["numbered_offers"] = """
+SELECT *, row_number() OVER (ORDER BY k) AS n FROM site_offers
+"""
+NEEDS["numbered_offers"] = (*NEEDS["site_offers"], "site_offers")
+TABLES_SQL["in_turn"] = """
+SELECT 0::BIGINT AS n, NULL::VARCHAR AS domain, NULL::BIGINT AS turn,
+  NULL::STRUCT(email VARCHAR, provider VARCHAR, has_mx BOOLEAN) AS pick, []::VARCHAR[] AS taken
+UNION ALL
+SELECT n, domain, turn, pick, CASE WHEN pick.has_mx THEN list_append(taken, pick.email)
+    ELSE taken END
+FROM (SELECT o.n, o.domain, o.turn, taken,
+    list_filter(offers, lambda x: NOT list_contains(taken, x.email))[1] AS pick
+  FROM in_turn JOIN numbered_offers o ON o.n = in_turn.n + 1)
+"""
+NEEDS["in_turn"] = (*NEEDS["numbered_offers"], "numbered_offers")
+TABLES_SQL["audited"] = """
 SELECT v.seq, v.domain, v.http_status,
   CASE WHEN why = '' OR why LIKE 'no_mx:%' OR why LIKE 'duplicate_email%' THEN emails_found END
     AS emails_found,
-  CASE WHEN why = '' OR why LIKE 'no_mx:%' THEN primary_email END AS primary_email,
-  CASE WHEN why = '' OR why LIKE 'no_mx:%' THEN provider END AS mx_provider,
+  CASE WHEN why = '' OR why LIKE 'no_mx:%' THEN pick.email END AS primary_email,
+  CASE WHEN why = '' OR why LIKE 'no_mx:%' THEN pick.provider END AS mx_provider,
   CASE WHEN why = '' THEN 'YES' ELSE 'NO' END AS qualified, why AS rejection_reason
-FROM (SELECT v.*, c.emails_found, c.primary_email, c.provider,
+FROM (SELECT v.*, c.emails_found, t.pick,
     CASE WHEN NOT contains(v.domain, '.') THEN 'invalid_domain'
-      WHEN d.domain IS NOT NULL THEN 'duplicate_domain'
+      WHEN v.domain IN (SELECT domain FROM store WHERE balance > 9000)
+        OR t.pick.has_mx AND v.seq > t.turn THEN 'duplicate_domain'
       WHEN html IS NULL AND http_status = 'timeout' THEN 'timeout'
       WHEN html IS NULL THEN 'no_html:' || http_status
       WHEN emails_found IS NULL THEN 'no_email_found'
-      WHEN primary_email IS NULL THEN 'duplicate_email'
-      WHEN NOT has_mx THEN 'no_mx:' || split_part(primary_email, '@', 2) ELSE '' END AS why
+      WHEN t.pick IS NULL THEN 'duplicate_email'
+      WHEN NOT t.pick.has_mx THEN 'no_mx:' || split_part(t.pick.email, '@', 2) ELSE '' END
+      AS why
   FROM visits v
-  LEFT JOIN (SELECT DISTINCT domain FROM store WHERE balance > 9000) d USING (domain)
-  LEFT JOIN (SELECT x.domain, emails_found, primary_email,
-        split_part(primary_email, '@', 2) IN {_KNOWN} OR coalesce(has_mx, false) AS has_mx,
-        CASE WHEN split_part(primary_email, '@', 2) IN {_KNOWN} THEN 'Google Workspace'
-          WHEN has_mx IS NULL THEN 'No MX' ELSE {INBOX_LABEL_SQL} END AS provider
-      FROM (SELECT domain, string_agg(email, ', ' ORDER BY pos) AS emails_found FROM visit_candidates
-            GROUP BY domain) x
-      LEFT JOIN (SELECT domain, arg_min(email, pos - score) AS primary_email FROM visit_candidates
-            WHERE email NOT IN (SELECT 'info@shop' || s_suppkey || '.com' FROM supplier)
-              AND email NOT IN (SELECT lower(trim(email)) FROM store WHERE nation = 3)
-            GROUP BY domain) p ON x.domain = p.domain
-      LEFT JOIN dns_flags f ON f.domain = split_part(primary_email, '@', 2)) c
-    ON v.domain = c.domain) v
+  LEFT JOIN (SELECT domain, string_agg(email, ', ' ORDER BY pos) AS emails_found
+    FROM visit_candidates GROUP BY domain) c ON v.domain = c.domain
+  LEFT JOIN in_turn t ON v.domain = t.domain
+  WHERE v.http_status <> '429') v
 """
-NEEDS["audited"] = ("visits", "store", "visit_candidates", "dns_answers", "dns_flags")
+NEEDS["audited"] = (*NEEDS["in_turn"], "in_turn")
 
 
 def audited(spark, sf):

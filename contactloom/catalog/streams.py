@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contactloom.catalog.base import dns_answers, query, read, store_domain
 from contactloom.operators import match
-from contactloom.operators.join import salted_anti
+from contactloom.operators.join import without
 from contactloom.session import scratch_path
 from contactloom.streaming import streams
 
@@ -58,7 +58,7 @@ WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""")
 def _(spark, sf):
     stream, out = _events(spark, sf, "dedupe")
     history = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id"))
-    fresh = salted_anti(stream, history, ["user_id"])
+    fresh = without(stream, history, ["user_id"])
     unique = streams.stream_dedupe(fresh, None, ["user_id", "event_type"])
     _finish(streams.append_batches(unique.select("user_id", "event_type"), f"{out}/rows",
                                    f"{out}/check"))

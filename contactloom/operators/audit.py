@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.functions import emails
 from contactloom.functions.text import blank_to_null
 from contactloom.operators import match, rank
-from contactloom.operators.join import salted_lookup
+from contactloom.operators.join import lookup
+from contactloom.session import materialise
 
 
 def retry_split(visits: DataFrame, status: str = "http_status", attempts: int = 3,
@@ -26,34 +27,49 @@ def ok_pages(pages: DataFrame, floor: int = 0, exact: bool = False, status: str
     return pages.where(fine & (F.length(markup) > floor))
 
 
-def choose_primary(candidates: DataFrame, seen_emails: DataFrame, key: str = "domain",
-                   k: int = 3) -> DataFrame:
-    """Up to k new addresses per site, best first, and the first ten mentions as a text.
-
-    Sites whose addresses are all known keep a row with no ``primary_email``.
-    """
+def ranked_fresh(candidates: DataFrame, seen_emails: DataFrame, key: str = "domain"
+                 ) -> DataFrame:
+    """New addresses of each site with their place, best first: ``key, email, score, place``."""
     unique = rank.first_wins(candidates, [key, "email"], [F.col("score").desc(), F.col("pos")])
     fresh = rank.exclude_seen(unique, seen_emails, ["email"])
-    best = rank.top_n(fresh, [key], k, [F.col("score").desc(), F.col("pos"), F.col("email")],
-                      name="rank", salts=1)
-    listed = F.array_sort(F.collect_list(F.struct("rank", "email", "score")))
-    chosen = best.groupBy(key).agg(listed.alias("_best"))
-    found = rank.top_list(candidates, key, "email", 10, ["pos"], name="emails_found")
-    return found.join(chosen, key, "left").select(
-        key, "emails_found", F.get("_best", F.lit(0))["email"].alias("primary_email"),
-        F.get("_best", F.lit(0))["score"].alias("primary_score"),
-        F.array_join(F.transform(F.slice("_best", 2, k), lambda s: s["email"]), ", ")
-        .alias("secondary_email"))
-
-
-def reason(domain: Column, duplicate: Column, html: Column, status: Column, found: Column,
+    order = Window.partitionBy(key).orderBy(F.col("score").desc(), "pos", "email")
+    return fresh.withColumn("place", F.row_number().over(order)).drop("pos")
+
+
+def accept_in_turn(offers: DataFrame) -> DataFrame:
+    """The address that each site ends with when sites choose one after another.
+
+    ``offers``: domain, turn, email, place, has_mx and what else is known of the address.
+    Sites come in the order of ``turn``; each takes its first address that no earlier one has
+    accepted, and accepts it if its domain takes mail. Rather than site by site this is
+    settled in rounds: each site names its first address, an address stays with the earliest
+    site that names it, the others go on to their next. As all addresses prefer the earlier
+    site, the rounds end with the outcome of the sequence. A site left without an address has
+    no row.
+    """
+    offers = materialise(offers)
+    refused = None
+    while True:
+        left = offers if refused is None else offers.join(refused, ["domain", "email"],
+                                                          "left_anti")
+        named = rank.first_wins(left, ["domain"], ["place"])
+        held = named.where("has_mx").groupBy("email").agg(F.min("turn").alias("_first"))
+        late = (named.where("has_mx").join(held, "email").where(F.col("turn") > F.col("_first"))
+                .select("domain", "email"))
+        late = materialise(late)
+        if late.isEmpty():
+            return named
+        refused = late if refused is None else materialise(refused.union(late))
+
+
+def reason(domain: Column, duplicate: Column, blank: Column, status: Column, found: Column,
            primary: Column, has_mx: Column, error: Column | None = None) -> Column:
     """The first thing that stopped a visit; blank for a qualified one."""
     none = F.lit(None).cast("string")
     out = (F.when(~F.contains(F.coalesce(domain, F.lit("")), F.lit(".")), "invalid_domain")
            .when(duplicate, "duplicate_domain")
-           .when(html.isNull() & (F.coalesce(status, F.lit("timeout")) == "timeout"), "timeout")
-           .when(html.isNull(), F.concat(F.lit("no_html:"), status))
+           .when(blank & (F.coalesce(status, F.lit("timeout")) == "timeout"), "timeout")
+           .when(blank, F.concat(F.lit("no_html:"), status))
            .when(F.coalesce(found, F.lit("")) == "", "no_email_found")
            .when(primary.isNull(), "duplicate_email")
            .when(~F.coalesce(has_mx, F.lit(False)),
@@ -65,18 +81,30 @@ def reason(domain: Column, duplicate: Column, html: Column, status: Column, foun
 
 def audit(visits: DataFrame, candidates: DataFrame, dns: DataFrame, seen_domains: DataFrame,
           seen_emails: DataFrame, known: dict[str, str]) -> DataFrame:
-    """One audited row per visit.
-
-    ``visits``: domain, html, http_status, seq and what else the caller keeps; a domain
-    visited again after a qualified visit reads ``duplicate_domain``. ``candidates``:
-    domain, email, score, pos. DNS is looked at for the primary address only.
+    """One audited row per final visit, as if the visits came one after another by ``seq``.
+
+    ``visits``: domain, html, http_status, seq and what else the caller keeps; throttled ones
+    (429) are to be queued again and have no row here. ``candidates``: domain, email, score,
+    pos. A domain that is stored, or has qualified before, reads ``duplicate_domain``; an
+    address that is stored, or was accepted before, is not accepted again, and a site with no
+    other reads ``duplicate_email``. So there are as many qualified rows as qualified domains
+    and as accepted addresses.
     """
-    done = seen_domains.select("domain").distinct().withColumn("_dup", F.lit(True))
-    primary = choose_primary(candidates, seen_emails)
-    primary = match.attach_dns(primary, dns, "primary_email", known)
-    facts = salted_lookup(visits, primary.join(done, "domain", "full"), "domain")
-    duplicate = F.coalesce(F.col("_dup"), F.lit(False))
-    why = reason(F.col("domain"), duplicate, blank_to_null("html"), F.col("http_status"),
+    final = visits.where(~F.coalesce(F.col("http_status") == "429", F.lit(False)))
+    slim = final.withColumn("_blank", blank_to_null("html").isNull()).drop("html")
+    stored = seen_domains.select("domain").distinct().withColumn("_stored", F.lit(True))
+    slim = lookup(slim, stored, "domain")
+    open_sites = (slim.where(~F.col("_blank") & F.col("_stored").isNull()
+                             & F.contains(F.coalesce("domain", F.lit("")), F.lit(".")))
+                  .groupBy("domain").agg(F.min("seq").alias("turn")))
+    offers = match.attach_dns(ranked_fresh(candidates, seen_emails).join(open_sites, "domain"),
+                              dns, "email", known)
+    chosen = accept_in_turn(offers).withColumnRenamed("email", "primary_email")
+    found = rank.top_list(candidates, "domain", "email", 10, ["pos"], name="emails_found")
+    facts = lookup(lookup(slim, found, "domain"), chosen.drop("place", "score"), "domain")
+    duplicate = F.coalesce(F.col("_stored"), F.lit(False)) | F.coalesce(
+        F.col("has_mx") & (F.col("seq") > F.col("turn")), F.lit(False))
+    why = reason(F.col("domain"), duplicate, F.col("_blank"), F.col("http_status"),
                  F.col("emails_found"), F.col("primary_email"), F.col("has_mx"))
     read = F.col("_why").isin("") | F.col("_why").rlike("^(no_mx:|duplicate_email|no_email)")
     dns_read = F.col("_why").isin("") | F.col("_why").rlike("^no_mx:")

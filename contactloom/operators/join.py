@@ -1,4 +1,9 @@
-"""Joins that stay even when one key holds a large part of the rows."""
+"""Joins with lookup tables and with stored keys.
+
+Both are ordinary equi-joins: each side is read and shuffled once, Spark broadcasts a lookup
+whose size it knows to be small, and adaptive execution splits the left partitions of a key
+that holds many rows.
+"""
 
 from __future__ import annotations
 
@@ -7,39 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
 SPREAD = 1 << 16
-BROADCAST_ROWS = 100_000
-
-
-def is_small(dim: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Does the table have at most ``limit`` rows? Reads no more than one row beyond."""
-    return dim.limit(limit + 1).count() <= limit
 
 
-def salted_lookup(df: DataFrame, right: DataFrame, on: str, salts: int = SALTS,
-                  skip: Column | None = None) -> DataFrame:
-    """Left join to a lookup with one row per key, safe for a key with many rows.
+def lookup(df: DataFrame, right: DataFrame, on: str, skip: Column | None = None) -> DataFrame:
+    """Left join to a table with one row per key.
 
-    The left rows of a key are spread over ``salts`` parts; the lookup, one row per key,
-    is repeated as often. Rows under ``skip`` need no lookup: they get NULLs and travel
-    under made-up keys, evenly spread.
+    Rows under ``skip`` need no lookup: they get NULLs and travel under made-up keys, evenly
+    spread.
     """
+    if skip is None:
+        return df.join(right, on, "left")
     others = F.xxhash64(*([c for c in df.columns if c != on] or [on]))
-    key = F.col(on)
-    if skip is not None:
-        key = F.when(skip, F.concat(F.lit("\u0000"), F.pmod(others, F.lit(SPREAD))
-                                    .cast("string"))).otherwise(key.cast("string"))
-    left = df.withColumns({"_salt": F.pmod(others, F.lit(salts)).cast("int"), "_key": key})
-    wide = right.withColumnRenamed(on, "_key").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(wide, ["_key", "_salt"], "left").drop("_key", "_salt")
-
-
-def salted_anti(df: DataFrame, right: DataFrame, keys: Sequence[str],
-                salts: int = SALTS) -> DataFrame:
-    """Rows whose key is not among the distinct keys of ``right``; hot keys are spread."""
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    wide = right.select(*keys).distinct().withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(wide, [*keys, "_salt"], "left_anti").drop("_salt")
+    made_up = F.concat(F.lit("\u0000"), F.pmod(others, F.lit(SPREAD)).cast("string"))
+    left = df.withColumn("_key", F.when(skip, made_up).otherwise(F.col(on).cast("string")))
+    return left.join(right.withColumnRenamed(on, "_key"), "_key", "left").drop("_key")
+
+
+def without(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``right``."""
+    return df.join(right.select(*keys), list(keys), "left_anti")

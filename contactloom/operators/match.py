@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from contactloom import rules
 from contactloom.functions import domains, emails, names
 from contactloom.functions.text import alnum_fold, contains_any
-from contactloom.operators.join import is_small, salted_lookup
+from contactloom.operators.join import lookup
 
 
 def collapse_dns(answers: DataFrame, ruleset: str = "inbox",
@@ -71,14 +71,14 @@ def attach_dns(contacts: DataFrame, dns: DataFrame, email: str = "email",
     """Contacts with the facts of their mail domain.
 
     Well-known mail domains, which hold the largest groups of addresses, are answered from
-    the rule table; the others meet the collapsed DNS table in a salted join. Adds
+    the rule table; the others are joined to the collapsed DNS table. Adds
     mail_domain, has_mx, mx_host, provider, dmarc, spf.
     """
     rows = contacts.withColumn("mail_domain", emails.mail_domain(F.col(email)))
     listed = F.coalesce(F.col("mail_domain").isin(*known), F.lit(False))
     facts = dns.select(F.col("domain").alias("mail_domain"), "has_mx", "mx_host", "provider",
                        "dmarc", "spf")
-    joined = salted_lookup(rows, facts, "mail_domain", skip=listed)
+    joined = lookup(rows, facts, "mail_domain", skip=listed)
     label = known_provider(F.col("mail_domain"), known)
 
     def flag(c: str) -> Column:
@@ -108,15 +108,14 @@ def status_texts(df: DataFrame) -> DataFrame:
 def directory(df: DataFrame, dim: DataFrame, on: str, columns: Sequence[str]) -> DataFrame:
     """Curated values of a directory table where it knows the key, else the row's own."""
     extra = dim.select(on, *[F.col(c).alias(f"_{c}") for c in columns])
-    joined = (df.join(F.broadcast(extra), on, "left") if is_small(extra)
-              else salted_lookup(df, extra, on))
+    joined = lookup(df, extra, on)
     keep = [c for c in df.columns if c not in columns]
     return joined.select(*keep, *[F.coalesce(f"_{c}", c).alias(c) for c in columns])
 
 
 def reuse_per_key(df: DataFrame, key: str, compute) -> DataFrame:
     """Compute a costly result once per distinct key and hand it to all rows of the key."""
-    return salted_lookup(df, compute(df.select(key).distinct()), key)
+    return lookup(df, compute(df.select(key).distinct()), key)
 
 
 def match_terms(df: DataFrame, words: Column, dim: DataFrame, term: str,
@@ -131,7 +130,7 @@ def match_terms(df: DataFrame, words: Column, dim: DataFrame, term: str,
     known = vocabulary.join(dim.select(F.col(term).alias("_w")).distinct(), "_w", "left_semi")
     ids = [F.xxhash64(*df.columns).alias("_h1"), F.hash(*df.columns).alias("_h2")]
     exploded = keyed.select(*ids, F.explode("_words").alias("_w"))
-    found = salted_lookup(exploded, known.withColumn("_hit", F.lit(True)), "_w").where("_hit")
+    found = lookup(exploded, known.withColumn("_hit", F.lit(True)), "_w").where("_hit")
     hits = found.select("_h1", "_h2").distinct()
     return df.select("*", *ids).join(hits, ["_h1", "_h2"], how).select(*df.columns)
 
@@ -145,27 +144,30 @@ def classify_by_table(df: DataFrame, key: str, words: Column, table: DataFrame,
     """
     terms = table.groupBy("term").agg(F.min(F.struct("prio", "niche")).alias("_rule"))
     found = df.select(key, F.explode(F.array_distinct(words)).alias("term"))
-    found = (found.join(F.broadcast(terms), "term", "left") if is_small(terms)
-             else salted_lookup(found, terms, "term"))
+    found = lookup(found, terms, "term")
     best = (found.where("_rule IS NOT NULL").groupBy(key)
             .agg(F.min("_rule")["niche"].alias("niche")))
-    joined = salted_lookup(df, best, key)
+    joined = lookup(df, best, key)
     return joined.withColumn("niche", F.coalesce("niche", F.lit(default)))
 
 
 def confirm_candidates(people: DataFrame, profiles: DataFrame, key: str, k: int = 4,
-                       form: str = "standard") -> DataFrame:
+                       form: str = "standard", given: str | None = None) -> DataFrame:
     """First of a person's top k address variants that was observed, per key.
 
     Input: key, first_name, last_name, domain. ``profiles``: email_hash, display_name.
-    Variants without a hit are not returned.
+    ``given`` names a column with an address that is tried before the variants. One with a
+    display name goes before one without. Persons without a hit are not returned.
     """
-    variants = people.select(key, F.posexplode(F.slice(names.address_variants(
-        "first_name", "last_name", "domain", form), 1, k)).alias("pos", "email"))
-    variants = variants.withColumn("email_hash", emails.email_hash("email"))
+    variants = names.address_variants("first_name", "last_name", "domain", form)
+    if given is not None:
+        first = F.coalesce(F.col(given), F.lit(""))
+        variants = F.when((first == "") | F.array_contains(variants, first), variants).otherwise(
+            F.concat(F.array(first), variants))
+    rows = people.select(key, F.posexplode(F.slice(variants, 1, k)).alias("pos", "email"))
+    rows = rows.withColumn("email_hash", emails.email_hash("email"))
     seen = profiles.groupBy("email_hash").agg(F.min("display_name").alias("display_name"))
-    hits = salted_lookup(variants, seen.withColumn("_hit", F.lit(True)), "email_hash")
-    hits = hits.where("_hit")
+    hits = lookup(rows, seen.withColumn("_hit", F.lit(True)), "email_hash").where("_hit")
     named = F.coalesce(F.col("display_name"), F.lit("")) != ""
     order = F.struct((~named).alias("unnamed"), F.col("pos").alias("pos"))
     best = hits.groupBy(key).agg(F.min_by(F.struct("email", "pos", "display_name"), order)
@@ -204,8 +206,8 @@ def match_company(sites: DataFrame, companies: DataFrame, least: int = 4) -> Dat
     inside = near.select("domain", "brand", F.explode(F.array_distinct(
         F.filter(F.array("b", "s"), lambda x: F.length(x) >= least))).alias("g"))
     around = near.select("domain", "brand", F.explode(_pieces("b", least)).alias("g"))
-    found = (salted_lookup(away.unionByName(around), whole, "g")
-             .unionByName(salted_lookup(inside, pieces, "g")).where("hit IS NOT NULL"))
+    found = (lookup(away.unionByName(around), whole, "g")
+             .unionByName(lookup(inside, pieces, "g")).where("hit IS NOT NULL"))
     return (found.groupBy("domain", "brand").agg(F.min("hit").alias("hit"))
             .select("domain", "brand", "hit.*"))
 

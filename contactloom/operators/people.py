@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contactloom.functions import domains, emails, names
 from contactloom.functions.text import blank_to_null, let
-from contactloom.operators.join import salted_lookup
+from contactloom.operators.join import lookup
 
 EVIDENCE = ("domain", "tier", "pos", "conf", "first_name", "last_name", "source")
 
@@ -141,7 +141,7 @@ def resolve_people(inputs: DataFrame, evidence_rows: DataFrame | None = None,
         rows = rows.withColumn("evidence", empty)
     else:
         known = evidence_rows.where("domain <> '' AND conf IS NOT NULL")
-        rows = salted_lookup(rows, collect_evidence(known), "domain")
+        rows = lookup(rows, collect_evidence(known), "domain")
     own = F.array_compact(F.array(*local)) if local else empty
     entries = F.concat(F.coalesce("evidence", empty),
                        F.when(F.col("domain") != "", own).otherwise(empty))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contactloom.operators.join import salted_anti, salted_lookup
+from contactloom.operators.join import without, lookup
 from contactloom.session import materialise
 
 
@@ -47,16 +47,16 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 def exclude_seen(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in the stored table."""
-    return salted_anti(df, seen, keys)
+    return without(df, seen, keys)
 
 
 def done_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).distinct()
 
 
-def top_candidates(df: DataFrame, key: str, k: int, by: str = "score",
+def top_candidates(df: DataFrame, key: str, k: int | None, by: str = "score",
                    item: str = "email") -> DataFrame:
-    """First k distinct items per key, with their ``rank``.
+    """First k distinct items per key (all of them without k), with their ``rank``.
 
     ``by='score'``: score down, then position. ``'pos'``: discovery order only.
     ``'personal'``: personal inboxes first, those with a dot before others.
@@ -71,14 +71,17 @@ def top_candidates(df: DataFrame, key: str, k: int, by: str = "score",
 
 
 def stop_at_score(df: DataFrame, key: str, path: str = "path_no", score: int = 100) -> DataFrame:
-    """Drop candidates of pages read after the one that first gave a top score."""
+    """Drop candidates of pages read after the one that first gave a top score.
+
+    ``df`` is gone through twice; where its columns are costly, hand over a written table.
+    """
     limit = (df.where(F.col("score") == score).groupBy(key)
              .agg(F.min(path).alias("_stop")))
-    return (salted_lookup(df, limit, key)
+    return (lookup(df, limit, key)
             .where(F.col("_stop").isNull() | (F.col(path) <= F.col("_stop"))).drop("_stop"))
 
 
-def top_n(df: DataFrame, group: Sequence[str], n: int, order: Sequence[str | Column],
+def top_n(df: DataFrame, group: Sequence[str], n: int | None, order: Sequence[str | Column],
           name: str = "rank", salts: int | None = None) -> DataFrame:
     """First n rows per group with their rank, in two steps.
 
@@ -86,9 +89,11 @@ def top_n(df: DataFrame, group: Sequence[str], n: int, order: Sequence[str | Col
     of all parts are ranked together. The last step sees at most ``salts * n`` rows of a
     group, however large the group is. Which part a row falls into does not matter for the
     result. ``salts=1`` leaves the first step out; for a small n the limit Spark applies
-    before the shuffle is enough.
+    before the shuffle is enough. Without n, every row is ranked.
     """
     order = _orders(order)
+    if n is None:
+        return running_rank(df, order, group, name)
     if salts is None:
         salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df
@@ -242,22 +247,26 @@ def limit_ranked(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFr
     return df.orderBy(*_orders(order)).limit(n)
 
 
-def siblings(df: DataFrame, domain: str, email: str, n: int = 3, sep: str = "; ",
+def siblings(df: DataFrame, domain: str, email: str, n: int | None = None, sep: str = "; ",
              order: Sequence[str] = ("pos",), distinct: bool = True) -> DataFrame:
-    """For each address the first n other addresses of its domain, as one text.
+    """For each address the other addresses of its domain in order, as one text.
 
-    Only the first n + 1 distinct addresses of a domain are collected; that is all any
-    of its addresses can need. ``sibling_rows`` gives the complete set in long form.
-    ``distinct=False`` is for input that has each address of a domain once already.
+    With ``n`` the first n of them; then only the first n + 1 of a domain are collected, which
+    is all any of its addresses can need. ``sibling_rows`` gives the set in long form, for
+    domains whose addresses would not fit one text. ``distinct=False`` is for input that has
+    each address of a domain once already.
     """
     unique = first_wins(df, [domain, email], order) if distinct else df
-    head = top_n(unique, [domain], n + 1, [*order, email], name="_rank", salts=1)
+    head = unique
+    if n is not None:
+        head = top_n(unique, [domain], n + 1, [*order, email], salts=1)
     lists = (head.groupBy(domain)
-             .agg(F.array_sort(F.collect_list(F.struct("_rank", email))).alias("_head")))
+             .agg(F.array_sort(F.collect_list(F.struct(*order, email))).alias("_head")))
     listed = F.transform("_head", lambda s: s[email])
-    joined = salted_lookup(unique, lists, domain)
-    others = F.slice(F.filter(listed, lambda e: e != F.col(email)), 1, n)
-    return joined.withColumn("secondary_email", F.array_join(others, sep)).drop("_head")
+    others = F.filter(listed, lambda e: e != F.col(email))
+    others = others if n is None else F.slice(others, 1, n)
+    return (lookup(unique, lists, domain)
+            .withColumn("secondary_email", F.array_join(others, sep)).drop("_head"))
 
 
 def sibling_rows(df: DataFrame, domain: str, email: str,

@@ -11,7 +11,7 @@ from contactloom import rules
 from contactloom.functions import domains, emails, names
 from contactloom.functions.text import capitalize, let, words
 from contactloom.operators import classify, contacts, extract, match, people, rank
-from contactloom.operators.join import salted_lookup
+from contactloom.operators.join import lookup
 from contactloom.session import materialise
 
 
@@ -39,10 +39,12 @@ def registry_to_work_list(registry: DataFrame, seen: DataFrame,
 
 
 def pages_to_contacts(pages: DataFrame, stores: DataFrame, dns_answers: DataFrame,
-                      block: Sequence[str] = rules.BLOCK_TERMS) -> DataFrame:
+                      block: Sequence[str] = rules.BLOCK_TERMS,
+                      secondary: int | None = None) -> DataFrame:
     """Site pages to one contact row per deliverable address.
 
-    ``pages``: domain, path_no, html (first page 0). ``stores``: domain, brand, niche.
+    ``pages``: domain, path_no, html (first page 0). ``stores``: domain, brand, niche. Each
+    row lists the other addresses of its site, all or the first ``secondary``.
     """
     # pages are read once: what was found is small, is written, and feeds both branches
     read = materialise(pages.select(
@@ -55,13 +57,13 @@ def pages_to_contacts(pages: DataFrame, stores: DataFrame, dns_answers: DataFram
                            [F.col("score").desc(), F.col("path_no"), F.col("pos")])
     social = extract.site_socials(read, "domain", ["path_no"])
     related = rank.siblings(
-        best.withColumn("ord", -F.col("score")), "domain", "email", n=10,
+        best.withColumn("ord", -F.col("score")), "domain", "email", n=secondary,
         order=["ord", "path_no", "pos"], distinct=False)
     facts = match.deliverable(match.attach_dns(
         related.select("domain", "email", "score", "secondary_email"),
         match.collapse_dns(dns_answers, "inbox", gate=True)))
     site = stores.select("domain", "brand", "niche").join(social, "domain", "full")
-    joined = salted_lookup(facts.drop("score"), site, "domain")
+    joined = lookup(facts.drop("score"), site, "domain")
     brand = domains.brand_or_default("brand", "domain")
     role = emails.role_from_local("email")
     rows = match.status_texts(joined.withColumn("company", brand)).select(
@@ -114,7 +116,7 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
         .where("domain <> ''"), ["domain"], ["brand"])
 
     def with_brand(df: DataFrame) -> DataFrame:
-        return salted_lookup(df.withColumn("domain", domains.clean_domain("domain")), sites,
+        return lookup(df.withColumn("domain", domains.clean_domain("domain")), sites,
                              "domain").where("brand IS NOT NULL")
 
     def plausible(df: DataFrame) -> DataFrame:
@@ -179,7 +181,7 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
             F.array(first_officer)))).dropDuplicates(["company_no"])
         gated = people.registry_gate(sites, stop)
         hits = match.match_company(gated, companies.select("company_no", "name"))
-        found = salted_lookup(hits, officers, "company_no").where("first_name IS NOT NULL")
+        found = lookup(hits, officers, "company_no").where("first_name IS NOT NULL")
         out.append(people.evidence(plausible(found), 4.3, "company_register", "HIGH"))
     return out
 
@@ -203,7 +205,7 @@ def people_from_sources(inputs: DataFrame, name_list: Sequence[str], stop: Seque
         best = rank.top_candidates(swept, "domain", 2, by="personal")
         listed = best.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct(
             "rank", "email", "is_personal"))).alias("_found"))
-        rows = salted_lookup(rows, listed, "domain")
+        rows = lookup(rows, listed, "domain")
         rows = rows.withColumns({n: F.get("_found", F.lit(i))["email"]
                                  for i, n in enumerate(found)})
         rows = rows.withColumn("site_email", F.when(
@@ -221,27 +223,39 @@ def people_from_sources(inputs: DataFrame, name_list: Sequence[str], stop: Seque
         .otherwise("store_email")})
     if profiles is None:
         return out.withColumn("profile_found", F.lit(False)).drop(*found)
-    seen = profiles.groupBy("email_hash").agg(
-        F.max("display_name").alias("display_name"), F.lit(True).alias("profile_found"))
-    out = salted_lookup(out.withColumn("email_hash", emails.email_hash("person_email")), seen,
-                        "email_hash")
+    known = profiles.groupBy("email_hash").agg(F.lit(True).alias("profile_found"))
+    out = lookup(out.withColumn("email_hash", emails.email_hash("person_email")), known,
+                 "email_hash")
+    # rows without a name try their address, then the site's inbox, then nothing else
+    out = materialise(out.withColumn("_row", F.monotonically_increasing_id()))
+    unnamed = out.where("first_name = '' AND domain <> ''").select(
+        "_row", F.lit("info").alias("first_name"), "last_name", "domain", "person_email")
+    hits = match.confirm_candidates(unnamed, profiles, "_row", given="person_email").select(
+        "_row", "display_name", F.col("email").alias("_profile_email"))
+    out = lookup(out, hits, "_row")
     shown = words(F.coalesce("display_name", F.lit("")))
-    whole = F.array_join(F.slice(F.transform(shown, capitalize), 1, 2), " ")
-    use = ((F.col("first_name") == "") & (F.size(shown) >= 1) & (F.col("domain") != "")
-           & names.plausible_name(whole, name_list, stop, F.col("brand"), F.col("domain")))
+    first = capitalize(F.get(shown, F.lit(0)))
+    last = capitalize(F.array_join(F.slice(shown, 2, F.greatest(F.size(shown), F.lit(1))), " "))
     full = F.size(shown) >= 2
+    whole = F.when(full, F.concat_ws(" ", first, last)).otherwise(first)
+    use = ((F.size(shown) >= 1)
+           & names.plausible_name(whole, name_list, stop, F.col("brand"), F.col("domain")))
+    use = F.coalesce(use, F.lit(False))
     out = out.withColumns({
-        "first_name": F.when(use, capitalize(F.get(shown, F.lit(0))))
-        .otherwise(F.col("first_name")),
-        "last_name": F.when(use & full, capitalize(F.get(shown, F.lit(1))))
-        .otherwise(F.col("last_name")),
+        "first_name": F.when(use, first).otherwise(F.col("first_name")),
+        "last_name": F.when(use & full, last).otherwise(F.col("last_name")),
         "confidence": F.when(use, F.when(full, "HIGH").otherwise("MEDIUM"))
         .otherwise(F.col("confidence")),
         "source": F.when(use, "profile").otherwise(F.col("source")),
         "source_chain": F.when(use, F.when(F.col("source_chain") == "store_inbox", "profile")
                                .otherwise(F.concat("source_chain", F.lit("|profile"))))
         .otherwise(F.col("source_chain")),
+        "person_email": F.when(use & full, F.col("_profile_email"))
+        .otherwise(F.col("person_email")),
+        "email_pattern": F.when(use & full, "profile_validated")
+        .otherwise(F.col("email_pattern")),
         "profile_found": F.coalesce("profile_found", F.lit(False))})
+    found += ["_row", "_profile_email"]
     out = out.withColumn("full_name", F.trim(F.concat_ws(" ", "first_name", "last_name")))
     return out.drop("email_hash", "display_name", *found)
 

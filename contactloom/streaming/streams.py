@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.utils import AnalysisException
 
 from contactloom.operators import rank
-from contactloom.operators.join import salted_anti, salted_lookup
+from contactloom.operators.join import without, lookup
 
 
 def tail(spark: SparkSession, path: str, schema: str, fmt: str = "csv",
@@ -36,7 +36,7 @@ def stream_dedupe(stream: DataFrame, history: DataFrame | None, keys: Sequence[s
     repeats are dropped within ``delay``.
     """
     if history is not None:
-        stream = salted_anti(stream, history, keys)
+        stream = without(stream, history, keys)
     if event_time:
         return (stream.withWatermark(event_time, delay or "1 hour")
                 .dropDuplicatesWithinWatermark(list(keys)))
@@ -45,7 +45,7 @@ def stream_dedupe(stream: DataFrame, history: DataFrame | None, keys: Sequence[s
 
 def stream_enrich(stream: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """New rows with the values a static table (one row per key) has for them."""
-    return salted_lookup(stream, table, key)
+    return lookup(stream, table, key)
 
 
 def running_counts(stream: DataFrame, category: str) -> DataFrame:
@@ -114,7 +114,7 @@ def stream_quota(stream: DataFrame, category: str, n: int, order: Sequence[str],
     def handle(batch: DataFrame, batch_id: int) -> None:
         picked = rank.top_n(batch, [category], n, order, name="_rank")
         used = _counted(batch.sparkSession, path, batch_id, [category])
-        picked = salted_lookup(picked, used, category)
+        picked = lookup(picked, used, category)
         picked = picked.where(F.col("_rank") <= n - F.coalesce("_used", F.lit(0)))
         _put_counted(picked.drop("_rank", "_used"), path, batch_id, [category])
 

@@ -40,15 +40,43 @@ def test_counts_are_partial_before_the_shuffle(spark):
     assert text.count("partial_bool_or") or text.count("partial_max") or "partial_" in text
 
 
-def test_lookup_spreads_a_hot_key(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        rows = spark.range(4000).select(F.lit("hot").alias("key"), "id")
-        facts = spark.createDataFrame([("hot", 1)], "key STRING, v INT")
-        out = join.salted_lookup(rows, facts, "key")
-        used = out.select(F.spark_partition_id().alias("p")).distinct().count()
-        assert used > 2 and out.where("v = 1").count() == 4000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+@pytest.fixture
+def shuffled_joins(spark):
+    """No broadcast, and limits that make a hot key of a small table stand out."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_lookup_splits_a_hot_key_and_shuffles_the_right_side_once(shuffled_joins):
+    spark = shuffled_joins
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 < 3, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("key"),
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("more"))
+    facts = rows.select("key").distinct().withColumn("v", F.lit(1))
+    facts = spark.createDataFrame(facts.collect(), "key STRING, v INT")
+    out = join.lookup(rows.repartition(16), facts, "key")
+    out.write.format("noop").mode("overwrite").save()
+    assert plan(out).count("Exchange hashpartitioning(key") == 2
+    out.collect()
+    text = plan(out)
+    assert "skew=true" in text
+    assert out.where("key = 'hot' AND v = 1").count() == 18_000
+
+
+@pytest.mark.parametrize("name,most", [("contacts_with_dns", 4), ("exclude_seen_pairs", 4)])
+def test_lookups_add_no_shuffles(shuffled_joins, name, most):
+    assert plan(entry.queries()[name](shuffled_joins, SF)).count("Exchange hash") <= most
+
+
+def test_the_audit_moves_no_markup(shuffled_joins):
+    text = plan(entry.queries()["visit_audit"](shuffled_joins, SF))
+    for line in text.splitlines():
+        if "Exchange" in line:
+            assert "html" not in line

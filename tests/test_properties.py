@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.operators import audit, generate, match, rank
-from contactloom.operators.join import is_small, salted_anti, salted_lookup
+from contactloom.operators.join import lookup, without
 from contactloom.plans import flows
 from contactloom.sources import readers, sinks
 
@@ -68,21 +68,15 @@ def test_first_wins_is_idempotent_and_keeps_better_sources(data):
     assert sorted(both.drop("source_prio").collect()) == sorted(once.collect())
 
 
-def test_salted_joins_equal_plain_ones(spark, data):
+def test_lookups_and_exclusions(spark, data):
     _, df = data
     facts = spark.createDataFrame([("hot", 1), ("k1", 2), ("zz", 3)], "key STRING, v INT")
-    plain = df.join(facts, "key", "left").select("key", "item", "seq", "v")
-    salted = salted_lookup(df, facts, "key").select("key", "item", "seq", "v")
-    assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
-    skipped = salted_lookup(df, facts, "key", skip=F.col("key") == "hot")
+    skipped = lookup(df, facts, "key", skip=F.col("key") == "hot")
     assert skipped.where("key = 'hot' AND v IS NOT NULL").count() == 0
+    assert skipped.where("key = 'k1' AND v = 2").count() == df.where("key = 'k1'").count()
     assert skipped.count() == df.count()
-    anti = salted_anti(df, facts.unionByName(facts), ["key"])
-    assert sorted(anti.collect()) == sorted(df.join(facts, "key", "left_anti").collect())
-
-
-def test_is_small(spark):
-    assert is_small(spark.range(10), 10) and not is_small(spark.range(11), 10)
+    left = without(df, facts.unionByName(facts), ["key"])
+    assert sorted(left.collect()) == sorted(df.where("key NOT IN ('hot', 'k1')").collect())
 
 
 def greedy(rows, n, order):
@@ -173,7 +167,7 @@ def test_directory_beyond_the_broadcast_limit(spark, monkeypatch):
     dim = spark.createDataFrame([("a", "listed")], "domain STRING, owner STRING")
     want = [("a", "listed"), ("b", "own")]
     assert sorted(map(tuple, match.directory(df, dim, "domain", ["owner"]).collect())) == want
-    monkeypatch.setattr(match, "is_small", lambda d: False)
+    monkeypatch.setattr(match, "lookup", lambda d, r, on: d.hint("merge").join(r, on, "left"))
     assert sorted(map(tuple, match.directory(df, dim, "domain", ["owner"]).collect())) == want
 
 
@@ -203,6 +197,65 @@ def test_audit_gives_each_visit_one_reason(spark):
     assert got["a.test"].mx_provider == "Zoho Mail"
 
 
+def plain_audit(visits, candidates, mx, seen_domains, seen_emails):
+    """The rule itself: one visit after another."""
+    domains, taken, out = set(seen_domains), set(seen_emails), {}
+    for domain, seq, status, html in sorted(visits, key=lambda v: v[1]):
+        found = [c for c in candidates if c[0] == domain]
+        if status == "429":
+            continue
+        if "." not in domain:
+            out[seq] = ("invalid_domain", None)
+        elif domain in domains:
+            out[seq] = ("duplicate_domain", None)
+        elif not html:
+            out[seq] = ("timeout" if status == "timeout" else f"no_html:{status}", None)
+        elif not found:
+            out[seq] = ("no_email_found", None)
+        else:
+            best = [e for _, e, _, _ in sorted(found, key=lambda c: (-c[2], c[3]))
+                    if e not in taken]
+            if not best:
+                out[seq] = ("duplicate_email", None)
+            elif best[0].split("@")[1] not in mx:
+                out[seq] = (f"no_mx:{best[0].split('@')[1]}", best[0])
+            else:
+                domains.add(domain)
+                taken.add(best[0])
+                out[seq] = ("", best[0])
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_audit_is_the_sequence_of_visits(spark, seed):
+    rng = random.Random(seed)
+    sites = [f"s{i}.test" for i in range(12)] + ["nodot"]
+    mails = [f"m{i}@{rng.choice(['mx.test', 'dead.test'])}" for i in range(10)]
+    visits = [(rng.choice(sites), seq, status, "<p>" if status == "200" else None)
+              for seq, status in enumerate(
+                  rng.choices(["200", "429", "503", "timeout"], [8, 1, 1, 1], k=60))]
+    candidates = [(s, m, score, pos) for s in sites[:11] for pos, (m, score) in enumerate(
+        (rng.choice(mails), rng.choice([60, 80, 100])) for _ in range(rng.randrange(1, 4)))]
+    unique, seen = [], set()
+    for c in sorted(candidates, key=lambda c: (-c[2], c[3])):
+        if c[:2] not in seen:
+            seen.add(c[:2])
+            unique.append(c)
+    got = audit.audit(
+        spark.createDataFrame(visits, "domain STRING, seq LONG, http_status STRING, html STRING"),
+        spark.createDataFrame(candidates, "domain STRING, email STRING, score INT, pos INT"),
+        match.collapse_dns(spark.createDataFrame(
+            [("mx.test", "MX", 1, "mx.zoho.eu")],
+            "domain STRING, rtype STRING, pref INT, data STRING")),
+        spark.createDataFrame([("s0.test",)], "domain STRING"),
+        spark.createDataFrame([("m0@mx.test",)], "email STRING"),
+        {"unused.test": "Other"}).collect()
+    want = plain_audit(visits, unique, {"mx.test"}, ["s0.test"], ["m0@mx.test"])
+    assert {r.seq: (r.rejection_reason, r.primary_email) for r in got} == want
+    yes = [r for r in got if r.qualified == "YES"]
+    assert len(yes) == len({r.domain for r in yes}) == len({r.primary_email for r in yes})
+
+
 def test_work_list_spill_and_plain(spark):
     rows = [(f"ring{i}.test", "", "", "", "11-50", 0, i) for i in range(8)]
     rows += [(f"ring-shirt{i}.test", "", "", "", "11-50", 1, 100 + i) for i in range(4)]
