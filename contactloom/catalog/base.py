@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from contactloom.functions.domains import clean_domain, stem
 from contactloom.operators.generate import pick
-from contactloom.session import spread
+from contactloom.session import importable, spread
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -59,7 +59,7 @@ def with_tables(sql: str, uses: str) -> str:
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def read_texts(spark: SparkSession, sf: str, name: str) -> DataFrame:

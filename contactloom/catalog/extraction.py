@@ -480,10 +480,15 @@ FROM (SELECT doc_id, text, unnest(range(len(m))) AS pos, unnest(m) AS email,
       FROM (SELECT doc_id, text, {MENTION_SQL.format('text')} AS m FROM documents))""")
 def _(spark, sf):
     rows = read(spark, sf, "documents")
-    found = extract.extract_emails(rows, "text", ["doc_id", "text"])
-    place = F.instr(F.lower("text"), F.col("email"))
-    hit = F.substring(F.col("text"), place, F.length("email"))
-    return found.select("doc_id", "pos", "email", snippet("text", hit).alias("snippet"))
+    low = F.lower("text")
+
+    def shown(email):
+        hit = F.substring(F.col("text"), F.instr(low, email), F.length(email))
+        return F.struct(email.alias("email"), snippet("text", hit).alias("snippet"))
+
+    found = F.transform(extract.mention_list("text"), shown)
+    return rows.select("doc_id", F.posexplode(found).alias("pos", "m")).select(
+        "doc_id", "pos", "m.*")
 
 
 @query("card_addresses", """

@@ -365,9 +365,8 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("scanned"),
         F.count_if(F.col("event_type") == "purchase").alias("found"))
     rows.write.json(path)
-    from contactloom import schemas
-
-    return spark.read.schema(schemas.PROGRESS).json(path).select("worker_id", "scanned", "found")
+    return readers.read_progress(spark, path, one_each=False).select(
+        "worker_id", "scanned", "found")
 
 
 @query("brand_registry_head", "SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 50")
@@ -413,6 +412,42 @@ def _(spark, sf):
         "email", "first_name", "company")
 
 
+@query("master_file", """
+SELECT sha256(lower(split_part(owner, ' ', 1))) AS first_name,
+  sha256(lower(trim(email))) AS email, brand AS company FROM store""", uses="store")
+def _(spark, sf):
+    rows = store(spark, sf).select(
+        F.split_part("owner", F.lit(" "), F.lit(1)).alias("first_name"),
+        F.trim("email").alias("email"), F.col("brand").alias("company"))
+    path = scratch_path(spark, "master")
+    sinks.write_master(rows, path, pii="hash")
+    back = spark.read.option("header", True).csv(path)
+    names = {c.lower().replace(" ", "_"): c for c in back.columns}
+    return back.select(*[F.col(f"`{names[n]}`").alias(n)
+                         for n in ("first_name", "email", "company")])
+
+
+@query("batch_files", """
+SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 2000 + 1 AS batch
+FROM orders""")
+def _(spark, sf):
+    path = scratch_path(spark, "batches")
+    sinks.write_batches(read(spark, sf, "orders").select("o_orderkey", "o_orderdate"), path,
+                        ["o_orderdate", "o_orderkey"])
+    return spark.read.parquet(path).select("o_orderkey", F.col("batch").cast("long"))
+
+
+@query("malformed_rows_dropped", """
+SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0""")
+def _(spark, sf):
+    path = scratch_path(spark, "rows")
+    short = F.pmod("c_custkey", F.lit(3)) == 0
+    read(spark, sf, "customer").select(F.when(short, F.col("c_custkey").cast("string")).otherwise(
+        F.concat_ws(",", "c_custkey", "c_name"))).write.text(path)
+    return readers.drop_malformed(spark, path, "c_custkey STRING, c_name STRING").select(
+        F.col("c_custkey").cast("long"), "c_name")
+
+
 @query("append_enrichment_columns", """
 SELECT *, md5(lower(trim(email))) AS address_hash FROM store""", uses="store")
 def _(spark, sf):
@@ -557,7 +592,9 @@ def _(spark, sf):
     return rank.slices(placed, 10, position="position").select("o_orderkey", "slice")
 
 
-@query("hash_slices")
+@query("hash_slices", """
+SELECT o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15))::BIGINT % 10
+  AS INTEGER) AS slice FROM orders""")
 def _(spark, sf):
     rows = read(spark, sf, "orders").select("o_orderkey")
     return rank.slices(rows, 10, key="o_orderkey")

@@ -465,6 +465,14 @@ def _(spark, sf):
     return report.rejection_report(audited(spark, sf))
 
 
+@query("sites_without_mx", """
+SELECT seq, domain, rejection_reason FROM audited WHERE rejection_reason LIKE 'no_mx%'
+ORDER BY seq LIMIT 500""", uses="audited")
+def _(spark, sf):
+    return report.no_mx_rows(audited(spark, sf), 500, ["seq"]).select(
+        "seq", "domain", "rejection_reason")
+
+
 @query("retry_queue", """
 SELECT seq, CASE WHEN http_status = '429' AND attempt < 3 THEN attempt + 1 ELSE attempt END AS attempt,
   http_status = '429' AND attempt < 3 AS again FROM visits""", uses="visits")

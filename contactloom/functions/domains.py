@@ -29,15 +29,6 @@ def clean_domain(c: Column | str, mode: str = "prefix", www: bool = True) -> Col
     return F.trim(F.split_part(bare, F.lit("/"), F.lit(1)))
 
 
-def url_host(c: Column | str) -> Column:
-    """Host of a URL, without port, query and fragment."""
-    return F.lower(F.regexp_extract(col(c), r"^(?:[a-zA-Z]+://)?([^/?#:]+)", 1))
-
-
-def url_path(c: Column | str) -> Column:
-    return F.regexp_extract(col(c), r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1)
-
-
 def stem(c: Column | str) -> Column:
     """First label of a domain."""
     return F.split_part(F.lower(col(c)), F.lit("."), F.lit(1))

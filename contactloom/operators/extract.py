@@ -15,7 +15,6 @@ from contactloom import patterns, rules
 from contactloom.functions import domains, emails, html, names, social
 from contactloom.functions.text import any_of, capitalize, col, contains_any, let
 from contactloom.functions.text import text_array, words
-from contactloom.operators.rank import running_rank
 
 PLATFORM_COLUMNS = {"instagram": "instagram", "facebook": "facebook", "linkedin": "linkedin",
                     "tiktok": "tiktok", "twitter": "twitter_x"}
@@ -238,7 +237,8 @@ def select_pages(pages: DataFrame, site: str, path: str, k: int = 8,
 # ------------------------------------------------------------------------ people
 def _hits(text: Column, pattern: str, number: int, flags: str) -> Column:
     # only patterns with letters beyond ASCII pay for Unicode case folding
-    full = (flags if pattern.isascii() else flags.replace(")", "u)")) + pattern
+    foreign = any(c.isalpha() and not c.isascii() for c in pattern)
+    full = (flags.replace(")", "u)") if foreign else flags) + pattern
     return F.transform(F.regexp_extract_all(text, F.lit(full), F.lit(0)), lambda w: F.struct(
         F.lit(number).alias("pat"), w.alias("whole"),
         F.trim(F.regexp_extract(w, full, 1)).alias("cand")))
@@ -542,12 +542,13 @@ def rank_cards(cards: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
     """Search cards that may speak about their domain, ranked by engine and position.
 
     Input: domain, brand, engine, engine_rank, pos, url, text. Adds the unwrapped
-    ``target`` and ``rank`` within (domain, engine).
+    ``target`` and ``rank`` within (domain, engine), a handful of cards; the text stays behind.
     """
     rows = cards.withColumn("target", domains.unwrap("url"))
     rows = rows.where(domains.trusted("target", "domain")
                       & domains.grounded("text", "domain", "brand", stop))
-    return running_rank(rows, ["pos"], ["domain", "engine"], name="rank")
+    place = Window.partitionBy("domain", "engine").orderBy("pos")
+    return rows.drop("text").withColumn("rank", F.row_number().over(place))
 
 
 def read_cards(cards: DataFrame, name_list: Sequence[str], stop: Sequence[str]) -> DataFrame:

@@ -180,8 +180,8 @@ def match_company(sites: DataFrame, companies: DataFrame, least: int = 4) -> Dat
 
     Abroad the folded company name must equal brand or label, plain or with a legal
     suffix, both of five letters at least. At home (uk) one name must contain the other, on
-    at least ``least`` letters. Containment runs as an equi-join: the longer name offers all
-    its pieces. Every piece keeps one company, so common words cannot multiply rows.
+    at least ``least`` letters. Containment runs as an equi-join on the shorter name's rarest piece;
+    the names that share it are compared.
     """
     site = sites.select("domain", "brand").distinct().select(
         "domain", "brand", alnum_fold("brand").alias("b"),
@@ -190,9 +190,6 @@ def match_company(sites: DataFrame, companies: DataFrame, least: int = 4) -> Dat
          | (domains.country_from_tld("domain", "codes") == "UK")).alias("home"))
     first = F.min(F.struct("company_no", "name")).alias("hit")
     folded = companies.select("company_no", "name", alnum_fold("name").alias("c"))
-    whole = folded.groupBy("c").agg(first).withColumnRenamed("c", "g")
-    pieces = (folded.select("company_no", "name", F.explode(_pieces("c", least)).alias("g"))
-              .groupBy("g").agg(first))
     suffixes = F.array(F.lit(""), F.lit("ltd"), F.lit("limited"))
 
     def forms(x: str) -> Column:
@@ -202,20 +199,36 @@ def match_company(sites: DataFrame, companies: DataFrame, least: int = 4) -> Dat
         "domain", "brand", "s",
         F.explode(F.array_distinct(F.concat(forms("b"), forms("s")))).alias("g"))
     away = away.where(F.contains("g", F.col("s"))).drop("s")
+    whole = folded.groupBy(F.col("c").alias("g")).agg(first)
+    equal = away.join(whole, "g").select("domain", "brand", "hit")
+
+    # containment: the shorter name is found by its rarest piece of ``least`` letters, all of
+    # which the longer one has; a name offers as many pieces as it has letters
+    offered = folded.select("company_no", "name", "c", F.explode(_pieces("c", least)).alias("g"))
+    count = offered.groupBy("g").agg(F.count("*").alias("n"))
+    hit = F.struct("company_no", "name").alias("hit")
+
+    def rarest(df: DataFrame, keys: list[str]) -> DataFrame:
+        known = lookup(df, count, "g")
+        return known.groupBy(*keys).agg(F.min_by("g", F.struct(
+            F.coalesce("n", F.lit(0)).alias("n"), F.col("g").alias("t"))).alias("g"))
+
     near = site.where("home")
-    inside = near.select("domain", "brand", F.explode(F.array_distinct(
-        F.filter(F.array("b", "s"), lambda x: F.length(x) >= least))).alias("g"))
-    around = near.select("domain", "brand", F.explode(_pieces("b", least)).alias("g"))
-    found = (lookup(away.unionByName(around), whole, "g")
-             .unionByName(lookup(inside, pieces, "g")).where("hit IS NOT NULL"))
-    return (found.groupBy("domain", "brand").agg(F.min("hit").alias("hit"))
-            .select("domain", "brand", "hit.*"))
+    own = near.select("domain", "brand", F.explode(F.array_distinct(F.filter(
+        F.array("b", "s"), lambda x: F.length(x) >= least))).alias("own"))
+    own = own.select("*", F.explode(_pieces("own", least)).alias("g"))
+    inside = (rarest(own, ["domain", "brand", "own"]).join(offered, "g")
+              .where(F.contains("c", F.col("own"))).select("domain", "brand", hit))
+    longer = near.select("domain", "brand", "b", F.explode(_pieces("b", least)).alias("g"))
+    around = (longer.join(rarest(offered, ["company_no", "name", "c"]), "g")
+              .where(F.contains("b", F.col("c"))).select("domain", "brand", hit))
+    return (equal.unionByName(inside).unionByName(around).groupBy("domain", "brand")
+            .agg(F.min("hit").alias("hit")).select("domain", "brand", "hit.*"))
 
 
 def _pieces(name: str, least: int) -> Column:
-    """All distinct substrings of at least ``least`` letters."""
+    """All distinct substrings of ``least`` letters."""
     text = F.col(name)
     starts = F.sequence(F.lit(1), F.length(text) - least + 1)
-    grams = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(least), F.length(text) - i + 1), lambda n: F.substr(text, i, n))))
-    return F.array_distinct(F.when(F.length(text) >= least, grams))
+    return F.array_distinct(F.when(F.length(text) >= least, F.transform(
+        starts, lambda i: F.substr(text, i, F.lit(least)))))

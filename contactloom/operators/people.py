@@ -175,12 +175,6 @@ def address_evidence(df: DataFrame, columns: Sequence[str], name_list: Sequence[
     return _one_per_row(df, best, 1.0)
 
 
-def namesake_evidence(df: DataFrame, name_list: Sequence[str], stop: Sequence[str],
-                      brand: str = "brand") -> DataFrame:
-    """Tier 1.5: a brand that is its founder's name."""
-    return _one_per_row(df, names.namesake(F.col(brand), F.col("domain"), name_list, stop), 1.5)
-
-
 def registry_gate(df: DataFrame, stop: Sequence[str], brand: str = "brand",
                   suffixes: Sequence[str] | None = None) -> DataFrame:
     """Sites worth a look-up in the home company register."""

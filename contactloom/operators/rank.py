@@ -219,11 +219,13 @@ def interleave(df: DataFrame, category: str, categories: Sequence[str],
 
 def slices(df: DataFrame, n: int, position: str | None = None,
            key: str | None = None) -> DataFrame:
-    """Slice number 0..n-1: by round-robin position, or by key hash (no order needed)."""
+    """Slice number 0..n-1: by round-robin position, or by the MD5 of a key (no order needed),
+    which other engines have too."""
     if position is not None:
         number = F.pmod(F.col(position) - 1, F.lit(n))
     else:
-        number = F.pmod(F.xxhash64(key), F.lit(n))
+        head = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 15)
+        number = F.pmod(F.conv(head, 16, 10).cast("long"), F.lit(n))
     return df.withColumn("slice", number.cast("int"))
 
 

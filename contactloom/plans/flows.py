@@ -116,8 +116,9 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
         .where("domain <> ''"), ["domain"], ["brand"])
 
     def with_brand(df: DataFrame) -> DataFrame:
+        """Rows with their site's brand; callers read raw bodies first and join the result."""
         return lookup(df.withColumn("domain", domains.clean_domain("domain")), sites,
-                             "domain").where("brand IS NOT NULL")
+                      "domain").where("brand IS NOT NULL")
 
     def plausible(df: DataFrame) -> DataFrame:
         whole = names.full_name(F.col("first_name"), F.col("last_name"))
@@ -130,11 +131,13 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
 
     out: list[DataFrame] = []
     if author_api is not None:
-        found = people_of(with_brand(author_api), extract.api_author("body"))
+        read = author_api.select("domain", extract.api_author("body").alias("person"))
+        found = people_of(with_brand(read.where("person IS NOT NULL")), F.col("person"))
         out.append(people.evidence(found, 0.0, "author_api", "HIGH"))
     if feeds is not None:
-        author = extract.feed_author("body")
-        found = people_of(with_brand(feeds), F.when(author["first_name"].isNotNull(), author))
+        read = feeds.select("domain", extract.feed_author("body").alias("person"))
+        found = people_of(with_brand(read.where("person.first_name IS NOT NULL")),
+                          F.col("person"))
         out.append(people.evidence(found, 0.1, "feed_author", "HIGH"))
     if pages is not None:
         # brand joins what was read of a page, never the page itself
@@ -162,15 +165,16 @@ def person_evidence(inputs: DataFrame, name_list: Sequence[str], stop: Sequence[
         directory = extract.profiles_of(read)
         out.append(people.evidence(directory, 4.1, "directory_cards", "HIGH"))
     if registrations is not None:
-        rows = with_brand(registrations)
         person = words(F.when(F.col("kind") == "json", extract.registration_json_person("body"))
                        .otherwise(extract.registration_text_person("body")))
         named = let(person, lambda p: F.when(F.size(p) >= 2, F.struct(
             capitalize(F.get(p, F.lit(0))).alias("first_name"),
             capitalize(F.try_element_at(p, F.lit(-1))).alias("last_name"))))
-        out.append(people.evidence(people_of(rows, named), 4.0, "registration", "HIGH"))
+        read = registrations.select("domain", named.alias("person")).where("person IS NOT NULL")
+        out.append(people.evidence(people_of(with_brand(read), F.col("person")), 4.0,
+                                   "registration", "HIGH"))
     if bios is not None:
-        rows = with_brand(bios).select("domain", "brand", extract.bio_text("html").alias("bio"))
+        rows = with_brand(bios.select("domain", extract.bio_text("html").alias("bio")))
         found = extract.person_mentions(rows, "bio", "brand", "domain", ["domain"], name_list,
                                         stop).where("last_name <> ''")
         out.append(people.evidence(found, 4.2, "profile_bio", "HIGH"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -28,6 +29,17 @@ def local_session(cores: str = "*", app: str = "contactloom", **settings: str) -
     return spark
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package when it runs from a source
+    folder; on a cluster it is installed or sent along."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it.
 
@@ -62,10 +74,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+    """Write ``df`` once to the shared checkpoint folder, as Parquet, and read it from there.
 
-    Used where two readers must see the very same rows and partition numbers, also
-    after an executor is lost.
+    Used where two readers must see the very same rows, also after an executor is lost. Readers
+    take only the columns they need.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,12 +13,6 @@ from contactloom.functions.text import blank_to_null
 from contactloom.operators.rank import first_wins, union_sources
 
 
-def blanks_to_null(df: DataFrame) -> DataFrame:
-    """Empty texts of all string columns to NULL (the reading side of the convention)."""
-    return df.select(*[blank_to_null(c).alias(c) if t == "string" else F.col(c)
-                       for c, t in df.dtypes])
-
-
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str | None = None,
              spread: int | None = None, malformed: str = "PERMISSIVE") -> DataFrame:
     """Headered UTF-8 CSV, plain or gzip.
@@ -101,9 +95,9 @@ def read_slices(spark: SparkSession, path: str, numbers: Sequence[int]) -> DataF
     return spark.read.parquet(path).where(F.col("slice").isin(*numbers))
 
 
-def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """Progress files of the workers, one JSON object each."""
-    return spark.read.schema(schemas.PROGRESS).option("multiLine", True).json(path)
+def read_progress(spark: SparkSession, path: str, one_each: bool = True) -> DataFrame:
+    """Progress files of the workers, one JSON object each, or one in a line."""
+    return spark.read.schema(schemas.PROGRESS).option("multiLine", one_each).json(path)
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:

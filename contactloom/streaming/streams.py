@@ -58,7 +58,9 @@ def _stored(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     replaces its own rows, so results do not depend on how often it ran."""
     try:
         return spark.read.parquet(path).where(F.col("batch_id") < batch_id)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
