@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
-import contactloom
 from pyspark.sql import DataFrame, SparkSession
 
+from contactloom.session import importable
+
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
@@ -24,11 +24,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; also lets Python workers on this machine import the package when it
-    runs from a source folder (on a cluster it is installed or sent along)."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(contactloom.__file__)))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(
-            [root, *(p for p in paths if p)])
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
