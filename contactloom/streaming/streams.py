@@ -89,19 +89,26 @@ def append_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
 
 def _counted(spark: SparkSession, path: str, batch_id: int, keys: Sequence[str]) -> DataFrame:
-    """Rows per key that earlier batches stored, from the small table of their counts."""
+    """Rows per key that all earlier batches stored: what the last of them has noted."""
     counts = _stored(spark, f"{path}_counts", batch_id)
     if counts is None:
         counts = spark.createDataFrame([], ", ".join([*(f"{k} STRING" for k in keys),
                                                       "n LONG"]))
+    else:
+        last = counts.agg(F.max("batch_id")).first()[0]
+        counts = counts.where(F.col("batch_id") == last)
     return counts.groupBy(*keys).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_used"))
 
 
 def _put_counted(df: DataFrame, path: str, batch_id: int, keys: Sequence[str]) -> None:
-    """Store the rows and their counts, so later batches need not read the rows."""
+    """Store the rows, and the counts up to this batch, so that later batches read neither
+    the rows nor the counts of the batches before."""
     _put(df, path, batch_id)
-    written = df.sparkSession.read.parquet(_folder(path, batch_id))
-    _put(written.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).coalesce(1),
+    spark = df.sparkSession
+    new = spark.read.parquet(_folder(path, batch_id)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"))
+    before = _counted(spark, path, batch_id, keys).withColumnRenamed("_used", "n")
+    _put(before.unionByName(new).groupBy(*keys).agg(F.sum("n").alias("n")).coalesce(1),
          f"{path}_counts", batch_id)
 
 
