@@ -2,11 +2,11 @@
 
 Tokens are runs of letters and digits, lower-cased. A document holds a passage of an item if
 some window of 13 of its tokens equals a window of the item in all but at most two places.
-The window is cut into four blocks and each of six masks keeps two of them: two substitutions
-leave two blocks whole, so one mask sees equal tokens. The masked tokens of every window are
-hashed, the hashes of documents and items are joined, and at each hit the whole windows are
-compared token by token. Items of 8 to 12 tokens are one window of their own length with
-proportionally fewer substitutions and masks.
+Each of three masks keeps every third token of the window: two substitutions fall into two of
+them at most, so one mask sees equal tokens. The masked tokens of every window are hashed, the
+hashes of documents and items are joined, and at each hit the whole windows are compared token
+by token. Items of 8 to 12 tokens are one window of their own length with proportionally fewer
+substitutions and masks.
 """
 
 from __future__ import annotations
@@ -29,7 +29,13 @@ def tokens(text: str) -> Column:
 
 
 def token_hashes(text: str) -> Column:
-    return F.transform(tokens(text), lambda w: F.xxhash64(w))
+    """Hashes of the tokens, to be computed once for a row.
+
+    The condition always holds. It depends on the partition, so Spark does not compute the
+    tokens again in the filters on them that it would move below this column.
+    """
+    once = F.when(F.spark_partition_id() >= 0, tokens(text))
+    return F.transform(once, lambda w: F.xxhash64(w))
 
 
 def allowed(width: int) -> int:
@@ -38,11 +44,9 @@ def allowed(width: int) -> int:
 
 
 def masks(width: int) -> list[list[int]]:
-    """Token places that each mask keeps: two of ``allowed + 2`` near-equal blocks."""
-    blocks = allowed(width) + 2
-    edges = [width * b // blocks for b in range(blocks + 1)]
-    return [[*range(edges[a], edges[a + 1]), *range(edges[b], edges[b + 1])]
-            for a, b in combinations(range(blocks), 2)]
+    """Token places that each mask keeps; one mask more than substitutions allowed."""
+    step = allowed(width) + 1
+    return [list(range(first, width, step)) for first in range(step)]
 
 
 def window_seeds(hashes: str, at: str, width: int) -> Column:
@@ -53,9 +57,9 @@ def window_seeds(hashes: str, at: str, width: int) -> Column:
         for m, places in enumerate(masks(width))])
 
 
-def seeds(rows: DataFrame, hashes: str, width: int, where: Column) -> DataFrame:
+def seeds(rows: DataFrame, hashes: str, width: int) -> DataFrame:
     """A row for each window that fits and for each mask: the rows' columns, ``at``, ``seed``."""
-    return (rows.where(where).select("*", F.posexplode(hashes).alias("at", "_first"))
+    return (rows.select("*", F.posexplode(hashes).alias("at", "_first"))
             .drop("_first").where(F.col("at") + width <= F.size(hashes))
             .select("*", F.explode(window_seeds(hashes, "at", width)).alias("seed")))
 
@@ -88,10 +92,10 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                       token_hashes("text").alias("doc_hashes"))
     found = []
     for width, windows in sorted(widths.items()):
-        wanted = (seeds(sized, "item_hashes", width, F.col("width") == width)
+        wanted = (seeds(sized.where(F.col("width") == width), "item_hashes", width)
                   .select("seed", "item_id", F.col("at").alias("item_at"),
                           F.slice("item_hashes", F.col("at") + 1, width).alias("item_window")))
-        own_seeds = seeds(own, "doc_hashes", width, F.size("doc_hashes") >= width)
+        own_seeds = seeds(own, "doc_hashes", width)
         if windows * len(masks(width)) <= BROADCAST_SEEDS:
             # The join runs in the same generated code as the seeds: arrays are not copied.
             hits = own_seeds.join(F.broadcast(wanted), "seed").withColumn(
