@@ -150,6 +150,8 @@ PAGES = [
     ("<div role='banner'>x</div><p>plain &lt;text&gt; &#65;&#x42;</p>", "plain <text> AB"),
     ("<article>a < b and 3 > 2 <unclosed", "a < b and 3 > 2"),
     ("<article><!-- no --><p title=\"a > b\">x</p><textarea>no</textarea></article>", "x"),
+    ("<body class='with-sidebar form'><article class='post comments'>x<p class='ad-slot'>y"
+     "<p class='no-ads'>z</article></body>", "x z"),
     ("", ""), (None, ""), ("   ", ""), ("no tags at all", "no tags at all"),
 ]
 
