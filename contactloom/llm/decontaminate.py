@@ -12,7 +12,6 @@ substitutions and masks.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
