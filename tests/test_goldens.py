@@ -622,3 +622,38 @@ def test_top_candidates_orders(spark):
     assert order("score") == ["info@x.test", "anna@x.test", "a.b@x.test"]
     assert order("pos") == ["info@x.test", "a.b@x.test", "anna@x.test"]
     assert order("personal") == ["a.b@x.test", "anna@x.test", "info@x.test"]
+
+
+def test_contacts_name_all_other_addresses_of_a_site(spark):
+    markup = " ".join(f"<a href='mailto:anna{i}@craft-site.com'>x</a>" for i in range(15))
+    pages = spark.createDataFrame([("craft-site.com", 0, markup)],
+                                  "domain STRING, path_no INT, html STRING")
+    stores = spark.createDataFrame([("craft-site.com", "Craft", "")],
+                                   "domain STRING, brand STRING, niche STRING")
+    answers = spark.createDataFrame([("craft-site.com", "MX", 1, "mx.zoho.eu")],
+                                    "domain STRING, rtype STRING, pref INT, data STRING")
+    got = flows.pages_to_contacts(pages, stores, answers).collect()
+    assert len(got) == 15
+    for r in got:
+        assert set(r.secondary_email.split("; ")) == {
+            f"anna{i}@craft-site.com" for i in range(15)} - {r.email}
+    few = flows.pages_to_contacts(pages, stores, answers, secondary=3).collect()
+    assert {len(r.secondary_email.split("; ")) for r in few} == {3}
+
+
+def test_profiles_are_looked_up_by_variant(spark):
+    inputs = spark.createDataFrame(
+        [("craft-site.com", "", "hello@craft-site.com", ""),
+         ("other-site.com", "", "hello@other-site.com", "")],
+        "domain STRING, brand STRING, email STRING, secondary_email STRING")
+    known = spark.createDataFrame([("info@craft-site.com", "maria garcia"),
+                                   ("x@other-site.com", "peter weber")], "e STRING, n STRING")
+    profiles = known.select(emails.email_hash("e").alias("email_hash"),
+                            known.n.alias("display_name"))
+    got = {r.domain: r for r in flows.people_from_sources(
+        inputs, ("maria", "peter"), (), profiles).collect()}
+    one = got["craft-site.com"]
+    assert (one.first_name, one.last_name, one.confidence, one.person_email,
+            one.email_pattern) == ("Maria", "Garcia", "HIGH", "info@craft-site.com",
+                                   "profile_validated")
+    assert got["other-site.com"].first_name == ""
