@@ -255,6 +255,139 @@ def test_license_rules_take_the_longest_first(spark):
                    ("Public-Domain", 1, 1, ""), ("", 0, 0, ""), ("", 0, 0, "")]
 
 
+APACHE = """\
+   Copyright 2020 Some One
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+MIT = """\
+MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_HEAD = """\
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+BSD_NAMES = """\
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+BSD_TAIL = """\
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+ISC = """\
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS.
+"""
+GPL = """\
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+MPL = """\
+This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. Other words follow.
+"""
+UNLICENSE = "This is free and unencumbered software released into the public domain.\n"
+
+
+def commented(text, first, mark, last):
+    return "\n".join([first, *(f"{mark} {x}".rstrip() for x in text.split("\n")), last])
+
+
+def test_wrapped_notices_are_whole_sentences(spark):
+    notices = [(APACHE, "Apache-2.0", 5, 1), (MIT, "MIT", 5, 1),
+               (BSD_HEAD + BSD_TAIL, "BSD-2-Clause", 5, 0),
+               (BSD_HEAD + BSD_NAMES + BSD_TAIL, "BSD-3-Clause", 6, 0), (ISC, "ISC", 2, 0),
+               (GPL, "GPL-3.0-or-later", 5, 0), (MPL, "MPL-2.0", 1, 0),
+               (UNLICENSE, "Unlicense", 1, 0)]
+    expected = [(name, known, unknown, "") for _, name, known, unknown in notices]
+    texts = [text for text, *_ in notices]
+    assert scan(spark, *texts) == expected
+    assert scan(spark, *[commented(t, "/*", " *", " */") for t in texts]) == expected
+    assert scan(spark, *[commented(t, "#!/bin/sh", "#", "x = 1") for t in texts]) == expected
+    assert scan(spark, *[commented(t, "", "--", "") for t in texts]) == expected
+    assert scan(spark, *[t.replace("\n", "\r\n") for t in texts]) == expected
+
+
+def test_spdx_tags(spark):
+    got = scan(spark, "// SPDX-License-Identifier: MIT\nint x;",
+               "/* SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) */",
+               "# SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0",
+               "<!-- SPDX-License-Identifier: Apache-2.0 AND LicenseRef-x -->")
+    assert got == [("MIT", 1, 0, ""), ("GPL-2.0,BSD-3-Clause", 1, 0, ""),
+                   ("GPL-2.0-or-later", 1, 0, ""), ("Apache-2.0", 0, 1, "")]
+
+
+def test_lines_that_are_not_wrapped_stay_sentences(spark):
+    got = scan(spark, "Some words\nAll rights reserved\nLicensed under the MIT License",
+               "a line of some length that ends here\nfoo\nlicensed under the mit license",
+               "Nothing in this long sentence says that the file would be\nin the public domain.")
+    assert got == [("MIT", 2, 0, "<AllRights>"), ("MIT", 1, 0, ""), ("", 0, 1, "")]
+
+
 def test_licenses_on_odd_rows(edge_docs, no_docs):
     got = {r.doc_id: r.licenses for r in scan_licenses(edge_docs).collect() if r.licenses}
     assert got == {8: "MIT,CC-BY-NC-4.0"}
