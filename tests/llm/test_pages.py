@@ -185,6 +185,26 @@ def test_repeated_runs_go_where_markup_is_silent(spark, monkeypatch, limit):
     assert got == {r[0]: r[4] for r in rows}
 
 
+@pytest.mark.parametrize("limit", [4 << 20, 300])
+def test_copies_and_quotations_are_no_boilerplate(spark, monkeypatch, limit):
+    """Articles that stand twice on a host, exactly or nearly, and a quotation on two pages are
+    kept; a page on its own and its copy have nothing to compare."""
+    monkeypatch.setattr(extract, "SHARD_BYTES", limit)
+    rows = site("one.com", 12)
+    quote = "a saying of eight words or more that two of them have"
+    rows[3:5] = [(*r[:2], r[2].replace(r[4], f"{r[4]} {quote}"), "x", f"{r[4]} {quote}")
+                 for r in rows[3:5]]
+    (_, _, page, _, own) = rows[0]
+    rows += [(20 + i, f"http://one.com/copy{i}", page, "x", own) for i in range(4)]
+    rows.append((30, "http://one.com/near", page.replace(own, own + " later"), "x",
+                 own + " later"))
+    lone = " ".join(f"v{i}" for i in range(40))
+    rows += [(40 + i, f"http://two.com/{i}", f"<p>{lone}</p>", "x", lone) for i in range(2)]
+    got = {r.page_id: r.text
+           for r in extract.main_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {r[0]: r[4] for r in rows}
+
+
 def test_extraction_on_odd_rows(odd_pages):
     got = extract.main_texts(odd_pages).collect()
     assert len(got) == 8
