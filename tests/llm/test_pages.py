@@ -205,6 +205,26 @@ def test_copies_and_quotations_are_no_boilerplate(spark, monkeypatch, limit):
     assert got == {r[0]: r[4] for r in rows}
 
 
+@pytest.mark.parametrize("limit", [4 << 20, 300])
+def test_arrays_judge_named_content(spark, monkeypatch, limit):
+    """A block inside article goes if it is boilerplate of the host; one that two articles share
+    stays, and so does all on hosts of two pages."""
+    monkeypatch.setattr(extract, "SHARD_BYTES", limit)
+    notice = "Read more of our stories every day and tell all of your friends"
+    shared = "a passage of eight words or more that two articles share"
+    rows = []
+    for host, n in (("one.com", 12), ("two.com", 2)):
+        for i, (_, url, _, _, own) in enumerate(site(host, n)):
+            kept = [own] + [shared] * (i < 2) + [notice] * (n == 2)
+            body = "".join(f"<p>{x}</p>" for x in [own] + [shared] * (i < 2) + [notice])
+            rows.append((len(rows), url, f"<article>{body}</article>", "x", " ".join(kept)))
+    rows.append((99, "http://one.com/plain", f"<p>{notice}</p><p>just this</p>", "x",
+                 "just this"))
+    got = {r.page_id: r.text
+           for r in extract.main_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {r[0]: r[4] for r in rows}
+
+
 def test_extraction_on_odd_rows(odd_pages):
     got = extract.main_texts(odd_pages).collect()
     assert len(got) == 8
