@@ -1,12 +1,14 @@
 """Benchmark passages in documents, by spaced seeds; DataFrame functions only.
 
-Tokens are runs of letters and digits, lower-cased. A document holds a passage of an item if
+Tokens are runs of letters and digits, lower-cased; in scripts without blanks each character is
+a token. A document holds a passage of an item if
 some window of 13 of its tokens equals a window of the item in all but at most two places.
 Each of three masks keeps every third token of the window: two substitutions fall into two of
 them at most, so one mask sees equal tokens. The masked tokens of every window are hashed, the
 hashes of documents and items are joined, and at each hit the whole windows are compared token
 by token. Items of 8 to 12 tokens are one window of their own length with proportionally fewer
-substitutions and masks.
+substitutions and masks. Items under 8 tokens are found as a whole and without substitutions:
+anywhere if they have enough characters, else where they fill a line.
 """
 
 from __future__ import annotations
@@ -19,12 +21,29 @@ from pyspark.sql import functions as F
 WINDOW, SUBSTITUTIONS, SHORTEST = 13, 2, 8
 # Item seeds are broadcast up to this many rows (about 100 MB); beyond it they are shuffled.
 BROADCAST_SEEDS = 400_000
+# Items under 8 tokens with so many characters are found inside lines, too; a character of a
+# script without blanks counts as four.
+SURE_CHARACTERS, WIDE_CHARACTER = 24, 4
+
+# Thai to Khmer, Han, Hiragana, Katakana: scripts without blanks.
+UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029"
+            "\u3031-\u303c\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+            "\uff66-\uff9f" + r"\x{20000}-\x{3ffff}")
+TOKEN = rf"[{UNSPACED}&&[\p{{L}}\p{{N}}]]|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+"
 
 
 def tokens(text: str) -> Column:
-    words = F.split(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))),
-                    r"[^\p{L}\p{N}]+")
-    return F.array_remove(words, "")
+    lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    words = F.array_remove(F.split(lowered, r"[^\p{L}\p{N}]+"), "")
+    # Texts without any such character take the shorter way.
+    return F.when(lowered.rlike("[\u0e00-" + r"\x{10ffff}]"),
+                  F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))).otherwise(words)
+
+
+def characters(text: str) -> Column:
+    """Characters of the tokens, those of scripts without blanks counted as several."""
+    return F.aggregate(tokens(text), F.lit(0), lambda n, w: n + F.when(
+        w.rlike(f"[{UNSPACED}]"), F.lit(WIDE_CHARACTER)).otherwise(F.length(w)))
 
 
 def token_hashes(text: str) -> Column:
@@ -38,8 +57,8 @@ def token_hashes(text: str) -> Column:
 
 
 def allowed(width: int) -> int:
-    """Substitutions allowed in a window."""
-    return width * SUBSTITUTIONS // WINDOW
+    """Substitutions allowed in a window; none in items under 8 tokens."""
+    return 0 if width < SHORTEST else width * SUBSTITUTIONS // WINDOW
 
 
 def masks(width: int) -> list[list[int]]:
@@ -69,23 +88,50 @@ def equal_tokens(width: int) -> Column:
         for j in range(width)])
 
 
+def whole_lines(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Hits of ``items(item_id, item_hashes)`` that fill a line of a document."""
+    mark = F.xxhash64(F.lit("\n"))
+    lowered = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    found = F.regexp_extract_all(F.concat(F.lit("\n"), lowered, F.lit("\n")),
+                                 F.lit(rf"[\r\n]+|{TOKEN}"), F.lit(0))
+    hashes = F.transform(found, lambda w: F.when(w.rlike(r"^[\r\n]"), mark).otherwise(
+        F.xxhash64(w)))
+    # Breaks are the places of the marks: between two of them lies a line.
+    marked = docs.select(F.col("doc_id").cast("long"),
+                         F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+                         hashes.alias("hashes")).withColumn("breaks", F.filter(
+        F.sequence(F.lit(0), F.size("hashes") - 1), lambda k: F.get("hashes", k) == mark))
+    lines = (marked.select("*", F.posexplode("breaks").alias("n", "at"))
+             .withColumn("width", F.get("breaks", F.col("n") + 1) - F.col("at") - 1)
+             .where(F.col("width").between(1, SHORTEST - 1))
+             .select("doc_id", "text_key", (F.col("at") - F.col("n")).alias("doc_at"),
+                     F.slice("hashes", F.col("at") + 2, F.col("width")).alias("item_hashes")))
+    return lines.join(items, "item_hashes").select(
+        "doc_id", "text_key", "item_id", "doc_at", F.lit(0).alias("item_at"),
+        F.size("item_hashes").alias("equal"))
+
+
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_key, item_id, n_windows, best, first_at`` for each document and item
     that share a passage: how many window pairs, the most equal tokens in one, and the first
     token of the document in one.
 
     Reads ``docs(doc_id, text)`` and ``benchmark(item_id, text)``; extra columns are ignored.
-    Null, empty and wordless texts hold nothing. Items under 8 tokens are never found. Rows
-    with equal doc_id and text count once, as do items with equal id and text; ``text_key``
+    Null, empty and wordless texts hold nothing. Items under 8 tokens are found as a whole, with
+    fewer than ``SURE_CHARACTERS`` only where they fill a line. Rows with equal doc_id and text count once, as do items with equal id and text; ``text_key``
     tells texts under one doc_id apart. Empty tables give no rows.
     """
     items = benchmark.select(F.col("item_id").cast("long"),
-                             token_hashes("text").alias("item_hashes")).distinct()
-    sized = items.withColumn("width", F.least(F.size("item_hashes"), F.lit(WINDOW)))
-    # At most six different widths, and the number of windows of each.
-    widths = {r["width"]: r["windows"] for r in sized.where(F.col("width") >= SHORTEST)
-              .groupBy("width").agg(F.sum(F.size("item_hashes") - F.col("width") + 1)
-                                    .alias("windows")).collect()}
+                             token_hashes("text").alias("item_hashes"),
+                             characters("text").alias("characters")).distinct()
+    sized = items.withColumn("width", F.least(F.size("item_hashes"), F.lit(WINDOW))).withColumn(
+        "inside", (F.col("width") >= SHORTEST) | (F.col("characters") >= SURE_CHARACTERS))
+    # At most 13 different widths, and the number of windows of each; the short items that
+    # must fill a line.
+    counts = (sized.where("width > 0").groupBy("inside", "width")
+              .agg(F.sum(F.size("item_hashes") - F.col("width") + 1).alias("windows")).collect())
+    widths = {r["width"]: r["windows"] for r in counts if r["inside"]}
+    sized, in_lines = sized.where("inside"), sized.where("NOT inside AND width > 0")
     own = docs.select(F.col("doc_id").cast("long"),
                       F.xxhash64(F.col("text").cast("string")).alias("text_key"),
                       token_hashes("text").alias("doc_hashes"))
@@ -108,6 +154,8 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 .where(F.col("equal") >= width - allowed(width)))
         found.append(hits.select("doc_id", "text_key", "item_id", "doc_at", "item_at",
                                  "equal"))
+    if not all(r["inside"] for r in counts):
+        found.append(whole_lines(docs, in_lines.select("item_id", "item_hashes")))
     if not found:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, text_key long, item_id long, n_windows long, best int, "

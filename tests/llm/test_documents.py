@@ -508,6 +508,33 @@ def test_passages_with_substitutions(spark):
         (1, 1), (2, 1), (4, 2), (9, 2)}
 
 
+def test_short_items_are_found_whole(spark):
+    """Inside lines if they have enough characters, else only where they fill one."""
+    items = [(1, "What is photosynthesis exactly?"), (2, "Who am I?"), (3, "yes"), (4, "?"),
+             (5, "\u65e5\u672c\u306e\u9996\u90fd\u306f")]
+    docs = [(1, "We ask: what is Photosynthesis, exactly? And then."), (2, "So who am I? Me."),
+            (3, "First words.\r\n- Who am I?\nyes, that is all"), (4, "yes"),
+            (5, "What is photosynthesis not exactly?"), (6, "?"), (7, None),
+            (8, "\u56fd\u3001\u65e5\u672c\u306e\u9996\u90fd\u306f\u6771\u4eac"), (9, "a b\n\nyes\n")]
+    docs_df = spark.createDataFrame(docs, "doc_id long, text string")
+    items_df = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in passages(docs_df, items_df).drop("text_key").collect()}
+    assert got == {(1, 1, 1, 4, 2), (3, 2, 1, 3, 2), (4, 3, 1, 1, 0), (9, 3, 1, 1, 2),
+                   (8, 5, 1, 6, 1)}
+    left = {r.doc_id for r in without_passages(docs_df, items_df).collect()}
+    assert left == {2, 5, 6, 7}
+
+
+def test_scripts_without_blanks_have_a_token_for_each_character(spark):
+    """A passage with other punctuation, other neighbours and one other character is found."""
+    item = "\u5149\u5408\u6210\u306f\u690d\u7269\u304c\u5149\u3092\u4f7f\u3046\u904e\u7a0b\u3067\u3059"
+    doc = f"\u6587{item[:5]}\u3001{item[5:9]}\u98df{item[10:]}\u3002 caf\u00e9"
+    docs = spark.createDataFrame([(1, doc), (2, item[:6])], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [(r.doc_id, r.best, r.first_at) for r in passages(docs, bench).collect()] == [
+        (1, 12, 1)]
+
+
 def test_decontamination_on_odd_rows(spark, edge_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, " ".join(words(60, 3)), "a"), (1, " ".join(words(60, 3)), "b"), (None, None, "c")],
