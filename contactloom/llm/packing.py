@@ -36,7 +36,8 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those
     of its words. Words of plain Latin-1 characters go straight to the tokenizer's model with
-    the tokenizer's own split pattern; all others pass its normalizer and pre-tokenizer.
+    the tokenizer's own split pattern; words that hold an added token pass the whole tokenizer,
+    all others its normalizer and pre-tokenizer.
     """
 
     SIMPLE = regex.compile(r"[!-~¡-ÿ]+")
@@ -46,7 +47,8 @@ class WordIds(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower()
+                      for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.pieces: dict[str, bytes] = {}
 
@@ -65,7 +67,10 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if self.SIMPLE.fullmatch(text):
+        if any(t in text.lower() for t in self.added):
+            got = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
+                           "<u4").tobytes()
+        elif self.SIMPLE.fullmatch(text):
             got = b"".join(map(self.known, self.SPLIT.findall(text.lower())))
         else:
             t = self.tokenizer

@@ -15,7 +15,7 @@ from contactloom.llm import quality as q
 from contactloom.llm.decontaminate import masks, passages, without_passages
 from contactloom.llm.licenses import scan_licenses
 from contactloom.llm.near import distance_limit, keep_one, near_duplicates
-from contactloom.llm.packing import first_fit, pack, sequences
+from contactloom.llm.packing import first_fit, pack, sequences, token_bytes
 from contactloom.llm.passages import remove_repeats
 from contactloom.llm.tokens import Counter, read_vocabulary, token_counts
 from tests.llm.conftest import edge_rows, words
@@ -188,6 +188,14 @@ def test_pack_holds_every_id_once(edge_docs):
     assert {r.n_tokens * 4 == len(r.ids) for r in sequences(placed).collect()} == {True}
 
 
+def test_added_tokens_are_read_as_the_tokenizer_reads_them():
+    plain = Tokenizer.from_file(BPE)
+    for text in ("a <|endoftext|> b", "x<|endoftext|>y <|startoftext|>", "<|EndOfText|> é",
+                 "<| endoftext |>", "日<|endoftext|>本"):
+        ids = np.frombuffer(token_bytes(text.encode(), BPE, 2), "<u4").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids + [2], text
+
+
 def test_pack_of_nothing(no_docs):
     assert pack(no_docs, BPE, 2).count() == 0
 
