@@ -1,7 +1,7 @@
 """All queries of this subpackage; importing the modules registers them."""
 
 import corpus_pipeline
-from contactloom.llm import queries_documents, queries_pages  # noqa: F401
+from contactloom.llm import queries_corpus, queries_documents, queries_pages  # noqa: F401
 from contactloom.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
