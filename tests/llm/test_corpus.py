@@ -138,7 +138,8 @@ def variant_rows(seed):
     bases += ["aaaaa", "aaaaaa", "aaaaaaa", "ÿÿÿÿÿ", "abcdefgh", "abcdXfgh", "abcdefghÀ", "×÷×÷×"]
     texts = [" ".join(rng.choices(bases, weights=range(1, len(bases) + 1), k=200)).title()
              for _ in range(12)]
-    texts += [None, "", " \n ", "word-break_and1digits 日本語 " * 3, "Aaaaa " * 50]
+    texts += [None, "", " \n ", "word-break_and1digits 日本語 " * 3, "Aaaaa " * 50,
+              "chainaaa " * 3 + "chainaab " * 7 + "chainabb " * 20]
     return [(None if i == 3 else i, t) for i, t in enumerate(texts)]
 
 
