@@ -14,8 +14,8 @@ count zero::
                 + sum over h > 0 of f(z, h) - f(z, z)
                 + sum over both > 0 of f(g, h) - f(g, z) - f(z, h) + f(z, z)
 
-Blocks hold terms of like frequency, so rare terms, which are most, have few levels; inside a
-block the product is made tile by tile. All numbers are integers: products count terms of one
+Blocks hold terms of like frequency, so rare terms, which are most, have few levels; the blocks
+of a frequency are as many as the language has terms for. Inside a block the product is made tile by tile. All numbers are integers: products count terms of one
 block, which single precision holds exactly, prices and sums are 64-bit.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from contactloom.llm.store import written
 
 SCALE, LEAST_DOCUMENTS, TOP = 1_000_000_000, 10, 10
-# Terms of a block (about), columns of a tile, distinct terms that a task holds before it hands
+# Terms of a block (at most, about), columns of a tile, distinct terms that a task holds before it hands
 # them on.
 BLOCK_TERMS, TILE, HELD_TERMS = 512, 1024, 200_000
 
@@ -159,14 +159,13 @@ def block_product(block: pa.Table) -> pa.Table:
 def pair_values(cells: DataFrame, groups: DataFrame) -> DataFrame:
     """``lang, source, item, value`` for every ordered pair of groups of a language.
 
-    ``cells(lang, source, term, lang_n, p, zero)`` are the terms that groups hold;
+    ``cells(lang, source, term, lang_n, terms, p, zero)`` are the terms that groups hold;
     ``groups(lang, source, terms, zero)`` all groups with the number of kept terms.
     """
     like = F.floor(F.log2(F.col("lang_n").cast("double"))).cast("int")
-    sizes = (cells.select("lang", "term", like.alias("size")).distinct()
-             .groupBy("lang", "size").agg(F.ceil(F.count("*") / BLOCK_TERMS).alias("blocks")))
-    dealt = (cells.withColumn("size", like).join(sizes, ["lang", "size"])
-             .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks"))))
+    blocks = F.ceil(F.col("terms") / BLOCK_TERMS)
+    dealt = cells.withColumn("size", like).withColumn(
+        "block", F.pmod(F.xxhash64("term"), blocks))
     both = dealt.groupBy("lang", "size", "block").applyInArrow(
         block_product, "lang string, source string, item string, value long")
 
@@ -224,7 +223,7 @@ def divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS,
     cells = written(
         held.join(groups.select("lang", "source", "terms", "total", "lang_total", "zero"),
                   ["lang", "source"])
-        .select("lang", "source", "term", "lang_n", "zero", share("n", size).alias("p"),
+        .select("lang", "source", "term", "lang_n", "terms", "zero", share("n", size).alias("p"),
                 share("lang_n", lang_size).alias("q")), "cells")
 
     pairs = pair_values(cells, groups.select("lang", "source", "terms", "zero"))
