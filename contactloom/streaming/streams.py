@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from contactloom.operators import rank
@@ -82,6 +83,32 @@ def each_batch(stream: DataFrame, path: str, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
+def tail_committed(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """What another stream's ``append_batches`` has committed to ``path``, as a stream.
+
+    The folder's file log says which files a batch committed; files of a failed or running
+    batch are not read. The folder may still be empty.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def stage(stream: DataFrame, change: Callable[[DataFrame], DataFrame], folder: str
+          ) -> StreamingQuery:
+    """One stage of a chain: ``change`` applied to a stream, its rows under ``folder``.
+
+    Each stage has its own checkpoint, so stages stop, fail and restart on their own; the next
+    one reads ``stage_output``.
+    """
+    return append_batches(change(stream), f"{folder}/rows", f"{folder}/check")
+
+
+def stage_output(spark: SparkSession, folder: str, schema: str | StructType) -> DataFrame:
+    """Committed rows of a stage, as the input stream of the next."""
+    return tail_committed(spark, f"{folder}/rows", schema)
+
+
 def append_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append the stream to a file table as its batches come."""
     return (stream.writeStream.format("parquet").option("path", path)
