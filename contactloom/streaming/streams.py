@@ -12,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from contactloom.operators import rank
 from contactloom.operators.join import without, lookup
+from contactloom.sources.seen import SeenStore
 
 
 def tail(spark: SparkSession, path: str, schema: str, fmt: str = "csv",
@@ -174,18 +175,24 @@ def stream_batches(stream: DataFrame, n: int, order: Sequence[str], path: str,
 
 
 def stream_first_wins(stream: DataFrame, keys: Sequence[str], order: Sequence[str], path: str,
-                      checkpoint: str) -> StreamingQuery:
-    """First row per key over the whole run, kept in the stored table instead of state.
-
-    A batch is folded to one row per key before its shuffle, so a key that holds a third
-    of the stream stays cheap; then keys stored by earlier batches are left out.
+                      checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """First row per key over the whole run; keys of earlier batches lie in a store.
+
+    A batch is folded to one row per key before its shuffle, so a key that holds a third of the
+    stream stays cheap; then keys stored by earlier batches are left out (``SeenStore``: the
+    store is not shuffled, and a small batch opens few of its buckets). Rows are written before
+    their keys are stored, and both under the batch number: a batch that runs again sees the
+    earlier batches only and replaces its own rows and keys.
     """
-    def keep(batch: DataFrame, batch_id: int) -> DataFrame:
-        unique = rank.first_wins(batch, keys, order)
-        stored = _stored(batch.sparkSession, path, batch_id)
-        return unique if stored is None else rank.exclude_seen(unique, stored, keys)
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema if f.name in keys}
+    store = SeenStore(stream.sparkSession, f"{path}_seen", {k: kinds[k] for k in keys}, buckets)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _put(store.unseen(rank.first_wins(batch, keys, order), batch_id), path, batch_id)
+        store.add(batch.sparkSession.read.parquet(_folder(path, batch_id)), batch_id)
 
-    return each_batch(stream, path, checkpoint, keep)
+    return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def stream_retry(stream: DataFrame, throttled: Column, attempts: int, path: str,
@@ -214,12 +221,18 @@ def observe_progress(df: DataFrame, name: str, found: Column) -> DataFrame:
 class ProgressLog(StreamingQueryListener):
     """Keeps the observed counts and can end the run when all targets are met.
 
-    ``done`` gets the latest values of one observation and says whether to stop.
+    ``done`` gets the latest values of one observation and says whether to stop. With ``total``,
+    the number of rows there are to scan, each row says how far the run is and, at the rate so
+    far, how many seconds are left.
     """
 
-    def __init__(self, name: str, done: Callable[[dict], bool] | None = None) -> None:
+    def __init__(self, name: str, done: Callable[[dict], bool] | None = None,
+                 total: int | None = None) -> None:
         self.name = name
         self.done = done
+        self.total = total
+        self.scanned = 0
+        self.seconds = 0.0
         self.rows: list[dict] = []
         self.finished = False
 
@@ -231,11 +244,25 @@ class ProgressLog(StreamingQueryListener):
         if row is None:
             return
         values = row.asDict()
+        self.scanned += values.get("scanned", 0)
+        self.seconds += event.progress.batchDuration / 1000
+        left = None if self.total is None else max(0, self.total - self.scanned)
+        rate = self.scanned / self.seconds if self.seconds else 0.0
         self.rows.append({**values, "batch_id": event.progress.batchId,
-                          "rows_per_second": event.progress.processedRowsPerSecond})
+                          "rows_per_second": event.progress.processedRowsPerSecond,
+                          "scanned_so_far": self.scanned, "left": left,
+                          "seconds_left": left / rate if left is not None and rate else None})
         if self.done and self.done(values):
             self.finished = True
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """A row for each batch seen so far: counts, rate, rows and seconds left."""
+        return spark.createDataFrame(
+            [(r["batch_id"], r.get("scanned"), r.get("found"), r["scanned_so_far"], r["left"],
+              r["rows_per_second"], r["seconds_left"]) for r in self.rows],
+            "batch_id LONG, scanned LONG, found LONG, scanned_so_far LONG, left LONG, "
+            "rows_per_second DOUBLE, seconds_left DOUBLE")
+
     def onQueryIdle(self, event) -> None:
         pass
 

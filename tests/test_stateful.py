@@ -1,6 +1,7 @@
 """Growing files, keyed state, chained stages and the seen-store, with restarts."""
 
 import os
+import re
 import threading
 import time
 from collections import Counter
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contactloom.sources import growing
+from contactloom.sources.seen import SeenStore
 from contactloom.streaming import stateful, streams
 from tests.test_streaming import drop, run
 
@@ -193,3 +195,56 @@ def test_second_stage_follows_the_first(spark, tmp_path):
     second()
     second()
     assert sorted(r.seq for r in spark.read.parquet(out).collect()) == list(range(0, 14, 2))
+
+
+# -- seen-store ---------------------------------------------------------------------------
+
+KEYS = {"email": "STRING", "niche": "STRING"}
+
+
+def test_store_tells_seen_from_unseen(spark, tmp_path):
+    folder = f"{tmp_path}/seen"
+    store = SeenStore(spark, folder, KEYS, buckets=4)
+    first = spark.createDataFrame([("a", "A", 1), ("a", None, 2), (None, None, 3)], SCHEMA)
+    assert store.unseen(first, 0).count() == 3
+    store.add(first, 0)
+    rows = spark.createDataFrame([("a", "A", 9), ("a", "B", 8), ("a", None, 7), (None, None, 6),
+                                  (None, "A", 5), ("a", "B", 4)], SCHEMA)
+    assert sorted(r.seq for r in store.unseen(rows, 1).collect()) == [4, 5, 8]
+    assert store.unseen(rows, 0).count() == 6  # a batch that runs again does not see itself
+    store.add(rows, 1)
+    store.add(rows.where("seq = 8"), 1)  # and replaces its keys
+    store.close()
+    again = SeenStore(spark, folder, KEYS, buckets=99)  # another session's view of the folder
+    assert again.buckets == 4
+    assert sorted(r.seq for r in again.unseen(rows).collect()) == [5]
+    assert again.unseen(rows.limit(0)).count() == 0
+    again.close()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_store_is_neither_shuffled_nor_read_whole(spark, tmp_path):
+    store = SeenStore(spark, f"{tmp_path}/seen", {"id": "LONG"}, buckets=16)
+    store.add(spark.range(20_000), 0)
+    small, large = spark.range(19_998, 20_002), spark.range(10_000, 30_000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = store.unseen(small, 1)
+        assert sorted(r.id for r in fresh.collect()) == [20_000, 20_001]
+        # Four hashes open four buckets at most.
+        found = re.search(r"SelectedBucketsCount: (\d+) out of 16", fresh._sc._jvm.PythonSQLUtils
+                          .explainString(fresh._jdf.queryExecution(), "formatted"))
+        assert found and int(found[1]) <= 4
+        fresh = store.unseen(large, 1)
+        assert fresh.count() == 10_000
+        side = plan_of(fresh).split("FileScan")[0].splitlines()
+        # Only the batch is dealt out; between the join and the store's scan no row moves.
+        assert plan_of(fresh).count("Exchange hashpartitioning") == 1
+        assert not any("Exchange" in line for line in side[-4:])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        store.close()
