@@ -9,7 +9,9 @@ from contactloom.catalog.base import dns_answers, query, read, store_domain
 from contactloom.operators import match
 from contactloom.operators.join import without
 from contactloom.session import scratch_path
-from contactloom.streaming import streams
+from contactloom.sources import growing
+from contactloom.sources.seen import SeenStore
+from contactloom.streaming import stateful, streams
 
 FILES = 4
 EVENT = "event_id LONG, ts TIMESTAMP, user_id LONG, event_type STRING, value DOUBLE, props STRING"
@@ -158,3 +160,137 @@ def _(spark, sf):
     rows.write.parquet(scratch_path(spark, "observed"))
     return spark.createDataFrame([(watch.get["scanned"], watch.get["found"])],
                                  "scanned LONG, found LONG")
+
+
+def _append_lines(folder: str, rows) -> None:
+    """Let tasks append their events to files of their own, as workers on a cluster do; the last
+    line of each stays without its end until the next time."""
+    import os
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        name = f"{folder}/worker-{TaskContext.get().partitionId()}.csv"
+        for batch in batches:
+            lines = "\n".join(batch.column("line").to_pylist())
+            with open(name, "a") as file:
+                file.write("\n" + lines if file.tell() else "event_id,event_type\n" + lines)
+        yield from ()
+
+    os.makedirs(folder, exist_ok=True)
+    lines = rows.select(F.concat_ws(",", "event_id", "event_type").alias("line"), "event_id")
+    lines.repartition(FILES, "event_id").select("line").mapInArrow(write, "line STRING").collect()
+
+
+@query("stream_grown_files", """
+SELECT event_id, event_type FROM events""")
+def _(spark, sf):
+    out = scratch_path(spark, "grown")
+    folder = growing.local_path(f"{out}/in")
+    events = read(spark, sf, "events")
+    ends = spark.range(FILES * 16).select(F.col("id").alias("event_id"),
+                                          F.lit("").alias("event_type"))
+    halves = [events.where("event_type < 'p'"), events.where("event_type >= 'p'")]
+    for rows in (*halves, ends):  # the last ones end the lines that are still open
+        _append_lines(folder, rows)
+        stream = growing.tail_csv(spark, folder, "event_id LONG, event_type STRING",
+                                  range_bytes=64 << 10)
+        _finish(streams.append_batches(stream.where("event_type <> ''").select(
+            "event_id", "event_type"), f"{out}/rows", f"{out}/check"))
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query("stream_quota_in_state", """
+SELECT event_type, least(300, count(*)) AS n, least(300, count(*)) AS last_number, TRUE AS filled
+FROM events WHERE event_type <> 'error' GROUP BY event_type""")
+def _(spark, sf):
+    stream, out = _events(spark, sf, "state-quota")
+    kinds = [r.event_type for r in read(spark, sf, "events").select("event_type").distinct()
+             .where("event_type <> 'error'").collect()]  # as many as there are event types
+    counts = {r.event_type: r.n for r in read(spark, sf, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    full = stateful.run_until_full(
+        stream.select("event_id", "event_type"), "event_type",
+        {k: min(300, counts[k]) for k in kinds}, ["event_id"], f"{out}/rows", f"{out}/check",
+        available_now=True)[1]
+    return spark.read.parquet(f"{out}/rows").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("number").alias("last_number")).withColumn(
+        "filled", F.lit(full))
+
+
+def _turned_away(row, attempt: int) -> bool:
+    """A user's error is turned away as often as the number of the user says."""
+    return attempt <= int(row["user_id"].iloc[0]) % 5
+
+
+@query("stream_retry_backoff", """
+SELECT user_id, least(user_id % 5 + 1, 3)::INT AS attempt, user_id % 5 >= 3 AS throttled
+FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'error')""")
+def _(spark, sf):
+    stream, out = _events(spark, sf, "backoff")
+    rows = stateful.retry_with_backoff(
+        stream.where("event_type = 'error'").select("user_id", "event_id"), ["user_id"],
+        _turned_away, attempts=3, delay_ms=200, longest_ms=400)
+    stateful.run_retries(rows, f"{out}/rows", f"{out}/check")
+    return spark.read.parquet(f"{out}/rows").select("user_id", "attempt", "throttled")
+
+
+@query("stream_two_stages", """
+SELECT event_id, e.user_id, s_name AS supplier
+FROM (SELECT *, 'shop' || user_id || (['.com', '.co.uk', '.de', '.in', '.com.au', '.ca', '.us',
+  '.shop'])[1 + user_id % 8] AS site FROM events) e JOIN dns_flags d ON d.domain = e.site
+LEFT JOIN supplier ON s_suppkey = user_id WHERE has_mx""", uses="dns_flags")
+def _(spark, sf):
+    path, out = _arrive(spark, sf, "stages")
+    facts = match.collapse_dns(dns_answers(spark, sf)).where("has_mx").select("domain", "has_mx")
+    names = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id"),
+                                               F.col("s_name").alias("supplier"))
+
+    def verified(rows):
+        keyed = rows.withColumn("domain", store_domain(F.col("user_id")))
+        return streams.stream_enrich(keyed, facts, "domain").where("has_mx").select(
+            "event_id", "user_id")
+
+    def enriched(rows):
+        return streams.stream_enrich(rows, names, "user_id")
+
+    for files in (1, FILES):  # the second stage is stopped and goes on where it was
+        _finish(streams.stage(streams.tail(spark, path, EVENT, "parquet", files), verified,
+                              f"{out}/verified"))
+        committed = streams.stage_output(spark, f"{out}/verified",
+                                         "event_id LONG, user_id LONG")
+        _finish(streams.stage(committed, enriched, f"{out}/enriched"))
+    return spark.read.parquet(f"{out}/enriched/rows").select("event_id", "user_id", "supplier")
+
+
+@query("stream_live_progress", """
+SELECT count(*) AS scanned, count(*) FILTER (WHERE event_type = 'purchase') AS found,
+  0::BIGINT AS left FROM events""")
+def _(spark, sf):
+    stream, out = _events(spark, sf, "progress")
+    total = read(spark, sf, "events").count()
+    log = streams.ProgressLog("visits", total=total)
+    spark.streams.addListener(log)
+    try:
+        rows = streams.observe_progress(stream, "visits", F.col("event_type") == "purchase")
+        _finish(streams.append_batches(rows.select("event_id"), f"{out}/rows", f"{out}/check"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    finally:
+        spark.streams.removeListener(log)
+    return log.table(spark).agg(F.sum("scanned").alias("scanned"), F.sum("found").alias("found"),
+                                F.min("left").alias("left"))
+
+
+@query("exclude_seen_from_store", """
+SELECT user_id, count(*) AS n FROM events
+WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) AND user_id NOT IN (
+  SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY user_id""")
+def _(spark, sf):
+    store = SeenStore(spark, scratch_path(spark, "seen"), {"user_id": "LONG"}, buckets=16)
+    earlier = (read(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id")),
+               read(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(
+                   F.col("c_custkey").alias("user_id")))
+    for batch_id, keys in enumerate(earlier):
+        store.add(keys, batch_id)
+    return store.unseen(read(spark, sf, "events")).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"))
