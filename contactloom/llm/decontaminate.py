@@ -24,6 +24,7 @@ BROADCAST_SEEDS = 400_000
 # Items under 8 tokens with so many characters are found inside lines, too; a character of a
 # script without blanks counts as four.
 SURE_CHARACTERS, WIDE_CHARACTER = 24, 4
+NO_ID = -(2**63)
 
 # Thai to Khmer, Han, Hiragana, Katakana: scripts without blanks.
 UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029"
@@ -36,7 +37,7 @@ def tokens(text: str) -> Column:
     lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
     words = F.array_remove(F.split(lowered, r"[^\p{L}\p{N}]+"), "")
     # Texts without any such character take the shorter way.
-    return F.when(lowered.rlike("[\u0e00-" + r"\x{10ffff}]"),
+    return F.when(lowered.rlike(f"[{UNSPACED}]"),
                   F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))).otherwise(words)
 
 
@@ -82,10 +83,46 @@ def seeds(rows: DataFrame, hashes: str, width: int) -> DataFrame:
             .select("*", F.explode(window_seeds(hashes, "at", width)).alias("seed")))
 
 
-def equal_tokens(width: int) -> Column:
-    return reduce(Column.__add__, [
-        (F.get("doc_window", F.lit(j)) == F.get("item_window", F.lit(j))).cast("int")
-        for j in range(width)])
+def window(hashes: str, at: str, width: int) -> Column:
+    """The window that begins at ``at``, cut out before it is compared.
+
+    The condition always holds. It depends on the partition, so Spark does not move the
+    comparison below this column, into the join: the join's generated code stays small enough
+    to be compiled, and only windows, not whole texts, come out of it.
+    """
+    return F.when(F.spark_partition_id() >= 0, F.slice(hashes, F.col(at) + 1, width))
+
+
+def equal_tokens() -> Column:
+    """Equal places of two windows."""
+    same = F.zip_with("doc_window", "item_window", lambda x, y: (x == y).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda n, x: n + x)
+
+
+def hits_by_broadcast(own: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """Window pairs with a common seed: the items' seeds go to where the documents are."""
+    wanted = seeds(items, "item_hashes", width).select(
+        "seed", "item_id", F.col("at").alias("item_at"),
+        F.slice("item_hashes", F.col("at") + 1, width).alias("item_window"))
+    # The join runs in the same generated code as the seeds: arrays are not copied.
+    return seeds(own, "doc_hashes", width).join(F.broadcast(wanted), "seed").select(
+        "row_id", "text_key", F.col("at").alias("doc_at"), "item_id", "item_at",
+        window("doc_hashes", "at", width).alias("doc_window"), "item_window")
+
+
+def hits_by_shuffle(own: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """The same for any number of item seeds: seeds and places are shuffled alone, and windows
+    are fetched for the pairs that meet."""
+    wanted = seeds(items, "item_hashes", width).select(
+        "seed", "item_id", "item_key", F.col("at").alias("item_at"))
+    met = (seeds(own, "doc_hashes", width)
+           .select("seed", "row_id", "text_key", F.col("at").alias("doc_at"))
+           .join(wanted, "seed").drop("seed").distinct())
+    placed = met.join(own, ["row_id", "text_key"]).withColumn(
+        "doc_window", window("doc_hashes", "doc_at", width)).drop("doc_hashes")
+    return placed.join(items.select("item_key", "item_hashes").distinct(), "item_key").select(
+        "row_id", "text_key", "doc_at", "item_id", "item_at", "doc_window",
+        F.slice("item_hashes", F.col("item_at") + 1, width).alias("item_window"))
 
 
 def whole_lines(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -132,28 +169,21 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
               .agg(F.sum(F.size("item_hashes") - F.col("width") + 1).alias("windows")).collect())
     widths = {r["width"]: r["windows"] for r in counts if r["inside"]}
     sized, in_lines = sized.where("inside"), sized.where("NOT inside AND width > 0")
-    own = docs.select(F.col("doc_id").cast("long"),
+    sized = sized.withColumn("item_key", F.xxhash64("item_hashes"))
+    # Rows are told apart by id and text; a null id is a number of its own.
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("row_id"),
                       F.xxhash64(F.col("text").cast("string")).alias("text_key"),
                       token_hashes("text").alias("doc_hashes"))
     found = []
     for width, windows in sorted(widths.items()):
-        wanted = (seeds(sized.where(F.col("width") == width), "item_hashes", width)
-                  .select("seed", "item_id", F.col("at").alias("item_at"),
-                          F.slice("item_hashes", F.col("at") + 1, width).alias("item_window")))
-        own_seeds = seeds(own, "doc_hashes", width)
-        if windows * len(masks(width)) <= BROADCAST_SEEDS:
-            # The join runs in the same generated code as the seeds: arrays are not copied.
-            hits = own_seeds.join(F.broadcast(wanted), "seed").withColumn(
-                "doc_window", F.slice("doc_hashes", F.col("at") + 1, width))
-        else:
-            hits = own_seeds.withColumn(
-                "doc_window", F.slice("doc_hashes", F.col("at") + 1, width)).drop(
-                "doc_hashes").join(wanted, "seed")
-        hits = (hits.withColumnRenamed("at", "doc_at")
-                .withColumn("equal", equal_tokens(width))
-                .where(F.col("equal") >= width - allowed(width)))
-        found.append(hits.select("doc_id", "text_key", "item_id", "doc_at", "item_at",
-                                 "equal"))
+        few = windows * len(masks(width)) <= BROADCAST_SEEDS
+        hits = (hits_by_broadcast if few else hits_by_shuffle)(
+            own, sized.where(F.col("width") == width), width)
+        hits = hits.withColumn("equal", equal_tokens()).where(
+            F.col("equal") >= width - allowed(width))
+        found.append(hits.select(
+            F.when(F.col("row_id") != NO_ID, F.col("row_id")).alias("doc_id"), "text_key",
+            "item_id", "doc_at", "item_at", "equal"))
     if not all(r["inside"] for r in counts):
         found.append(whole_lines(docs, in_lines.select("item_id", "item_hashes")))
     if not found:
@@ -167,7 +197,12 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a passage of an item; all columns stay."""
+    """``docs`` without the rows that hold a passage of an item; all columns stay.
+
+    Null, empty and wordless texts hold nothing and stay. Of rows with equal doc_id (null
+    included) only those whose text holds a passage go; repeated rows stay or go together.
+    Without items all rows stay.
+    """
     hit = passages(docs, benchmark).select(
         F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key")).distinct()
     return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("_hit_id"))

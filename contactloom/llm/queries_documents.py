@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contactloom.llm.catalog import query, table
-from contactloom.llm.decontaminate import passages
+from contactloom.llm.decontaminate import UNSPACED, passages
 from contactloom.llm.licenses import oracle_sql, scan_licenses
 from contactloom.llm.near import near_duplicates
 from contactloom.llm.packing import pack
@@ -26,33 +26,50 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
-OP3_SQL = r"""
+# Tokens as the operator cuts them: characters of scripts without blanks stand alone.
+def _tokens(text: str) -> str:
+    return (rf"regexp_extract_all(regexp_replace(lower({text}), '([{UNSPACED}])', ' \1 ', 'g'), "
+            r"'[\p{L}\p{N}]+')")
+
+
+OP3_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
-  FROM documents),
+  SELECT row_number() OVER () AS r, doc_id, text, {_tokens("coalesce(text, '')")} AS w
+  FROM (SELECT DISTINCT doc_id, text FROM documents)),
 b AS (
-  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
-  FROM benchmark),
-i AS (SELECT item_id, w, len(w) AS n, least(len(w), 13) AS width FROM b WHERE len(w) >= 8),
-dt AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS k, len(w) AS size
+  SELECT DISTINCT item_id, {_tokens("coalesce(text, '')")} AS w FROM benchmark),
+i AS (
+  SELECT item_id, w, len(w) AS n, least(len(w), 13) AS width,
+    CASE WHEN len(w) < 8 THEN len(w) ELSE least(len(w), 13) - least(len(w), 13) * 2 // 13 END
+      AS needed,
+    len(w) >= 8 OR list_sum(list_transform(w, lambda x: CASE
+      WHEN regexp_matches(x, '[{UNSPACED}]') THEN 4 ELSE length(x) END)) >= 24 AS inside
+  FROM b WHERE len(w) > 0),
+dt AS (SELECT r, doc_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS k, len(w) AS size
        FROM d),
-it AS (SELECT item_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS k, n, width FROM i),
+it AS (SELECT item_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS k, n, width, needed
+       FROM i WHERE inside),
 same AS (
-  SELECT doc_id, size, item_id, n, width, dt.k - it.k AS shift, it.k AS k
+  SELECT r, doc_id, size, item_id, n, width, needed, dt.k - it.k AS shift, it.k AS k
   FROM dt JOIN it USING (t)),
 likely AS (
-  SELECT doc_id, item_id, shift FROM same GROUP BY ALL
-  HAVING count(*) >= min(width - width * 2 // 13)),
+  SELECT r, item_id, shift FROM same GROUP BY ALL HAVING count(*) >= min(needed)),
 starts AS (
-  SELECT doc_id, item_id, shift, width, unnest(range(greatest(0, k - width + 1, -shift),
+  SELECT r, doc_id, item_id, shift, needed, unnest(range(greatest(0, k - width + 1, -shift),
     least(k, n - width, size - width - shift) + 1)) AS start
-  FROM same JOIN likely USING (doc_id, item_id, shift)),
+  FROM same JOIN likely USING (r, item_id, shift)),
+lines AS (
+  SELECT r, doc_id, w, sum(len(w)) OVER (PARTITION BY r ORDER BY k) - len(w) AS place
+  FROM (SELECT r, doc_id, k, {_tokens("line")} AS w FROM (
+    SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS k
+    FROM (SELECT r, doc_id, regexp_split_to_array(text, '[\r\n]+') AS l FROM d)))),
 hits AS (
-  SELECT doc_id, item_id, shift, start, count(*) AS equal FROM starts GROUP BY ALL
-  HAVING count(*) >= min(width - width * 2 // 13))
-SELECT doc_id, item_id, count(*) AS n_windows, max(equal) AS best,
-  min(start + shift) AS first_at
-FROM hits GROUP BY ALL
+  SELECT r, doc_id, item_id, start + shift AS place, count(*) AS equal FROM starts
+  GROUP BY r, doc_id, item_id, shift, start HAVING count(*) >= min(needed)
+  UNION ALL
+  SELECT r, doc_id, item_id, place, len(w) FROM lines JOIN i USING (w) WHERE NOT inside)
+SELECT doc_id, item_id, count(*) AS n_windows, max(equal) AS best, min(place) AS first_at
+FROM hits GROUP BY r, doc_id, item_id
 """
 
 

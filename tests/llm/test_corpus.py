@@ -13,6 +13,7 @@ import xxhash
 from contactloom.llm import divergence as dv
 from contactloom.llm import simhash as sh
 from contactloom.llm import variants as va
+from contactloom.llm.decontaminate import passages, tokens
 from tests.llm.conftest import edge_rows
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -241,3 +242,27 @@ def test_share_is_exact(spark):
     got = spark.createDataFrame(cases, "c long, d long").select(
         dv.share("c", "d").alias("p")).collect()
     assert [r.p for r in got] == [1 + 10**9 * (c + 2) // d for c, d in cases]
+
+
+# -- generated code -----------------------------------------------------------------------
+
+def test_decontamination_is_compiled(spark, edge_docs):
+    """Methods over 8000 bytes of code are never compiled by the JVM."""
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40))),
+                                   (2, "nine words make one window of their own length"),
+                                   (3, "short one")], "item_id long, text string")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = passages(edge_docs, items)._jdf.queryExecution()
+        code = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert len(sizes) > 3 and max(sizes) < 8000
+
+
+def test_curly_quotes_take_the_short_way(spark):
+    rows = spark.createDataFrame([("“Quoted” — 5 €",), ("漢字 and かな",), (None,)], "text string")
+    got = [r[0] for r in rows.select(tokens("text")).collect()]
+    assert got == [["quoted", "5"], ["漢", "字", "and", "か", "な"], []]
