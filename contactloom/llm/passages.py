@@ -6,9 +6,10 @@ places of the corpus.
 1. Each window is stood for by the least of its 8-word phrases (leftmost of equals), so equal
    windows always share a phrase. Phrases are counted over the whole corpus.
 2. Documents are dealt to shards of bounded size; each shard gets the recurring phrases that
-   it has, and gives the windows under them. Windows are counted over the whole corpus: those
-   found twice are confirmed. Each goes to one place, its first, and neighbouring ones make up
-   a passage, so the passages together hold each repeated window once.
+   it has, and gives the runs of words under them. Their windows are counted over the whole
+   corpus by 96 bits of two hashes: those found twice are confirmed. Each goes to one place, its
+   first, and neighbouring ones make up a passage, so the passages together hold each repeated
+   window once.
 3. A passage is sent to the shards that have one of its phrases. There its phrases of 8 words
    in steps of 28 are compiled to an automaton; a window of 35 words always holds one of them
    whole. All documents of the shard are streamed through it, and the windows around each
@@ -31,6 +32,7 @@ from contactloom.llm.store import free_shuffles, written
 from contactloom.llm.words import (
     Words,
     long_window_hashes,
+    mix,
     runs,
     slices,
     sliding_min,
@@ -44,6 +46,7 @@ MAX_SHARDS = 1 << 20
 REGION_BITS, POSITION_BITS = 22, 20
 PLACE_BITS = 24
 STEP = 1 << 22
+OTHER = np.uint64(0xD1B54A32D192ED03)
 
 
 def window_phrases(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,10 +89,10 @@ def phrase_rows(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def regions(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Runs of windows under recurring phrases: their words and window hashes."""
+    """The words of runs of windows under recurring phrases."""
     def run(texts: pa.Table, recurring: pa.Table) -> pa.Table:
         known = np.sort(recurring.column("phrase").to_numpy().view(np.uint64))
-        names, words, hashes = [], [], []
+        names, words = [], []
         if texts.num_rows and len(known):
             shard = texts.column("shard")[0].as_py()
             for batch in texts.select(["text"]).combine_chunks().to_batches():
@@ -99,7 +102,6 @@ def regions(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                     found = phrases[at]
                     place = np.minimum(np.searchsorted(known, found), len(known) - 1)
                     inside = whole_windows(w, width)
-                    all_hashes = long_window_hashes(w.hashes, width).view(np.int64)
                     for a, b in runs((known[place] == found) & inside):
                         for c in range(a, b, 1 << POSITION_BITS):
                             d = min(b, c + (1 << POSITION_BITS))
@@ -107,10 +109,27 @@ def regions(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                                           << POSITION_BITS))
                             words.append(b" ".join(
                                 w.data[w.starts[c]:w.ends[d + width - 2]].tobytes().split()))
-                            hashes.append(all_hashes[c:d])
         return pa.table({"region": pa.array(names, pa.int64()),
-                         "words": pa.array(words, pa.binary()).cast(pa.string()),
-                         "windows": pa.array(hashes, pa.list_(pa.int64()))})
+                         "words": pa.array(words, pa.binary()).cast(pa.string())})
+
+    return run
+
+
+def region_windows(width: int
+                   ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row for each window of a region: its hash, some bits of another one, and its place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "words"):
+                w = split_words(batch.column("words"))
+                at = np.flatnonzero(whole_windows(w, width))
+                region = np.searchsorted(w.first, at, "right") - 1
+                codes = batch.column("region").to_numpy()[region] + at - w.first[region]
+                other = long_window_hashes(mix(w.hashes ^ OTHER), width)[at]
+                yield pa.record_batch({
+                    "window": pa.array(long_window_hashes(w.hashes, width)[at].view(np.int64)),
+                    "other": pa.array((other >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                    "code": pa.array(codes)})
 
     return run
 
@@ -285,14 +304,14 @@ def remove_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     recurring = written(found.drop("n").join(often, "phrase"), "recurring")
 
     def grouped(df: DataFrame):
-        return df.repartition(shards, "shard").groupBy("shard")
+        return df.groupBy("shard")
 
     areas = written(grouped(texts).cogroup(grouped(recurring)).applyInArrow(
-        regions(width), "region long, words string, windows array<long>"), "regions")
-    windows = areas.select("region", F.posexplode("windows").alias("place", "window"))
-    confirmed = (windows.select("window", (F.col("region") + F.col("place")).alias("code"))
-                 .groupBy("window").agg(F.count("*").alias("n"), F.min("code").alias("code"))
-                 .where("n > 1"))
+        regions(width), "region long, words string"), "regions")
+    confirmed = (areas.mapInArrow(region_windows(width), "window long, other int, code long")
+                 .groupBy("window", "other")
+                 .agg(F.min("code").alias("code"), F.max("code").alias("last"))
+                 .where("code < last"))
     low = (1 << POSITION_BITS) - 1
     places = (confirmed.select(F.col("code").bitwiseAND(F.lit(~low)).alias("region"),
                                F.col("code").bitwiseAND(F.lit(low)).alias("place"))
