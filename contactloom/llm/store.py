@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-import gc
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from contactloom.session import scratch_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    The rows survive a lost executor, later steps see the same rows, and the shuffle files
-    of the steps before can be freed.
+    The rows survive a lost executor, and later steps see the same rows. Nothing needs the shuffle
+    files of the write once its table is there, so Spark removes them when it ends.
     """
     spark = df.sparkSession
-    free_shuffles(spark)
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps that nothing refers to any more; its cleaner
-    acts on plans that were collected as garbage. The step just ended is still referred to
-    while ``written`` runs, so this comes before the next one."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
