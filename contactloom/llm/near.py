@@ -177,16 +177,9 @@ def first_shared(x: str, y: str) -> Column:
     return F.array_position(F.zip_with(x, y, lambda p, q: p == q), F.lit(True)) - 1
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id, kept`` for each row of
-    ``docs(doc_id, text)``; ``text_key`` is a hash of the text.
-
-    Rows are linked if 100 * (common shingles) >= percent * (all shingles of both);
-    ``component_id`` is the smallest doc_id reachable over links, ``kept`` whether that is the
-    row's own. Null or wordless texts link with nothing and stay. Rows with equal doc_id are
-    rows of their own; a null doc_id links like any other, but a component takes its name
-    from ids that are not null, if it has any. Extra columns are ignored. No rows give none.
-    """
+def labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``id, text_key, n_shingles, component, component_id`` for each row; ``id`` is ``NO_ID`` for
+    null, ``component`` is null for texts without words."""
     limit = distance_limit(percent / 100)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                         F.xxhash64(F.col("text").cast("string")).alias("text_key"),
@@ -196,7 +189,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = written(
         signed.where("node IS NOT NULL").groupBy("node")
         .agg(F.min(F.when(F.col("id") != NO_ID, F.col("id"))).alias("lowest"),
-             F.min("id").alias("id"), F.first("keys").alias("keys")), "nodes")
+             F.first("keys").alias("keys"))
+        .withColumn("id", F.coalesce("lowest", F.lit(NO_ID))), "nodes")
 
     rows = nodes.select("id", "node", F.posexplode("keys").alias("bucket", "key"))
     shared = (rows.groupBy("key").agg(F.min(F.struct("id", "node")).alias("first"),
@@ -257,22 +251,44 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = nodes.join(joined, "node", "left").select(
         "node", "lowest", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    of_node = named.join(names, "component").select("node", "component_id")
+    of_node = named.join(names, "component").select("node", "component", "component_id")
+    return signed.drop("keys").join(of_node, "node", "left").drop("node")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id, kept`` for each row of
+    ``docs(doc_id, text)``; ``text_key`` is a hash of the text.
+
+    Rows are linked if 100 * (common shingles) >= percent * (all shingles of both);
+    ``component_id`` is the smallest doc_id reachable over links, ``kept`` whether that is the
+    row's own. Null or wordless texts link with nothing and stay. Rows with equal doc_id are
+    rows of their own; a null doc_id links like any other, but a component takes its name
+    from ids that are not null, if it has any. Extra columns are ignored. No rows give none.
+    """
     own = F.when(F.col("id") != NO_ID, F.col("id"))
-    return (signed.drop("keys").join(of_node, "node", "left")
-            .select(own.alias("doc_id"), "text_key", "n_shingles",
-                    F.when(F.col("node").isNull(), own)
-                    .otherwise(F.col("component_id")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return labelled(docs, width, percent).select(
+        own.alias("doc_id"), "text_key", "n_shingles",
+        F.when(F.col("component").isNull(), own)
+        .otherwise(F.col("component_id")).alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, the one of smallest doc_id, and
-    all columns. Of rows equal in doc_id and text one stays."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_key").alias("_key"))
+    """``docs`` with one row of each group of near-duplicates and all columns: the row of
+    smallest doc_id, nulls last, and of equal ids the one whose text has the least hash.
+
+    Texts without words are in no group. They all stay, but of rows equal in doc_id and text one
+    stays, null ids and texts included. No rows give none.
+    """
+    alone = F.concat(F.lit("text without words "), "id", F.lit(" "), F.coalesce(
+        "text_key", F.lit(0)))  # longer than any component's name
+    first = F.min(F.struct((F.col("id") == NO_ID).alias("last"), "id", "text_key"))
+    kept = (labelled(docs, width, percent)
+            .groupBy(F.coalesce("component", F.encode(alone, "utf-8")).alias("group"))
+            .agg(first.alias("first"))
+            .select(F.col("first.id").alias("_id"), F.col("first.text_key").alias("_key")))
     keyed = docs.withColumns({
         "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
         "_key": F.xxhash64(F.col("text").cast("string"))})
-    return (keyed.join(kept.distinct(), ["_id", "_key"], "left_semi")
+    return (keyed.join(kept, ["_id", "_key"], "left_semi")
             .dropDuplicates(["_id", "_key"]).drop("_id", "_key"))

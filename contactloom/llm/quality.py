@@ -1,13 +1,15 @@
 """Quality rules: fixed base rules, and cutoffs certified on labelled documents.
 
-For every measure a fixed row of cutoffs, from lax to strict, is tested in each stratum
-(language and length band) on the labelled good documents that pass the base rules. A cutoff
-is certified if the exact binomial (Clopper-Pearson) upper bound of its false rejections is
-at most ``risk``. The tests of a row go on only while they succeed, so a row as a whole errs
-at the level of one test; the level is divided by the number of rows (measures times strata).
-With confidence ``1 - error`` no chosen cutoff rejects more than ``risk`` of the good
-documents of its stratum. Of the certified cutoffs the one that separates the labels best is
-taken, the laxest of equals. Without enough labels nothing is certified and nothing rejected.
+Half of the labelled documents, by a hash of the id, propose. For every measure a fixed row of
+cutoffs, from lax to strict, is tested in each stratum (language and length band) on the good
+documents that pass the base rules, and goes on while the exact binomial (Clopper-Pearson)
+upper bound of the false rejections is at most ``risk``; of these the cutoff that separates the
+labels best is proposed, the laxest of equals. A document goes if any cutoff rejects it, so
+the other half certifies them together: proposals join one by one, the best first, as long as the
+bound for all that have joined holds. The order is fixed before the half is looked at, so a
+stratum errs at the level of one test; the level is divided by the number of strata. With
+confidence ``1 - error`` no stratum loses more than ``risk`` of its good documents to all of its
+cutoffs. Without enough labels nothing is certified and nothing rejected.
 """
 
 from __future__ import annotations
@@ -148,28 +150,42 @@ def base_failed() -> Column:
 
 
 def choose(counts: dict, risk: float, level: float) -> dict[str, float]:
-    """Certified cutoff of each measure in one stratum, from its label counts."""
+    """Proposed cutoff of each measure in one stratum, from its label counts, best first."""
     good, bad = counts["good"], counts["bad"]
-    out = {}
+    found = []
     for name, cutoffs in CUTOFFS.items():
-        best = 0.0
+        best, chosen = 0.0, None
         for i, cutoff in enumerate(cutoffs):
             wrong, right = counts[f"good_{name}_{i}"], counts[f"bad_{name}_{i}"]
             if not upper_bound_holds(wrong, good, risk, level):
                 break
             gain = (right / bad if bad else 0.0) - wrong / good
             if gain > best:
-                best, out[name] = gain, cutoff
+                best, chosen = gain, cutoff
+        if chosen is not None:
+            found.append((-best, name, chosen))
+    return {name: cutoff for _, name, cutoff in sorted(found)}
+
+
+def rejected_by(chosen: dict[str, dict[str, float]], first: int | None = None) -> Column:
+    """Whether one of the (``first``) cutoffs of its stratum rejects a document."""
+    columns, out = shares(), F.lit(False)
+    for where, cutoffs in sorted(chosen.items()):
+        for name, cutoff in list(cutoffs.items())[:first]:
+            out |= (F.col("stratum") == where) & (columns[name] > cutoff)
     return out
 
 
 def certified_cutoffs(measured: DataFrame, labels: DataFrame, risk: float, error: float
                       ) -> dict[str, dict[str, float]]:
-    """Cutoffs by stratum. Only label counts, at most ten rows, reach the driver."""
-    level = error / (len(CUTOFFS) * 2 * (len(LANGUAGES) + 1))
+    """Cutoffs by stratum. Only label counts, at most ten rows twice, reach the driver."""
+    strata = 2 * (len(LANGUAGES) + 1)
     known = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.min("quality").alias("quality")))
+    labelled = (measured.where(~base_failed()).join(known, "doc_id")
+                .withColumn("stratum", stratum())
+                .withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2))))
     sums = []
     for kind, wanted in (("good", 1), ("bad", 0)):
         hit = F.col("quality") == wanted
@@ -177,9 +193,25 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, risk: float, error
         for name, column in shares().items():
             sums += [F.count(F.when(hit & (column > c), 1)).alias(f"{kind}_{name}_{i}")
                      for i, c in enumerate(CUTOFFS[name])]
-    rows = (measured.where(~base_failed()).join(known, "doc_id")
-            .groupBy(stratum().alias("stratum")).agg(*sums).collect())
-    return {r["stratum"]: choose(r.asDict(), risk, level) for r in rows}
+    rows = labelled.where("half = 0").groupBy("stratum").agg(*sums).collect()
+    proposed = {r["stratum"]: choose(r.asDict(), risk, error / (len(CUTOFFS) * strata))
+                for r in rows}
+    joint = [F.count(F.when(rejected_by(proposed, k), 1)).alias(f"first_{k}")
+             for k in range(1, len(CUTOFFS) + 1)]
+    rows = labelled.where("half = 1 AND quality = 1").groupBy("stratum").agg(
+        F.count("*").alias("good"), *joint).collect()
+    return {r["stratum"]: certified(proposed.get(r["stratum"], {}), r.asDict(), risk,
+                                    error / strata) for r in rows}
+
+
+def certified(proposed: dict[str, float], counts: dict, risk: float, level: float
+              ) -> dict[str, float]:
+    """The first proposals of a stratum that together keep the bound on the second half."""
+    k = 0
+    while k < len(proposed) and upper_bound_holds(counts[f"first_{k + 1}"], counts["good"], risk,
+                                                  level):
+        k += 1
+    return dict(list(proposed.items())[:k])
 
 
 def measured_rows(docs: DataFrame) -> DataFrame:
@@ -192,14 +224,9 @@ def measured_rows(docs: DataFrame) -> DataFrame:
 
 def judged(measured: DataFrame, chosen: dict[str, dict[str, float]]) -> DataFrame:
     """``stratum``, ``base_failed`` and ``kept`` added to counts."""
-    rejected = F.lit(False)
-    for name, column in shares().items():
-        for where, cutoffs in sorted(chosen.items()):
-            if name in cutoffs:
-                rejected |= (F.col("stratum") == where) & (column > cutoffs[name])
     return (measured.withColumn("stratum", stratum())
             .withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & ~rejected))
+            .withColumn("kept", ~F.col("base_failed") & ~rejected_by(chosen)))
 
 
 def quality(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05

@@ -13,7 +13,9 @@ import xxhash
 from contactloom.llm import divergence as dv
 from contactloom.llm import simhash as sh
 from contactloom.llm import variants as va
+from contactloom.llm import quality
 from contactloom.llm.decontaminate import passages, tokens
+from contactloom.llm.near import keep_one
 from tests.llm.conftest import edge_rows
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -266,3 +268,35 @@ def test_curly_quotes_take_the_short_way(spark):
     rows = spark.createDataFrame([("“Quoted” — 5 €",), ("漢字 and かな",), (None,)], "text string")
     got = [r[0] for r in rows.select(tokens("text")).collect()]
     assert got == [["quoted", "5"], ["漢", "字", "and", "か", "な"], []]
+
+
+# -- one row of a group, risk of a stratum -------------------------------------------------
+
+def test_keep_one_with_null_and_repeated_ids(spark):
+    base = [f"w{i}" for i in range(120)]
+    near = [" ".join(base[:i] + ["x"] + base[i + 1:]) for i in range(3)]
+    far = " ".join(f"v{i}" for i in range(80))
+    rows = [(None, near[0], "a"), (None, near[1], "b"), (None, near[2], "c"),  # one stays
+            (5, far, "d"), (5, far + " y", "e"), (9, "z " + far, "f"),  # one of id 5 stays
+            (7, None, "g"), (7, None, "h"), (None, "", "i"), (None, " ", "j"), (7, "", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string")
+    got = keep_one(docs).collect()
+    assert sum(r.text in near for r in got) == 1
+    kept = [r for r in got if r.text and "v1" in r.text]
+    assert len(kept) == 1 and kept[0].doc_id == 5
+    assert Counter((r.doc_id, r.text) for r in got if not (r.text or "").strip()) == Counter(
+        [(7, None), (None, ""), (None, " "), (7, "")])
+    assert keep_one(docs.limit(0)).collect() == []
+    # A name that is not null goes before nulls.
+    both = spark.createDataFrame([(None, near[0]), (12, near[1])], "doc_id long, text string")
+    assert [r.doc_id for r in keep_one(both).collect()] == [12]
+
+
+def test_cutoffs_hold_the_risk_together():
+    """Each cutoff alone would hold the risk; all of them would reject twice as much."""
+    proposed = {"symbol_share": 0.1, "mark_share": 0.2, "digit_share": 0.3}
+    counts = {"good": 30_000, "first_1": 250, "first_2": 480, "first_3": 900}
+    assert list(quality.certified(proposed, counts, 0.02, 0.005)) == ["symbol_share",
+                                                                      "mark_share"]
+    assert quality.certified(proposed, counts | {"first_1": 900}, 0.02, 0.005) == {}
+    assert quality.certified({}, counts, 0.02, 0.005) == {}
