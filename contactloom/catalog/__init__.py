@@ -6,6 +6,7 @@ from contactloom.catalog import (  # noqa: F401
     ordering,
     resolution,
     streams,
+    tables,
 )
 from contactloom.catalog.base import ORACLES, QUERIES
 

@@ -24,10 +24,10 @@ GRAM = 4
 
 
 def grams(text: str, size: int) -> Column:
-    """Distinct substrings of ``size`` characters; none of null and shorter texts."""
-    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
-    return F.array_distinct(F.when(F.length(text) >= size, F.transform(
-        starts, lambda i: F.substr(F.col(text), i, F.lit(size)))))
+    """Distinct substrings of ``size`` characters; none of null and shorter texts. A look-ahead
+    finds them in one pass, however long the text is."""
+    return F.array_distinct(F.regexp_extract_all(
+        F.col(text), F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
 
 
 def short_hits(texts: DataFrame, terms: DataFrame, key: str, size: int) -> DataFrame:
