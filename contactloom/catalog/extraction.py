@@ -11,7 +11,7 @@ from contactloom.catalog.columns import _valid_sql, MENTION_SQL
 from contactloom.functions import emails, html
 from contactloom.functions.text import snippet
 from contactloom.session import materialise
-from contactloom.operators import extract, rank
+from contactloom.operators import extract, mentions, rank
 from contactloom.operators.generate import pick
 
 
@@ -298,11 +298,36 @@ def _(spark, sf):
 SELECT doc_id, {sql_pick([x.title() for x in FIRST], 'doc_id')} AS first_name,
   {sql_pick([x.title() for x in LAST], 'doc_id // 2')} AS last_name FROM documents""")
 def _(spark, sf):
+    return extract.page_person(_launched(spark, sf), "text", ["doc_id"])
+
+
+def _launched(spark, sf):
     key = F.col("doc_id")
     name = F.concat_ws(" ", F.initcap(pick(FIRST, key)), F.initcap(pick(LAST, F.floor(key / 2))))
-    rows = read_texts(spark, sf, "documents").select("doc_id", F.concat(
+    return read_texts(spark, sf, "documents").select("doc_id", F.concat(
         F.lit("Launched by "), name, F.lit(". "), F.col("text")).alias("text"))
-    return extract.page_person(rows, "text", ["doc_id"])
+
+
+def _page_pattern_sql() -> str:
+    """Every match of the page patterns, one branch for each pattern."""
+    name = (f"{sql_pick([x.title() for x in FIRST], 'doc_id')} || ' ' || "
+            f"{sql_pick([x.title() for x in LAST], 'doc_id // 2')}")
+    branches = []
+    for number, (pattern, _) in enumerate(patterns.PAGE_PATTERNS, start=1):
+        full = "'(?i)" + pattern.replace("'", "''") + "'"
+        branches.append(f"""
+  SELECT doc_id, {number} AS pat, hit - 1 AS hit, found[hit] AS whole,
+    trim(regexp_extract(found[hit], {full}, 1)) AS cand
+  FROM (SELECT doc_id, found, unnest(range(1, len(found) + 1)) AS hit
+    FROM (SELECT doc_id, regexp_extract_all(text, {full}) AS found FROM texts))""")
+    return (f"WITH texts AS (SELECT doc_id, 'Launched by ' || {name} || '. ' || text AS text "
+            f"FROM documents){' UNION ALL '.join(branches)}")
+
+
+@query("mentions_by_pattern_table", _page_pattern_sql())
+def _(spark, sf):
+    table = mentions.pattern_table(spark, patterns.PAGE_PATTERNS)
+    return mentions.mentions_by_table(_launched(spark, sf), "doc_id", "text", table)
 
 
 @query("answer_box_owner", f"""

@@ -6,6 +6,7 @@ shuffle, unless its description says otherwise.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -235,29 +236,48 @@ def select_pages(pages: DataFrame, site: str, path: str, k: int = 8,
 
 
 # ------------------------------------------------------------------------ people
-def _hits(text: Column, pattern: str, number: int, flags: str) -> Column:
-    # only patterns with letters beyond ASCII pay for Unicode case folding
-    foreign = any(c.isalpha() and not c.isascii() for c in pattern)
-    full = (flags.replace(")", "u)") if foreign else flags) + pattern
-    return F.transform(F.regexp_extract_all(text, F.lit(full), F.lit(0)), lambda w: F.struct(
-        F.lit(number).alias("pat"), w.alias("whole"),
-        F.trim(F.regexp_extract(w, full, 1)).alias("cand")))
+PATTERN_ROWS = "array<struct<pat:int,pattern:string,needs:array<string>>>"
+
+
+def pattern_rows(table=patterns.SITE_PATTERNS, flags: str = "(?i)") -> list[tuple]:
+    """A list of (pattern, required literals) as rows (pat, pattern, needs), numbered from 1.
+
+    Literals are lower-case; a text that has none of a pattern's cannot match it.
+    """
+    def full(pattern: str) -> str:
+        # only patterns with letters beyond ASCII pay for Unicode case folding
+        foreign = any(c.isalpha() and not c.isascii() for c in pattern)
+        return (flags.replace(")", "u)") if foreign else flags) + pattern
+
+    return [(number, full(pattern), list(needs))
+            for number, (pattern, needs) in enumerate(table, start=1)]
+
+
+def pattern_hits(text: Column, row: Column) -> Column:
+    """All hits of a pattern that is itself a value, by position."""
+    pattern = row["pattern"]
+    return F.transform(
+        F.call_function("regexp_extract_all", text, pattern, F.lit(0)), lambda w: F.struct(
+            row["pat"].alias("pat"), w.alias("whole"),
+            F.trim(F.call_function("regexp_extract", w, pattern, F.lit(1))).alias("cand")))
 
 
 def mention_candidates(text: Column, low: Column, table=patterns.SITE_PATTERNS,
                        flags: str = "(?i)") -> Column:
     """All pattern hits of a text, by pattern number and then by position.
 
-    Each literal a pattern needs is looked for once; patterns without theirs are skipped.
+    The patterns are one constant array, so the plan does not grow with their number. Each
+    literal a pattern needs is looked for once; patterns without theirs are skipped.
     """
-    literals = list(dict.fromkeys(n for _, needs in table for n in needs))
-    none = F.array().cast("array<struct<pat:int,whole:string,cand:string>>")
+    numbered = pattern_rows(table, flags)
+    literals = list(dict.fromkeys(n for _, _, needs in numbered for n in needs))
+    held = F.from_json(F.lit(json.dumps([
+        {"pat": number, "pattern": pattern, "needs": needs}
+        for number, pattern, needs in numbered])), PATTERN_ROWS)
 
     def run(found: Column) -> Column:
-        return F.concat(*[
-            F.when(F.arrays_overlap(found, text_array(needs)),
-                   _hits(text, pattern, number, flags)).otherwise(none)
-            for number, (pattern, needs) in enumerate(table, start=1)])
+        possible = F.filter(held, lambda p: F.arrays_overlap(found, p["needs"]))
+        return F.flatten(F.transform(possible, lambda p: pattern_hits(text, p)))
 
     # bound outside the lambda: the lower-case text is made once, not once per literal
     return let(low, lambda known: let(
