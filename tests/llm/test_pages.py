@@ -152,6 +152,18 @@ PAGES = [
     ("<article><!-- no --><p title=\"a > b\">x</p><textarea>no</textarea></article>", "x"),
     ("<body class='with-sidebar form'><article class='post comments'>x<p class='ad-slot'>y"
      "<p class='no-ads'>z</article></body>", "x z"),
+    ("<header>Site</header><article><header class='entry-header'><h1>Title</h1>By A</header>"
+     "<p>x</p><div class='site-header'>no</div><footer>no</footer></article>", "Title By A x"),
+    ("<form id='aspnetForm'><input><label>no</label><div class='search-page'><article><p>x</p>"
+     "<form><p>no</p></form></article></div>no</form>", "x"),
+    ("<div class='page-header'>no<main>y</main></div><div class='search'><p>no</p></div>", "y"),
+    ("<article><section class='related-work'>a</section><div class='legal-article'>b</div>"
+     "<label>c</label><div class='related-articles'>no</div><div class='alert-box'>no</div>"
+     "<div class='comment-body'>no</div></article>", "a b c"),
+    ("<article>x</article><div class='comments'><article class='comment'>no</article></div>"
+     "<aside><article>no</article></aside><form><div id='respond'><main>no</main></div></form>",
+     "x"),
+    ("<article><header role='banner'>no</header><header hidden>no</header>x</article>", "x"),
     ("", ""), (None, ""), ("   ", ""), ("no tags at all", "no tags at all"),
 ]
 
