@@ -1,20 +1,22 @@
 """Address filter: host rules first, gradient-boosted trees on lexical features elsewhere.
 
 Only DataFrame functions and Spark's own tree learner run here. The trees learn from the
-addresses that a rule decides, and judge those that no rule fits.
+addresses that a rule decides, and judge those that no rule fits. What they learn of a host
+suffix comes from the labels of other hosts.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.llm.store import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SAMPLE_ROWS = 20_000
+FOLDS = 5
 FEATURES = ("length", "host_length", "host_labels", "depth", "path_length", "digit_share",
             "hyphens", "parameters", "query_length", "escapes", "entropy", "secure",
             "file_ending", "suffix_frequency", "suffix_block_share")
@@ -88,29 +90,68 @@ def lexical(rows: DataFrame) -> DataFrame:
 
 
 def suffix_statistics(rows: DataFrame) -> DataFrame:
-    """Over all addresses: how frequent a host suffix is, and the share that rules block,
-    drawn to one half where few addresses are labelled."""
-    labelled = F.count("label")
-    return rows.groupBy("suffix").agg(
-        F.log1p(F.count("*").cast("double")).alias("suffix_frequency"),
-        ((F.coalesce(F.sum("label"), F.lit(0.0)) + 1) / (labelled + 2)).alias(
+    """For each ``suffix`` and ``fold``, over all addresses: how frequent the suffix is, and the
+    share that rules block in its other folds, drawn to one half where few are labelled.
+
+    A fold holds whole hosts, so the share tells a row nothing of its own host's labels.
+    """
+    def of(value: Column) -> Column:
+        return F.sum(value).over(Window.partitionBy("suffix"))
+
+    labelled, blocked = F.col("labelled"), F.col("blocked")
+    folds = rows.groupBy("suffix", "fold").agg(
+        F.count("*").cast("double").alias("n"), F.count("label").alias("labelled"),
+        F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked"))
+    return folds.select(
+        "suffix", "fold", F.log1p(of(F.col("n"))).alias("suffix_frequency"),
+        ((of(blocked) - blocked + 1) / (of(labelled) - labelled + 2)).alias(
             "suffix_block_share"))
 
 
 def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> GBTClassificationModel | str:
     """Trees fitted on at most ``sample_rows`` labelled rows, those of least address hash.
 
-    Without labels of both kinds there is nothing to learn: the one kind there is, else
-    "allow", is the verdict for all.
+    Both kinds weigh the same, however many rules block. Without labels of both kinds there is
+    nothing to learn: the one kind there is, else "allow", is the verdict for all.
     """
     sample = written(rows.where("label IS NOT NULL").select(*FEATURES, "label", "draw")
                      .orderBy("draw").limit(sample_rows), "sample")
-    kinds = [r["label"] for r in sample.select("label").distinct().collect()]
+    kinds = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(kinds) < 2:
-        return "block" if kinds == [1.0] else "allow"
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    return GBTClassifier(labelCol="label", featuresCol="features", maxIter=12, maxDepth=4,
-                         seed=7).fit(vectors.select("features", "label"))
+        return "block" if 1.0 in kinds else "allow"
+    weight = F.when(F.col("label") == 1.0, 0.5 / kinds[1.0]).otherwise(0.5 / kinds[0.0])
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
+        sample.withColumn("weight", weight * sum(kinds.values())))
+    return GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight",
+                         maxIter=12, maxDepth=4, seed=7).fit(
+        vectors.select("features", "label", "weight"))
+
+
+def ruled(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """``page_id, url, host, path, rule, decided, label, draw``; a rule's verdict is the label."""
+    rule, verdict = decide(rules)
+    return (pages.select("page_id", F.col("url").cast("string"))
+            .withColumn("host", host()).withColumn("path", path())
+            .withColumn("rule", rule).withColumn("decided", verdict)
+            .withColumn("label", F.when(F.col("decided") == "block", 1.0)
+                        .when(F.col("decided") == "allow", 0.0))
+            .withColumn("draw", F.xxhash64("url", "page_id")))
+
+
+def featured(rows: DataFrame) -> DataFrame:
+    """``rows`` with their ``FEATURES``."""
+    rows = lexical(rows).withColumn("fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS)))
+    statistics = suffix_statistics(rows.select("suffix", "fold", "label"))
+    return written(rows.join(statistics, ["suffix", "fold"]), "addresses")
+
+
+def judged(rows: DataFrame, model: GBTClassificationModel | str) -> DataFrame:
+    """``rows`` with the model's verdict as ``learned``."""
+    if isinstance(model, str):
+        return rows.withColumn("learned", F.lit(model))
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    return model.transform(vectors.transform(rows)).withColumn(
+        "learned", F.when(F.col("prediction") == 1.0, "block").otherwise("allow"))
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
@@ -122,22 +163,6 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     has empty host and path. Repeated rows are judged alike. Extra columns are ignored; no
     rows give none.
     """
-    rule, verdict = decide(rules)
-    rows = (pages.select("page_id", F.col("url").cast("string"))
-            .withColumn("host", host()).withColumn("path", path())
-            .withColumn("rule", rule).withColumn("decided", verdict)
-            .withColumn("label", F.when(F.col("decided") == "block", 1.0)
-                        .when(F.col("decided") == "allow", 0.0))
-            .withColumn("draw", F.xxhash64("url", "page_id")))
-    rows = lexical(rows)
-    rows = rows.join(suffix_statistics(rows.select("suffix", "label")), "suffix")
-    rows = written(rows, "addresses")
-    model = train(rows)
-    if isinstance(model, str):
-        learned = rows.withColumn("learned", F.lit(model))
-    else:
-        vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        learned = model.transform(vectors.transform(rows)).withColumn(
-            "learned", F.when(F.col("prediction") == 1.0, "block").otherwise("allow"))
-    return learned.select("page_id", "host", "path", "rule",
-                          F.coalesce("decided", "learned").alias("verdict"))
+    rows = featured(ruled(pages, rules))
+    return judged(rows, train(rows)).select(
+        "page_id", "host", "path", "rule", F.coalesce("decided", "learned").alias("verdict"))

@@ -2,14 +2,18 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from contactloom.llm import archive, extract
 from contactloom.llm.queries_pages import RULES
-from contactloom.llm.urls import SAMPLE_ROWS, entropy, filter_urls, lexical, train
+from contactloom.llm.urls import (
+    FEATURES, FOLDS, SAMPLE_ROWS, entropy, featured, filter_urls, lexical, ruled, train)
 from contactloom.session import scratch_path
 
 SCHEMA = "page_id long, url string, html string, host string, shard string"
@@ -123,7 +127,6 @@ def test_trees_learn_held_out_addresses(spark):
                            "page_id AS draw", "0.0D AS suffix_frequency",
                            "0.5D AS suffix_block_share")
     data = lexical(data)
-    from contactloom.llm.urls import FEATURES
     from pyspark.ml.feature import VectorAssembler
     model = train(data, SAMPLE_ROWS)
     held = model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features")
@@ -133,9 +136,86 @@ def test_trees_learn_held_out_addresses(spark):
     assert train(data.where("label IS NULL")) == "allow"
 
 
+def plain_features(rows):
+    """The features of (url, label) rows, computed one by one."""
+    parts = [plain_parts(u) for u, _ in rows]
+    suffix = [h.rsplit(".", 1)[-1] for h, _ in parts]
+    fold = []
+    for h, _ in parts:
+        x = xxhash.xxh64(h.encode(), seed=42).intdigest()
+        fold.append((x - 2**64 if x >= 2**63 else x) % FOLDS)
+    out = []
+    for i, ((url, _), (host, path)) in enumerate(zip(rows, parts, strict=True)):
+        url = url or ""
+        found = re.search(r"\?([^#]*)", url)
+        query = found[1] if found else ""
+        shares = [url.count(c) / len(url) for c in dict.fromkeys(url)]
+        others = [rows[j][1] for j in range(len(rows)) if suffix[j] == suffix[i]
+                  and fold[j] != fold[i] and rows[j][1] is not None]
+        out.append([
+            len(url), len(host), host.count("."), path.count("/"), len(path),
+            len(re.findall("[0-9]", url)) / len(url) if url else 0.0, url.count("-"),
+            query.count("&") + 1 if query else 0, len(query), url.count("%"),
+            -sum(p * math.log2(p) for p in shares), float(url.startswith("https:")),
+            float(bool(re.search(r"\.[A-Za-z0-9]{1,5}$", path))),
+            math.log1p(suffix.count(suffix[i])), (sum(others) + 1) / (len(others) + 2)])
+    return out
+
+
+def plain_tree(lines):
+    """A tree of the model's printed form, as a function of a row of features."""
+    text = lines.pop(0)
+    if text.startswith("Predict"):
+        value = float(text.split(":")[1])
+        return lambda row: value
+    feature, limit = re.match(r"If \(feature (\d+) <= (\S+)\)", text).groups()
+    low = plain_tree(lines)
+    assert lines.pop(0).startswith("Else")
+    high = plain_tree(lines)
+    return lambda row: (low if row[int(feature)] <= float(limit) else high)(row)
+
+
+def test_verdicts_equal_a_plain_evaluation_of_the_trees(spark):
+    """Every page without a rule, null and odd addresses among them."""
+    rows = [(r.page_id, r.url) for r in spark.read.parquet(
+        "/root/testdata/sf0.01/pages.parquet").select("page_id", "url").collect()]
+    rows += [(-1, None), (-2, ""), (-3, "no scheme"), (-4, "http://a.org/x"), (-4, "http://a.org/x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    known = [plain_rule(*plain_parts(u)) for _, u in rows]
+    labels = [k and float(k[0] == "block") for k in known]
+    features = plain_features([(u, label) for (_, u), label in zip(rows, labels, strict=True)])
+
+    table = featured(ruled(pages, RULES))
+    got = {r.page_id: r for r in table.collect()}
+    for (i, _), want in zip(rows, features, strict=True):
+        assert [got[i][f] for f in FEATURES] == pytest.approx(want, abs=1e-9)
+
+    model = train(table)
+    printed = re.split(r"Tree \d+ \(weight ([\d.E-]+)\):\n", model.toDebugString)[1:]
+    trees = [(float(weight), plain_tree([x.strip() for x in body.splitlines() if x.strip()]))
+             for weight, body in zip(printed[::2], printed[1::2], strict=True)]
+    assert len(trees) == model.getNumTrees
+    verdicts = {(r.page_id, r.verdict) for r in filter_urls(pages, RULES).collect()}
+    assert verdicts == {
+        (i, k[0] if k else "block" if sum(w * t(f) for w, t in trees) > 0 else "allow")
+        for (i, _), k, f in zip(rows, known, features, strict=True)}
+
+
+def test_suffix_shares_come_from_other_hosts(spark):
+    """Labels of one host change the share of no row of that host."""
+    def shares(label):
+        rows = [(i, f"http://h{i % 7}.org/{i}", label if i % 7 == 3 else float(i % 2))
+                for i in range(70)]
+        data = ruled(spark.createDataFrame(rows, "page_id long, url string, own double")
+                     .drop("own"), RULES).drop("label").join(spark.createDataFrame(
+                         [(r[0], r[2]) for r in rows], "page_id long, label double"), "page_id")
+        return {(r.page_id, r.suffix_block_share) for r in featured(data).collect()
+                if r.host == "h3.org"}
+    assert shares(0.0) == shares(1.0) == shares(None)
+
+
 def test_entropy(spark):
     rows = spark.createDataFrame([("aabb",), ("aaaa",), ("",), ("abcd",)], "t string")
-    from pyspark.sql import functions as F
     assert [round(r[0], 6) for r in rows.select(entropy(F.col("t"))).collect()] == [1, 0, 0, 2]
 
 
