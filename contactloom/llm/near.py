@@ -250,7 +250,9 @@ def labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     named = nodes.join(joined, "node", "left").select(
         "node", "lowest", F.coalesce("component", "node").alias("component"))
-    names = named.groupBy("component").agg(F.min("lowest").alias("component_id"))
+    # Written, so that the join meets plain shuffles and a large component can be split.
+    names = written(
+        named.groupBy("component").agg(F.min("lowest").alias("component_id")), "names")
     of_node = named.join(names, "component").select("node", "component", "component_id")
     return signed.drop("keys").join(of_node, "node", "left").drop("node")
 
