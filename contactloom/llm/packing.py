@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -19,7 +20,7 @@ from contactloom.llm.store import written
 from contactloom.llm.words import slices, text_buffer
 
 GROUP_PIECES = 20_000
-CACHED_WORDS = 600_000
+CACHED_WORDS, CACHED_PIECES = 200_000, 20_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -36,11 +37,13 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those
     of its words. Words of plain Latin-1 characters go straight to the tokenizer's model with
-    the tokenizer's own split pattern; words that hold an added token pass the whole tokenizer,
-    all others its normalizer and pre-tokenizer.
+    the tokenizer's own split pattern, letters with at most a comma or a full stop after them
+    without it; words that hold an added token pass the whole tokenizer, all others its
+    normalizer and pre-tokenizer. A full cache becomes the ``older`` one, out of which words in
+    use come back, so frequent words are kept and memory stays at twice the limit.
     """
 
-    SIMPLE = regex.compile(r"[!-~¡-ÿ]+")
+    SIMPLE = re.compile(r"[!-~¡-ÿ]+")
     SPLIT = regex.compile(
         r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -49,34 +52,55 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.lower()
                       for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Added tokens all hold a character that words of letters and , . do not have.
+        self.words_are_free = all(any(not c.isalpha() and c not in ",." for c in t)
+                                  for t in self.added)
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = byte_letters()
+        self.older: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(max(
+            self.tokenizer.get_vocab().values(), default=-1) + 1)]
 
     def ids(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+        table = self.as_bytes
+        return b"".join([table[t.id] for t in self.tokenize(piece)])
+
+    def of_letters(self, piece: str) -> bytes:
+        return self.ids(piece if piece.isascii()
+                        else "".join(map(self.letters.__getitem__, piece.encode())))
 
     def known(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            if len(self.pieces) >= CACHED_WORDS // 2:
+            if len(self.pieces) >= CACHED_PIECES:
                 self.pieces.clear()
-            shown = (piece if piece.isascii()
-                     else "".join(map(self.letters.__getitem__, piece.encode())))
-            got = self.pieces[piece] = self.ids(shown)
+            got = self.pieces[piece] = self.of_letters(piece)
         return got
 
-    def __missing__(self, word: bytes) -> bytes:
+    def of_word(self, word: bytes) -> bytes:
         text = word.decode()
-        if any(t in text.lower() for t in self.added):
-            got = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                           "<u4").tobytes()
-        elif self.SIMPLE.fullmatch(text):
-            got = b"".join(map(self.known, self.SPLIT.findall(text.lower())))
-        else:
-            t = self.tokenizer
-            got = b"".join(self.ids(p) for p, _ in t.pre_tokenizer.pre_tokenize_str(
-                t.normalizer.normalize_str(text)))
+        if self.words_are_free and (text.isascii() or self.SIMPLE.fullmatch(text)):
+            if text.isalpha():
+                return self.of_letters(text.lower())
+            if text[-1] in ",." and text[:-1].isalpha():
+                return self[word[:-1]] + self.known(text[-1])
+        low = text.lower()
+        if any(t in low for t in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
+                            "<u4").tobytes()
+        if self.SIMPLE.fullmatch(text):
+            return b"".join(map(self.known, self.SPLIT.findall(low)))
+        t = self.tokenizer
+        return b"".join(self.ids(p) for p, _ in t.pre_tokenizer.pre_tokenize_str(
+            t.normalizer.normalize_str(text)))
+
+    def __missing__(self, word: bytes) -> bytes:
+        got = self.older.get(word)
+        if got is None:
+            got = self.of_word(word)
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
         if len(word) <= 64:
             self[word] = got

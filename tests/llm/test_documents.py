@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 import corpus_pipeline
+from contactloom.llm import packing
 from contactloom.llm import quality as q
 from contactloom.llm.decontaminate import masks, passages, without_passages
 from contactloom.llm.licenses import scan_licenses
@@ -200,6 +201,24 @@ def test_pack_of_nothing(no_docs):
     assert pack(no_docs, BPE, 2).count() == 0
 
 
+def test_word_ids_stay_small_and_keep_frequent_words(monkeypatch):
+    """Ids of all kinds of words equal the tokenizer's; a full cache does not forget the words
+    in use, and holds no more than two generations."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    monkeypatch.setattr(packing, "CACHED_PIECES", 10)
+    cache, whole, asked = packing.WordIds(BPE), Tokenizer.from_file(BPE), []
+    of_word = cache.of_word
+    monkeypatch.setattr(cache, "of_word", lambda w: asked.append(w) or of_word(w))
+    odd = ["The", "the,", "Éclair.", "straße", "don't", "a1b2", "...", ",", "x,.", "µm", "ªº,",
+           "日本語", "İstanbul.", "a\u00a0b", "\x1c", "<|endoftext|>", "x<|ENDOFTEXT|>,", "e\u0301."]
+    for text in odd + [f"word{'abcdefghij'[i % 10] * (i // 10 + 1)}" for i in range(300)]:
+        for word in ("often", text):
+            got = np.frombuffer(cache[word.encode()], "<u4").tolist()
+            assert got == whole.encode(word, add_special_tokens=False).ids, word
+    assert len(cache) <= 40 and len(cache.older) <= 40 and len(cache.pieces) <= 10
+    assert asked.count(b"often") == 1
+
+
 def test_first_fit_is_first_fit():
     rng = np.random.default_rng(3)
     lengths = np.sort(rng.integers(1, 101, 300))[::-1]
