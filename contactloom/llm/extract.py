@@ -8,28 +8,32 @@ names as content (inside ``article`` or ``main``) stays unless all of it is boil
 pages, three or more, and one that markup names as something else goes; of all other blocks, which
 count only on pages without named content, the boilerplate is removed and the rest kept.
 
-A host with many pages is dealt to several shards, each with an array of its own. If some of
-its pages do not name their content, its runs are counted over all shards instead, by the
-hashes of their eight-token windows.
+A host with more markup than one task should hold is judged by the same rule over the same
+windows, counted in Spark by their hashes instead of by an array, in several rounds that each
+take the windows of one residue: so the shuffle of a round is gone before the next begins. Pages
+are told apart by a hash of their row, in both forms; the texts do not depend on the form.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.llm.store import written
-from contactloom.llm.words import Words, runs, split_words, window_hashes
+from contactloom.llm.words import Words, mix, runs, split_words, window_hashes
 
 SHARD_BYTES = 4 << 20
 RUN_TOKENS = 8
 SORT_TOKENS = 16
+ROUNDS = 6
+PARSED_PAGES = 256
 # Boilerplate stands on this share of a host's differing pages, and on three at least, or on
 # both if there are only two. Copies share this part of their rare windows.
 FAIR_PERCENT, FEWEST, COPY_PERCENT = 30, 3, 80
@@ -203,8 +207,8 @@ def blocks(page: str) -> list[tuple[str, int]]:
 def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts and kinds of the blocks of each page."""
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
+        for start in range(0, batch.num_rows, PARSED_PAGES):
+            part = batch.slice(start, PARSED_PAGES)
             found = [blocks(h) if h else [] for h in part.column("html").to_pylist()]
             yield pa.record_batch(
                 {n: part.column(n) for n in part.schema.names if n != "html"}
@@ -270,9 +274,7 @@ def repeated_positions(symbols: np.ndarray, page: np.ndarray, marks: np.ndarray
     ``RUN_TOKENS`` symbols stand together, and the pages of such a stretch are counted.
     """
     covered = np.zeros(len(symbols), bool)
-    after_mark = np.concatenate(([0], np.cumsum(marks)))
-    at = np.arange(max(0, len(symbols) - RUN_TOKENS + 1))
-    at = at[after_mark[at + RUN_TOKENS] == after_mark[at]]
+    at = whole_windows(symbols, marks)
     if not len(at):
         return covered, covered
     same = suffix_array(symbols)[1][RUN_TOKENS.bit_length() - 1][at].astype(np.int64)
@@ -286,11 +288,7 @@ def repeated_positions(symbols: np.ndarray, page: np.ndarray, marks: np.ndarray
     windows, counts = np.unique(held, return_counts=True)
 
     def inside(least: int) -> np.ndarray:
-        starts = at[np.isin(same, windows[counts >= least])]
-        steps = np.zeros(len(symbols) + 1, np.int64)
-        np.add.at(steps, starts, 1)
-        np.add.at(steps, starts + RUN_TOKENS, -1)
-        return np.cumsum(steps[:-1]) > 0
+        return covered_by(at[np.isin(same, windows[counts >= least])], len(symbols))
 
     return inside(fair_share(n_groups)), inside(most_of(n_groups))
 
@@ -322,41 +320,88 @@ def streams(texts: pa.ListArray
     return symbols, block_page[block], place, w, marks
 
 
+def whole_windows(symbols: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Starts of the windows that hold no mark after a page."""
+    after_mark = np.concatenate(([0], np.cumsum(marks)))
+    at = np.arange(max(0, len(symbols) - RUN_TOKENS + 1))
+    return at[after_mark[at + RUN_TOKENS] == after_mark[at]]
+
+
+def covered_by(starts: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` symbols lie in a window that begins at one of ``starts``."""
+    steps = np.zeros(size + 1, np.int64)
+    np.add.at(steps, starts, 1)
+    np.add.at(steps, starts + RUN_TOKENS, -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
+def first_words(texts: pa.ListArray, w: Words) -> np.ndarray:
+    """Number of the first word of each page, and of the end."""
+    return w.first[texts.offsets.to_numpy() - texts.offsets[0].as_py()]
+
+
 def marked_words(table: pa.Table) -> Iterator[
         tuple[list[str], list[int], np.ndarray, np.ndarray]]:
-    """For each page of a shard: blocks, kinds, and which words are boilerplate of a fair share
-    and of most of its pages."""
+    """For each page of a host: blocks, kinds, and which words are boilerplate of a fair share
+    and of most of its pages. Equal rows are one page, and pages come by their keys."""
     texts = table.column("texts").combine_chunks()
-    symbols, page, place, w, marks = streams(texts)
+    symbols, row, place, w, marks = streams(texts)
+    page = np.unique(table.column("page_key").to_numpy(), return_inverse=True)[1][row]
     fair_runs, most_runs = (c[place] for c in repeated_positions(symbols, page, marks))
-    starts = w.first[texts.offsets.to_numpy() - texts.offsets[0].as_py()]
+    starts = first_words(texts, w)
     for i in range(table.num_rows):
         yield (texts[i].as_py(), table.column("kinds")[i].as_py(),
                fair_runs[starts[i]:starts[i + 1]], most_runs[starts[i]:starts[i + 1]])
 
 
 def settle(table: pa.Table) -> pa.Table:
-    """The text of each page of a host that is one shard, or whose pages all name content."""
+    """The text of each page of a host that one task holds."""
     whole = table.combine_chunks()
     return pa.table({"page_id": whole.column("page_id"), "url": whole.column("url"),
                      "text": pa.array([main_text(*page) for page in marked_words(whole)],
                                       pa.string())})
 
 
-def page_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the windows of each page."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            symbols = streams(row.column("texts"))[0]
-            if not len(symbols):
-                continue
-            hashes = np.unique(window_hashes(symbols[:-1], RUN_TOKENS))
-            yield pa.record_batch({
-                "host": pa.array([row.column("host")[0].as_py()] * len(hashes), pa.string()),
-                "page_key": pa.array([row.column("page_key")[0].as_py()] * len(hashes),
-                                     pa.int64()),
-                "window": pa.array(hashes.view(np.int64))})
+def page_windows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the windows of all pages, their pages, and hashes that differ by host."""
+    symbols, row, _, _, marks = streams(part.column("texts"))
+    at = whole_windows(symbols, marks)
+    salt = part.column("salt").to_numpy().view(np.uint64)[row[at]]
+    return at, row[at], mix(window_hashes(symbols, RUN_TOKENS)[at] ^ salt)
+
+
+def different_windows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Pages and hashes of the windows, each once for a page."""
+    _, row, window = page_windows(part)
+    order = np.lexsort((window, row))
+    row, window = row[order], window[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (window[1:] != window[:-1])
+    return row[new], window[new]
+
+
+def parse_large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``parse``, with the number of different windows of each page."""
+    for part in parse(batches):
+        row, _ = different_windows(part)
+        n = np.bincount(row, minlength=part.num_rows)
+        yield part.append_column("n_windows", pa.array(n, pa.int64()))
+
+
+def windows_of_round(turn: int) -> Callable[
+        [Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The different windows of each page whose hashes leave ``turn``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, PARSED_PAGES):
+                part = batch.slice(start, PARSED_PAGES)
+                row, window = different_windows(part)
+                taken = window % np.uint64(ROUNDS) == turn
+                yield pa.record_batch({
+                    "page_key": pa.array(part.column("page_key").to_numpy()[row[taken]]),
+                    "window": pa.array(window[taken].view(np.int64))})
+
+    return run
 
 
 def main_text(texts: list[str], kinds: list[int], repeated: np.ndarray, most: np.ndarray
@@ -380,25 +425,29 @@ def main_text(texts: list[str], kinds: list[int], repeated: np.ndarray, most: np
 
 
 def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text of each page, without the runs whose windows are boilerplate of its host."""
+    """The text of each page, without the runs whose windows are in ``found``."""
     for batch in batches:
-        out = []
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            symbols, _, place, *_ = streams(row.column("texts"))
-            hashes = window_hashes(symbols[:-1], RUN_TOKENS).view(np.int64)
-            runs_of = []
-            for name in ("fair", "most"):
-                hit = np.flatnonzero(np.isin(hashes, np.array(
-                    row.column(name)[0].as_py() or [], np.int64)))
-                covered = np.zeros(len(symbols), bool)
-                for step in range(RUN_TOKENS):
-                    covered[hit + step] = True
-                runs_of.append(covered[place])
-            out.append(main_text(row.column("texts")[0].as_py(),
-                                 row.column("kinds")[0].as_py(), *runs_of))
-        yield pa.record_batch({"page_id": batch.column("page_id"), "url": batch.column("url"),
-                               "text": pa.array(out, pa.string())})
+        for start in range(0, batch.num_rows, PARSED_PAGES):
+            part = batch.slice(start, PARSED_PAGES)
+            texts, kinds, found = (part.column(c) for c in ("texts", "kinds", "found"))
+            symbols, _, place, w, _ = streams(texts)
+            at, row, window = page_windows(part)
+            bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
+            hit = np.zeros(len(at), bool)
+            for i in range(part.num_rows):
+                if found[i].is_valid:
+                    mine = slice(bounds[i], bounds[i + 1])
+                    hit[mine] = np.isin(window[mine],
+                                        found[i].values.to_numpy().view(np.uint64))
+            gone = covered_by(at[hit], len(symbols))[place]
+            first = first_words(texts, w)
+            out = []
+            for i in range(part.num_rows):
+                words = gone[first[i]:first[i + 1]]
+                out.append(main_text(texts[i].as_py(), kinds[i].as_py(), words, words))
+            yield pa.record_batch({"page_id": part.column("page_id"),
+                                   "url": part.column("url"),
+                                   "text": pa.array(out, pa.string())})
 
 
 def fair(pages: str) -> Column:
@@ -408,49 +457,57 @@ def fair(pages: str) -> Column:
                       F.ceil(n * FAIR_PERCENT / 100))
 
 
-def boilerplate(windows: DataFrame) -> DataFrame:
-    """``host, window, most`` of the boilerplate among ``windows(host, page_key, window)``, as
-    ``page_groups`` and ``repeated_positions`` find it. Only hosts of several shards come here,
-    so tables by host are small."""
-    key = ["host", "page_key"]
-    held = windows.groupBy("host").agg(F.countDistinct("page_key").alias("pages"))
-    rare = written(
-        windows.join(windows.groupBy("host", "window").agg(
-            F.count("*").alias("n"), F.min("page_key").alias("hub"))
-            .join(F.broadcast(held), "host").where(F.col("n") < fair("pages"))
-            .select("host", "window", "hub"), ["host", "window"])
-        .groupBy(*key, "hub").agg(F.count("*").alias("shared")), "rare")
-    n_rare = rare.groupBy(*key).agg(F.sum("shared").alias("n_rare"))
-    first = n_rare.select("host", F.col("page_key").alias("hub"), F.col("n_rare").alias("n_hub"))
-    linked = (rare.where("hub <> page_key").join(n_rare, key).join(first, ["host", "hub"])
+def shared_windows(joint: DataFrame) -> DataFrame:
+    """``page_key, window, n, hub`` of the windows on two pages or more: on how many, and the
+    first of them."""
+    same = Window.partitionBy("window")
+    again = F.lag("page_key").over(same.orderBy("page_key")) == F.col("page_key")
+    rounds = []
+    for turn in range(ROUNDS):
+        dealt = joint.select("page_key", "salt", "texts").mapInArrow(
+            windows_of_round(turn), "page_key long, window long").repartition("window")
+        # Equal rows have equal keys and stand side by side; the first counts.
+        once = dealt.withColumn("new", ~F.coalesce(again, F.lit(False)))
+        rounds.append(written(
+            once.select("page_key", "window", "new",
+                        F.sum(F.col("new").cast("int")).over(same).alias("n"),
+                        F.min("page_key").over(same).alias("hub"))
+            .where("n > 1 AND new").drop("new"), "windows"))
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def boilerplate(joint: DataFrame) -> DataFrame:
+    """``host, window, most`` of the boilerplate on the pages of ``joint``, as ``page_groups`` and
+    ``repeated_positions`` find it. Only hosts of several shards come here, so tables by host
+    are small. Windows of one page alone are rare and count by their number."""
+    pages = written(joint.where("n_windows > 0").select("host", "page_key", "n_windows")
+                    .distinct(), "large")
+    held = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    windows = written(
+        shared_windows(joint).join(pages.join(F.broadcast(held), "host"), "page_key")
+        .select("host", "page_key", "window", "hub", (F.col("n") < fair("pages")).alias("rare")),
+        "held")
+    others = windows.where("NOT rare").groupBy("page_key").agg(F.count("*").alias("others"))
+    n_rare = written(
+        pages.join(others, "page_key", "left").select("host", "page_key", (
+            F.col("n_windows") - F.coalesce("others", F.lit(0))).alias("n_rare")), "rare")
+    first = n_rare.select(F.col("page_key").alias("hub"), F.col("n_rare").alias("n_hub"))
+    linked = (windows.where("rare AND hub <> page_key").groupBy("page_key", "hub")
+              .agg(F.count("*").alias("shared")).join(n_rare, "page_key").join(first, "hub")
               .where(F.col("shared") * 100 >= F.greatest("n_rare", "n_hub") * COPY_PERCENT)
-              .select(*key, "hub"))
+              .select("page_key", "hub"))
     groups = written(
-        windows.select(*key).distinct().join(n_rare, key, "left").join(linked, key, "left")
-        .select(*key, F.when(F.col("n_rare").isNull(), F.lit(""))
-                .otherwise(F.coalesce("hub", "page_key").cast("string")).alias("group")),
-        "groups")
+        n_rare.join(linked, "page_key", "left").select(
+            "host", "page_key", F.when(F.col("n_rare") == 0, F.lit(""))
+            .otherwise(F.coalesce("hub", "page_key").cast("string")).alias("group")), "groups")
     differing = groups.groupBy("host").agg(F.countDistinct("group").alias("differing"))
-    return (windows.join(groups, key).select("host", "window", "group").distinct()
-            .groupBy("host", "window").count().join(F.broadcast(differing), "host")
+    return (windows.join(groups.drop("host"), "page_key").select("host", "window", "group")
+            .distinct().groupBy("host", "window").count().join(F.broadcast(differing), "host")
             .where(F.col("count") >= fair("differing")).select("host", "window", (
                 F.col("count") >= F.greatest(F.lit(FEWEST), F.ceil(
                     F.col("differing") * MOST_PERCENT / 100))).alias("most")))
 
 
-def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size of each page, and whether markup leaves open what its content is."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            pages = part.column("html").to_pylist()
-            yield pa.record_batch({
-                "host": part.column("host"),
-                "bytes": pa.array([len(h or "") for h in pages], pa.int64()),
-                "unnamed": pa.array([CONTENT not in (k for _, k in blocks(h or ""))
-                                     for h in pages], pa.bool_())})
-
-
 def host_of(url: Column) -> Column:
     found = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
     return F.lower(found)
@@ -467,36 +524,41 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
                         F.col("html").cast("string").alias("html"),
                         host_of(F.col("url")).alias("host"))
-    sizes = (rows.select("host", "html").mapInArrow(
-        measure, "host string, bytes long, unnamed boolean").groupBy("host")
-        .agg(F.sum("bytes").alias("bytes"), F.max("unnamed").alias("unnamed")))
     # Written before the join, so that Spark knows its size and moves the pages only if it
     # is large.
-    split = written(sizes.where((F.col("bytes") > SHARD_BYTES)).select(
-        "host", F.ceil(F.col("bytes") / SHARD_BYTES).alias("shards"), "unnamed"), "split")
-    dealt = rows.join(split, "host", "left").withColumn(
-        "page_key", F.xxhash64("page_id", "url", "html")).withColumn(
-        "shard", F.coalesce(F.pmod("page_key", "shards"), F.lit(0)))
-    parts = dealt.select("page_id", "url", "host", "shard", "page_key",
-                         F.coalesce("unnamed", F.lit(False)).alias("between"), "html")
-    schema = ("page_id long, url string, host string, shard long, page_key long, "
-              "between boolean, texts array<string>, kinds array<int>")
-    alone = parts.where("NOT between").mapInArrow(parse, schema).groupBy("host", "shard")
+    split = written(
+        rows.groupBy("host").agg(F.sum(F.length("html")).alias("size"))
+        .where(F.col("size") > SHARD_BYTES)
+        .select("host", F.ceil(F.col("size") / SHARD_BYTES).alias("shards")), "split")
+    parts = rows.join(split, "host", "left").select(
+        "page_id", "url", "host", F.xxhash64("page_id", "url", "html").alias("page_key"),
+        "shards", "html")
+    schema = "page_id long, url string, host string, page_key long, {}"
+    parsed = "texts array<string>, kinds array<int>"
+    alone = (parts.where("shards IS NULL").drop("shards")
+             .mapInArrow(parse, schema.format(parsed)).groupBy("host"))
     settled = alone.applyInArrow(settle, "page_id long, url string, text string")
 
     settled = settled.withColumn("n_chars", F.length("text").cast("long"))
-    if split.where("unnamed").isEmpty():
+    if split.isEmpty():
         return settled
 
-    joint = written(parts.where("between").mapInArrow(parse, schema).select(
-        "page_id", "url", "host", "page_key", "texts", "kinds"), "joint")
-    windows = written(joint.select("host", "page_key", "texts").mapInArrow(
-        page_windows, "host string, page_key long, window long").distinct(), "windows")
-    between = (windows.join(boilerplate(windows), ["host", "window"])
-               .groupBy("page_key").agg(
-                   F.collect_set("window").alias("fair"),
-                   F.collect_set(F.when(F.col("most"), F.col("window"))).alias("most")))
-    late = (joint.join(between, "page_key", "left")
-            .select("page_id", "url", "texts", "kinds", "fair", "most")
+    joint = written(
+        parts.where("shards IS NOT NULL").select(
+            "page_id", "url", "host", "page_key", F.xxhash64("host").alias("salt"),
+            F.pmod("page_key", "shards").alias("shard"), "html")
+        .mapInArrow(parse_large, schema.format(f"salt long, shard long, {parsed}, n_windows long")),
+        "joint")
+    sets = written(
+        boilerplate(joint).groupBy("host").agg(
+            F.collect_list("window").alias("fair"),
+            F.collect_list(F.when(F.col("most"), F.col("window"))).alias("most"))
+        .join(split, "host").select(
+            "host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+            "fair", "most"), "sets")
+    named = F.array_contains("kinds", F.lit(CONTENT))
+    late = (joint.join(sets, ["host", "shard"], "left")
+            .select("page_id", "url", "salt", "texts", "kinds",
+                    F.when(named, F.col("most")).otherwise(F.col("fair")).alias("found"))
             .mapInArrow(finish, "page_id long, url string, text string"))
     return settled.union(late.withColumn("n_chars", F.length("text").cast("long")))

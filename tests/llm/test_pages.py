@@ -317,6 +317,31 @@ def test_arrays_judge_named_content(spark, monkeypatch, limit):
     assert got == {r[0]: r[4] for r in rows}
 
 
+def test_texts_do_not_depend_on_the_size_of_shards(spark, monkeypatch):
+    """Hosts whose pages all, partly or never name their content, with copies, near copies, equal
+    rows and short pages, give the same texts as one shard and as many."""
+    rng, rows = random.Random(4), []
+    for kind, host in enumerate(("all.com", "some.com", "none.com")):
+        notices = [" ".join(f"{host[:3]}{k}n{j}" for j in range(12)) for k in range(6)]
+        own = [" ".join(f"u{rng.randrange(300)}" for _ in range(rng.randrange(4, 60)))
+               for _ in range(30)]
+        own[7:12] = [own[6], own[6] + " more", own[6].replace("u1", "v1"), own[6], ""]
+        for i, text in enumerate(own):
+            tag = "article" if kind == 0 or kind == 1 and i % 3 else "div"
+            body = "".join(f"<p>{x}</p>" for k, x in enumerate(notices) if i % 6 >= k)
+            rows.append((len(rows), f"http://{host}/{i}",
+                         f"<{tag}><p>{text}</p>{body}<p>Share</p></{tag}>", "x", "y"))
+    rows += rows[::7] + rows[::9]
+    pages, got = spark.createDataFrame(rows, SCHEMA).repartition(3).cache(), []
+    for limit in (4 << 20, 3_000, 200):
+        monkeypatch.setattr(extract, "SHARD_BYTES", limit)
+        got.append(sorted((r.page_id, r.text, r.n_chars)
+                          for r in extract.main_texts(pages).collect()))
+    assert got[0] == got[1] == got[2]
+    assert any("all0n3" in r[2] for r in rows) and not any("all0n3" in x[1] for x in got[0])
+    assert any("all5n3" in x[1] for x in got[0])
+
+
 def test_extraction_on_odd_rows(odd_pages):
     got = extract.main_texts(odd_pages).collect()
     assert len(got) == 8
