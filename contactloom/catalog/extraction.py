@@ -10,7 +10,7 @@ from contactloom.catalog.base import (FIRST, LAST, STOPS, cards, dns_answers, qu
 from contactloom.catalog.columns import _valid_sql, MENTION_SQL
 from contactloom.functions import emails, html
 from contactloom.functions.text import snippet
-from contactloom.session import materialise
+from contactloom.session import materialise, spread
 from contactloom.operators import extract, mentions, rank
 from contactloom.operators.generate import pick
 
@@ -350,8 +350,8 @@ FROM store""", uses="store")
 def _(spark, sf):
     page = F.concat(F.lit('{"id":1,"biography":"Handmade\\n goods. Founder: '), F.col("owner"),
                     F.lit('"}'))
-    rows = store(spark, sf).select("seq", extract.bio_text(page).alias("bio"),
-                                   F.lit("").alias("b"), F.lit("").alias("d"))
+    rows = spread(store(spark, sf)).select("seq", extract.bio_text(page).alias("bio"),
+                                           F.lit("").alias("b"), F.lit("").alias("d"))
     return extract.person_mentions(rows, "bio", "b", "d", ["seq"], FIRST, STOPS).select(
         "seq", "first_name", "last_name")
 

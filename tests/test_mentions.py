@@ -72,3 +72,11 @@ def test_patterns_are_read_once(texts):
     plan = extract.person_candidates(texts, "text", ["id"])._jdf.queryExecution()
     text = plan.optimizedPlan().toString()
     assert "from_json" not in text and "JsonToStructs" not in text
+
+
+def test_bios_of_one_small_file_are_read_by_all_cores(spark):
+    """A file of one split, as customers have, would be one task of patterns."""
+    from contactloom.catalog import QUERIES
+
+    found = QUERIES["profile_bio_person"](spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
