@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,26 @@ def test_no_plan_compares_all_texts_with_all_terms(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_a_text_is_confirmed_once_for_all_terms(spark):
+    """Rows of equal keys stay rows of their own, and no join repeats a text for each term."""
+    df = spark.createDataFrame([(1, "supershoes 日本語テ"), (1, "shoestring"), (2, None)],
+                               "id long, text string")
+    table = spark.createDataFrame([("shoes",), ("string",), ("本語テ",), ("日本語テ",)], "term string")
+    hits = substrings.substring_hits(df.where("text LIKE 'su%' OR text IS NULL"), "id", "text",
+                                     table)
+    assert sorted(map(tuple, hits.collect())) == [(1, "shoes"), (1, "日本語テ"), (1, "本語テ")]
+    assert "Contains(_text" not in hits._jdf.queryExecution().toString()
+    assert "collect_list(term" in hits._jdf.queryExecution().toString()
+    assert {r.term for r in substrings.substring_hits(df, "id", "text", table).collect()} == {
+        "shoes", "string", "本語テ", "日本語テ"}
+
+
+def test_grams_are_numbers_of_code_points():
+    points = np.frombuffer("a日😀a日😀".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    assert [len(substrings.grams(points, n)) for n in range(1, 8)] == [3, 3, 3, 3, 2, 1, 0]
+    assert set(substrings.grams(points, 1)) == {ord(c) for c in "a日😀"}
+
+
 # -- sketches -----------------------------------------------------------------------------
 
 def test_merged_slices_estimate_like_one_pass(spark, tmp_path):
