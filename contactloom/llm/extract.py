@@ -9,9 +9,11 @@ pages, three or more, and one that markup names as something else goes; of all o
 count only on pages without named content, the boilerplate is removed and the rest kept.
 
 A host with more markup than one task should hold is judged by the same rule over the same
-windows, counted in Spark by their hashes instead of by an array, in several rounds that each
-take the windows of one residue: so the shuffle of a round is gone before the next begins. Pages
-are told apart by a hash of their row, in both forms; the texts do not depend on the form.
+windows, counted in Spark by their hashes instead of by an array. The hashes of many pages of a
+host travel as one row, sorted and as gaps, and one task compares those of a range; in several
+rounds that each take the windows of one residue: so the shuffle of a round is gone before the next
+begins. Pages are told apart by a hash of their row, in both forms; the texts do not depend on the
+form.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,12 @@ from contactloom.llm.words import Words, mix, runs, split_words, window_hashes
 
 SHARD_BYTES = 4 << 20
 RUN_TOKENS = 8
-SORT_TOKENS = 16
-ROUNDS = 6
+ROUNDS = 4
 PARSED_PAGES = 256
+# Windows of so many pages are dealt together (page numbers have 16 bits), and so many of a host
+# are compared in one task.
+DEALT_PAGES = 8192
+TASK_WINDOWS = 1 << 19
 # Boilerplate stands on this share of a host's differing pages, and on three at least, or on
 # both if there are only two. Copies share this part of their rare windows.
 FAIR_PERCENT, FEWEST, COPY_PERCENT = 30, 3, 80
@@ -218,19 +223,18 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      pa.list_(pa.int32()))})
 
 
-def suffix_array(symbols: np.ndarray, depth: int = SORT_TOKENS) -> tuple[np.ndarray, list]:
-    """Suffixes sorted by their first ``depth`` symbols, by prefix doubling, and the ranks
-    after each doubling."""
+def suffix_array(symbols: np.ndarray, depth: int = RUN_TOKENS) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes sorted by their first ``depth`` symbols (a power of two), by prefix doubling, equal
+    ones by place; and their ranks."""
     rank = np.unique(symbols, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
-    ranks, span = [rank], 1
+    span = 1
     while span < depth:
         after = np.zeros(len(rank), np.uint64)
         after[:len(rank) - span] = rank[span:]
         rank = np.unique((rank << np.uint64(32)) | after, return_inverse=True)[1].astype(
             np.uint64) + np.uint64(1)
-        ranks.append(rank)
         span *= 2
-    return np.argsort(rank, kind="stable"), ranks
+    return np.argsort(rank, kind="stable"), rank.astype(np.int64)
 
 
 def fair_share(pages: int) -> int:
@@ -271,24 +275,28 @@ def repeated_positions(symbols: np.ndarray, page: np.ndarray, marks: np.ndarray
     most of them; runs do not hold the ``marks`` after pages.
 
     Neighbours in the suffix array share the longest prefixes; suffixes with the same first
-    ``RUN_TOKENS`` symbols stand together, and the pages of such a stretch are counted.
+    ``RUN_TOKENS`` symbols stand together, and the pages of such a stretch are counted. Numbers
+    in ``page`` do not fall.
     """
     covered = np.zeros(len(symbols), bool)
     at = whole_windows(symbols, marks)
     if not len(at):
         return covered, covered
-    same = suffix_array(symbols)[1][RUN_TOKENS.bit_length() - 1][at].astype(np.int64)
-    order = np.lexsort((page[at], same))
-    window, where = same[order], page[at][order]
+    order, rank = suffix_array(symbols)
+    whole = np.zeros(len(symbols), bool)
+    whole[at] = True
+    order = order[whole[order]]
+    window, where = rank[order], page[order]
     new = np.concatenate(([True], (window[1:] != window[:-1]) | (where[1:] != where[:-1])))
     window, where = window[new], where[new]
     pages, group = page_groups(window, where)
     n_groups = len(np.unique(group))
-    held = np.unique(np.stack([window, group[np.searchsorted(pages, where)]]), axis=1)[0]
-    windows, counts = np.unique(held, return_counts=True)
+    # Groups are numbered from -1, and no number reaches that of pages.
+    held = np.unique(window * (len(pages) + 1) + group[np.searchsorted(pages, where)] + 1)
+    counts = np.bincount(held // (len(pages) + 1), minlength=int(rank.max()) + 1)
 
     def inside(least: int) -> np.ndarray:
-        return covered_by(at[np.isin(same, windows[counts >= least])], len(symbols))
+        return covered_by(at[counts[rank[at]] >= least], len(symbols))
 
     return inside(fair_share(n_groups)), inside(most_of(n_groups))
 
@@ -343,7 +351,7 @@ def first_words(texts: pa.ListArray, w: Words) -> np.ndarray:
 def marked_words(table: pa.Table) -> Iterator[
         tuple[list[str], list[int], np.ndarray, np.ndarray]]:
     """For each page of a host: blocks, kinds, and which words are boilerplate of a fair share
-    and of most of its pages. Equal rows are one page, and pages come by their keys."""
+    and of most of its pages. Equal rows are one page; rows are sorted by their keys."""
     texts = table.column("texts").combine_chunks()
     symbols, row, place, w, marks = streams(texts)
     page = np.unique(table.column("page_key").to_numpy(), return_inverse=True)[1][row]
@@ -356,52 +364,135 @@ def marked_words(table: pa.Table) -> Iterator[
 
 def settle(table: pa.Table) -> pa.Table:
     """The text of each page of a host that one task holds."""
-    whole = table.combine_chunks()
+    whole = table.take(np.argsort(table.column("page_key").to_numpy())).combine_chunks()
     return pa.table({"page_id": whole.column("page_id"), "url": whole.column("url"),
                      "text": pa.array([main_text(*page) for page in marked_words(whole)],
                                       pa.string())})
 
 
-def page_windows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def page_windows(part: pa.RecordBatch, symbols: np.ndarray, row: np.ndarray, marks: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts of the windows of all pages, their pages, and hashes that differ by host."""
-    symbols, row, _, _, marks = streams(part.column("texts"))
     at = whole_windows(symbols, marks)
     salt = part.column("salt").to_numpy().view(np.uint64)[row[at]]
     return at, row[at], mix(window_hashes(symbols, RUN_TOKENS)[at] ^ salt)
 
 
-def different_windows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Pages and hashes of the windows, each once for a page."""
-    _, row, window = page_windows(part)
-    order = np.lexsort((window, row))
-    row, window = row[order], window[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (window[1:] != window[:-1])
-    return row[new], window[new]
+def hashed_windows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Pages and hashes of the windows, in page order."""
+    symbols, row, _, _, marks = streams(part.column("texts"))
+    return page_windows(part, symbols, row, marks)[1:]
 
 
 def parse_large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """As ``parse``, with the number of different windows of each page."""
     for part in parse(batches):
-        row, _ = different_windows(part)
-        n = np.bincount(row, minlength=part.num_rows)
+        row, window = hashed_windows(part)
+        bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
+        n = [len(np.unique(window[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         yield part.append_column("n_windows", pa.array(n, pa.int64()))
 
 
-def windows_of_round(turn: int) -> Callable[
-        [Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The different windows of each page whose hashes leave ``turn``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, PARSED_PAGES):
-                part = batch.slice(start, PARSED_PAGES)
-                row, window = different_windows(part)
-                taken = window % np.uint64(ROUNDS) == turn
-                yield pa.record_batch({
-                    "page_key": pa.array(part.column("page_key").to_numpy()[row[taken]]),
-                    "window": pa.array(window[taken].view(np.int64))})
+def planes(values: np.ndarray) -> bytes:
+    """First the lowest byte of every number, then the next ones: what is zero everywhere stands
+    together and costs nothing once it is compressed."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
 
-    return run
+
+DEALT = pa.schema([("host", pa.string()), ("part", pa.int64()), ("least", pa.int64()),
+                   ("keys", pa.binary()), ("pages", pa.binary()), ("gaps", pa.binary())])
+
+
+def deal(turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows whose hashes leave ``turn``, of many pages in one row for each host and range
+    of hashes: keys of the pages, and for each window its page and the gap to the one before."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, DEALT_PAGES):
+            part = batch.slice(start, DEALT_PAGES)
+            host = part.column("host").dictionary_encode().indices.to_numpy()
+            _, first = np.unique(part.column("page_key").to_numpy(), return_index=True)
+            part = part.take(pa.array(first[np.argsort(host[first], kind="stable")]))
+            yield pa.RecordBatch.from_pylist(list(dealt_rows(part, turn)), DEALT)
+
+
+def dealt_rows(part: pa.RecordBatch, turn: int) -> Iterator[dict]:
+    """The rows of ``deal`` for pages that stand together by host."""
+    pages, windows = [], []
+    for start in range(0, part.num_rows, PARSED_PAGES):
+        row, window = hashed_windows(part.slice(start, PARSED_PAGES))
+        taken = window % np.uint64(ROUNDS) == turn
+        pages.append(row[taken] + start)
+        windows.append(window[taken])
+    page, window = np.concatenate(pages), np.concatenate(windows)
+    host = part.column("host").dictionary_encode().indices.to_numpy()
+    edges = np.flatnonzero(np.diff(host, prepend=-1, append=-1)).tolist()
+    key = part.column("page_key").to_numpy()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        mine = slice(*np.searchsorted(page, [a, b]))
+        order = np.argsort(window[mine], kind="stable")
+        w, p = window[mine][order], page[mine][order]
+        new = np.ones(len(w), bool)
+        new[1:] = (w[1:] != w[:-1]) | (p[1:] != p[:-1])
+        w, p = w[new], p[new]
+        n = part.column("parts")[a].as_py()
+        limits = np.array([(k << 64) // n for k in range(1, n)], np.uint64)
+        cuts = [0, *np.searchsorted(w, limits).tolist(), len(w)]
+        for k, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if low < high:
+                present, number = np.unique(p[low:high], return_inverse=True)
+                gaps = np.diff(w[low:high], prepend=np.uint64(0))
+                yield {"host": part.column("host")[a].as_py(), "part": k,
+                       "least": part.column("least")[a].as_py(), "keys": key[present].tobytes(),
+                       "pages": planes(number.astype(np.uint16)), "gaps": planes(gaps)}
+
+
+def compare(table: pa.Table) -> pa.Table:
+    """Windows of one host and range that stand on two pages or more: ``n`` pages, the first of
+    them as ``hub``, whether they are ``rare``, and whether the page is ``near`` the hub: has
+    enough of its rare windows of this range there, as a copy must in one range at least."""
+    windows, keys, present, sizes = [], [], [], []
+    for row in table.select(["keys", "pages", "gaps"]).to_pylist():
+        number = from_planes(row["pages"], np.uint16)
+        present.append(np.frombuffer(row["keys"], np.int64))
+        sizes.append(np.bincount(number, minlength=len(present[-1])))
+        keys.append(present[-1][number])
+        windows.append(np.cumsum(from_planes(row["gaps"], np.uint64), dtype=np.uint64))
+    window, key = np.concatenate(windows), np.concatenate(keys)
+    pages, at = np.unique(np.concatenate(present), return_inverse=True)
+    order = np.argsort(window, kind="stable")
+    window, key = window[order], key[order]
+    same = window[1:] == window[:-1]
+    twice = np.concatenate((same, [False])) | np.concatenate(([False], same))
+    window, key = window[twice], key[twice]
+    order = np.lexsort((key, window))
+    window, page = window[order], np.searchsorted(pages, key[order])
+    # Equal rows of other slices have equal keys; the first counts.
+    new = np.ones(len(window), bool)
+    new[1:] = (window[1:] != window[:-1]) | (page[1:] != page[:-1])
+    again = np.bincount(page[~new], minlength=len(pages))
+    window, page = window[new], page[new]
+    begins = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1]))[:len(window)])
+    counts = np.diff(np.append(begins, len(window)))
+    n, hub = np.repeat(counts, counts), np.repeat(page[begins], counts)
+    rare = n < table.column("least")[0].as_py()
+    n_rare = (np.bincount(at, np.concatenate(sizes), len(pages)).astype(np.int64) - again
+              - np.bincount(page[~rare], minlength=len(pages)))
+    away = rare & (hub != page)
+    _, pair, shared = np.unique(page[away] * len(pages) + hub[away], return_inverse=True,
+                                return_counts=True)
+    near = np.zeros(len(window), bool)
+    near[away] = shared[pair] * 100 >= n_rare[page[away]] * COPY_PERCENT
+    kept = n > 1
+    return pa.table({"host": pa.array([table.column("host")[0].as_py()] * int(kept.sum()),
+                                      pa.string()),
+                     "page_key": pages[page[kept]], "window": window[kept].view(np.int64),
+                     "n": n[kept], "hub": pages[hub[kept]], "rare": rare[kept],
+                     "near": near[kept]})
 
 
 def main_text(texts: list[str], kinds: list[int], repeated: np.ndarray, most: np.ndarray
@@ -430,8 +521,8 @@ def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start in range(0, batch.num_rows, PARSED_PAGES):
             part = batch.slice(start, PARSED_PAGES)
             texts, kinds, found = (part.column(c) for c in ("texts", "kinds", "found"))
-            symbols, _, place, w, _ = streams(texts)
-            at, row, window = page_windows(part)
+            symbols, row, place, w, marks = streams(texts)
+            at, row, window = page_windows(part, symbols, row, marks)
             bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
             hit = np.zeros(len(at), bool)
             for i in range(part.num_rows):
@@ -457,51 +548,51 @@ def fair(pages: str) -> Column:
                       F.ceil(n * FAIR_PERCENT / 100))
 
 
-def shared_windows(joint: DataFrame) -> DataFrame:
-    """``page_key, window, n, hub`` of the windows on two pages or more: on how many, and the
-    first of them."""
-    same = Window.partitionBy("window")
-    again = F.lag("page_key").over(same.orderBy("page_key")) == F.col("page_key")
-    rounds = []
-    for turn in range(ROUNDS):
-        dealt = joint.select("page_key", "salt", "texts").mapInArrow(
-            windows_of_round(turn), "page_key long, window long").repartition("window")
-        # Equal rows have equal keys and stand side by side; the first counts.
-        once = dealt.withColumn("new", ~F.coalesce(again, F.lit(False)))
-        rounds.append(written(
-            once.select("page_key", "window", "new",
-                        F.sum(F.col("new").cast("int")).over(same).alias("n"),
-                        F.min("page_key").over(same).alias("hub"))
-            .where("n > 1 AND new").drop("new"), "windows"))
-    return reduce(DataFrame.unionByName, rounds)
+def shared_windows(joint: DataFrame, held: DataFrame) -> DataFrame:
+    """The rows of ``compare`` for all pages of ``joint``; ``held`` has ``host, parts, least``."""
+    dealt = joint.select("host", "page_key", "salt", "texts").join(F.broadcast(held), "host")
+    return reduce(DataFrame.unionByName, [
+        written(dealt.mapInArrow(
+                    partial(deal, turn), "host string, part long, least long, keys binary, "
+                                         "pages binary, gaps binary")
+                .groupBy("host", "part").applyInArrow(
+                    compare, "host string, page_key long, window long, n long, hub long, "
+                             "rare boolean, near boolean"), "windows", "zstd")
+        for turn in range(ROUNDS)])
 
 
 def boilerplate(joint: DataFrame) -> DataFrame:
     """``host, window, most`` of the boilerplate on the pages of ``joint``, as ``page_groups`` and
-    ``repeated_positions`` find it. Only hosts of several shards come here, so tables by host
-    are small. Windows of one page alone are rare and count by their number."""
+    ``repeated_positions`` find it. Only large hosts come here, so tables by host are small.
+    Windows of one page alone are rare and count by their number."""
     pages = written(joint.where("n_windows > 0").select("host", "page_key", "n_windows")
                     .distinct(), "large")
-    held = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    windows = written(
-        shared_windows(joint).join(pages.join(F.broadcast(held), "host"), "page_key")
-        .select("host", "page_key", "window", "hub", (F.col("n") < fair("pages")).alias("rare")),
-        "held")
+    held = (pages.groupBy("host").agg(F.count("*").alias("pages"), F.ceil(
+                F.sum("n_windows") / (ROUNDS * TASK_WINDOWS)).alias("parts"))
+            .select("host", "parts", fair("pages").cast("long").alias("least")))
+    windows = shared_windows(joint, written(held, "held"))
     others = windows.where("NOT rare").groupBy("page_key").agg(F.count("*").alias("others"))
     n_rare = written(
         pages.join(others, "page_key", "left").select("host", "page_key", (
             F.col("n_windows") - F.coalesce("others", F.lit(0))).alias("n_rare")), "rare")
     first = n_rare.select(F.col("page_key").alias("hub"), F.col("n_rare").alias("n_hub"))
-    linked = (windows.where("rare AND hub <> page_key").groupBy("page_key", "hub")
-              .agg(F.count("*").alias("shared")).join(n_rare, "page_key").join(first, "hub")
+    # Written, so that Spark knows how few they are and leaves the windows where they lie.
+    near = written(windows.where("near").select("page_key", "hub").distinct(), "near")
+    linked = (windows.where("rare").join(near, ["page_key", "hub"], "left_semi")
+              .groupBy("page_key", "hub").agg(F.count("*").alias("shared"))
+              .join(n_rare, "page_key").join(first, "hub")
               .where(F.col("shared") * 100 >= F.greatest("n_rare", "n_hub") * COPY_PERCENT)
               .select("page_key", "hub"))
     groups = written(
         n_rare.join(linked, "page_key", "left").select(
             "host", "page_key", F.when(F.col("n_rare") == 0, F.lit(""))
             .otherwise(F.coalesce("hub", "page_key").cast("string")).alias("group")), "groups")
-    differing = groups.groupBy("host").agg(F.countDistinct("group").alias("differing"))
-    return (windows.join(groups.drop("host"), "page_key").select("host", "window", "group")
+    differing = written(
+        groups.groupBy("host").agg(F.countDistinct("group").alias("differing")), "differing")
+    # No window stands on more groups than pages.
+    return (windows.join(F.broadcast(differing), "host").where(F.col("n") >= fair("differing"))
+            .select("host", "page_key", "window").join(groups.drop("host"), "page_key")
+            .select("host", "window", "group")
             .distinct().groupBy("host", "window").count().join(F.broadcast(differing), "host")
             .where(F.col("count") >= fair("differing")).select("host", "window", (
                 F.col("count") >= F.greatest(F.lit(FEWEST), F.ceil(
@@ -524,40 +615,35 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
                         F.col("html").cast("string").alias("html"),
                         host_of(F.col("url")).alias("host"))
-    # Written before the join, so that Spark knows its size and moves the pages only if it
-    # is large.
-    split = written(
+    # One row for each SHARD_BYTES of the input at most: small enough to be broadcast, so the pages
+    # stay where they are.
+    large = F.broadcast(written(
         rows.groupBy("host").agg(F.sum(F.length("html")).alias("size"))
-        .where(F.col("size") > SHARD_BYTES)
-        .select("host", F.ceil(F.col("size") / SHARD_BYTES).alias("shards")), "split")
-    parts = rows.join(split, "host", "left").select(
+        .where(F.col("size") > SHARD_BYTES).select("host", F.lit(True).alias("large")), "large"))
+    parts = rows.join(large, "host", "left").select(
         "page_id", "url", "host", F.xxhash64("page_id", "url", "html").alias("page_key"),
-        "shards", "html")
+        "large", "html")
     schema = "page_id long, url string, host string, page_key long, {}"
     parsed = "texts array<string>, kinds array<int>"
-    alone = (parts.where("shards IS NULL").drop("shards")
+    alone = (parts.where("large IS NULL").drop("large")
              .mapInArrow(parse, schema.format(parsed)).groupBy("host"))
     settled = alone.applyInArrow(settle, "page_id long, url string, text string")
 
     settled = settled.withColumn("n_chars", F.length("text").cast("long"))
-    if split.isEmpty():
+    if large.isEmpty():
         return settled
 
     joint = written(
-        parts.where("shards IS NOT NULL").select(
-            "page_id", "url", "host", "page_key", F.xxhash64("host").alias("salt"),
-            F.pmod("page_key", "shards").alias("shard"), "html")
-        .mapInArrow(parse_large, schema.format(f"salt long, shard long, {parsed}, n_windows long")),
-        "joint")
+        parts.where("large").select(
+            "page_id", "url", "host", "page_key", F.xxhash64("host").alias("salt"), "html")
+        .mapInArrow(parse_large, schema.format(f"salt long, {parsed}, n_windows long")),
+        "joint", "zstd")
     sets = written(
         boilerplate(joint).groupBy("host").agg(
             F.collect_list("window").alias("fair"),
-            F.collect_list(F.when(F.col("most"), F.col("window"))).alias("most"))
-        .join(split, "host").select(
-            "host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
-            "fair", "most"), "sets")
+            F.collect_list(F.when(F.col("most"), F.col("window"))).alias("most")), "sets")
     named = F.array_contains("kinds", F.lit(CONTENT))
-    late = (joint.join(sets, ["host", "shard"], "left")
+    late = (joint.join(F.broadcast(sets), "host", "left")
             .select("page_id", "url", "salt", "texts", "kinds",
                     F.when(named, F.col("most")).otherwise(F.col("fair")).alias("found"))
             .mapInArrow(finish, "page_id long, url string, text string"))

@@ -5,7 +5,11 @@ import hashlib
 import math
 import random
 import re
+import zlib
+from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -342,6 +346,61 @@ def test_texts_do_not_depend_on_the_size_of_shards(spark, monkeypatch):
     assert any("all5n3" in x[1] for x in got[0])
 
 
+def dealt_pages(seed, n):
+    """Parsed pages of two hosts, one in three ranges, with shared passages, copies and equal
+    rows; in two batches."""
+    rng, rows = random.Random(seed), []
+    passages = [" ".join(f"p{k}w{j}" for j in range(20)) for k in range(5)]
+    for i in range(n):
+        own = " ".join(f"u{rng.randrange(10**6)}" for _ in range(200))
+        texts = rows[-1]["texts"] if i % 9 == 8 else [own, *rng.sample(passages, i % 4)]
+        host, parts = (("a.com", 3), ("b.com", 1))[i % 5 == 0]
+        rows.append({"host": host, "parts": parts, "least": 12, "salt": parts * 77,
+                     "page_key": rng.randrange(-2**63, 2**63), "texts": texts})
+    rows += rows[::6] + [dict(rows[0], page_key=5, texts=[]), dict(rows[1], page_key=6, texts=[])]
+    schema = pa.schema([("host", pa.string()), ("parts", pa.int64()), ("least", pa.int64()),
+                        ("salt", pa.int64()), ("page_key", pa.int64()),
+                        ("texts", pa.list_(pa.string()))])
+    return [pa.RecordBatch.from_pylist(part, schema) for part in (rows[:n // 2], rows[n // 2:])]
+
+
+def test_windows_of_large_hosts_travel_packed(monkeypatch):
+    """Many pages share a row, which costs less than ten bytes for a window; what is compared in
+    ranges is what a plain count finds."""
+    batches = dealt_pages(3, 300)
+    on = defaultdict(set)
+    for part in batches:
+        row, window = extract.hashed_windows(part)
+        for i, w in zip(row.tolist(), window.tolist(), strict=True):
+            r = part.slice(i, 1).to_pylist()[0]
+            on[r["host"], w].add(r["page_key"])
+    of_page = Counter(k for (_, w), keys in on.items() if len(keys) < 12 for k in keys)
+    pairs = Counter((k, min(keys)) for keys in on.values() if 1 < len(keys) < 12
+                    for k in keys if k != min(keys))
+    want = {(host, w - (w >> 63 << 64), k, len(keys), min(keys), len(keys) < 12)
+            for (host, w), keys in on.items() if len(keys) > 1 for k in keys}
+    copies = {(k, hub) for (k, hub), n in pairs.items() if n * 100 >= of_page[k] * 80}
+    for pages in (extract.DEALT_PAGES, 40):
+        monkeypatch.setattr(extract, "DEALT_PAGES", pages)
+        got, near, packed, rows = [], set(), b"", 0
+        for turn in range(extract.ROUNDS):
+            dealt = pa.Table.from_batches(list(extract.deal(turn, iter(batches))))
+            packed += b"".join(r[c] for r in dealt.to_pylist() for c in ("keys", "pages", "gaps"))
+            rows += dealt.num_rows
+            for host, part in {(r["host"], r["part"]) for r in dealt.to_pylist()}:
+                mine = dealt.filter((pc.field("host") == host)
+                                    & (pc.field("part") == part))
+                for r in extract.compare(mine).to_pylist():
+                    got.append((host, r["window"], r["page_key"], r["n"], r["hub"], r["rare"]))
+                    if r["near"]:
+                        near.add((r["page_key"], r["hub"]))
+        assert len(got) == len(set(got)) and set(got) == want
+        assert copies and copies <= near
+        if pages > 40:
+            assert rows <= 2 * 4 * extract.ROUNDS
+            assert len(zlib.compress(packed, 1)) < 10 * sum(map(len, on.values()))
+
+
 def test_extraction_on_odd_rows(odd_pages):
     got = extract.main_texts(odd_pages).collect()
     assert len(got) == 8
