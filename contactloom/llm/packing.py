@@ -17,11 +17,21 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from contactloom.llm.store import written
-from contactloom.llm.words import slices, text_buffer
+from contactloom.llm.words import _LOWER, SLICE_BYTES, slices, text_buffer
 
 GROUP_PIECES = 20_000
 CACHED_WORDS, CACHED_PIECES = 200_000, 20_000
 
+# Kinds of bytes: white space, letters, digits, marks, and those beside which nothing is cut.
+SPACE, LETTER, DIGIT, MARK, GLUE = range(5)
+KINDS = np.full(256, GLUE, np.uint8)
+KINDS[33:127] = MARK
+KINDS[[9, 10, 11, 12, 13, 32]] = SPACE
+KINDS[48:58] = DIGIT
+KINDS[65:91] = KINDS[97:123] = LETTER
+KINDS[0x80:0xC0] = KINDS[0xC3] = LETTER  # U+00C0 to U+00FF; ``separated`` mends the others
+KINDS[ord("'")] = GLUE
+
 
 def byte_letters() -> dict[int, str]:
     """Character that a byte-level vocabulary shows for each byte: printable Latin-1 bytes
@@ -32,6 +42,37 @@ def byte_letters() -> dict[int, str]:
     return letters | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def separated(data: np.ndarray, offsets: np.ndarray, added: re.Pattern | None = None
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with the same token ids whose words are shorter and repeat more often.
+
+    A blank goes between letters, digits and other marks, where the tokenizer splits anyhow,
+    and A-Z become small letters. Left as they are: what stands beside an apostrophe (it may
+    begin a split of its own), beside a character outside printable Latin-1 (it may be a blank,
+    or change with its neighbours when the text is normalized) and in an ``added`` token. Longer
+    data, one text over the size of a slice, stays whole, to hold no arrays of its length.
+    """
+    if not 0 < len(data) <= 2 * SLICE_BYTES:
+        return data, offsets
+    kinds, low = KINDS[data], _LOWER[data]
+    wide = np.flatnonzero((data == 0xC2) | (data >= 0xC4))
+    kinds[wide] = kinds[wide + 1] = GLUE
+    kinds[wide[data[wide] >= 0xE0] + 2] = GLUE
+    kinds[wide[data[wide] >= 0xF0] + 3] = GLUE
+    signs = np.flatnonzero((data[1:] == 0x97) | (data[1:] == 0xB7))  # of times and division
+    signs = signs[data[signs] == 0xC3]
+    kinds[signs] = kinds[signs + 1] = GLUE
+    before = wide[wide > 0] - 1
+    low[before] = data[before]
+    for found in added.finditer(low.tobytes()) if added else ():
+        kinds[found.start():found.end()] = GLUE
+        low[found.start():found.end()] = data[found.start():found.end()]
+    left, right = kinds[:-1], kinds[1:]
+    cuts = 1 + np.flatnonzero(((left != right) | (left == DIGIT)) & (left != SPACE)
+                              & (right != SPACE) & (left != GLUE) & (right != GLUE))
+    return np.insert(low, cuts, 32), offsets + np.searchsorted(cuts, offsets)
+
+
 class WordIds(dict):
     """Token ids (little-endian bytes) of words between ASCII white space, kept while they fit.
 
@@ -39,8 +80,9 @@ class WordIds(dict):
     of its words. Words of plain Latin-1 characters go straight to the tokenizer's model with
     the tokenizer's own split pattern, letters with at most a comma or a full stop after them
     without it; words that hold an added token pass the whole tokenizer, all others its
-    normalizer and pre-tokenizer. A full cache becomes the ``older`` one, out of which words in
-    use come back, so frequent words are kept and memory stays at twice the limit.
+    normalizer and pre-tokenizer. Words met once are kept apart as ``young``, so that they push
+    out no frequent ones. Each of the two caches, when full, becomes its older one, out of which
+    words in use come back; memory stays at four times the limit.
     """
 
     SIMPLE = re.compile(r"[!-~¡-ÿ]+")
@@ -57,7 +99,11 @@ class WordIds(dict):
                                   for t in self.added)
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = byte_letters()
+        self.added_bytes = re.compile(b"|".join(
+            re.escape(t.encode()) for t in self.added)) if self.added else None
         self.older: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.older_young: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.as_bytes = [i.to_bytes(4, "little") for i in range(max(
             self.tokenizer.get_vocab().values(), default=-1) + 1)]
@@ -80,6 +126,8 @@ class WordIds(dict):
 
     def of_word(self, word: bytes) -> bytes:
         text = word.decode()
+        if self.words_are_free and word.isalpha():
+            return self.ids(text.lower())
         if self.words_are_free and (text.isascii() or self.SIMPLE.fullmatch(text)):
             if text.isalpha():
                 return self.of_letters(text.lower())
@@ -96,14 +144,18 @@ class WordIds(dict):
             t.normalizer.normalize_str(text)))
 
     def __missing__(self, word: bytes) -> bytes:
-        got = self.older.get(word)
-        if got is None:
-            got = self.of_word(word)
-        if len(self) >= CACHED_WORDS:
-            self.older = dict(self)
-            self.clear()
-        if len(word) <= 64:
+        got = self.young.get(word, self.older.get(word, self.older_young.get(word)))
+        if got is not None:
+            if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
+                self.clear()
             self[word] = got
+            return got
+        got = self.of_word(word)
+        if len(word) <= 64:
+            if len(self.young) >= CACHED_WORDS:
+                self.older_young, self.young = self.young, {}
+            self.young[word] = got
         return got
 
 
@@ -124,7 +176,8 @@ def cut(path: str, end_id: int, size: int, with_ids: bool
         rng = np.random.default_rng(TaskContext.get().partitionId())
         for whole in batches:
             for batch in slices(whole, "text"):
-                data, offsets = text_buffer(batch.column("text"))
+                data, offsets = separated(*text_buffer(batch.column("text")),
+                                          word_ids(path).added_bytes)
                 rows: list[tuple] = []
                 for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                     ids = token_bytes(data[offsets[i]:offsets[i + 1]].tobytes(), path, end_id)

@@ -1,12 +1,16 @@
 """Operators over documents against plain versions, on every odd kind of row."""
 
 import collections
+import functools
 import hashlib
+import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -19,6 +23,7 @@ from contactloom.llm.near import distance_limit, keep_one, near_duplicates
 from contactloom.llm.packing import first_fit, pack, sequences, token_bytes
 from contactloom.llm.passages import remove_repeats
 from contactloom.llm.tokens import Counter, read_vocabulary, token_counts
+from contactloom.llm.words import text_buffer
 from tests.llm.conftest import edge_rows, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -219,6 +224,54 @@ def test_word_ids_stay_small_and_keep_frequent_words(monkeypatch):
     assert asked.count(b"often") == 1
 
 
+def test_words_met_once_push_out_no_frequent_ones(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    cache, asked = packing.WordIds(BPE), collections.Counter()
+    of_word = cache.of_word
+    monkeypatch.setattr(cache, "of_word", lambda w: asked.update([w]) or of_word(w))
+    often = [f"often{c}".encode() for c in "abcdefghij"]
+    for word in often * 2 + [f"once{i}".encode() for i in range(500)] + often:
+        cache[word]
+    assert {asked[w] for w in often} == {1}
+    assert len(cache.young) <= 40 and len(cache.older_young) <= 40
+
+
+def test_forms_of_a_word_are_tokenized_once(monkeypatch):
+    """Capitals, digits and marks beside a word ask the tokenizer for nothing new."""
+    asked = collections.Counter()
+    of_word = packing.WordIds.of_word
+    monkeypatch.setattr(packing.WordIds, "of_word",
+                        lambda self, w: asked.update([w]) or of_word(self, w))
+    monkeypatch.setattr(packing, "word_ids", functools.lru_cache(packing.WordIds))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(
+        get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["some Some SOME some, Some. (some) some-some some12 3some/", "\u00e9t\u00e9 \u00e9t\u00e9."]
+    batch = pa.record_batch({"doc_id": [1, 2], "text": texts})
+    out, = packing.cut(BPE, 2, 4096, True)(iter([batch]))
+    whole = Tokenizer.from_file(BPE)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in out.column("ids").to_pylist()] == [
+        whole.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert set(asked) == {w.encode() for w in [
+        "some", ",", ".", "(", ")", "-", "/", "1", "2", "3", "\u00e9t\u00e9"]}
+    assert set(asked.values()) == {1}
+
+
+def test_separated_texts_have_the_same_ids():
+    """Beside apostrophes, wide and combining characters, signs, odd blanks and added tokens."""
+    parts = [*"abhsStTdHK019,.;-'\"(<|>", "'s", "'LL", "it's", *"\u00e9\u00c9\u00df\u00f1\u00d7\u00f7\u00ab\u00bb\u00aa\u00b2\u00b7\u00ad",
+             *"\u00a0\u0085\u0097\u0331\u0301\u0308\u2019\u201c\u2014\u65e5\u0130\u03a3\u03c2\u212a\ufb01\u0663\u2009\U0001f642\U00010400\u200d\x1c\x00\x7f\n\t",
+             " ", " ", " ", " ", "<|endoftext|>", "<|EndOfText|>"]
+    rng, whole = random.Random(5), Tokenizer.from_file(BPE)
+    texts = ["".join(rng.choices(rng.sample(parts, rng.randint(2, len(parts))),
+                                 k=rng.choice([0, 1, 2, 3, 8, 40]))) for _ in range(4000)]
+    data, offsets = packing.separated(*text_buffer(pa.array(texts)),
+                                      packing.word_ids(BPE).added_bytes)
+    for i, text in enumerate(texts):
+        ids = np.frombuffer(token_bytes(
+            data[offsets[i]:offsets[i + 1]].tobytes(), BPE, 2), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids + [2], text
+
+
 def test_first_fit_is_first_fit():
     rng = np.random.default_rng(3)
     lengths = np.sort(rng.integers(1, 101, 300))[::-1]
