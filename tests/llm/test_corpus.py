@@ -14,7 +14,7 @@ from contactloom.llm import divergence as dv
 from contactloom.llm import simhash as sh
 from contactloom.llm import variants as va
 from contactloom.llm import quality
-from contactloom.llm.decontaminate import passages, tokens
+from contactloom.llm.decontaminate import passages, tokens, whole_lines
 from contactloom.llm.near import keep_one
 from tests.llm.conftest import edge_rows
 
@@ -264,6 +264,13 @@ def test_decontamination_is_compiled(spark, edge_docs):
     assert len(sizes) > 3 and max(sizes) < 8000
 
 
+def test_words_of_lines_are_found_once(spark):
+    docs = spark.createDataFrame([(1, "one\nshort one\n")], "doc_id long, text string")
+    items = spark.createDataFrame([(3, [1, 2])], "item_id long, item_hashes array<long>")
+    plan = whole_lines(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
 def test_curly_quotes_take_the_short_way(spark):
     rows = spark.createDataFrame([("“Quoted” — 5 €",), ("漢字 and かな",), (None,)], "text string")
     got = [r[0] for r in rows.select(tokens("text")).collect()]
