@@ -7,10 +7,13 @@ places of the corpus.
    windows always share a phrase. Phrases are counted over the whole corpus.
 2. Documents are dealt to shards of bounded size; each shard gets the recurring phrases that
    it has, and gives the runs of words under them. Their windows are counted over the whole
-   corpus by 96 bits of two hashes: those found twice are confirmed. Each goes to one place, its
-   first, and neighbouring ones make up a passage, so the passages together hold each repeated
-   window once.
-3. A passage is sent to the shards that have one of its phrases. There its phrases of 8 words
+   corpus by 96 bits of two hashes: those found twice are confirmed. Windows travel to a bucket
+   of their phrase, many to a row and once for a shard; those under a very common phrase go by
+   their own hash. There are as many rounds as keep the rows of one in proportion to the texts,
+   and each takes its share of the buckets. A confirmed window goes to one place, its first,
+   with the shards that have it, and neighbouring ones make up a passage, so the passages
+   together hold each repeated window once.
+3. A passage is sent to the shards that have one of its windows. There its phrases of 8 words
    in steps of 28 are compiled to an automaton; a window of 35 words always holds one of them
    whole. All documents of the shard are streamed through it, and the windows around each
    occurrence are compared with the passages' word by word.
@@ -19,11 +22,14 @@ places of the corpus.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,11 +48,21 @@ from contactloom.llm.words import (
 
 PHRASE = 8
 SHARD_BYTES = 8 << 20
-MAX_SHARDS = 1 << 20
+SHARD_BITS = 20
+MAX_SHARDS = 1 << SHARD_BITS
 REGION_BITS, POSITION_BITS = 22, 20
 PLACE_BITS = 24
 STEP = 1 << 22
 OTHER = np.uint64(0xD1B54A32D192ED03)
+WINDOW_BYTES = 14  # of a window in the shuffle of its round: two hashes and its part of a place
+ROUND_SHARE = 0.5  # bytes of the windows of a round for each byte of text
+BUCKET_WINDOWS = 1 << 19
+COMMON = 4096  # places of a phrase whose windows are dealt by their own hash, at least
+PIECE = 512
+FOUND = T.StructType([
+    T.StructField("bucket", T.LongType()), T.StructField("shard", T.LongType()),
+    *[T.StructField(n, T.BinaryType()) for n in ("window", "other", "twice", "begin", "n")]])
+HOMES = "region long, place int, n int, shards array<int>"
 
 
 def window_phrases(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,10 +105,10 @@ def phrase_rows(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def regions(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The words of runs of windows under recurring phrases."""
+    """The words of runs of windows under recurring phrases, and the number of windows."""
     def run(texts: pa.Table, recurring: pa.Table) -> pa.Table:
         known = np.sort(recurring.column("phrase").to_numpy().view(np.uint64))
-        names, words = [], []
+        names, words, counts = [], [], []
         if texts.num_rows and len(known):
             shard = texts.column("shard")[0].as_py()
             for batch in texts.select(["text"]).combine_chunks().to_batches():
@@ -109,51 +125,155 @@ def regions(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                                           << POSITION_BITS))
                             words.append(b" ".join(
                                 w.data[w.starts[c]:w.ends[d + width - 2]].tobytes().split()))
+                            counts.append(d - c)
         return pa.table({"region": pa.array(names, pa.int64()),
-                         "words": pa.array(words, pa.binary()).cast(pa.string())})
+                         "words": pa.array(words, pa.binary()).cast(pa.string()),
+                         "windows": pa.array(counts, pa.int64())})
 
     return run
 
 
-def region_windows(width: int
+def cuts(*changes: np.ndarray) -> np.ndarray:
+    """Where runs begin, the first one too, if ``changes`` tell where neighbours differ."""
+    return np.concatenate(([0], np.flatnonzero(reduce(np.logical_or, changes)) + 1))
+
+
+def region_windows(width: int, common: np.ndarray, buckets: int, rounds: int, now: int
                    ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row for each window of a region: its hash, some bits of another one, and its place."""
+    """Windows of regions whose bucket is of round ``now``: a row for each bucket and shard in
+    a slice, with a hash of each window, some bits of another one, whether the slice has it
+    twice, and its first place there as runs of places.
+
+    Equal windows have one bucket: that of their phrase, or of themselves if the phrase is one
+    of the sorted ``common`` ones.
+    """
+    def found(batch: pa.RecordBatch) -> Iterator[tuple]:
+        w = split_words(batch.column("words"))
+        anchors, phrases = window_phrases(w.hashes, width)
+        hashes = long_window_hashes(w.hashes, width)
+        key = phrases[anchors]
+        if len(common):
+            place = np.minimum(np.searchsorted(common, key), len(common) - 1)
+            key = np.where(common[place] == key, hashes, key)
+        bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
+        at = np.flatnonzero(whole_windows(w, width) & (bucket % rounds == now))
+        if not len(at):
+            return
+        region = np.searchsorted(w.first, at, "right") - 1
+        codes = batch.column("region").to_numpy()[region] + at - w.first[region]
+        window, bucket = hashes[at], bucket[at]
+        other = (long_window_hashes(mix(w.hashes ^ OTHER), width)[at]
+                 >> np.uint64(32)).astype(np.uint32)
+        shard = codes >> (REGION_BITS + POSITION_BITS)
+        order = np.lexsort((codes, other, window, shard))
+        x, y, z = window[order], other[order], shard[order]
+        first = cuts(x[1:] != x[:-1], y[1:] != y[:-1], z[1:] != z[:-1])
+        twice = np.diff(first, append=len(order)) > 1
+        kept = order[first]
+        order = np.lexsort((codes[kept], bucket[kept], shard[kept]))
+        kept, twice = kept[order], twice[order]
+        window, other, codes = window[kept], other[kept], codes[kept]
+        bucket, shard = bucket[kept], shard[kept]
+        row = cuts(bucket[1:] != bucket[:-1], shard[1:] != shard[:-1])
+        for a, b in itertools.pairwise([*row.tolist(), len(kept)]):
+            own = codes[a:b]
+            run = cuts(own[1:] != own[:-1] + 1)
+            yield (int(bucket[a]), int(shard[a]), window[a:b].tobytes(), other[a:b].tobytes(),
+                   np.packbits(twice[a:b]).tobytes(), own[run].tobytes(),
+                   np.diff(run, append=b - a).astype(np.int32).tobytes())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "words"):
-                w = split_words(batch.column("words"))
-                at = np.flatnonzero(whole_windows(w, width))
-                region = np.searchsorted(w.first, at, "right") - 1
-                codes = batch.column("region").to_numpy()[region] + at - w.first[region]
-                other = long_window_hashes(mix(w.hashes ^ OTHER), width)[at]
+                rows = list(found(batch))
                 yield pa.record_batch({
-                    "window": pa.array(long_window_hashes(w.hashes, width)[at].view(np.int64)),
-                    "other": pa.array((other >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                    "code": pa.array(codes)})
+                    f.name: pa.array([r[i] for r in rows],
+                                     pa.int64() if i < 2 else pa.binary())
+                    for i, f in enumerate(FOUND)})
 
     return run
 
 
-def cut_passages(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Neighbouring confirmed windows of a region as passages, with their phrases."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, texts, phrases = [], [], []
-            for region, words, places in zip(
-                    batch.column("region").to_pylist(), batch.column("words").to_pylist(),
-                    batch.column("places"), strict=True):
-                parts = words.encode().split(b" ")
-                flags = np.zeros(len(parts), bool)
-                flags[places.values.to_numpy()] = True
-                for a, b in runs(flags):
-                    text = b" ".join(parts[a:b + width - 1]).decode()
-                    names.append(region + a)
-                    texts.append(text)
-                    at, found = window_phrases(split_words(pa.array([text])).hashes, width)
-                    phrases.append(found[np.unique(at)].view(np.int64))
-            yield pa.record_batch({"passage": pa.array(names, pa.int64()),
-                                   "words": pa.array(texts, pa.string()),
-                                   "phrases": pa.array(phrases, pa.list_(pa.int64()))})
+def joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers in all values of a binary column."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def confirm(rows: pa.Table) -> pa.Table:
+    """Windows of a bucket that have two places: runs of their first places, with the shards
+    that have any window of the run."""
+    window, other = joined(rows["window"], np.uint64), joined(rows["other"], np.uint32)
+    sizes = pc.binary_length(rows["window"]).to_numpy() // 8
+    flags = [np.unpackbits(np.frombuffer(t, np.uint8), count=n) for t, n in zip(
+        rows["twice"].to_pylist(), sizes.tolist(), strict=True)]
+    count = 1 + np.concatenate(flags).astype(np.int64)
+    shard = np.repeat(rows["shard"].to_numpy(), sizes)
+    begin, n = joined(rows["begin"], np.int64), joined(rows["n"], np.int32)
+    codes = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(len(window))
+    order = np.argsort(window, kind="stable")
+    x, y = window[order], other[order]
+    if np.any((x[1:] == x[:-1]) & (y[1:] != y[:-1])):
+        order = np.lexsort((other, window))
+        x, y = window[order], other[order]
+    first = cuts(x[1:] != x[:-1], y[1:] != y[:-1])
+    total = np.add.reduceat(count[order], first)
+    home = np.minimum.reduceat(codes[order], first)
+    good = np.flatnonzero(total > 1)
+    if not len(good):
+        return pa.table({"region": pa.array([], pa.int64()), "place": pa.array([], pa.int32()),
+                         "n": pa.array([], pa.int32()),
+                         "shards": pa.array([], pa.list_(pa.int32()))})
+    by_home = good[np.argsort(home[good])]
+    own = home[by_home]
+    region = own >> POSITION_BITS
+    run = cuts((own[1:] != own[:-1] + 1), region[1:] != region[:-1])
+    run_of = np.full(len(first), -1)
+    run_of[by_home] = np.repeat(np.arange(len(run)), np.diff(run, append=len(own)))
+    member = np.repeat(run_of, np.diff(first, append=len(order)))
+    held = member >= 0
+    pairs = np.unique((member[held] << SHARD_BITS) | shard[order][held])
+    ends = np.searchsorted(pairs >> SHARD_BITS, np.arange(len(run) + 1))
+    return pa.table({
+        "region": pa.array(region[run] << POSITION_BITS),
+        "place": pa.array((own[run] & ((1 << POSITION_BITS) - 1)).astype(np.int32)),
+        "n": pa.array(np.diff(run, append=len(own)).astype(np.int32)),
+        "shards": pa.ListArray.from_arrays(
+            pa.array(ends.astype(np.int32)),
+            pa.array((pairs & ((1 << SHARD_BITS) - 1)).astype(np.int32)))})
+
+
+def cut_passages(width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Neighbouring confirmed windows of the regions of a shard as passages, in pieces of at
+    most ``PIECE`` windows, with the shards that have any of these."""
+    def run(areas: pa.Table, homes: pa.Table) -> pa.Table:
+        texts, shards = [], []
+        region = homes["region"].to_numpy()
+        order = np.lexsort((homes["place"].to_numpy(), region))
+        region, place, n = region[order], homes["place"].to_numpy()[order], homes[
+            "n"].to_numpy()[order]
+        lists = homes["shards"].combine_chunks()
+        first = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(
+            zero_copy_only=False)))).astype(np.int64)
+        held = lists.flatten().to_numpy()
+        low = np.searchsorted(region, areas["region"].to_numpy())
+        high = np.searchsorted(region, areas["region"].to_numpy(), "right")
+        for i in np.flatnonzero(low < high).tolist():
+            parts = areas["words"][i].as_buffer().to_pybytes().split(b" ")
+            begin, size, rows = (v[low[i]:high[i]] for v in (place, n, order))
+            flags = np.zeros(len(parts), bool)
+            for a, b in zip(begin.tolist(), size.tolist(), strict=True):
+                flags[a:a + b] = True
+            for a, b in runs(flags):
+                for c in range(a, b, PIECE):
+                    d = min(b, c + PIECE)
+                    # Runs in order of place do not overlap: those within c:d are neighbours
+                    j = np.searchsorted(begin + size, c, "right")
+                    k = np.searchsorted(begin, d)
+                    texts.append(b" ".join(parts[c:d + width - 1]))
+                    shards.append(np.unique(np.concatenate(
+                        [held[first[r]:first[r + 1]] for r in rows[j:k].tolist()])))
+        return pa.table({"words": pa.array(texts, pa.binary()).cast(pa.string()),
+                         "shards": pa.array(shards, pa.list_(pa.int32()))})
 
     return run
 
@@ -300,27 +420,32 @@ def remove_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
 
     found = written(texts.mapInArrow(phrase_rows(width), "phrase long, shard long")
                     .groupBy("phrase", "shard").agg(F.count("*").alias("n")), "phrases")
-    often = found.groupBy("phrase").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+    often = found.groupBy("phrase").agg(F.sum("n").alias("n")).where("n > 1")
     recurring = written(found.drop("n").join(often, "phrase"), "recurring")
 
     def grouped(df: DataFrame):
         return df.groupBy("shard")
 
-    areas = written(grouped(texts).cogroup(grouped(recurring)).applyInArrow(
-        regions(width), "region long, words string"), "regions")
-    confirmed = (areas.mapInArrow(region_windows(width), "window long, other int, code long")
-                 .groupBy("window", "other")
-                 .agg(F.min("code").alias("code"), F.max("code").alias("last"))
-                 .where("code < last"))
-    low = (1 << POSITION_BITS) - 1
-    places = (confirmed.select(F.col("code").bitwiseAND(F.lit(~low)).alias("region"),
-                               F.col("code").bitwiseAND(F.lit(low)).alias("place"))
-              .groupBy("region").agg(F.collect_list("place").alias("places")))
-    passages = written(areas.select("region", "words").join(places, "region").mapInArrow(
-        cut_passages(width), "passage long, words string, phrases array<long>"), "passages")
-    routes = (passages.select("passage", F.explode("phrases").alias("phrase"))
-              .join(recurring, "phrase").select("passage", "shard").distinct())
-    sent = passages.select("passage", "words").join(routes, "passage").select("shard", "words")
+    areas = written(grouped(texts).cogroup(grouped(recurring.select("phrase", "shard")))
+                    .applyInArrow(regions(width), "region long, words string, windows long"),
+                    "regions", "zstd")
+    windows = areas.agg(F.sum("windows")).first()[0] or 0
+    rounds = max(1, -int(-windows * WINDOW_BYTES // max(1, size * ROUND_SHARE)))
+    buckets = rounds * (windows // (BUCKET_WINDOWS * rounds) + 1)
+    common = np.sort(np.array([r.phrase for r in recurring.where(
+        F.col("n") > max(COMMON, windows >> 20)).select("phrase").distinct().collect()],
+        np.int64).view(np.uint64))
+    homes = [written(areas.select("region", "words").mapInArrow(
+        region_windows(width, common, buckets, rounds, now), FOUND)
+        .groupBy("bucket").applyInArrow(confirm, HOMES), "homes", "zstd")
+        for now in range(rounds)]
+    shard = F.shiftright("region", REGION_BITS + POSITION_BITS).alias("shard")
+    passages = written(
+        grouped(areas.select("region", "words", shard))
+        .cogroup(grouped(reduce(DataFrame.unionAll, homes).select("*", shard)))
+        .applyInArrow(cut_passages(width), "words string, shards array<int>"), "passages", "zstd")
+    sent = passages.select(F.explode("shards").alias("shard"), "words").withColumn(
+        "shard", F.col("shard").cast("long"))
 
     result = T.StructType([own.schema[n] for n in inner] + [
         T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),

@@ -11,11 +11,13 @@ from types import SimpleNamespace
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 import corpus_pipeline
 from contactloom.llm import packing
+from contactloom.llm import passages as repeats
 from contactloom.llm import quality as q
 from contactloom.llm.decontaminate import masks, passages, without_passages
 from contactloom.llm.licenses import scan_licenses
@@ -23,7 +25,7 @@ from contactloom.llm.near import distance_limit, keep_one, near_duplicates
 from contactloom.llm.packing import first_fit, pack, sequences, token_bytes
 from contactloom.llm.passages import remove_repeats
 from contactloom.llm.tokens import Counter, read_vocabulary, token_counts
-from contactloom.llm.words import text_buffer
+from contactloom.llm.words import split_words, text_buffer, window_hashes
 from tests.llm.conftest import edge_rows, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -160,6 +162,85 @@ def test_repeats_within_periodic_and_overlapping_texts(spark):
     assert got == [(i, *p[:3]) for i, p in enumerate(want)]
 
 
+def test_passages_go_to_the_shards_that_have_their_windows(spark, monkeypatch):
+    """A phrase in many passages and shards does not bring each passage to each shard."""
+    def least(k):
+        phrase = " ".join(words(8, 1000 + k))
+        return window_hashes(split_words(pa.array([phrase])).hashes, 8)[0], phrase
+
+    phrase = min(map(least, range(5000)))[1]
+    texts = [" ".join([*words(40, 2 * i + 100), phrase, *words(40, 2 * i + 101)])
+             for i in range(60)] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    locate = repeats.locate
+
+    def counted(width, columns):
+        plain = locate(width, columns)
+
+        def run(own, passages):
+            out = plain(own, passages)
+            sent = pa.array([passages.num_rows] * out.num_rows, pa.int64())
+            return out.set_column(out.column_names.index("n_words"), "n_words", sent)
+
+        return run
+
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(repeats, "locate", counted)
+    got = rows_of(remove_repeats(docs), "doc_id", "n_words", "n_removed")
+    assert [r[2] for r in got] == [88] * 120
+    # On average a shard has five texts, each of one passage
+    assert max(r[1] for r in got) <= 20
+
+
+@pytest.mark.parametrize("common", [0, 4096])
+def test_repeats_in_rounds(spark, monkeypatch, common):
+    """Many shards, rounds, buckets and pieces give what one gives."""
+    shared = [words(60, s) for s in range(3)]
+    texts = [" ".join(words(30, 50 + i) + shared[i % 3][i % 7:] + words(40, 90 + i % 11))
+             for i in range(40)] + [" ".join(words(700, 7))] * 3 + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for name, value in (("SHARD_BYTES", 1500), ("ROUND_SHARE", 0.4), ("BUCKET_WINDOWS", 50),
+                        ("COMMON", common), ("PIECE", 9)):
+        monkeypatch.setattr(repeats, name, value)
+    labels = []
+    written = repeats.written
+    monkeypatch.setattr(repeats, "written", lambda df, label, *codec: (
+        labels.append(label), written(df, label, *codec))[1])
+    got = rows_of(remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert labels.count("homes") > 1
+    assert got == [(i, *p[:3]) for i, p in enumerate(plain_removal(texts, 35))]
+
+
+def test_a_round_takes_its_share_of_the_windows_once():
+    own = words(3000, 5, 10**6)
+    batch = pa.record_batch({"region": pa.array([5 << 42, 7 << 42], pa.int64()),
+                             "words": [" ".join(own), " ".join(own[:2000] + own[:500])]})
+    rows = [pa.Table.from_batches(repeats.region_windows(
+        35, np.array([], np.uint64), 40, 4, now)(iter([batch]))) for now in range(4)]
+    sizes = [sum(map(len, r["window"].to_pylist())) // 8 for r in rows]
+    assert sum(sizes) == (3000 - 34) + (2500 - 34) - (500 - 34)
+    assert max(sizes) < 0.4 * sum(sizes)
+    found = pa.concat_tables([repeats.confirm(r.filter(pc.equal(r["bucket"], b)))
+                              for r in rows for b in set(r["bucket"].to_pylist())])
+    places = [(r["region"], r["place"] + k, tuple(r["shards"])) for r in found.to_pylist()
+              for k in range(r["n"])]
+    # Places of the first text, and all lie in both shards
+    assert sorted(places) == [(5 << 42, k, (5, 7)) for k in range(2000 - 34)]
+
+
+def test_windows_of_equal_first_hash_are_told_apart():
+    rows = pa.table({
+        "bucket": pa.array([0, 0], pa.int64()), "shard": pa.array([1, 2], pa.int64()),
+        "window": [np.array([9, 9, 8], np.uint64).tobytes(), np.array([9], np.uint64).tobytes()],
+        "other": [np.array([3, 4, 5], np.uint32).tobytes(), np.array([4], np.uint32).tobytes()],
+        "twice": [np.packbits([0, 0, 1]).tobytes(), np.packbits([0]).tobytes()],
+        "begin": [np.array([(1 << 42) + 6], np.int64).tobytes(),
+                  np.array([2 << 42], np.int64).tobytes()],
+        "n": [np.array([3], np.int32).tobytes(), np.array([1], np.int32).tobytes()]})
+    assert repeats.confirm(rows).to_pylist() == [
+        {"region": 1 << 42, "place": 7, "n": 2, "shards": [1, 2]}]
+
+
 def test_repeats_of_nothing(no_docs):
     assert remove_repeats(no_docs).count() == 0
 
